@@ -132,7 +132,7 @@ def unescape(text: Column) -> Column:
 def clean_cell(html: Column) -> Column:
     """Cell text: tags dropped, entities decoded, white space squeezed."""
     bare = unescape(F.regexp_replace(html, "<[^>]+>", " "))
-    return F.trim(F.regexp_replace(bare, r"[\s ]+", " "))
+    return F.trim(F.regexp_replace(bare, r"(?U)\s+", " "))
 
 
 def tone_first(tone: Column) -> Column:
