@@ -340,7 +340,7 @@ def sector_breadth(visible: DataFrame) -> DataFrame:
     dist = F.when(F.col("ma20").isNotNull(), F.col("bar_close") / F.col("ma20") - 1)
     r20 = F.col("return_20d")
     return visible.groupBy("snapshot_time").agg(
-        share(F.col("return_1d_asof") > 0).alias("sector_observation_positive_return_1d_pct"),
+        share(F.col("return_1d") > 0).alias("sector_observation_positive_return_1d_pct"),
         share(F.col("return_5d") > 0).alias("sector_observation_positive_return_5d_pct"),
         *[share(F.col("bar_close") > F.col(f"ma{w}")).alias(f"sector_observation_above_ma{w}_pct") for w in MA_WINDOWS],
         F.avg(dist).alias("sector_observation_distance_to_ma20_avg"),
