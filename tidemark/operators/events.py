@@ -180,7 +180,7 @@ def window_stats(
     fields = [c for c in (ts, "quote_ts", "price", "bid", "ask") if c in trades.columns]
     trade = F.struct(*[F.col(c) for c in fields], F.col("_size").alias("size"))
     # largest size wins; among equals the smallest position, so positions are compared reversed
-    back = F.struct(F.col("_size"), -F.unix_micros(F.col(ts).cast("timestamp")), -F.col(seq))
+    back = F.struct(F.col("_size"), -F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col(ts)), -F.col(seq))
     stats = ticks.groupBy(*keys, "bucket").agg(
         F.count(F.lit(1)).alias("window_trade_count"),
         F.sum("_size").alias("window_volume"),
@@ -302,16 +302,16 @@ def detect_option_events(
             F.lit(context.get("standard_id")).cast("string").alias("standard_id"),
             F.lit(context.get("generated_at")).cast("string").alias("generated_at"),
         ).alias("standard_context"),
-        F.struct(F.lit(provider).alias("provider"), F.lit("not_persisted_by_default").alias("raw_persistence")).alias("source_refs"),
+        F.struct(F.lit(provider).alias("provider"), F.lit("not_persisted_by_default").alias("raw_persistence")).alias("source_references"),
     )
 
 
-TIMELINE_COLUMNS = ("event_id", "timeline_headline", "created_at", "updated_at", "symbols", "summary", "event_link_url")
-DETAIL_JSON = ("triggered_indicators", "evidence_window", "triggering_trade", "quote_context", "iv_context", "source_refs")
+TIMELINE_COLUMNS = ("timeline_headline", "created_at", "updated_at", "symbols", "summary", "event_link_url")
+DETAIL_JSON = ("triggered_indicators", "evidence_window", "triggering_trade", "quote_context", "iv_context", "source_references")
 
 
 def event_timeline(events: DataFrame) -> DataFrame:
-    return events.select(*TIMELINE_COLUMNS)
+    return events.select(F.col("event_id").alias("id"), *TIMELINE_COLUMNS)
 
 
 def event_detail_rows(events: DataFrame) -> DataFrame:
