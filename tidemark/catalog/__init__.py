@@ -1,0 +1,16 @@
+"""The named queries, gathered from their modules."""
+
+from __future__ import annotations
+
+import importlib
+
+MODULES = ("bars", "joins", "indicators")
+
+
+def load():
+    """(queries, oracle SQL) by key."""
+    from . import registry
+
+    for name in MODULES:
+        importlib.import_module(f"{__name__}.{name}")
+    return registry.QUERIES, registry.ORACLE

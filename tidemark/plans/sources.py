@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.symbols import option_symbol, right_normalize
@@ -52,7 +54,9 @@ def field_aliases(df: DataFrame) -> dict[str, Column]:
     return out
 
 
-def position_bars(rows: DataFrame, contracts: DataFrame, on: str = "option_symbol", timeframe: str = "1Min") -> DataFrame:
+def position_bars(
+    rows: DataFrame, contracts: DataFrame, on: str = "option_symbol", timeframe: str = "1Min", extra: Sequence[str] = ()
+) -> DataFrame:
     """Bars of selected contracts inside their holding window, plus one hour after the exit.
 
     ``contracts``: underlying, option_symbol (or blank), expiration, option_right_type, strike,
@@ -79,4 +83,5 @@ def position_bars(rows: DataFrame, contracts: DataFrame, on: str = "option_symbo
         grain.alias("timeframe"),
         F.col("ts").alias("timestamp"),
         *[fields[n].alias(n) for n in ("bar_open", "bar_high", "bar_low", "bar_close", "bar_volume", "bar_trade_count", "bar_vwap")],
+        *extra,
     )

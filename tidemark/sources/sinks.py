@@ -99,7 +99,7 @@ def upsert_path(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence
     upsert(affected, batch, keys, order).write.parquet(stage)
     (
         spark.read.schema(batch.select(*columns).schema).parquet(stage)
-        .repartition(F.col(partition), F.floor(F.rand(seed=7) * 8))
+        .repartition(F.col(partition), F.pmod(F.xxhash64(*keys), F.lit(8)))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition)
