@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("bars", "joins", "indicators")
+MODULES = ("bars", "joins", "indicators", "events", "documents")
 
 
 def load():
@@ -13,4 +13,4 @@ def load():
 
     for name in MODULES:
         importlib.import_module(f"{__name__}.{name}")
-    return registry.QUERIES, registry.ORACLE
+    return registry.QUERIES, {key: registry.sql(text) for key, text in registry.ORACLE.items()}

@@ -43,13 +43,13 @@ def indicators(spark, d):
     return I.daily_indicators(P.daily_bars(spark, d))
 
 
-def single(key: str, columns: dict[str, str]):
+def single(key: str, columns: dict[str, str], places: int = 6):
     """A query that shows some indicator columns at every daily bar; maps Spark name to SQL expression."""
-    body = ", ".join(f"{rs(expr)} AS {name}" for name, expr in columns.items())
+    body = ", ".join(f"{rs(expr, places)} AS {name}" for name, expr in columns.items())
 
     @query(key, f"SELECT symbol, ts, {body} FROM ind")
     def run(spark, d):
-        return indicators(spark, d).select("symbol", "ts", *[r(n).alias(n) for n in columns])
+        return indicators(spark, d).select("symbol", "ts", *[r(n, places).alias(n) for n in columns])
 
     return run
 
@@ -63,7 +63,7 @@ single("vol_percentile_252", {"realized_vol_20d_percentile_252d": "vol_pct"})
 single("vol_zscore_252", {"realized_vol_20d_zscore_252d": "vol_z"})
 single("parkinson_vol", {"parkinson_vol_20d": "parkinson"})
 single("garman_klass_vol", {"garman_klass_vol_20d": "gk"})
-single("moving_average", {"ma20": "ma20", "ma50": "ma50", "ma200": "ma200"})
+single("moving_average", {"ma20": "ma20", "ma50": "ma50", "ma200": "ma200"}, places=4)
 single("distance_to_ma", {f"distance_to_ma{w}": f"distance_to_ma{w}" for w in (20, 50, 200)})
 single("ma_slope", {n: n for n in ("ma20_slope_5d", "ma50_slope_10d", "ma200_slope_20d")})
 single("ma_alignment_score", {"ma_alignment_score": "ma_alignment_score"})
@@ -90,8 +90,8 @@ def return_30m(spark, d):
 
 
 def visible(spark, d):
-    ind = X.staged(indicators(spark, d))
-    return ind, X.staged(J.visible_rows(P.snapshots(spark, d), ind))
+    ind = indicators(spark, d)
+    return ind, J.visible_rows(P.snapshots(spark, d), ind)
 
 
 def pairs_at(spark, d):

@@ -39,7 +39,7 @@ def query(key: str, oracle: str | None = None):
             raise ValueError(f"duplicate key {key}")
         QUERIES[key] = fn
         if oracle is not None:
-            ORACLE[key] = sql(oracle)
+            ORACLE[key] = oracle
         return fn
 
     return keep

@@ -47,12 +47,12 @@ def sign3(value: Column) -> Column:
 
 def fmt6(value: Column) -> Column:
     """Six decimals with trailing zeros stripped; null renders as empty text."""
-    return F.coalesce(F.regexp_replace(F.format_string("%.6f", value), r"\.?0+$", ""), F.lit(""))
+    return F.coalesce(fmt_general(value), F.lit(""))
 
 
 def fmt_general(value: Column) -> Column:
     """Plain decimal text without a trailing ``.0`` (strike prices)."""
-    return F.regexp_replace(F.format_string("%.6f", value), r"\.?0+$", "")
+    return F.when(value.isNotNull(), F.regexp_replace(F.format_string("%.6f", value), r"\.?0+$", ""))
 
 
 def round_places(value: Column, places: int) -> Column:

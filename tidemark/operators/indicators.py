@@ -165,10 +165,9 @@ def _volatility(base: DataFrame) -> DataFrame:
     carried = ["ret_idx", *[f"realized_vol_{n}d" for n in VOL_WINDOWS], "ewma_vol",
                "realized_vol_20d_percentile_252d", "realized_vol_20d_zscore_252d"]
     upto = Window.partitionBy("symbol").orderBy("available_time", "ts").rowsBetween(Window.unboundedPreceding, 0)
-    state = F.last(F.when(valid, F.struct(*carried)), ignorenulls=True).over(upto)
+    inherited = {c: F.last(F.when(valid, F.struct(c)), ignorenulls=True).over(upto)[c] for c in carried}
     return (
-        steps.withColumn("_state", state)
-        .withColumns({name: F.col(f"_state.{name}") for name in carried})
+        steps.withColumns(inherited)
         .withColumns(
             {
                 "ret_idx": F.coalesce("ret_idx", F.lit(0)),
@@ -176,7 +175,6 @@ def _volatility(base: DataFrame) -> DataFrame:
                 "realized_vol_20d_60d_ratio": safe_div(F.col("realized_vol_20d"), F.col("realized_vol_60d")),
             }
         )
-        .drop("_state")
     )
 
 

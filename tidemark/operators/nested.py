@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.quotes import spread_pct  # noqa: F401  (re-exported for callers)
 from ..functions.symbols import option_symbol
 
 # Parallel arrays of a filing list and their output names.
@@ -132,7 +131,7 @@ def chain_snapshot(contracts: DataFrame, underlying: Column, snapshot_time: Colu
     )
 
 
-def normalize_candles(df: DataFrame, strict: bool = True) -> DataFrame:
+def normalize_candles(df: DataFrame, strict: bool = True, keep: Sequence[str] = ()) -> DataFrame:
     """Positional candles (time ms, o, h, l, c, volume, ... at least 9 fields) to bar rows."""
     from ..functions.times import epoch_ms_to_et
 
@@ -146,6 +145,7 @@ def normalize_candles(df: DataFrame, strict: bool = True) -> DataFrame:
         return F.element_at(candle, i).cast("double")
 
     return df.select(
+        *keep,
         "symbol",
         "timeframe",
         epoch_ms_to_et(F.element_at(candle, 1)).alias("ts"),

@@ -23,6 +23,7 @@ def build_session(app: str = "tidemark", master: str | None = None, **extra: str
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **extra,
     }
     for key, value in conf.items():
