@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("bars", "joins", "indicators", "events", "documents")
+MODULES = ("bars", "joins", "indicators", "events", "documents", "scalars")
 
 
 def load():

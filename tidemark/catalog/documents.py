@@ -225,7 +225,7 @@ def holdings_html_ingest(spark, d):
 
 @query("calendar_parse", """
 SELECT 'u' || o_orderkey AS source_url, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) || ' 08:30' AS event_time, CASE WHEN o_orderkey % 2 = 0 THEN 'United States' ELSE 'Canada' END AS country,
-  'Payrolls & Co ' || o_orderkey AS event, o_orderstatus AS source_event_type, CAST(o_custkey AS VARCHAR) || 'K' AS actual, '' AS previous, '3' AS importance FROM orders""")
+  'Payrolls & Co ' || o_orderkey AS event, o_orderstatus AS source_event_type, CAST(o_custkey AS VARCHAR) || ' K' AS actual, '' AS previous, '3' AS importance FROM orders""")
 def calendar_parse(spark, d):
     k = F.col("o_orderkey")
     td = lambda *x: F.concat(F.lit("<td>"), *x, F.lit("</td>"))

@@ -58,7 +58,7 @@ def trailing_zscore(spark, d):
 
 
 ET_SQL = "strftime(ts, '%Y-%m-%dT%H:%M:%S') || '-05:00'"  # the events of January are all in winter time
-cte("eact", f"""SELECT *, {ET_SQL} AS at, list_filter([CASE WHEN abs(ret_z) >= 3 THEN 'return_zscore' END, CASE WHEN volume_z >= 3 THEN 'volume_spike' END,
+cte("eact", f"""SELECT *, {ET_SQL} AS at_text, list_filter([CASE WHEN abs(ret_z) >= 3 THEN 'return_zscore' END, CASE WHEN volume_z >= 3 THEN 'volume_spike' END,
   CASE WHEN abs(relative_z) >= 3 THEN 'sector_relative_move' END, CASE WHEN abs(gap) >= {GAP} THEN 'gap' END, CASE WHEN spread_z >= 3 THEN 'liquidity_spread' END],
   lambda x: x IS NOT NULL) AS act, upper(symbol) AS sym FROM escore""")
 
@@ -68,13 +68,13 @@ def equity_events(spark, d):
 
 
 @query("equity_abnormal_events", f"""
-SELECT 'eq_abn_' || sym || '_' || left(replace(regexp_replace(at, '[-:+]', '', 'g'), 'T', '_'), 24) AS event_id, sym AS symbol, at AS event_time,
+SELECT 'eq_abn_' || sym || '_' || left(replace(regexp_replace(at_text, '[-:+]', '', 'g'), 'T', '_'), 24) AS event_id, sym AS symbol, at_text AS event_time,
   'equity_abnormal_activity_event' AS event_type, sym || ' abnormal equity activity' AS title,
   sym || ' triggered ' || array_to_string(act, ', ') || ' over 30Min bars.' AS summary, array_to_string(act, ';') AS abnormal_activity_type,
-  '{{"event_time":"' || at || '","lookback_intervals":20,"timeframe":"30Min"}}' AS evidence_window,
+  '{{"event_time":"' || at_text || '","lookback_intervals":20,"timeframe":"30Min"}}' AS evidence_window,
   {rs("gap", 4)} AS gap_pct, {rs("ret_z", 4)} AS return_zscore,
-  'equity_bar:' || sym || ':' || at || CASE WHEN has_liquidity THEN ';equity_liquidity_bar:' || sym || ':' || at ELSE '' END
-  || CASE WHEN benchmark_ret IS NOT NULL THEN ';benchmark_return:' || at ELSE '' END AS source_references,
+  'equity_bar:' || sym || ':' || at_text || CASE WHEN has_liquidity THEN ';equity_liquidity_bar:' || sym || ':' || at_text ELSE '' END
+  || CASE WHEN benchmark_ret IS NOT NULL THEN ';benchmark_return:' || at_text ELSE '' END AS source_references,
   '{{"benchmark_present":' || CASE WHEN benchmark_ret IS NOT NULL THEN 'true' ELSE 'false' END || ',"detector":"equity_abnormal_activity_v0"}}' AS taxonomy_context
 FROM eact WHERE len(act) > 0""")
 def equity_abnormal_events(spark, d):

@@ -27,8 +27,14 @@ FACT_FIELDS = {
 
 def flatten_filings(df: DataFrame, recent: str = "filings.recent") -> DataFrame:
     """Parallel arrays to one row per accession; arrays shorter than the ids pad with null."""
-    n = F.size(F.col(f"{recent}.accessionNumber"))
-    zipped = F.arrays_zip(*[F.slice(F.col(f"{recent}.{src}"), F.lit(1), F.greatest(n, F.lit(0))).alias(src) for src in FILING_ARRAYS])
+    ids = F.col(f"{recent}.accessionNumber")
+    n = F.size(ids)
+
+    def part(name: str) -> Column:
+        values = F.coalesce(F.col(f"{recent}.{name}"), F.array().cast("array<string>"))
+        return F.slice(values, F.lit(1), F.greatest(n, F.lit(0))).alias(name)
+
+    zipped = F.arrays_zip(*[part(src) for src in FILING_ARRAYS])
     rows = df.where(n > 0).select("cik", F.col("name").alias("company_name"), F.explode(zipped).alias("_f"))
     return rows.select("cik", "company_name", *[F.col("_f")[src].alias(out) for src, out in FILING_ARRAYS.items()])
 

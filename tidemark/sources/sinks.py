@@ -11,6 +11,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..operators.joins import last_wins
 
 
+MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
@@ -33,13 +36,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def write_csv(df: DataFrame, path: str, columns: Sequence[str]) -> str:
     """CSV with header in a fixed column order; other columns drop. The committer makes it atomic."""
-    df.select(*columns).write.mode("error").option("header", True).option("escape", '"').csv(path)
+    writer = df.select(*columns).write.mode("error").option("header", True).option("escape", '"')
+    writer.option("timestampNTZFormat", MICROS).option("timestampFormat", MICROS + "XXX").csv(path)
     return path
 
 
 def write_jsonl(df: DataFrame, path: str) -> str:
     """Cleaned rows as JSON lines, null fields kept."""
-    df.write.mode("error").option("ignoreNullFields", "false").json(path)
+    writer = df.write.mode("error").option("ignoreNullFields", "false")
+    writer.option("timestampNTZFormat", MICROS).option("timestampFormat", MICROS + "XXX").json(path)
     return path
 
 
