@@ -39,8 +39,8 @@ cte("ind", f"""SELECT i.* EXCLUDE (vol_hist), len(list_filter(vol_hist, lambda x
   FROM ind3 i LEFT JOIN ewma e ON i.symbol = e.symbol AND i.idx = e.idx""")
 
 
-def indicators(spark, d):
-    return I.daily_indicators(P.daily_bars(spark, d))
+def indicators(spark, d, bars=None):
+    return I.daily_indicators(bars if bars is not None else P.daily_bars(spark, d))
 
 
 def single(key: str, columns: dict[str, str], places: int = 6):
@@ -90,7 +90,7 @@ def return_30m(spark, d):
 
 
 def visible(spark, d):
-    ind = indicators(spark, d)
+    ind = indicators(spark, d, X.staged(P.daily_bars(spark, d)))
     return ind, J.visible_rows(P.snapshots(spark, d), ind)
 
 
@@ -153,8 +153,9 @@ cte("pf", """SELECT e.*, CASE WHEN e.feature_bar_grain = '30m' THEN ln((a.now_c
 
 @query("relative_strength_return", f"SELECT snapshot_time, combination_id, feature_bar_grain, {rs('relative_strength_return')} AS relative_strength_return FROM pf")
 def relative_strength_return(spark, d):
-    bars = P.daily_bars(spark, d)
-    ind, vis = visible(spark, d)
+    bars = X.staged(P.daily_bars(spark, d))
+    ind = indicators(spark, d, bars)
+    vis = J.visible_rows(P.snapshots(spark, d), ind)
     at = pairs_at(spark, d)
     legs = at.select("snapshot_time", F.col("numerator").alias("symbol")).unionByName(at.select("snapshot_time", F.col("denominator").alias("symbol")))
     out = X.pair_features(at, vis, ind, X.close_marks(legs, bars))
@@ -223,7 +224,7 @@ cte("regime", " UNION ALL ".join([
 
 
 def regime(spark, d):
-    return X.regime_features(P.daily_bars(spark, d), P.universe(spark, d), P.pairs(spark, d), P.snapshots(spark, d), EXCLUDED)
+    return X.regime_features(X.staged(P.daily_bars(spark, d)), P.universe(spark, d), P.pairs(spark, d), P.snapshots(spark, d), EXCLUDED)
 
 
 @query("regime_features", f"SELECT snapshot_time, feature, {rs('value')} AS value FROM regime")
@@ -242,7 +243,7 @@ cte("rotation", f"""SELECT * EXCLUDE x, x.f AS feature, x.v AS value FROM (SELEC
 
 
 def rotation(spark, d):
-    return X.rotation_features(P.daily_bars(spark, d), P.universe(spark, d), P.pairs(spark, d), P.snapshots(spark, d))
+    return X.rotation_features(X.staged(P.daily_bars(spark, d)), P.universe(spark, d), P.pairs(spark, d), P.snapshots(spark, d))
 
 
 @query("rotation_features", f"SELECT * EXCLUDE value, {rs('value')} AS value FROM rotation")

@@ -131,7 +131,8 @@ def unescape(text: Column) -> Column:
 
 def clean_cell(html: Column) -> Column:
     """Cell text: tags dropped, entities decoded, white space squeezed."""
-    bare = unescape(F.regexp_replace(html, "<[^>]+>", " "))
+    bare = F.regexp_replace(html, "<[^>]+>", " ")
+    bare = F.when(F.contains(bare, F.lit("&")), unescape(bare)).otherwise(bare)
     return F.trim(F.regexp_replace(bare, r"(?U)\s+", " "))
 
 

@@ -9,12 +9,12 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from ..functions.numbers import finite, safe_div, safe_log_ratio, sign3
 from ..functions.times import available_time, is_daily
 from .joins import tail_align
-from .windows import full_window, trailing
+from .windows import full_window, trailing, wide_mean, wide_moments
 
 # Look-backs and smoothing of the indicator set.
 VOL_WINDOWS = (5, 20, 60)
@@ -96,11 +96,12 @@ def daily_indicators(bars: DataFrame) -> DataFrame:
             "bad": F.sum(F.when(c <= 0, 1).otherwise(0)).over(upto),
             "prev_close": F.lag("bar_close").over(w),
             **{f"return_{k}": safe_log_ratio(c, F.lag("bar_close", n).over(w)) for k, n in RETURN_PERIODS.items()},
-            **{f"ma{n}": full_window(F.avg(c).over(trailing(w, n)), c, trailing(w, n), n) for n in MA_WINDOWS},
             "_hl": safe_log_ratio(F.col("bar_high"), F.col("bar_low")),
             "_co": safe_log_ratio(c, F.col("bar_open")),
         }
     )
+    base = wide_mean(base, w, "bar_close", {f"ma{n}": n for n in MA_WINDOWS}, 10)
+    base = base.withColumns({f"ma{n}": F.when(F.col("idx") >= n, F.col(f"ma{n}")) for n in MA_WINDOWS})
     h, low, pc = F.col("bar_high"), F.col("bar_low"), F.col("prev_close")
     whole_range = h.isNotNull() & low.isNotNull() & pc.isNotNull()
     gk = 0.5 * F.pow("_hl", F.lit(2)) - (2 * math.log(2) - 1) * F.pow("_co", F.lit(2))
@@ -141,26 +142,13 @@ def _volatility(base: DataFrame) -> DataFrame:
     """
     valid = F.col("return_1d").isNotNull()
     v = Window.partitionBy("symbol", valid).orderBy("available_time", "ts")
-    r = F.col("return_1d")
-
-    def vol(n: int) -> Column:
-        return full_window(F.stddev_pop(r).over(trailing(v, n)) * ANNUAL, r, trailing(v, n), n)
-
-    steps = base.withColumns(
-        {"ret_idx": F.when(valid, F.row_number().over(v)), **{f"realized_vol_{n}d": vol(n) for n in VOL_WINDOWS}}
-    )
-    hist = trailing(v, HISTORY_WINDOW)
-    v20 = F.col("realized_vol_20d")
-    past = F.collect_list(v20).over(hist)
-    share = F.size(F.filter(past, lambda x: x <= v20)) / F.lit(float(HISTORY_WINDOW))
-    steps = steps.withColumns(
-        {
-            "realized_vol_20d_percentile_252d": full_window(share, v20, hist, HISTORY_WINDOW),
-            "realized_vol_20d_zscore_252d": full_window(
-                safe_div(v20 - F.avg(v20).over(hist), F.stddev_pop(v20).over(hist)), v20, hist, HISTORY_WINDOW
-            ),
-        }
-    )
+    steps = base.withColumn("ret_idx", F.when(valid, F.row_number().over(v)))
+    steps = wide_moments(steps, v, "return_1d", {n: (f"_mean{n}", f"_var{n}") for n in VOL_WINDOWS}, 5)
+    full = {
+        f"realized_vol_{n}d": F.when(F.col("ret_idx") >= n, F.sqrt(F.col(f"_var{n}")) * ANNUAL) for n in VOL_WINDOWS
+    }
+    steps = steps.withColumns(full).drop(*[f"_{x}{n}" for n in VOL_WINDOWS for x in ("mean", "var")])
+    steps = _vol_history(steps, v)
     steps = _ewma(steps, valid)
     carried = ["ret_idx", *[f"realized_vol_{n}d" for n in VOL_WINDOWS], "ewma_vol",
                "realized_vol_20d_percentile_252d", "realized_vol_20d_zscore_252d"]
@@ -178,6 +166,26 @@ def _volatility(base: DataFrame) -> DataFrame:
     )
 
 
+def _vol_history(steps: DataFrame, v: WindowSpec) -> DataFrame:
+    """Percentile and z-score of the 20-day volatility among its last 252 values."""
+    name, part = "realized_vol_20d", 21
+    parts = HISTORY_WINDOW // part
+    whole = F.col("ret_idx") >= 20 + HISTORY_WINDOW - 1
+    steps = wide_moments(steps, v, name, {HISTORY_WINDOW: ("_hist_mean", "_hist_var")}, part)
+    steps = steps.withColumn("_list0", F.collect_list(name).over(trailing(v, part)))
+    steps = steps.withColumns({f"_list{j}": F.lag("_list0", part * j).over(v) for j in range(1, parts)})
+    below = F.lit(0)
+    for j in range(parts):
+        below = below + F.size(F.filter(f"_list{j}", lambda x: x <= F.col(name)))
+    deviation = F.col(name) - F.col("_hist_mean")
+    return steps.withColumns(
+        {
+            f"{name}_percentile_252d": F.when(whole, below / F.lit(float(HISTORY_WINDOW))),
+            f"{name}_zscore_252d": F.when(whole, safe_div(deviation, F.sqrt(F.col("_hist_var")))),
+        }
+    ).drop("_hist_mean", "_hist_var", *[f"_list{j}" for j in range(parts)])
+
+
 def _ewma(steps: DataFrame, valid: Column) -> DataFrame:
     """Exponentially weighted volatility without a row loop.
 

@@ -90,3 +90,50 @@ def trailing_z(
         *[F.max(F.when(F.col("metric") == m, F.col("z"))).alias(f"{m}_z") for m in metrics]
     )
     return df.join(wide, ids, "left")
+
+
+def wide_mean(df: DataFrame, spec: WindowSpec, value: str, sizes: dict[str, int], base: int) -> DataFrame:
+    """Trailing means over wide frames from one narrow frame.
+
+    A frame of n rows is n/base frames of ``base`` rows, found by lag, so a row costs
+    base + n/base steps instead of n. Values are right where the frame is full.
+    """
+    df = df.withColumn("_m", F.avg(value).over(trailing(spec, base)))
+    deepest = max(sizes.values()) // base
+    df = df.withColumns({f"_m{j}": F.lag("_m", base * j).over(spec) for j in range(1, deepest)})
+    out = {}
+    for name, n in sizes.items():
+        parts = n // base
+        total = F.lit(0.0)
+        for j in range(1, parts):
+            total = total + (F.col(f"_m{j}") - F.col("_m"))
+        out[name] = F.col("_m") + total / parts
+    return df.withColumns(out).drop("_m", *[f"_m{j}" for j in range(1, deepest)])
+
+
+def wide_moments(df: DataFrame, spec: WindowSpec, value: str, sizes: dict[int, tuple[str, str]], base: int) -> DataFrame:
+    """Trailing mean and population variance over wide frames, combined from one narrow frame.
+
+    ``sizes`` maps a frame length (a multiple of ``base``) to its (mean, variance) column
+    names. Part means are compared as differences, so a constant series keeps variance 0.
+    Values are right where the frame is full.
+    """
+    narrow = trailing(spec, base)
+    df = df.withColumns({"_m0": F.avg(value).over(narrow), "_v0": F.var_pop(value).over(narrow)})
+    deepest = max(sizes) // base
+    df = df.withColumns({f"_{c}{j}": F.lag(f"_{c}0", base * j).over(spec) for j in range(1, deepest) for c in "mv"})
+    for n, (mean, _) in sizes.items():
+        parts = n // base
+        shift = F.lit(0.0)
+        for j in range(1, parts):
+            shift = shift + (F.col(f"_m{j}") - F.col("_m0"))
+        df = df.withColumn(mean, F.col("_m0") + shift / parts)
+    out = {}
+    for n, (mean, variance) in sizes.items():
+        parts = n // base
+        total = F.lit(0.0)
+        for j in range(parts):
+            gap = F.col(f"_m{j}") - F.col(mean)
+            total = total + F.col(f"_v{j}") + gap * gap
+        out[variance] = total / parts
+    return df.withColumns(out).drop(*[f"_{c}{j}" for j in range(deepest) for c in "mv"])

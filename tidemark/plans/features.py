@@ -103,10 +103,15 @@ def close_marks(points: DataFrame, bars: DataFrame) -> DataFrame:
     )
 
 
-def melt(df: DataFrame, ids: Iterable[str], named: list[tuple[Column, Column]]) -> DataFrame:
-    """Fold feature expressions to rows (ids..., feature, value)."""
-    items = F.array(*[F.struct(n.alias("feature"), v.cast("double").alias("value")) for n, v in named])
-    return df.select(*ids, F.explode(items).alias("_f")).select(*ids, "_f.feature", "_f.value")
+def melt(df: DataFrame, ids: Iterable[str], values: dict[str, Column | str], prefix: Column | None = None) -> DataFrame:
+    """Fold columns to rows (ids..., feature, value); ``prefix`` is put before each feature name."""
+    items = F.array(*[
+        F.struct(F.lit(n).alias("feature"), (F.col(v) if isinstance(v, str) else v).cast("double").alias("value"))
+        for n, v in values.items()
+    ])
+    name = F.col("_f.feature") if prefix is None else F.concat("_prefix", "_f.feature")
+    kept = [*ids] if prefix is None else [*ids, prefix.alias("_prefix")]
+    return df.select(*kept, F.explode(items).alias("_f")).select(*ids, name.alias("feature"), "_f.value")
 
 
 def pair_features(pairs_at: DataFrame, visible: DataFrame, indicators: DataFrame, marks: DataFrame) -> DataFrame:
@@ -179,22 +184,24 @@ def regime_features(
     state = points.join(visible, ["snapshot_time", "symbol"], "left").join(marks, ["snapshot_time", "symbol"], "left")
     subject = F.concat(F.lower("symbol"), F.lit("_"))
     in_trend = ~F.col("symbol").isin(*excluded)
-    vols = melt(state, ["snapshot_time"], [(F.concat(subject, F.lit(f)), F.col(f)) for f in VOL_FEATURES])
-    moves = [
-        (F.concat(subject, F.lit("return_30m")), safe_log_ratio(F.col("close_now"), F.col("close_before"))),
-        *[(F.concat(subject, F.lit(f)), F.col(f)) for f in ("return_1d", "return_5d", "return_20d", *TREND_FEATURES)],
-    ]
-    trends = melt(state.where(in_trend), ["snapshot_time"], moves)
-
-    pf = pair_features(pairs_at, visible, indicators, marks)
+    vols = melt(state, ["snapshot_time"], {f: f for f in VOL_FEATURES}, subject)
+    moves = {
+        "return_30m": safe_log_ratio(F.col("close_now"), F.col("close_before")),
+        **{f: f for f in ("return_1d", "return_5d", "return_20d", *TREND_FEATURES)},
+    }
+    trends = melt(state.where(in_trend), ["snapshot_time"], moves, subject)
+
+    pf = staged(pair_features(pairs_at, visible, indicators, marks))
     pid = F.concat(F.col("combination_id"), F.lit("_"))
     grain = F.when(F.col("feature_bar_grain") == "30m", F.lit("30m")).otherwise(F.lit("1d"))
-    named = [(F.concat(pid, grain), F.col("relative_strength_return"))]
-    named += [(F.concat(pid, F.lit(f)), F.col(f)) for f in ("realized_vol_20d_ratio", *TREND_FEATURES, *CORR_FEATURES)]
+    own = {f: f for f in ("realized_vol_20d_ratio", *TREND_FEATURES, *CORR_FEATURES)}
+    pair_rows = melt(pf, ["snapshot_time"], own, pid)
+    strength = pf.select(
+        "snapshot_time", F.concat(pid, grain).alias("feature"), F.col("relative_strength_return").alias("value")
+    )
     conc = concentration(snapshots, states, visible, indicators)
     names = [c for c in conc.columns if c != "snapshot_time"]
-    parts = [vols, trends, melt(pf, ["snapshot_time"], named),
-             melt(conc, ["snapshot_time"], [(F.lit(n), F.col(n)) for n in names])]
+    parts = [vols, trends, pair_rows, strength, melt(conc, ["snapshot_time"], {n: n for n in names})]
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
@@ -218,9 +225,9 @@ def rotation_features(bars: DataFrame, universe: DataFrame, pairs: DataFrame, sn
         {k: F.lit(v) for k, v in SUMMARY_ROW.items()}
     )
     names = [c for c in breadth.columns if c.startswith("sector_observation_") and c not in SUMMARY_ROW]
-    summary = melt(breadth, ROTATION_META, [(F.lit(n), F.col(n)) for n in names])
+    summary = melt(breadth, ROTATION_META, {n: n for n in names})
 
-    pf = pair_features(pairs_at, visible, indicators, marks).withColumns(
+    pf = staged(pair_features(pairs_at, visible, indicators, marks)).withColumns(
         {
             "candidate_symbol": F.col("numerator"),
             "candidate_type": F.lit("sector_industry_etf"),
@@ -229,12 +236,18 @@ def rotation_features(bars: DataFrame, universe: DataFrame, pairs: DataFrame, sn
             "rotation_pair_type": F.col("combination_type"),
         }
     )
-    rs = F.lit("relative_strength_")
     grain = F.when(F.col("feature_bar_grain") == "30m", F.lit("30m")).otherwise(F.lit("1d"))
-    value = F.col("relative_strength_return")
-    named = [(F.concat(rs, F.lit("return_"), grain), value), (F.lit("relative_strength_return"), value)]
-    named += [(F.concat(rs, F.lit(f)), F.col(f)) for f in ("realized_vol_20d_ratio", *TREND_FEATURES, *CORR_FEATURES)]
-    return summary.unionByName(melt(pf, ROTATION_META, named))
+    rows = melt(
+        pf,
+        ROTATION_META,
+        {"return": "relative_strength_return", **{f: f for f in ("realized_vol_20d_ratio", *TREND_FEATURES, *CORR_FEATURES)}},
+        F.lit("relative_strength_"),
+    )
+    grained = pf.select(
+        *ROTATION_META, F.concat(F.lit("relative_strength_return_"), grain).alias("feature"),
+        F.col("relative_strength_return").alias("value"),
+    )
+    return summary.unionByName(rows).unionByName(grained)
 
 
 def signal_average(features: DataFrame, keys: Iterable[str]) -> DataFrame:

@@ -37,5 +37,7 @@ def local_session(cpus: int | None = None, memory: str = "12g") -> SparkSession:
     n = cpus or os.cpu_count() or 4
     return build_session(
         master=f"local[{n}]",
-        **{"spark.sql.shuffle.partitions": str(n), "spark.driver.memory": memory},
+        **{"spark.sql.shuffle.partitions": str(n), "spark.driver.memory": memory,
+           # tiny local tables: do not merge CPU-bound window partitions into one task
+           "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k"},
     )

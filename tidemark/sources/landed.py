@@ -93,12 +93,25 @@ def _first_match(rows: Column, test) -> Column:
     return F.array_position(F.transform(rows, test), F.lit(True)).cast("int")
 
 
-def _picker(keys: Column, cells: Column):
+def _header_and_body(rows: DataFrame, ids: Sequence[str], head: Column, name_of, width: int) -> DataFrame:
+    """``_rows`` to (ids, _names, _cells): header names and one body row each.
+
+    Documents without a header row have an empty body, so they drop in the explode and no
+    filter makes Spark extract the table twice.
+    """
+    at = rows.withColumn("_head", head)
+    names = F.transform(F.get("_rows", F.col("_head") - 1), name_of)
+    body = F.filter(F.slice("_rows", F.col("_head") + 1, F.size("_rows")), lambda r: F.size(r) >= width)
+    none = F.array().cast("array<array<string>>")
+    return at.select(*ids, names.alias("_names"), F.explode(F.when(F.col("_head") > 0, body).otherwise(none)).alias("_cells"))
+
+
+def _picker():
     """Cell under a header name: the right-most header of that name wins."""
-    back = F.reverse(keys)
+    keys, cells = F.col("_names"), F.col("_cells")
 
     def pick(name: str) -> Column:
-        at = F.array_position(back, name).cast("int")
+        at = F.array_position(F.reverse(keys), name).cast("int")
         return F.when(at > 0, F.coalesce(F.get(cells, F.size(keys) - at), F.lit(""))).otherwise(F.lit(""))
 
     return pick
@@ -106,14 +119,12 @@ def _picker(keys: Column, cells: Column):
 
 def calendar_rows(pages: DataFrame, html: str = "html", country: str = "United States", importance: str = "3") -> DataFrame:
     """Calendar tables to event rows. Needs ``html`` and ``source_url`` columns."""
-    rows = pages.withColumn("_rows", table_rows(F.col(html)))
+    rows = pages.select("source_url", table_rows(F.col(html)).alias("_rows"))
     head = _first_match(F.col("_rows"), lambda r: F.exists(r, lambda c: F.lower(c).isin("actual", "previous")))
-    rows = rows.withColumn("_head", head).where(F.col("_head") > 0)
     lookup = F.create_map(*[F.lit(x) for pair in CALENDAR_ALIASES.items() for x in pair])
-    names = F.transform(F.get("_rows", F.col("_head") - 1), lambda c: F.coalesce(F.try_element_at(lookup, F.lower(F.trim(c))), F.lit("")))
-    body = F.filter(F.slice("_rows", F.col("_head") + 1, F.size("_rows")), lambda r: F.size(r) >= 4)
-    each = rows.select("source_url", names.alias("_names"), F.explode(body).alias("_cells"))
-    pick = _picker(F.col("_names"), F.col("_cells"))
+    known = lambda c: F.coalesce(F.try_element_at(lookup, F.lower(F.trim(c))), F.lit(""))
+    each = _header_and_body(rows, ["source_url"], head, known, 4)
+    pick = _picker()
 
     def or_else(name: str, other: Column) -> Column:
         return F.coalesce(F.nullif(pick(name), F.lit("")), other)
@@ -165,27 +176,29 @@ def csv_cells(line: Column) -> Column:
 def holdings_csv(files: DataFrame, text: str = "text") -> DataFrame:
     """Holdings CSV documents: preamble lines are skipped up to the header line."""
     lines = F.split(F.replace(F.col(text), F.lit("\r"), F.lit("")), "\n")
-    rows = files.withColumn("_lines", lines)
-    low = lambda s: F.lower(s)
-    test = lambda s: F.contains(low(s), F.lit("ticker")) & low(s).rlike("weight|market value|% of")
-    rows = rows.withColumn("_head", F.greatest(_first_match(F.col("_lines"), test), F.lit(1)))
+    rows = files.select(*HOLDING_ID, lines.alias("_lines"))
+
+    def is_header(line: Column) -> Column:
+        low = F.lower(line)
+        return F.contains(low, F.lit("ticker")) & low.rlike("weight|market value|% of")
+
+    rows = rows.withColumn("_head", F.greatest(_first_match(F.col("_lines"), is_header), F.lit(1)))
     body = F.filter(F.slice("_lines", F.col("_head") + 1, F.size("_lines")), lambda s: s != "")
     each = rows.select(*HOLDING_ID, _canonical(csv_cells(F.get("_lines", F.col("_head") - 1))).alias("_names"),
                        F.explode(body).alias("_line"))
-    each = each.withColumn("_cells", csv_cells(F.col("_line")))
-    return _finish(each, _picker(F.col("_names"), F.col("_cells")))
+    return _finish(each.select(*HOLDING_ID, "_names", csv_cells(F.col("_line")).alias("_cells")), _picker())
 
 
 def holdings_html(files: DataFrame, html: str = "text") -> DataFrame:
     """Holdings HTML documents: the header row names a ticker and a weight."""
-    rows = files.withColumn("_rows", table_rows(F.col(html)))
-    test = lambda r: F.exists(r, lambda c: F.lower(c).isin("ticker", "symbol")) & F.exists(
-        r, lambda c: F.lower(c).rlike("weight|%")
-    )
-    rows = rows.withColumn("_head", _first_match(F.col("_rows"), test)).where(F.col("_head") > 0)
-    body = F.filter(F.slice("_rows", F.col("_head") + 1, F.size("_rows")), lambda r: F.size(r) >= 2)
-    each = rows.select(*HOLDING_ID, _canonical(F.get("_rows", F.col("_head") - 1)).alias("_names"), F.explode(body).alias("_cells"))
-    return _finish(each, _picker(F.col("_names"), F.col("_cells")))
+    rows = files.select(*HOLDING_ID, table_rows(F.col(html)).alias("_rows"))
+
+    def is_header(r: Column) -> Column:
+        return F.exists(r, lambda c: F.lower(c).isin("ticker", "symbol")) & F.exists(r, lambda c: F.lower(c).rlike("weight|%"))
+
+    head = _first_match(F.col("_rows"), is_header)
+    each = _header_and_body(rows, HOLDING_ID, head, lambda c: alias_of(header_key(c), HOLDING_ALIASES), 2)
+    return _finish(each, _picker())
 
 
 JSON_KEYS = ("holdings", "data", "rows", "fundHoldings")
@@ -195,14 +208,12 @@ ROWS_DDL = "array<map<string,string>>"
 def json_rows(text: Column, depth: int = 3) -> Column:
     """Row objects inside a JSON document: a list, or lists under the known keys, nested."""
     empty = F.array().cast(ROWS_DDL)
-    here = F.when(F.startswith(F.ltrim(text), F.lit("[")), F.coalesce(F.from_json(text, ROWS_DDL), empty)).otherwise(empty)
+    is_list = F.startswith(F.ltrim(text), F.lit("["))
+    parsed = F.coalesce(F.from_json(text, ROWS_DDL), empty)
     if depth == 0:
-        return here
-    return F.concat(here, *[
-        F.coalesce(json_rows(F.get_json_object(text, f"$.{k}"), depth - 1), empty) if depth > 1
-        else F.coalesce(json_rows(F.get_json_object(text, f"$.{k}"), 0), empty)
-        for k in JSON_KEYS
-    ])
+        return F.when(is_list, parsed).otherwise(empty)
+    nested = F.concat(*[json_rows(F.get_json_object(text, f"$.{k}"), depth - 1) for k in JSON_KEYS])
+    return F.when(text.isNull(), empty).when(is_list, parsed).otherwise(nested)
 
 
 def holdings_json(files: DataFrame, text: str = "text", depth: int = 2) -> DataFrame:
@@ -210,4 +221,4 @@ def holdings_json(files: DataFrame, text: str = "text", depth: int = 2) -> DataF
     each = files.select(*HOLDING_ID, F.explode(json_rows(F.col(text), depth)).alias("_m")).where(F.col("_m").isNotNull())
     each = each.select(*HOLDING_ID, _canonical(F.map_keys("_m")).alias("_names"),
                        F.transform(F.map_values("_m"), lambda v: F.coalesce(v, F.lit(""))).alias("_cells"))
-    return _finish(each, _picker(F.col("_names"), F.col("_cells")))
+    return _finish(each, _picker())
