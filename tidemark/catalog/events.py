@@ -72,14 +72,14 @@ SELECT 'eq_abn_' || sym || '_' || left(replace(regexp_replace(at_text, '[-:+]',
   'equity_abnormal_activity_event' AS event_type, sym || ' abnormal equity activity' AS title,
   sym || ' triggered ' || array_to_string(act, ', ') || ' over 30Min bars.' AS summary, array_to_string(act, ';') AS abnormal_activity_type,
   '{{"event_time":"' || at_text || '","lookback_intervals":20,"timeframe":"30Min"}}' AS evidence_window,
-  {rs("gap", 4)} AS gap_pct, {rs("ret_z", 4)} AS return_zscore,
+  round(gap, 6) + 0.0 AS gap_pct, round(ret_z, 6) + 0.0 AS return_zscore,
   'equity_bar:' || sym || ':' || at_text || CASE WHEN has_liquidity THEN ';equity_liquidity_bar:' || sym || ':' || at_text ELSE '' END
   || CASE WHEN benchmark_ret IS NOT NULL THEN ';benchmark_return:' || at_text ELSE '' END AS source_references,
   '{{"benchmark_present":' || CASE WHEN benchmark_ret IS NOT NULL THEN 'true' ELSE 'false' END || ',"detector":"equity_abnormal_activity_v0"}}' AS taxonomy_context
 FROM eact WHERE len(act) > 0""")
 def equity_abnormal_events(spark, d):
     out = equity_events(spark, d)
-    num = lambda c: r(F.nullif(F.col(c), F.lit("")).cast("double"), 4).alias(c)
+    num = lambda c: (F.nullif(F.col(c), F.lit("")).cast("double") + F.lit(0.0)).alias(c)
     return out.select("event_id", "symbol", "event_time", "event_type", "title", "summary", "abnormal_activity_type", "evidence_window",
                       num("gap_pct"), num("return_zscore"), "source_references", "taxonomy_context")
 

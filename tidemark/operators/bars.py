@@ -33,15 +33,19 @@ def trade_bars(
 
     A missing price or size counts as zero.
     """
-    ticks = tumbling(trades, ts, width).select(
-        *keys,
-        "bucket",
+    return aggregate_trades(tumbling(trades, ts, width), [*keys, "bucket"], ts, seq)
+
+
+def aggregate_trades(ticks: DataFrame, group: Sequence[str], ts: str, seq: str | None) -> DataFrame:
+    """The bar aggregation itself, for ticks that already carry their bucket."""
+    ticks = ticks.select(
+        *group,
         F.col(ts).alias("_ts"),
         _order(ts, seq).alias("_order"),
         F.coalesce(F.col("price"), F.lit(0.0)).alias("_price"),
         whole_number(F.col("size")).alias("_size"),
     )
-    grouped = ticks.groupBy(*keys, "bucket").agg(
+    grouped = ticks.groupBy(*group).agg(
         F.count(F.lit(1)).alias("bar_trade_count"),
         F.sum("_size").alias("bar_volume"),
         F.sum(F.col("_price") * F.col("_size")).alias("_notional"),

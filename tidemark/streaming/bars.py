@@ -4,16 +4,28 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.bars import trade_bars
+from ..functions.times import WIDTHS
+from ..operators.bars import aggregate_trades
 from ..sources.sinks import upsert_path
 
 
-def stream_trade_bars(ticks: DataFrame, width: str = "30Min", late: str = "10 minutes", ts: str = "ts") -> DataFrame:
-    """Trade bars of a stream; a bar is final once the watermark passes its end."""
-    return trade_bars(ticks.withWatermark(ts, late), width, ts=ts)
+def stream_trade_bars(
+    ticks: DataFrame, width: str = "30Min", late: str = "10 minutes", keys: Sequence[str] = ("symbol",),
+    ts: str = "ts", seq: str | None = "seq",
+) -> DataFrame:
+    """Trade bars of a stream; a bar is final once the watermark passes its end.
+
+    Watermarks need TIMESTAMP, so the wall clock is carried as one inside (session zone UTC).
+    """
+    clock = ticks.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, late)
+    marked = clock.withColumn("_window", F.window(ts, f"{WIDTHS[width]} seconds"))
+    bars = aggregate_trades(marked, [*keys, "_window"], ts, seq)
+    times = {c: F.col(c).cast("timestamp_ntz") for c in ("first_trade_ts", "last_trade_ts")}
+    out = bars.withColumn("bucket", F.col("_window.start").cast("timestamp_ntz")).withColumns(times)
+    return out.select(*keys, "bucket", *[c for c in bars.columns if c not in (*keys, "_window")])
 
 
 def upsert_stream(bars: DataFrame, path: str, keys: Sequence[str], order: Sequence[str], partition: str, checkpoint: str) -> StreamingQuery:
