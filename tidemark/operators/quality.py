@@ -102,11 +102,12 @@ def contract_check(df: DataFrame, table: str) -> DataFrame:
     NOT NULL rules cost one pass; key uniqueness one partial aggregation on the key.
     """
     spec = TABLES[table]
-    missing = [c for c in spec.schema.names if c not in df.columns]
+    schema = spec.schema
+    missing = [c for c in schema.names if c not in df.columns]
     if missing:
         raise ValueError(f"{table} lacks columns {missing}")
-    typed = df.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in spec.schema.fields])
-    required = [f.name for f in spec.schema.fields if not f.nullable]
+    typed = df.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields])
+    required = [f.name for f in schema.fields if not f.nullable]
     nulls = typed.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in required])
     rules = nulls.select(F.explode(F.array(*[
         F.struct(F.lit(f"not_null:{c}").alias("rule"), F.col(c).alias("violations")) for c in required])).alias("r")).select("r.*")

@@ -9,12 +9,17 @@ from pyspark.sql import types as T
 
 @dataclass(frozen=True)
 class Table:
-    schema: T.StructType
+    ddl: str
     key: tuple[str, ...]
 
+    @property
+    def schema(self) -> T.StructType:
+        """Parsed on use: reading DDL needs a running session."""
+        return T.StructType.fromDDL(self.ddl)
+
 
 def _table(ddl: str, key: str) -> Table:
-    return Table(T.StructType.fromDDL(ddl), tuple(key.split()))
+    return Table(ddl, tuple(key.split()))
 
 
 BAR_FIELDS = (
