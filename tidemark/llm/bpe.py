@@ -235,11 +235,12 @@ _models: dict[int, Model] = {}
 def encoded(docs: DataFrame, path: str, with_text: bool = True) -> DataFrame:
     """``docs`` with ``ids`` (array<int>) of every whole text and, if wanted, ``decoded`` read back from them.
 
-    Null text counts as empty: no ids, decoded ''. Further columns stay. ``path`` names the tokenizer file
+    Null text counts as empty: no ids, decoded ''. Further columns stay, but any called ids or decoded give way. ``path`` names the tokenizer file
     on the driver; executors get its content.
     """
     with open(path, encoding="utf-8") as f:
         spec = docs.sparkSession.sparkContext.broadcast(f.read())
+    docs = docs.drop("ids", "decoded")
     at = docs.columns.index("text")
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

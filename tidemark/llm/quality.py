@@ -126,7 +126,8 @@ def fit(labelled: DataFrame, sample: int = SAMPLE) -> tuple[np.ndarray, float]:
 
 
 def scored(docs: DataFrame, weights: np.ndarray, bias: float) -> DataFrame:
-    """``docs`` with score (0 to 1) of each whole text; null text counts as empty."""
+    """``docs`` with score (0 to 1) of each whole text; null text counts as empty. An own column score gives way."""
+    docs = docs.drop("score")
     shared = docs.sparkSession.sparkContext.broadcast(weights)  # BUCKETS numbers
     at = docs.columns.index("text")
 
