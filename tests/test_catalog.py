@@ -6,15 +6,18 @@ import pytest
 
 import __spark_entry__ as entry
 from compare import compare, duck
+from tidemark.catalog import load
 
 SMALL = "/root/testdata/sf0.001"
 SAMPLE = ("trade_bars", "quote_bars", "foj_bar_liquidity", "option_bars", "asof_latest_close", "ewma_vol", "trailing_zscore",
           "equity_abnormal_events", "option_activity_events", "facts_explode", "holdings_clean", "upsert_keyed", "parse_ts_et", "redact_url_query")
-KEYS = tuple(entry.queries()) if os.environ.get("FULL_ORACLE") else SAMPLE
+SAMPLE += ("event_id_fallback", "source_market_bars", "holdings_csv_ingest", "holdings_json_ingest", "calendar_parse", "foj_chain_3way")
+KEYS = tuple(load()[0]) if os.environ.get("FULL_ORACLE") else SAMPLE
 
 
-def test_every_query_but_the_hash_id_has_sql():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"event_id_fallback"}
+def test_every_query_has_sql_and_is_registered():
+    own, sql = load()
+    assert set(own) == set(sql) and set(own) <= set(entry.queries()) and set(sql) <= set(entry.oracle_sql())
 
 
 @pytest.mark.skipif(not os.path.isdir(SMALL), reason="test tables absent")

@@ -68,16 +68,6 @@ def test_interval_keeps_exit_plus_one_hour(spark):
     assert got == ["09:30", "10:31"]
 
 
-def test_with_each_stops_beyond_limit(spark):
-    listed = spark.range(5).select(F.col("id").alias("x"))
-    assert with_each(spark.range(2), listed, ["x"]).count() == 10
-    try:
-        with_each(spark.range(2), listed, ["x"], limit=4).collect()
-        raise AssertionError("limit ignored")
-    except Exception as error:
-        assert "more than 4" in str(error)
-
-
 def test_upsert_last_duplicate_wins(spark):
     target = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
     batch = spark.createDataFrame([(2, "x", 1), (2, "y", 2), (3, "z", 1)], "k int, v string, seq int")
@@ -191,3 +181,42 @@ def test_future_bars_never_change_a_past_row(spark, past, future):
     one = {r.idx: tuple(r[c] for c in cols) for r in daily_indicators(bars_of(spark, {"A": past})).collect()}
     two = {r.idx: tuple(r[c] for c in cols) for r in daily_indicators(bars_of(spark, {"A": past + future})).collect()}
     assert all(two[i] == v for i, v in one.items())
+
+
+def test_lists_of_any_length_meet_every_row(spark):
+    from tidemark.operators.joins import pairwise_symbols, with_each
+
+    listed = spark.range(20_000).selectExpr("concat('p', id) AS pair", "id AS n").unionAll(spark.sql("SELECT 'p1' AS pair, 1L AS n"))
+    got = with_each(spark.range(3).selectExpr("id AS snapshot"), listed, ["pair", "n"])
+    assert got.count() == 60_000 and got.groupBy("snapshot").agg({"n": "sum"}).distinct().count() == 3
+    names = spark.range(300).selectExpr("concat('S', lpad(id, 3, '0')) AS symbol")
+    pairs = pairwise_symbols(names)
+    assert pairs.count() == 300 * 299 // 2 and pairs.where("left_symbol >= right_symbol").count() == 0
+
+
+def test_lookup_takes_the_last_row_whole(spark):
+    from tidemark.operators.joins import lookup
+
+    reviewed = spark.createDataFrame([("A", 2, "new", None), ("A", 1, "old", "z"), ("B", 1, "b", "c")], "symbol string, seq int, issuer string, kind string")
+    got = lookup(spark.createDataFrame([("A",), ("C",)], "symbol string"), reviewed, ["symbol"], ["issuer", "kind"], ["seq"]).collect()
+    assert sorted(map(tuple, got)) == [("A", "new", None), ("C", None, None)]
+
+
+def test_interval_join_with_open_ends_and_long_spans(spark):
+    import random
+    from datetime import datetime, timedelta
+
+    from tidemark.operators.joins import interval_join
+
+    rng, t0 = random.Random(5), datetime(2024, 1, 1)
+    at = lambda: t0 + timedelta(hours=rng.randint(0, 2000))
+    rows = [(rng.choice("AB"), at(), i) for i in range(200)]
+    spans = []
+    for i in range(40):
+        lo, hi = sorted((at(), at()))
+        spans.append((rng.choice("AB"), lo if i % 7 else None, hi if i % 5 else None, i))
+    got = interval_join(spark.createDataFrame(rows, "k string, ts timestamp_ntz, r int"), spark.createDataFrame(spans, "k string, lo timestamp_ntz, hi timestamp_ntz, s int"),
+                        ["k"], "ts", "lo", "hi", F.make_dt_interval(hours=F.lit(1)))
+    want = {(r, s) for k, ts, r in rows for q, lo, hi, s in spans if k == q and (lo is None or ts >= lo) and (hi is None or ts <= hi + timedelta(hours=1))}
+    pairs = [(x.r, x.s) for x in got.collect()]
+    assert len(pairs) == len(set(pairs)) and set(pairs) == want

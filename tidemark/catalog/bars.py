@@ -58,7 +58,7 @@ def foj_trade_quote_bars(spark, d):
 
 # provider bars: every second 30-minute trade bar, slightly different prices
 cte("provider", """SELECT symbol, bucket, bar_open, bar_high, bar_low, bar_close * 1.01 AS bar_close, CAST(bar_volume AS DOUBLE) AS bar_volume,
-  bar_vwap, bar_trade_count FROM tb WHERE hour(bucket) % 2 = 0""")
+  bar_vwap, bar_trade_count FROM tb_half""")
 cte("bl", """SELECT coalesce(p.symbol, q.symbol) AS symbol, coalesce(p.bucket, q.bucket) AS bucket,
   coalesce(p.bar_open, q.bar_open) AS bar_open, coalesce(p.bar_high, q.bar_high) AS bar_high, coalesce(p.bar_low, q.bar_low) AS bar_low,
   coalesce(p.bar_close, q.bar_close) AS bar_close, coalesce(p.bar_volume, q.bar_volume) AS bar_volume,
@@ -68,7 +68,7 @@ cte("bl", """SELECT coalesce(p.symbol, q.symbol) AS symbol, coalesce(p.bucket, q
 
 
 def provider(spark, d):
-    bars = P.bars30(spark, d).where(F.hour("bucket") % 2 == 0)
+    bars = P.trade_bars(P.late(P.trades(spark, d), 2), "30Min")
     return bars.select("symbol", "bucket", "bar_open", "bar_high", "bar_low", (F.col("bar_close") * 1.01).alias("bar_close"),
                        F.col("bar_volume").cast("double").alias("bar_volume"), "bar_vwap", "bar_trade_count")
 
@@ -91,8 +91,7 @@ SELECT symbol, '30Min' AS timeframe, bucket AS timestamp, {rlist(*SBAR)}, bar_tr
   {rs('bar_close * bar_volume')} AS dollar_volume, quote_count, {rlist('avg_bid_size', 'avg_ask_size', 'last_bid', 'last_ask')},
   {rs('CASE WHEN avg_mid <> 0 THEN avg_spread / avg_mid * 10000 END')} AS spread_bps FROM bl""")
 def source_strategy_bars(spark, d):
-    t = P.trades(spark, d).where(F.hour("ts") % 5 != 0)
-    q = P.quotes(spark, d).where(F.hour("ts") % 7 != 0)
+    t, q = P.late(P.trades(spark, d), 5), P.late(P.quotes(spark, d), 7)
     out = strategy_bars(provider(spark, d), t, q, "30Min")
     return rounded(out, *SBAR, "dollar_volume", "avg_bid_size", "avg_ask_size", "last_bid", "last_ask", "spread_bps")
 

@@ -153,10 +153,15 @@ def normalize_news(spark, d):
 
 # ------------------------------------------------------------------ landed documents
 
+# References that occur in these queries' documents; ``&amp;``, also cut short, comes last so nothing is decoded twice.
+ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&#8217;", "’"), ("&#x2014;", "—"),
+            ("&eacute;", "é"), ("&trade;", "™"), ("&frac12;", "½"), ("&copy;", "©"), ("&middot;", "·"))
+
+
 def ent(x: str) -> str:
-    for e, p in X.ENTITIES:
+    for e, p in ENTITIES:
         x = f"replace({x}, '{e.replace(chr(39), chr(39) * 2)}', '{p.replace(chr(39), chr(39) * 2)}')"
-    return x
+    return f"regexp_replace({x}, '&amp;?', '&', 'g')"
 
 
 def clean_sql(x: str) -> str:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from ..functions import quotes as Q, symbols as Y, times as T
 from ..functions.numbers import fmt6
@@ -12,7 +12,7 @@ from .registry import cte, query, r, rlist, rounded, rs
 
 # ------------------------------------------------------------------ equity
 
-cte("ebars", "SELECT symbol, '30Min' AS timeframe, bucket AS ts, bar_open, bar_close, CAST(bar_volume AS DOUBLE) AS bar_volume FROM tb WHERE symbol <> 'view'")
+cte("ebars", "SELECT symbol, '30Min' AS timeframe, bucket AS ts, bar_open, bar_close, CAST(bar_volume AS DOUBLE) AS bar_volume FROM tb")
 cte("ebench", "SELECT bucket AS ts, bar_close / lag(bar_close) OVER (ORDER BY bucket) - 1 AS benchmark_ret FROM tb WHERE symbol = 'view'")
 cte("eret", """SELECT b.*, lag(bar_close) OVER w AS prev_close, bar_close / nullif(lag(bar_close) OVER w, 0) - 1 AS ret,
   bar_open / nullif(lag(bar_close) OVER w, 0) - 1 AS gap FROM ebars b WINDOW w AS (PARTITION BY symbol ORDER BY ts)""")
@@ -28,7 +28,7 @@ GAP = 3.0  # random prices gap a lot
 
 
 def ebars(spark, d):
-    return P.bars30(spark, d).where(F.col("symbol") != "view").select(
+    return P.bars30(spark, d).select(
         "symbol", F.lit("30Min").alias("timeframe"), F.col("bucket").alias("ts"), "bar_open", "bar_close", "bar_volume")
 
 
@@ -90,7 +90,7 @@ def event_id_equity(spark, d):
     return b.select(Y.event_id_equity(F.upper("symbol"), T.iso_et(F.col("bucket"))).alias("event_id"), "symbol", "bucket")
 
 
-@query("event_id_fallback")
+@query("event_id_fallback", """SELECT event_id, 'evt_' || md5(lower(trim(event_type)) || '|' || CAST(ts AS VARCHAR) || '|' || upper(CAST(user_id AS VARCHAR)) || '|' || trim(props)) AS fallback_id FROM events""")
 def event_id_fallback(spark, d):
     ev = P.table(spark, d, "events")
     return ev.select("event_id", Y.event_id_fallback(F.col("event_type"), F.col("ts").cast("string"), F.col("user_id").cast("string"), F.col("props")).alias("fallback_id"))
@@ -212,10 +212,10 @@ cte("oevt", """SELECT o.*, h.ts AS trade_ts, h.price, h.size, h.bid, h.ask, h.qu
   o.underlying || ' ' || o.expiration || ' ' || CASE WHEN o.strike = floor(o.strike) THEN CAST(CAST(o.strike AS BIGINT) AS VARCHAR) ELSE CAST(o.strike AS VARCHAR) END
     || left(o.option_right_type, 1) AS contract
   FROM owin o JOIN ohit h ON h.seq = o.pick_seq LEFT JOIN oiv v ON v.underlying = o.underlying AND v.expiration = o.expiration AND v.option_right_type = o.option_right_type AND v.strike = o.strike""")
-cte("ofirst", """SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY underlying, expiration, option_right_type, strike ORDER BY bucket) AS n FROM oevt WHERE len(trig) > 0) WHERE n <= 100""")
+cte("ofirst", """SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY underlying, expiration, option_right_type, strike ORDER BY bucket) AS n FROM oevt WHERE len(trig) > 0)""")
 
 
-def oevents(spark, d, max_events=100):
+def oevents(spark, d, max_events=None):
     standards = {"trade_at_ask": ASK, "opening_activity": OPEN, "iv_high_cross_section": IVS}
     return E.detect_option_events(otq(spark, d), standards, "1Hour", iv=oiv(spark, d), max_events=max_events,
                                   standard_context={"standard_id": "std", "generated_at": "2024-02-01T00:00:00-05:00"})
@@ -224,9 +224,10 @@ def oevents(spark, d, max_events=100):
 @query("option_activity_events", """
 SELECT contract || ' draws ' || array_to_string(list_transform(trig, lambda x: CASE x WHEN 'trade_at_ask' THEN 'ask-side activity' WHEN 'opening_activity' THEN 'opening activity' ELSE 'elevated IV' END), ' with ')
   AS timeline_headline, underlying || ';' || contract AS symbols, array_to_string(trig, ';') AS summary, '2024-02-01T00:00:00-05:00' AS updated_at, bucket,
+  'opt_evt_' || md5(underlying || '|' || expiration || '|' || option_right_type || '|' || CAST(strike AS VARCHAR) || '|' || CAST(bucket AS VARCHAR)) AS event_id,
   strftime(trade_ts, '%Y-%m-%dT%H:%M:%S') AS created_second FROM ofirst""")
 def option_activity_events(spark, d):
-    return oevents(spark, d).select("timeline_headline", "symbols", "summary", "updated_at", "bucket", F.left("created_at", F.lit(19)).alias("created_second"))
+    return oevents(spark, d).select("event_id", "timeline_headline", "symbols", "summary", "updated_at", "bucket", F.left("created_at", F.lit(19)).alias("created_second"))
 
 
 @query("event_detail_rows", f"""
@@ -296,8 +297,7 @@ def ordered_outputs(spark, d):
     rows = P.table(spark, d, "events").select("event_id", "ts", "event_type", "user_id")
     per_type = index_rows(rows, ["event_type"], "ts", ["ts", "event_id"], "day", "rn")
     sizes = rows.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
-    before = sizes.alias("a").join(sizes.alias("b"), F.col("b.event_type") < F.col("a.event_type"), "left").groupBy(F.col("a.event_type").alias("event_type")).agg(
-        F.coalesce(F.sum("b.n"), F.lit(0)).alias("base"))
+    before = sizes.select("event_type", (F.sum("n").over(Window.orderBy("event_type")) - F.col("n")).alias("base"))  # a row for each type
     return per_type.join(before, "event_type").withColumn("position", F.col("base") + F.col("rn")).drop("base", "rn").orderBy("position")
 
 

@@ -9,20 +9,19 @@ from ..plans import sources as S
 from . import proxies as P
 from .registry import cte, query, r, rlist, rounded, rs
 
-# quotes ask for the latest trade of another stream: right side has gaps and ties
-cte("asks", "SELECT symbol, ts AS at, seq FROM trades WHERE size % 3 = 0")
-cte("marks", "SELECT symbol, time_bucket(INTERVAL '1 hour', ts) AS avail, ts, price FROM trades WHERE size % 3 <> 0 AND size % 10 <> 0")
+# every trade asks for the latest mark: marks lag behind in one hour of five and tie within their hour
+cte("asks", "SELECT symbol, ts AS at, seq FROM trades")
+cte("marks", "SELECT symbol, time_bucket(INTERVAL '1 hour', ts) AS avail, ts, price FROM trades_late")
 
 
 def asks(spark, d):
-    return P.trades(spark, d).where(F.col("size") % 3 == 0).select("symbol", F.col("ts").alias("at"), "seq")
+    return P.trades(spark, d).select("symbol", F.col("ts").alias("at"), "seq")
 
 
 def marks(spark, d):
     from ..functions.times import tumbling
 
-    t = P.trades(spark, d).where((F.col("size") % 3 != 0) & (F.col("size") % 10 != 0))
-    return tumbling(t, "ts", "1Hour", "avail").select("symbol", "avail", "ts", "price")
+    return tumbling(P.late(P.trades(spark, d), 5), "ts", "1Hour", "avail").select("symbol", "avail", "ts", "price")
 
 
 @query("asof_latest_close", f"""
@@ -84,11 +83,11 @@ def interval_join_positions(spark, d):
 
 @query("enrich_by_timestamp", f"""
 SELECT t.symbol, t.bucket, {rs('t.bar_close')} AS bar_close, {rs('b.bench_close')} AS bench_close, {rs('q.avg_spread')} AS avg_spread
-FROM tb t LEFT JOIN (SELECT bucket, arg_max(bar_close, row(bar_volume, bar_close)) AS bench_close FROM tb WHERE symbol IN ('click', 'view') GROUP BY ALL) b
+FROM tb t LEFT JOIN (SELECT bucket, arg_max(bar_close, row(bar_volume, bar_close)) AS bench_close FROM tb GROUP BY ALL) b
   ON b.bucket = t.bucket LEFT JOIN qb_gap q ON q.symbol = t.symbol AND q.bucket = t.bucket""")
 def enrich_by_timestamp(spark, d):
     bars = P.bars30(spark, d)
-    bench = bars.where(F.col("symbol").isin("click", "view")).select(
+    bench = bars.select(
         "bucket", F.col("bar_close").alias("bench_close"), "bar_volume")
     out = J.enrich(bars, bench, ["bucket"], ["bench_close"], order=["bar_volume", "bench_close"])
     out = J.enrich(out, P.quotes30_gap(spark, d), ["symbol", "bucket"], ["avg_spread"])
@@ -122,14 +121,14 @@ def snapshots_x_pairs(spark, d):
     return rows.unionByName(summary)
 
 
-# option chain in three partial copies of part, with duplicate arrivals
-cte("chq", """SELECT p_partkey, p_brand AS symbol, CAST(DATE '1999-01-01' + p_size AS VARCHAR) AS expiration, CAST(p_partkey AS DOUBLE) AS strike,
+# option chain in three copies of part whose strikes differ in places, with duplicate arrivals
+cte("chq", """SELECT p_partkey, p_brand AS symbol, CAST(DATE '1999-01-01' + p_size AS VARCHAR) AS expiration, CAST(p_partkey + CASE WHEN p_partkey % 2 = 0 THEN 0.0 ELSE 0.25 END AS DOUBLE) AS strike,
   CASE WHEN p_partkey % 4 < 2 THEN 'CALL' ELSE 'PUT' END AS right_, p_retailprice AS bid, CASE WHEN p_size % 9 = 0 THEN NULL ELSE p_retailprice + p_size END AS ask,
-  p_size AS bid_size FROM part WHERE p_partkey % 2 = 0""")
-cte("chi", """SELECT p_partkey, p_brand AS symbol, CAST(DATE '1999-01-01' + p_size AS VARCHAR) AS expiration, CAST(p_partkey AS DOUBLE) AS strike,
-  CASE WHEN p_partkey % 4 < 2 THEN 'CALL' ELSE 'PUT' END AS right_, p_size / 100.0 AS implied_vol, p_retailprice AS underlying_price FROM part WHERE p_partkey % 3 = 0""")
-cte("chg", """SELECT p_partkey, p_brand AS symbol, CAST(DATE '1999-01-01' + p_size AS VARCHAR) AS expiration, CAST(p_partkey AS DOUBLE) AS strike,
-  CASE WHEN p_partkey % 4 < 2 THEN 'CALL' ELSE 'PUT' END AS right_, p_size / 50.0 AS delta, p_retailprice + 1 AS underlying_price FROM part WHERE p_partkey % 5 = 0""")
+  p_size AS bid_size FROM part""")
+cte("chi", """SELECT p_partkey, p_brand AS symbol, CAST(DATE '1999-01-01' + p_size AS VARCHAR) AS expiration, CAST(p_partkey + CASE WHEN p_partkey % 3 = 0 THEN 0.0 ELSE 0.5 END AS DOUBLE) AS strike,
+  CASE WHEN p_partkey % 4 < 2 THEN 'CALL' ELSE 'PUT' END AS right_, p_size / 100.0 AS implied_vol, p_retailprice AS underlying_price FROM part""")
+cte("chg", """SELECT p_partkey, p_brand AS symbol, CAST(DATE '1999-01-01' + p_size AS VARCHAR) AS expiration, CAST(p_partkey + CASE WHEN p_partkey % 5 = 0 THEN 0.0 ELSE 0.5 END AS DOUBLE) AS strike,
+  CASE WHEN p_partkey % 4 < 2 THEN 'CALL' ELSE 'PUT' END AS right_, p_size / 50.0 AS delta, p_retailprice + 1 AS underlying_price FROM part""")
 cte("chain", """SELECT upper(symbol) AS symbol, expiration, strike, right_ AS option_right_type, bid, ask, (bid + ask) / 2 AS mid, ask - bid AS spread,
   (ask - bid) / ((bid + ask) / 2) AS spread_pct, CAST(bid_size AS DOUBLE) AS bid_size, implied_vol, delta,
   CASE WHEN g.p_partkey IS NOT NULL THEN g.underlying_price ELSE i.underlying_price END AS underlying_price,
@@ -143,7 +142,7 @@ def chain_inputs(spark, d):
     part = P.table(spark, d, "part")
     k = F.col("p_partkey")
     key = [F.col("p_brand").alias("symbol"), F.date_add(F.lit("1999-01-01").cast("date"), F.col("p_size")).cast("string").alias("expiration"),
-           k.cast("double").alias("strike"), F.when(k % 4 < 2, "CALL").otherwise("PUT").alias("option_right_type")]
+           F.when(k % 4 < 2, "CALL").otherwise("PUT").alias("option_right_type")]
     stamp = F.lit("1999-01-10 09:29:59").cast("timestamp_ntz").alias("underlying_timestamp")
 
     def twice(df, *stale):
@@ -151,11 +150,14 @@ def chain_inputs(spark, d):
         old = df.withColumns({"arrival": F.col("arrival") - 1_000_000_000, **{c: F.lit(-1).cast(df.schema[c].dataType) for c in stale}})
         return df.unionByName(old)
 
-    q = part.where(k % 2 == 0).select(*key, k.alias("arrival"), F.col("p_retailprice").alias("bid"),
+    def strike(n, step):
+        return (k + F.when(k % n == 0, 0.0).otherwise(step)).alias("strike")
+
+    q = part.select(*key, strike(2, 0.25), k.alias("arrival"), F.col("p_retailprice").alias("bid"),
                                       F.when(F.col("p_size") % 9 != 0, F.col("p_retailprice") + F.col("p_size")).alias("ask"), F.col("p_size").alias("bid_size"))
-    i = part.where(k % 3 == 0).select(*key, k.alias("arrival"), (F.col("p_size") / 100.0).alias("implied_vol"), F.lit(0.0).alias("iv_error"),
+    i = part.select(*key, strike(3, 0.5), k.alias("arrival"), (F.col("p_size") / 100.0).alias("implied_vol"), F.lit(0.0).alias("iv_error"),
                                       F.col("p_retailprice").alias("underlying_price"), stamp)
-    g = part.where(k % 5 == 0).select(*key, k.alias("arrival"), (F.col("p_size") / 50.0).alias("delta"),
+    g = part.select(*key, strike(5, 0.5), k.alias("arrival"), (F.col("p_size") / 50.0).alias("delta"),
                                       (F.col("p_retailprice") + 1).alias("underlying_price"), stamp)
     return twice(q, "bid", "ask"), twice(i, "implied_vol"), twice(g, "delta")
 
@@ -187,7 +189,7 @@ def unexpired_filter(spark, d):
 
 @query("chain_flatten", f"""
 SELECT symbol AS underlying, TIMESTAMP '{SNAP}' AS snapshot_time, 'entry' AS snapshot_type,
-  symbol || '_' || expiration || '_' || option_right_type[1] || '_' || CAST(CAST(strike AS BIGINT) AS VARCHAR) AS option_symbol,
+  symbol || '_' || expiration || '_' || option_right_type[1] || '_' || CASE WHEN strike = floor(strike) THEN CAST(CAST(strike AS BIGINT) AS VARCHAR) ELSE CAST(CAST(strike AS DOUBLE) AS VARCHAR) END AS option_symbol,
   expiration, option_right_type, strike, {rlist(*CH)}, days_to_expiration FROM chain""")
 def chain_flatten(spark, d):
     from ..operators.nested import chain_snapshot, flatten_chain
@@ -221,6 +223,20 @@ def source_position_bars(spark, d):
         "bar_trade_count", "l_partkey", "l_suppkey")
 
 
+MARKET = ("bar_open", "bar_high", "bar_low", "bar_close")
+
+
+@query("source_market_bars", f"""
+SELECT d.symbol, CASE WHEN bar_grain = '1d' THEN '1Day' ELSE '30Min' END AS timeframe, ts, {rs('o')} AS bar_open, {rs('h')} AS bar_high, {rs('l')} AS bar_low,
+  {rs('c')} AS bar_close, v AS bar_volume FROM daily d JOIN universe u ON u.symbol = d.symbol""")
+def source_market_bars(spark, d):
+    # a stale copy of every reviewed row must lose
+    now = P.universe(spark, d).withColumn("seq", F.lit(2))
+    stale = now.withColumns({"bar_grain": F.lit("5m"), "seq": F.lit(1)})
+    out = S.market_bars(P.daily_bars(spark, d), now.unionByName(stale), ["seq"])
+    return rounded(out, *MARKET).select("symbol", "timeframe", "ts", *MARKET, "bar_volume")
+
+
 @query("field_alias_fallback", f"""
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, {rs('coalesce(CASE WHEN l_linenumber % 2 = 0 THEN l_extendedprice END, l_quantity)')} AS bar_close,
   CAST(coalesce(CASE WHEN l_linenumber % 3 = 0 THEN l_partkey END, CASE WHEN l_linenumber % 3 = 1 THEN l_suppkey END, l_orderkey) AS BIGINT) AS bar_trade_count FROM lineitem""")

@@ -39,28 +39,42 @@ def quotes(spark: SparkSession, d: str) -> DataFrame:
                                    F.col("size").alias("bid_size"), (F.col("size") + 1).alias("ask_size"))
 
 
-cte("tb", """SELECT symbol, time_bucket(INTERVAL '30 minutes', ts) AS bucket, count(*) AS bar_trade_count,
+def late_sql(name: str, n: int) -> str:
+    return f"""SELECT * REPLACE (CASE WHEN hour(ts) % {n} = 0 THEN ts + INTERVAL '40 days' ELSE ts END AS ts) FROM {name}"""
+
+
+def late(df: DataFrame, n: int) -> DataFrame:
+    """The same ticks with every n-th hour 40 days later: streams with different gaps, no row left out."""
+    return df.withColumn("ts", F.when(F.hour("ts") % n == 0, F.col("ts") + F.make_dt_interval(days=F.lit(40))).otherwise(F.col("ts")))
+
+
+cte("trades_late", late_sql("trades", 5))
+cte("trades_half", late_sql("trades", 2))
+
+TB = """SELECT symbol, time_bucket(INTERVAL '30 minutes', ts) AS bucket, count(*) AS bar_trade_count,
   CAST(sum(size) AS BIGINT) AS bar_volume, sum(price * size) AS notional, arg_min(price, row(ts, seq)) AS bar_open,
   max(price) AS bar_high, min(price) AS bar_low, arg_max(price, row(ts, seq)) AS bar_close,
   min(ts) AS first_trade_ts, max(ts) AS last_trade_ts,
   CASE WHEN sum(size) <> 0 THEN round(sum(price * size) / sum(size), 10) END AS bar_vwap
-  FROM trades GROUP BY ALL""")
+  FROM {source} GROUP BY ALL"""
+cte("tb", TB.format(source="trades"))
+cte("tb_gap", TB.format(source="trades_late"))
+cte("tb_half", TB.format(source="trades_half"))
 
 cte("qt", """SELECT symbol, ts, seq, coalesce(bid, 0.0) AS bid, coalesce(ask, 0.0) AS ask, bid_size, ask_size,
   CASE WHEN coalesce(bid, 0) <> 0 AND coalesce(ask, 0) <> 0 THEN (ask + bid) / 2 END AS mid,
   CASE WHEN coalesce(bid, 0) <> 0 AND coalesce(ask, 0) <> 0 THEN ask - bid END AS spread FROM quotes""")
 
-cte("qb", """SELECT symbol, time_bucket(INTERVAL '30 minutes', ts) AS bucket, count(*) AS quote_count,
+cte("qt_late", late_sql("qt", 7))
+QB = """SELECT symbol, time_bucket(INTERVAL '30 minutes', ts) AS bucket, count(*) AS quote_count,
   round(sum(bid) / count(*), 10) AS avg_bid, round(sum(ask) / count(*), 10) AS avg_ask,
   round(coalesce(sum(mid), 0) / count(*), 10) AS avg_mid, round(sum(spread) / count(spread), 10) AS avg_spread, min(spread) AS min_spread, max(spread) AS max_spread,
   sum(bid_size) / count(*) AS avg_bid_size, sum(ask_size) / count(*) AS avg_ask_size,
   arg_max(bid, row(ts, seq)) AS last_bid, arg_max(ask, row(ts, seq)) AS last_ask,
   arg_max_null(mid, row(ts, seq)) AS last_mid
-  FROM qt GROUP BY ALL""")
-
-# trade and quote streams with different gaps, so both outer sides occur
-cte("tb_gap", "SELECT * FROM tb WHERE hour(bucket) % 5 <> 0")
-cte("qb_gap", "SELECT * FROM qb WHERE hour(bucket) % 7 <> 0")
+  FROM {source} GROUP BY ALL"""
+cte("qb", QB.format(source="qt"))
+cte("qb_gap", QB.format(source="qt_late"))
 
 
 def bars30(spark: SparkSession, d: str) -> DataFrame:
@@ -72,11 +86,11 @@ def quotes30(spark: SparkSession, d: str) -> DataFrame:
 
 
 def bars30_gap(spark: SparkSession, d: str) -> DataFrame:
-    return trade_bars(trades(spark, d).where(F.hour("ts") % 5 != 0), "30Min")
+    return trade_bars(late(trades(spark, d), 5), "30Min")
 
 
 def quotes30_gap(spark: SparkSession, d: str) -> DataFrame:
-    return quote_bars(quotes(spark, d).where(F.hour("ts") % 7 != 0), "30Min")
+    return quote_bars(late(quotes(spark, d), 7), "30Min")
 
 
 # ------------------------------------------------------------------ daily bars

@@ -33,11 +33,11 @@ def _redact_value(value: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.StructType):
         fields = [_redact_field(value[f.name], f).alias(f.name) for f in dtype.fields]
         return F.when(value.isNotNull(), F.struct(*fields))
-    if isinstance(dtype, T.MapType) and isinstance(dtype.valueType, T.StringType):
+    if isinstance(dtype, T.MapType):
+        # a value that is no text cannot hold the mark, so it becomes null
+        hidden = F.lit(REDACTED) if isinstance(dtype.valueType, T.StringType) else F.lit(None)
         return F.transform_values(
-            value,
-            lambda k, v: F.when(_sensitive_column(k), F.lit(REDACTED)).otherwise(_redact_value(v, dtype.valueType)),
-        )
+            value, lambda k, v: F.when(_sensitive_column(k.cast("string")), hidden).otherwise(_redact_value(v, dtype.valueType)))
     return value
 
 
@@ -46,7 +46,10 @@ def _redact_field(value: Column, field: T.StructField) -> Column:
 
 
 def redact_columns(df: DataFrame) -> DataFrame:
-    """Redact by schema: sensitive names, long strings, long arrays, at any depth."""
+    """Redact by schema: sensitive names, long strings, long arrays, at any depth.
+
+    A sensitive map entry becomes the mark if the map holds text, else null.
+    """
     return df.select(*[_redact_field(F.col(f"`{f.name}`"), f).alias(f.name) for f in df.schema.fields])
 
 

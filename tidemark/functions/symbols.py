@@ -62,7 +62,7 @@ def event_id_fallback(category: Column, event_time: Column, symbol: Column, refe
         F.upper(F.trim(F.coalesce(symbol, F.lit("")))),
         F.trim(F.coalesce(reference, F.lit(""))),
     )
-    return F.concat(F.lit("evt_"), F.lower(F.hex(F.xxhash64(base))))
+    return F.concat(F.lit("evt_"), F.md5(base))
 
 
 def event_headline(contract: Column, triggered: Column) -> Column:

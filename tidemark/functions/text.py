@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Iterable
+from html.entities import html5
 
 from pyspark.sql import Column, functions as F
 
@@ -32,7 +34,7 @@ EXCLUDED_ASSET_WORDS = r"\b(cash|money market|treasury|bond|fixed income|future|
 NON_US_WORDS = r"\b(adr|gdr|foreign|depositary|ltd|plc|s\.a\.|ag|nv|oyj|asa|spa|se|kk|co ltd|limited)\b"
 EQUITY_CLASS_WORDS = r"equity|stock|common"
 
-# Header aliases of holdings files.
+# Header aliases of holdings files. Keys are compared after header_key, so percent headers become of_net_assets and of_fund.
 HOLDING_ALIASES = {
     "ticker": "holding_symbol",
     "symbol": "holding_symbol",
@@ -69,15 +71,6 @@ CALENDAR_ALIASES = {
     "symbol": "symbol",
 }
 
-# Named HTML entities that occur in landed tables.
-ENTITIES = (
-    ("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&#39;", "'"), ("&#039;", "'"),
-    ("&#x27;", "'"), ("&ndash;", "–"), ("&mdash;", "—"), ("&euro;", "€"), ("&pound;", "£"), ("&yen;", "¥"),
-    ("&cent;", "¢"), ("&copy;", "©"), ("&reg;", "®"), ("&hellip;", "…"), ("&rsquo;", "’"), ("&lsquo;", "‘"),
-    ("&#160;", " "), ("&amp;", "&"),
-)
-
-
 def like_text(term: str) -> str:
     """A term as it is searched: lower case, without wildcard, backslash and quote."""
     return re.sub(r"[%\\']", "", term.lower())
@@ -122,17 +115,56 @@ def alias_of(key: Column, table: dict[str, str]) -> Column:
     return F.coalesce(F.try_element_at(lookup, key), key)
 
 
+# A character reference as HTML reads it, with or without its semicolon.
+REFERENCE = r"&(#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
+# Names that count without a semicolon, longest first.
+BARE_NAMES = sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-len(n), n))
+
+
+def _named() -> Column:
+    """Characters of all named references, by the first two letters of the name and the name."""
+    table: dict[str, dict[str, str]] = {}
+    for name, chars in html5.items():
+        table.setdefault(name[:2], {})[name] = chars
+    return F.from_json(F.lit(json.dumps(table)), "map<string, map<string, string>>")
+
+
+def _codepoint(code: Column) -> Column:
+    """The character of a number: Windows-1252 for 128 to 159, a replacement where there is none, nothing for controls."""
+    windows = F.array(*[F.lit(bytes([c]).decode("cp1252", "ignore") or chr(c)) for c in range(0x80, 0xA0)])
+    char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+    control = code.between(0x1, 0x8) | (code == 0xB) | code.between(0xE, 0x1F) | (code == 0x7F) | code.between(0xFDD0, 0xFDEF) | (code % 65536 >= 0xFFFE)
+    return (
+        F.when((code == 0) | code.between(0xD800, 0xDFFF) | (code > 0x10FFFF), "\ufffd")
+        .when(code.between(0x80, 0x9F), F.get(windows, (code - 0x80).cast("int")))
+        .when(control, "").otherwise(char)
+    )
+
+
+def _resolved(ref: Column) -> Column:
+    """What a reference (without its ``&``) stands for."""
+    digits, hexa = F.regexp_extract(ref, "^#([0-9]+)", 1), F.regexp_extract(ref, "^#[xX]([0-9a-fA-F]+)", 1)
+    # longer numbers lie beyond Unicode
+    code = F.when(hexa != "", F.conv(F.right(hexa, F.lit(9)), 16, 10)).otherwise(F.right(digits, F.lit(15))).try_cast("bigint")
+    code = F.when(F.char_length(F.regexp_replace(F.concat(digits, hexa), "^0+", "")) > 9, F.lit(1 << 40)).otherwise(code)
+    named = F.try_element_at(F.try_element_at(_named(), F.left(ref, F.lit(2))), ref)
+    bare = F.regexp_extract(ref, "^(" + "|".join(BARE_NAMES) + ")", 1)
+    short = F.concat(F.try_element_at(F.try_element_at(_named(), F.left(bare, F.lit(2))), bare), F.substring(ref, F.char_length(bare) + 1, F.lit(64)))
+    return F.when(F.startswith(ref, F.lit("#")), _codepoint(code)).otherwise(
+        F.coalesce(named, F.when(bare != "", short), F.concat(F.lit("&"), ref)))
+
+
 def unescape(text: Column) -> Column:
-    """Replace the listed HTML entities; ``&amp;`` last so nothing is decoded twice."""
-    for entity, plain in ENTITIES:
-        text = F.replace(text, F.lit(entity), F.lit(plain))
-    return text
+    """Decode all HTML character references, numeric and named; nothing is decoded twice."""
+    plain = F.split(text, REFERENCE, -1)
+    refs = F.transform(F.regexp_extract_all(text, F.lit(REFERENCE), F.lit(1)), _resolved)
+    pieces = F.zip_with(plain, refs, lambda p, r: F.concat(p, F.coalesce(r, F.lit(""))))
+    return F.when(F.contains(text, F.lit("&")), F.array_join(pieces, "")).otherwise(text)
 
 
 def clean_cell(html: Column) -> Column:
     """Cell text: tags dropped, entities decoded, white space squeezed."""
-    bare = F.regexp_replace(html, "<[^>]+>", " ")
-    bare = F.when(F.contains(bare, F.lit("&")), unescape(bare)).otherwise(bare)
+    bare = unescape(F.regexp_replace(html, "<[^>]+>", " "))
     return F.trim(F.regexp_replace(bare, r"(?U)\s+", " "))
 
 

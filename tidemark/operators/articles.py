@@ -19,8 +19,6 @@ from ..functions.text import (
 )
 from ..functions.times import parse_compact_utc
 
-MAX_ROWS = 1000
-
 # Columns searched per mode.
 SEARCH_FIELDS = {
     "source_theme_tags_text": ("themes", "names", "organizations", "persons"),
@@ -64,19 +62,19 @@ def market_focus(df: DataFrame, focus: str = "us_market", domains: Iterable[str]
     return where | what | domain_filter(domains, F.col("source_domain"), F.col("url"))
 
 
-def article_scan(df: DataFrame, start: str, end: str, max_rows: int = 100, *, fields: str = "source_theme_tags_text",
+def article_scan(df: DataFrame, start: str, end: str, max_rows: int | None = None, *, fields: str = "source_theme_tags_text",
                  terms: Iterable[str] | None = None, focus: str = "us_market", domain_contains: str | None = None,
                  partition: str = "partition_date", order: str = "article_time", tie: Iterable[str] = ()) -> DataFrame:
-    """Newest matching articles of a partition range."""
+    """Matching articles of a partition range; with ``max_rows``, the newest so many."""
     if end < start:
         raise ValueError("end must be >= start")
-    if not 1 <= max_rows <= MAX_ROWS:
-        raise ValueError(f"max_rows must be between 1 and {MAX_ROWS}")
+    if max_rows is not None and max_rows < 1:
+        raise ValueError("max_rows must be positive")
     hit = df.where(F.col(partition).between(F.lit(start).cast("date"), F.lit(end).cast("date")))
     hit = hit.where(topic_filter(df, fields, terms) & market_focus(df, focus))
     if domain_contains:
         hit = hit.where(F.contains(F.lower(F.coalesce("source_domain", F.lit(""))), F.lit(like_text(domain_contains))))
-    return topk_recent(hit, order, max_rows, tie)
+    return hit if max_rows is None else topk_recent(hit, order, max_rows, tie)
 
 
 def topk_recent(df: DataFrame, order: str, n: int, tie: Iterable[str] = ()) -> DataFrame:

@@ -25,14 +25,21 @@ EQUITY_DEFAULTS = {
 }
 
 
+def _order(bars: DataFrame) -> list[str]:
+    return ["ts", *(c for c in ("arrival",) if c in bars.columns)]
+
+
 def simple_returns(bars: DataFrame, by: Sequence[str] = ("symbol",)) -> DataFrame:
-    """Close-to-close return and opening gap; rows without time or close are skipped entirely."""
+    """Close-to-close return and opening gap; rows without time or close are skipped entirely.
+
+    Bars of one time follow each other by ``arrival``, if there is such a column.
+    """
     rows = bars.where(F.col("ts").isNotNull() & F.col("bar_close").isNotNull())
 
     def step(w) -> dict[str, Column]:
         return {"prev_close": F.lag("bar_close").over(w)}
 
-    out = rolling(rows, list(by), "ts", ["ts"], 1, step)
+    out = rolling(rows, list(by), "ts", _order(rows), 1, step)
     return out.withColumns(
         {
             "ret": safe_div(F.col("bar_close"), F.col("prev_close")) - 1,
@@ -56,8 +63,9 @@ def equity_measures(
     else:
         rows = rows.withColumn("benchmark_ret", F.lit(None).cast("double"))
     if liquidity is not None:
-        liq = liquidity.select("symbol", "ts", F.col("avg_spread").alias("spread"), F.lit(True).alias("has_liquidity"))
-        rows = enrich(rows, liq, ["symbol", "ts"], ["spread", "has_liquidity"])
+        last = [c for c in ("arrival",) if c in liquidity.columns]
+        liq = liquidity.select("symbol", "ts", F.col("avg_spread").alias("spread"), F.lit(True).alias("has_liquidity"), *last)
+        rows = enrich(rows, liq, ["symbol", "ts"], ["spread", "has_liquidity"], last)
     else:
         rows = rows.withColumns({"spread": F.lit(None).cast("double"), "has_liquidity": F.lit(None).cast("boolean")})
     rows = rows.withColumns(
@@ -67,7 +75,7 @@ def equity_measures(
             "has_liquidity": F.coalesce("has_liquidity", F.lit(False)),
         }
     )
-    return trailing_z(rows, ["symbol"], "ts", ["ts"], ["ret", "volume", "relative", "spread"], lookback)
+    return trailing_z(rows, ["symbol"], "ts", _order(rows), ["ret", "volume", "relative", "spread"], lookback)
 
 
 def detect_equity_events(
@@ -206,11 +214,11 @@ def detect_option_events(
     width: str = "30Min",
     keys: Sequence[str] = ("underlying", "expiration", "option_right_type", "strike"),
     iv: DataFrame | None = None,
-    max_events: int = 100,
+    max_events: int | None = None,
     standard_context: Mapping[str, str] | None = None,
     provider: str = "option_trade_quote",
 ) -> DataFrame:
-    """Windows of option trades that meet at least one standard, the first ``max_events`` per contract.
+    """Windows of option trades that meet at least one standard; with ``max_events``, the first so many per contract.
 
     ``standards`` holds any of ``trade_at_ask``, ``opening_activity``, ``iv_high_cross_section``.
     ``iv``: keys, implied_vol, iv_percentile_by_expiration, iv_zscore_by_expiration.
@@ -235,14 +243,15 @@ def detect_option_events(
     }
     w = w.withColumn("triggered", F.array_compact(F.array(*[F.when(c, F.lit(n)) for n, c in checks.items()])))
     w = w.where(F.size("triggered") > 0)
-    first = Window.partitionBy(*keys).orderBy("bucket")
-    w = w.withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= max_events)
+    if max_events is not None:
+        first = Window.partitionBy(*keys).orderBy("bucket")
+        w = w.withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= max_events)
 
     t = {c: F.col(f"trade.{c}") for c in ("ts", "price", "bid", "ask", "size")}
     contract = contract_symbol(F.col("underlying"), F.col("expiration"), F.col("strike"), F.col("option_right_type"))
     created = iso_et(F.coalesce(t["ts"], F.col("bucket")))
     updated = F.lit(context["generated_at"]) if context.get("generated_at") else created
-    ident = F.concat(F.lit("opt_evt_"), F.lower(F.hex(F.xxhash64(*[F.col(k).cast("string") for k in keys], F.col("bucket").cast("string")))))
+    ident = F.concat(F.lit("opt_evt_"), F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in keys], F.col("bucket").cast("string"))))
     quote_ts = iso_et(F.col("trade.quote_ts")) if "quote_ts" in trades.columns else F.lit(None).cast("string")
 
     def limits(name: str) -> Column:

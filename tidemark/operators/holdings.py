@@ -58,14 +58,16 @@ def holding_reason(start: str, end: str) -> Column:
     )
 
 
-def holdings_clean(raw: DataFrame, universe: DataFrame, start: str, end: str, available: str | None = None) -> DataFrame:
+def holdings_clean(raw: DataFrame, universe: DataFrame, start: str, end: str, available: str | None = None, order: str | None = None) -> DataFrame:
     """Kept holdings with universe labels, parsed numbers and a default available time.
 
+    Of several universe rows of a symbol the last by ``order`` counts, whole.
+
     The default uses a fixed -04:00 offset all year (kept for equal results).
     """
     kept = raw.where(holding_reason(start, end).isNull())
     labels = universe.groupBy(F.upper(F.trim("symbol")).alias("etf_symbol")).agg(
-        F.max_by(F.struct("issuer_name", "universe_type", "exposure_type"), F.col("symbol")).alias("u")
+        F.max_by(F.struct("issuer_name", "universe_type", "exposure_type"), F.struct(*[F.col(c) for c in ([order] if order else ["issuer_name", "universe_type", "exposure_type"])])).alias("u")
     )
     day = F.left(F.coalesce(F.col("as_of_date"), F.lit("")), F.lit(10))
     seen = F.when(day != "", F.concat(day, F.lit("T09:30:00-04:00"))).otherwise(F.lit(""))

@@ -112,33 +112,27 @@ def visible_rows(
 # --------------------------------------------------------------------------- small reviewed lists
 
 
-def with_each(df: DataFrame, listed: DataFrame, columns: Sequence[str], limit: int = 10_000) -> DataFrame:
-    """Pair each row with each entry of a reviewed configuration list.
+def with_each(df: DataFrame, listed: DataFrame, columns: Sequence[str], spread: int = 64) -> DataFrame:
+    """Pair each row with each distinct entry of a list.
 
-    The list is folded into one sorted array first (the job stops if it holds more than
-    ``limit`` entries) and exploded per row, so rows never move.
+    The rows are dealt into ``spread`` parts and every part gets the list, by an equi-join on the part, so
+    neither the list nor the rows have to fit one task or the driver. Spark sends a short list to the rows.
     """
-    entry = F.struct(*[F.col(c) for c in columns])
-    folded = listed.agg(F.sort_array(F.collect_set(entry)).alias("e"))
-    checked = folded.select(
-        F.when(F.size("e") <= limit, F.col("e")).otherwise(
-            F.raise_error(F.lit(f"configuration list holds more than {limit} entries")).cast(folded.schema["e"].dataType)
-        )
-    )
-    return df.withColumn("_e", F.explode(checked.scalar())).select(*df.columns, *[F.col("_e")[c].alias(c) for c in columns])
+    part = F.pmod(F.xxhash64(*df.columns), F.lit(spread))
+    entries = listed.select(*columns).distinct().withColumn("_part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(spread - 1).cast("bigint"))))
+    return df.withColumn("_part", part).join(entries, "_part").select(*df.columns, *columns)
 
 
-def pairwise_symbols(universe: DataFrame, symbol: str = "symbol", limit: int = 2_000) -> DataFrame:
-    """All unordered pairs of a reviewed symbol list, left < right."""
+def pairwise_symbols(universe: DataFrame, symbol: str = "symbol") -> DataFrame:
+    """All unordered pairs of a symbol list, left < right."""
     names = universe.select(F.col(symbol).alias("left_symbol")).distinct()
     listed = names.select(F.col("left_symbol").alias("right_symbol"))
-    return with_each(names, listed, ["right_symbol"], limit).where(F.col("left_symbol") < F.col("right_symbol"))
+    return with_each(names, listed, ["right_symbol"]).where(F.col("left_symbol") < F.col("right_symbol"))
 
 
-def lookup(df: DataFrame, reviewed: DataFrame, on: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """Left join of a reviewed list, one row per key. Spark broadcasts it by its measured size."""
-    one = reviewed.groupBy(*on).agg(*[F.max(c).alias(c) for c in columns])
-    return df.join(one, list(on), "left")
+def lookup(df: DataFrame, reviewed: DataFrame, on: Sequence[str], columns: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
+    """Left join of a reviewed list, one whole row per key: the last by ``order``. Spark broadcasts it by its measured size."""
+    return enrich(df, reviewed, on, columns, order)
 
 
 # --------------------------------------------------------------------------- tail alignment
@@ -172,9 +166,19 @@ def tail_align(ends: DataFrame, series: DataFrame, depth: Column) -> DataFrame:
 def interval_join(
     rows: DataFrame, spans: DataFrame, on: Sequence[str], ts: str, lo: str, hi: str, slack: Column | None = None
 ) -> DataFrame:
-    """Rows inside their span ``lo <= ts <= hi (+ slack)``; an open end does not clip."""
+    """Rows inside their span ``lo <= ts <= hi (+ slack)``; an open end does not clip.
+
+    Spans are spelled out in days, open ends up to the rows' first and last day, and joined on the key and
+    the day: a key held many times meets only the rows of the days it is held.
+    """
     end = F.col(hi) if slack is None else F.col(hi) + slack
-    return rows.join(spans, list(on)).where(
+    limits = rows.agg(F.min(F.to_date(ts)).alias("first"), F.max(F.to_date(ts)).alias("last"))
+    first, last = limits.select("first").scalar(), limits.select("last").scalar()
+    start = F.greatest(F.coalesce(F.to_date(lo), first), first)
+    stop = F.least(F.coalesce(F.to_date(end), last), last)
+    days = spans.withColumns({"_from": start, "_to": stop}).where("_from <= _to")
+    days = days.withColumn("_day", F.explode(F.sequence("_from", "_to"))).drop("_from", "_to")
+    return rows.withColumn("_day", F.to_date(ts)).join(days, [*on, "_day"]).drop("_day").where(
         (F.col(lo).isNull() | (F.col(ts) >= F.col(lo))) & (F.col(hi).isNull() | (F.col(ts) <= end))
     )
 

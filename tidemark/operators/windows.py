@@ -66,18 +66,19 @@ def full_window(value: Column, source: Column, spec: WindowSpec, n: int) -> Colu
 def trailing_z(
     df: DataFrame, by: Sequence[str], ts: str, order: Sequence[str], metrics: Sequence[str], n: int, chunk: str = "month"
 ) -> DataFrame:
-    """Z-score of each metric against its previous ``n`` non-null values.
+    """Z-score of each metric against its previous ``n`` non-null values, for every row on its own.
 
-    Metrics go long, nulls drop (histories compact), one rolling pass, then wide again.
+    Rows are numbered once. Metrics go long (missing ones aside, so histories compact), one rolling pass scores
+    them, and they come back together by the row's number; the row's columns travel with its first metric.
     """
-    ids = [*by, *dict.fromkeys([ts, *order])]
-    long = df.select(
-        *ids,
-        F.explode(
-            F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in metrics])
-        ).alias("_m"),
-    ).select(*ids, F.col("_m.metric").alias("metric"), F.col("_m.value").alias("value"))
-    long = long.where(F.col("value").isNotNull())
+    rows = index_rows(df, by, ts, order, chunk, "_row")
+    whole = F.struct(*[F.col(c) for c in df.columns])
+    first = metrics[0]
+    cells = [F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value"),
+                      F.when(F.lit(m == first), whole).alias("whole")) for m in metrics]
+    long = rows.select(*[F.col(c).alias(f"_by{i}") for i, c in enumerate(by)], F.col(ts).alias("_ts"), "_row", F.explode(F.array(*cells)).alias("_m"))
+    long = long.select("*", "_m.*").drop("_m").withColumn("_has", F.col("value").isNotNull())
+    keys = [f"_by{i}" for i in range(len(by))]
 
     def z(spec: WindowSpec) -> dict[str, Column]:
         past = trailing(spec, n, current=False)
@@ -85,11 +86,11 @@ def trailing_z(
         mean, std = F.avg(v).over(past), F.stddev_pop(v).over(past)
         return {"z": full_window(F.try_divide(v - mean, std), v, past, n) if n >= 2 else F.lit(None).cast("double")}
 
-    scored = rolling(long, [*by, "metric"], ts, order, n, z, chunk)
-    wide = scored.groupBy(*ids).agg(
-        *[F.max(F.when(F.col("metric") == m, F.col("z"))).alias(f"{m}_z") for m in metrics]
+    scored = rolling(long, [*keys, "metric", "_has"], "_ts", ["_row"], n, z, chunk)
+    wide = scored.groupBy(*keys, "_row").agg(
+        F.first("whole", ignorenulls=True).alias("_whole"), *[F.max(F.when(F.col("metric") == m, F.col("z"))).alias(f"{m}_z") for m in metrics]
     )
-    return df.join(wide, ids, "left")
+    return wide.select("_whole.*", *[f"{m}_z" for m in metrics])
 
 
 def wide_mean(df: DataFrame, spec: WindowSpec, value: str, sizes: dict[str, int], base: int) -> DataFrame:

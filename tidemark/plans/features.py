@@ -151,7 +151,7 @@ def concentration(snapshots: DataFrame, states: DataFrame, visible: DataFrame, i
     pairs = pairwise_symbols(states).select(
         F.col("left_symbol").alias("numerator"), F.col("right_symbol").alias("denominator")
     )
-    at = with_each(snapshots, pairs, ["numerator", "denominator"], limit=2_000_000)
+    at = with_each(snapshots, pairs, ["numerator", "denominator"])
     ends = pair_ends(visible, at, ["ret_idx"])
     corr = return_corr(ends, return_series(indicators))
     per_pair = ends.withColumns({"n_num": F.col("num_ret_idx"), "n_den": F.col("den_ret_idx")}).join(corr, list(END))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.symbols import option_symbol, right_normalize
 from ..functions.times import normalize_timeframe
 from ..operators.bars import liquidity_bars, quote_bars, trade_bars
-from ..operators.joins import bars_with_liquidity, interval_join
+from ..operators.joins import bars_with_liquidity, interval_join, last_wins
 
 STRATEGY_COLUMNS = (
     "symbol", "timeframe", "timestamp", "bar_open", "bar_high", "bar_low", "bar_close", "bar_volume", "bar_vwap",
@@ -32,12 +32,13 @@ def strategy_bars(bars: DataFrame, trades: DataFrame, quotes: DataFrame, width:
     )
 
 
-def market_bars(bars: DataFrame, universe: DataFrame) -> DataFrame:
-    """Universe bars with the bar width reviewed for their symbol."""
+def market_bars(bars: DataFrame, universe: DataFrame, order: Sequence[str] = ()) -> DataFrame:
+    """Universe bars with the bar width reviewed for their symbol; of several rows the last by ``order`` counts."""
     grain = universe.where((F.trim("symbol") != "") & (F.trim("bar_grain") != "")).select(
-        F.upper(F.trim("symbol")).alias("symbol"), normalize_timeframe(F.col("bar_grain")).alias("timeframe")
+        F.upper(F.trim("symbol")).alias("symbol"), normalize_timeframe(F.col("bar_grain")).alias("timeframe"), *order
     )
-    return bars.drop("timeframe").join(grain.dropDuplicates(["symbol"]), "symbol")
+    grain = last_wins(grain, ["symbol"], list(order) or ["timeframe"]).select("symbol", "timeframe")
+    return bars.drop("timeframe").join(grain, "symbol")
 
 
 def first_present(df: DataFrame, *names: str) -> Column:

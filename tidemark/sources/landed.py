@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -93,8 +94,24 @@ def _first_match(rows: Column, test) -> Column:
     return F.array_position(F.transform(rows, test), F.lit(True)).cast("int")
 
 
-def _header_and_body(rows: DataFrame, ids: Sequence[str], head: Column, name_of, width: int) -> DataFrame:
-    """``_rows`` to (ids, _names, _cells): header names and one body row each.
+def _places(names: Column, wanted: Iterable[str]) -> Column:
+    """Position of each wanted header name, once per document; the right-most header of a name wins."""
+    backwards = F.reverse(names)
+
+    def place(name: str) -> Column:
+        at = F.array_position(backwards, name)
+        return F.when(at > 0, F.size(names) - at).cast("int")
+
+    return F.named_struct(*[c for n in wanted for c in (F.lit(n), place(n))])
+
+
+def _pick(name: str) -> Column:
+    """Cell under a header name; empty text if there is no such header or cell."""
+    return F.coalesce(F.get("_cells", F.col("_at")[name]), F.lit(""))
+
+
+def _header_and_body(rows: DataFrame, ids: Sequence[str], head: Column, name_of, width: int, wanted: Iterable[str]) -> DataFrame:
+    """``_rows`` to (ids, _at, _cells): places of the wanted headers and one body row each.
 
     Documents without a header row have an empty body, so they drop in the explode and no
     filter makes Spark extract the table twice.
@@ -103,18 +120,11 @@ def _header_and_body(rows: DataFrame, ids: Sequence[str], head: Column, name_of,
     names = F.transform(F.get("_rows", F.col("_head") - 1), name_of)
     body = F.filter(F.slice("_rows", F.col("_head") + 1, F.size("_rows")), lambda r: F.size(r) >= width)
     none = F.array().cast("array<array<string>>")
-    return at.select(*ids, names.alias("_names"), F.explode(F.when(F.col("_head") > 0, body).otherwise(none)).alias("_cells"))
-
+    found = at.select(*ids, names.alias("_names"), F.when(F.col("_head") > 0, body).otherwise(none).alias("_body"))
+    return found.select(*ids, _places(F.col("_names"), wanted).alias("_at"), F.explode("_body").alias("_cells"))
 
-def _picker():
-    """Cell under a header name: the right-most header of that name wins."""
-    keys, cells = F.col("_names"), F.col("_cells")
 
-    def pick(name: str) -> Column:
-        at = F.array_position(F.reverse(keys), name).cast("int")
-        return F.when(at > 0, F.coalesce(F.get(cells, F.size(keys) - at), F.lit(""))).otherwise(F.lit(""))
-
-    return pick
+CALENDAR_FIELDS = tuple(dict.fromkeys(CALENDAR_ALIASES.values()))
 
 
 def calendar_rows(pages: DataFrame, html: str = "html", country: str = "United States", importance: str = "3") -> DataFrame:
@@ -123,8 +133,8 @@ def calendar_rows(pages: DataFrame, html: str = "html", country: str = "United S
     head = _first_match(F.col("_rows"), lambda r: F.exists(r, lambda c: F.lower(c).isin("actual", "previous")))
     lookup = F.create_map(*[F.lit(x) for pair in CALENDAR_ALIASES.items() for x in pair])
     known = lambda c: F.coalesce(F.try_element_at(lookup, F.lower(F.trim(c))), F.lit(""))
-    each = _header_and_body(rows, ["source_url"], head, known, 4)
-    pick = _picker()
+    each = _header_and_body(rows, ["source_url"], head, known, 4, CALENDAR_FIELDS)
+    pick = _pick
 
     def or_else(name: str, other: Column) -> Column:
         return F.coalesce(F.nullif(pick(name), F.lit("")), other)
@@ -146,47 +156,63 @@ HOLDING_TEXT = ("holding_symbol", "holding_name", "weight", "shares", "market_va
 NUMERIC_TEXT = ("weight", "shares", "market_value")
 
 
-def _holding_columns(pick) -> list[Column]:
-    out = [F.coalesce(F.nullif(F.trim(pick("as_of_date")), F.lit("")), F.col("default_as_of")).alias("as_of_date")]
-    for n in HOLDING_TEXT:
-        out.append((clean_num(pick(n)) if n in NUMERIC_TEXT else F.trim(pick(n))).alias(n))
-    return out
+def strip(text: Column) -> Column:
+    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+
+
+def _finish(rows: DataFrame) -> DataFrame:
+    """Holding rows from documents' cells and header places; rows without symbol and name drop."""
+    out = [F.coalesce(F.nullif(strip(_pick("as_of_date")), F.lit("")), F.col("default_as_of")).alias("as_of_date")]
+    out += [(clean_num(_pick(n)) if n in NUMERIC_TEXT else strip(_pick(n))).alias(n) for n in HOLDING_TEXT]
+    found = rows.select("etf_symbol", "issuer_name", *out, "source_url")
+    return found.where((F.col("holding_symbol") != "") | (F.col("holding_name") != ""))
 
 
-def _finish(rows: DataFrame, pick) -> DataFrame:
-    out = rows.select("etf_symbol", "issuer_name", *_holding_columns(pick), "source_url")
-    return out.where((F.col("holding_symbol") != "") | (F.col("holding_name") != ""))
+HOLDING_FIELDS = ("as_of_date", *HOLDING_TEXT)
 
 
 def _canonical(cells: Column) -> Column:
     return F.transform(cells, lambda c: alias_of(header_key(c), HOLDING_ALIASES))
 
 
-def csv_cells(line: Column) -> Column:
-    """Fields of one CSV line, quotes resolved, any number of fields."""
-    raw = F.regexp_extract_all(F.concat(line, F.lit(",")), F.lit('("(?:[^"]|"")*"|[^,]*),'), F.lit(1))
-    return F.transform(
-        raw,
-        lambda c: F.when(
-            F.startswith(c, F.lit('"')), F.replace(F.regexp_replace(c, '^"|"$', ""), F.lit('""'), F.lit('"'))
-        ).otherwise(c),
-    )
+# A field is quoted (quotes doubled, line breaks allowed, open to the end of the text if need be) or runs to
+# the next comma. Loops are possessive, so a long cell costs no stack.
+_QUOTED = r'"[^"]*+(?:""[^"]*+)*+'
+_FIELD = rf'(?:{_QUOTED}(?:"[^,\n]*+)?+|[^,\n]*+)'
+_LINE_END = "\r\n|[\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029]"
+
+
+def csv_records(text: Column) -> Column:
+    """Records of CSV text with ``\\n`` line ends; line breaks inside quotes stay; empty lines drop."""
+    found = F.regexp_extract_all(text, F.lit(rf"({_FIELD}(?:,{_FIELD})*+)(?:\n|\z)"), F.lit(1))
+    return F.filter(found, lambda r: r != "")
+
+
+def csv_cells(record: Column) -> Column:
+    """Fields of one CSV record, quotes resolved, any number of fields."""
+    raw = F.regexp_extract_all(F.concat(F.lit(","), record), F.lit(f",({_FIELD})"), F.lit(1))
+
+    def plain(c: Column) -> Column:
+        inside = F.replace(F.regexp_extract(c, rf'^"((?:[^"]*+)(?:""[^"]*+)*+)', 1), F.lit('""'), F.lit('"'))
+        return F.when(F.startswith(c, F.lit('"')), F.concat(inside, F.regexp_replace(c, rf'^{_QUOTED}"?+', ""))).otherwise(c)
+
+    return F.transform(raw, plain)
 
 
 def holdings_csv(files: DataFrame, text: str = "text") -> DataFrame:
     """Holdings CSV documents: preamble lines are skipped up to the header line."""
-    lines = F.split(F.replace(F.col(text), F.lit("\r"), F.lit("")), "\n")
+    lines = F.split(F.regexp_replace(F.col(text), _LINE_END, "\n"), "\n")
     rows = files.select(*HOLDING_ID, lines.alias("_lines"))
 
     def is_header(line: Column) -> Column:
         low = F.lower(line)
         return F.contains(low, F.lit("ticker")) & low.rlike("weight|market value|% of")
 
-    rows = rows.withColumn("_head", F.greatest(_first_match(F.col("_lines"), is_header), F.lit(1)))
-    body = F.filter(F.slice("_lines", F.col("_head") + 1, F.size("_lines")), lambda s: s != "")
-    each = rows.select(*HOLDING_ID, _canonical(csv_cells(F.get("_lines", F.col("_head") - 1))).alias("_names"),
-                       F.explode(body).alias("_line"))
-    return _finish(each.select(*HOLDING_ID, "_names", csv_cells(F.col("_line")).alias("_cells")), _picker())
+    head = F.greatest(_first_match(F.col("_lines"), is_header), F.lit(1))
+    rows = rows.select(*HOLDING_ID, csv_records(F.array_join(F.slice("_lines", head, F.size("_lines")), "\n")).alias("_records"))
+    rows = rows.select(*HOLDING_ID, _canonical(csv_cells(F.get("_records", F.lit(0)))).alias("_names"), F.slice("_records", 2, F.size("_records")).alias("_body"))
+    each = rows.select(*HOLDING_ID, _places(F.col("_names"), HOLDING_FIELDS).alias("_at"), F.explode("_body").alias("_record"))
+    return _finish(each.withColumn("_cells", csv_cells(F.col("_record"))))
 
 
 def holdings_html(files: DataFrame, html: str = "text") -> DataFrame:
@@ -197,28 +223,42 @@ def holdings_html(files: DataFrame, html: str = "text") -> DataFrame:
         return F.exists(r, lambda c: F.lower(c).isin("ticker", "symbol")) & F.exists(r, lambda c: F.lower(c).rlike("weight|%"))
 
     head = _first_match(F.col("_rows"), is_header)
-    each = _header_and_body(rows, HOLDING_ID, head, lambda c: alias_of(header_key(c), HOLDING_ALIASES), 2)
-    return _finish(each, _picker())
+    return _finish(_header_and_body(rows, HOLDING_ID, head, lambda c: alias_of(header_key(c), HOLDING_ALIASES), 2, HOLDING_FIELDS))
 
 
 JSON_KEYS = ("holdings", "data", "rows", "fundHoldings")
-ROWS_DDL = "array<map<string,string>>"
-
-
-def json_rows(text: Column, depth: int = 3) -> Column:
-    """Row objects inside a JSON document: a list, or lists under the known keys, nested."""
-    empty = F.array().cast(ROWS_DDL)
-    is_list = F.startswith(F.ltrim(text), F.lit("["))
-    parsed = F.coalesce(F.from_json(text, ROWS_DDL), empty)
-    if depth == 0:
-        return F.when(is_list, parsed).otherwise(empty)
-    nested = F.concat(*[json_rows(F.get_json_object(text, f"$.{k}"), depth - 1) for k in JSON_KEYS])
-    return F.when(text.isNull(), empty).when(is_list, parsed).otherwise(nested)
-
-
-def holdings_json(files: DataFrame, text: str = "text", depth: int = 2) -> DataFrame:
-    """Holdings JSON documents: row lists under the known keys, up to ``depth`` levels down."""
-    each = files.select(*HOLDING_ID, F.explode(json_rows(F.col(text), depth)).alias("_m")).where(F.col("_m").isNotNull())
-    each = each.select(*HOLDING_ID, _canonical(F.map_keys("_m")).alias("_names"),
-                       F.transform(F.map_values("_m"), lambda v: F.coalesce(v, F.lit(""))).alias("_cells"))
-    return _finish(each, _picker())
+
+
+def json_objects(text: str | None) -> list[dict]:
+    """Row objects of a JSON document: those of a list, or of the lists below the known keys at any depth."""
+    try:
+        todo = [json.loads(text or "")]
+    except ValueError:
+        return []
+    found: list[dict] = []
+    while todo:
+        value = todo.pop()
+        if isinstance(value, list):
+            found += [v for v in value if isinstance(v, dict)]
+        elif isinstance(value, dict):
+            todo += [value[k] for k in reversed(JSON_KEYS) if k in value]
+    return found
+
+
+def holdings_json(files: DataFrame, text: str = "text") -> DataFrame:
+    """Holdings JSON documents: row lists under the known keys, however deep.
+
+    Values are taken as text, 0, false and null as empty. Elements that are no objects are passed over; a document
+    that is no JSON has no rows. The descent has no SQL form, so it runs in Python on Arrow batches.
+    """
+
+    def of(batches):
+        for batch in batches:
+            rows = batch[text].map(lambda t: [(list(map(str, m)), [str(v or "") for v in m.values()]) for m in json_objects(t)])
+            yield batch[list(HOLDING_ID)].assign(_names=rows.map(lambda r: [n for n, _ in r]), _body=rows.map(lambda r: [c for _, c in r]))
+
+    ids = ", ".join(f"{c} string" for c in HOLDING_ID)
+    found = files.select(*[F.col(c).cast("string").alias(c) for c in HOLDING_ID], text).mapInPandas(
+        of, f"{ids}, _names array<array<string>>, _body array<array<string>>")
+    each = found.select(*HOLDING_ID, F.explode(F.arrays_zip("_names", "_body")).alias("_r"))
+    return _finish(each.select(*HOLDING_ID, _places(_canonical(F.col("_r._names")), HOLDING_FIELDS).alias("_at"), F.col("_r._body").alias("_cells")))

@@ -17,7 +17,8 @@ MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only where that is unset (local tests) a temporary folder is made and set.
+    Only local mode may go without: there a temporary folder is made and set. On a cluster it is an error,
+    as executors would write to their own disks.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named:
@@ -25,11 +26,18 @@ def shared_dir(spark: SparkSession) -> str:
     current = spark.sparkContext._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get().rstrip("/")
-    made = tempfile.mkdtemp(prefix="run-")
-    spark.sparkContext.setCheckpointDir(f"file:{made}")
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+    spark.sparkContext.setCheckpointDir("file:" + tempfile.mkdtemp(prefix="run-"))
     return spark.sparkContext._jsc.sc().getCheckpointDir().get().rstrip("/")
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a stage that is no longer read."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/tidemark-{name}-{uuid.uuid4().hex}"
 
@@ -104,9 +112,10 @@ def upsert_path(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence
     upsert(affected, batch, keys, order).write.parquet(stage)
     (
         spark.read.schema(batch.select(*columns).schema).parquet(stage)
-        .repartition(F.col(partition), F.pmod(F.xxhash64(*keys), F.lit(8)))
+        .hint("rebalance", partition)  # files by size, however large a partition is
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition)
         .parquet(path)
     )
+    remove_path(spark, stage)

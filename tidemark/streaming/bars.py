@@ -18,8 +18,12 @@ def stream_trade_bars(
 ) -> DataFrame:
     """Trade bars of a stream; a bar is final once the watermark passes its end.
 
-    Watermarks need TIMESTAMP, so the wall clock is carried as one inside (session zone UTC).
+    Watermarks need TIMESTAMP, so the wall clock is carried as one inside. That is right in session zone UTC only;
+    any other zone, which would shift bars at its clock changes, is an error.
     """
+    zone = ticks.sparkSession.conf.get("spark.sql.session.timeZone")
+    if zone.upper() not in ("UTC", "ETC/UTC", "GMT", "Z", "+00:00"):
+        raise ValueError(f"stream bars need session time zone UTC, not {zone}")
     clock = ticks.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, late)
     marked = clock.withColumn("_window", F.window(ts, f"{WIDTHS[width]} seconds"))
     bars = aggregate_trades(marked, [*keys, "_window"], ts, seq)
