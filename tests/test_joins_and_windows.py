@@ -220,3 +220,80 @@ def test_interval_join_with_open_ends_and_long_spans(spark):
     want = {(r, s) for k, ts, r in rows for q, lo, hi, s in spans if k == q and (lo is None or ts >= lo) and (hi is None or ts <= hi + timedelta(hours=1))}
     pairs = [(x.r, x.s) for x in got.collect()]
     assert len(pairs) == len(set(pairs)) and set(pairs) == want
+
+
+def _plain_trend(num, den):
+    """(current, previous, {w: mean}, {w: earlier mean}) of the positive tail-aligned ratios."""
+    size = min(len(num), len(den))
+    ratio = [a / b for a, b in zip(num[-size:], den[-size:]) if b and a / b > 0] if size else []
+    mean = lambda xs, n: sum(xs[-n:]) / n if len(xs) >= n else None
+    return ratio, {w: mean(ratio, w) for w in (20, 50, 200)}, {20: mean(ratio[:-5], 20), 50: mean(ratio[:-10], 50), 200: mean(ratio[:-20], 200)}
+
+
+def test_pair_trend_and_corr_equal_plain_lists(spark):
+    from statistics import mean
+
+    from tidemark.operators.indicators import pair_trend
+
+    rng, t0 = random.Random(11), datetime(2020, 1, 1)
+    bars, closes = [], {}
+    for symbol, skip, bad in (("A", 0.0, 0.0), ("B", 0.1, 0.03), ("C", 0.3, 0.1)):
+        price = 50.0
+        for day in range(330):
+            price *= 1 + rng.uniform(-0.02, 0.02)
+            if rng.random() >= skip:
+                close = -1.0 if rng.random() < bad else round(price, 4)
+                closes.setdefault(symbol, []).append((day, close))
+                bars.append((symbol, "1Day", t0 + timedelta(days=day), close, close, close, close))
+    df = spark.createDataFrame(bars, "symbol string, timeframe string, ts timestamp_ntz, bar_open double, bar_high double, bar_low double, bar_close double")
+    ind = daily_indicators(prepare_bars(df)).persist()
+    at = [(t0 + timedelta(days=d, hours=16), a, b) for d in (2, 19, 24, 61, 150, 229, 280, 329) for a, b in (("A", "B"), ("B", "C"), ("C", "A"))]
+    pairs = spark.createDataFrame(at, "snapshot_time timestamp_ntz, numerator string, denominator string")
+    visible = visible_rows(pairs.select("snapshot_time").distinct(), ind)
+    ends = pair_ends(visible, pairs, ["idx", "bad", "ret_idx"]).persist()
+    trend = {(r.numerator, r.denominator, r.n_num, r.n_den): r for r in pair_trend(ends, close_series(ind)).collect()}
+    corr = {(r.numerator, r.denominator, r.n_num, r.n_den): r for r in return_corr(ends, return_series(ind)).collect()}
+
+    def upto(symbol, when):
+        return [c for d, c in closes[symbol] if t0 + timedelta(days=d, hours=16) <= when]
+
+    def returns(xs):
+        return [math.log(b / a) for a, b in zip(xs, xs[1:]) if a > 0 and b > 0]
+
+    def plain_corr(x, y, n):
+        x, y = x[-n:], y[-n:]
+        both = list(zip(x, y))
+        if len(both) < 2:
+            return None
+        mx, my = mean(a for a, _ in both), mean(b for _, b in both)
+        sx, sy = sum((a - mx) ** 2 for a, _ in both), sum((b - my) ** 2 for _, b in both)
+        return sum((a - mx) * (b - my) for a, b in both) / math.sqrt(sx * sy) if sx > 0 and sy > 0 else None
+
+    close = lambda a, b: a is None and b is None or a is not None and b is not None and math.isclose(a, b, rel_tol=1e-7, abs_tol=1e-9)
+    for when, a, b in at:
+        x, y = upto(a, when), upto(b, when)
+        ratio, ma, before = _plain_trend(x, y)
+        r = trend.get((a, b, len(x), len(y)))
+        assert (r is None) == (not ratio)
+        if ratio:
+            assert close(r.distance_to_ma20, ma[20] and ratio[-1] / ma[20] - 1) and close(r.ma20_ma50_spread, ma[50] and ma[20] / ma[50] - 1)
+            for w, lag in ((20, 5), (50, 10), (200, 20)):
+                assert close(r[f"ma{w}_slope_{lag}d"], before[w] and ma[w] / before[w] - 1)
+            assert close(r.ratio_return_1d, math.log(ratio[-1] / ratio[-2]) if len(ratio) > 1 else None)
+        p, q = returns(x), returns(y)
+        got = corr.get((a, b, len(p), len(q)))
+        if p and q:
+            assert close(got.return_corr_20d, plain_corr(p, q, 20)) and close(got.return_corr_60d, plain_corr(p, q, 60))
+    ind.unpersist()
+    ends.unpersist()
+
+
+def test_payload_upsert_replaces_a_snapshot(spark, tmp_path):
+    from tidemark.plans.features import upsert_payload
+
+    rows = [(datetime(2024, 1, 2, 16), "a"), (datetime(2024, 1, 3, 16), "b")]
+    schema = "snapshot_time timestamp_ntz, feature_payload_json string"
+    upsert_payload(spark.createDataFrame(rows, schema), f"{tmp_path}/t", ["snapshot_time"])
+    upsert_payload(spark.createDataFrame([(rows[1][0], "new"), (datetime(2024, 1, 3, 10), "c")], schema), f"{tmp_path}/t", ["snapshot_time"])
+    got = {(r.snapshot_time, r.feature_payload_json) for r in spark.read.parquet(f"{tmp_path}/t").collect()}
+    assert got == {rows[0], (rows[1][0], "new"), (datetime(2024, 1, 3, 10), "c")}

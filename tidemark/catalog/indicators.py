@@ -90,7 +90,7 @@ def return_30m(spark, d):
 
 
 def visible(spark, d):
-    ind = indicators(spark, d)
+    ind = X.staged(indicators(spark, d), "indicators")
     return ind, J.visible_rows(P.snapshots(spark, d), ind)
 
 
@@ -100,7 +100,7 @@ def pairs_at(spark, d):
 
 def pair_states(spark, d):
     ind, vis = visible(spark, d)
-    return ind, I.pair_ends(vis, pairs_at(spark, d), ["idx", "bad", "ret_idx", "realized_vol_20d"])
+    return ind, X.staged(I.pair_ends(vis, pairs_at(spark, d), ["idx", "bad", "ret_idx", "realized_vol_20d"]), "ends")
 
 
 cte("trend", f"""SELECT numerator, denominator, n_num, n_den, ln(cur / prev) AS ratio_return_1d, {TREND} FROM (SELECT numerator, denominator, n_num, n_den, count(*) AS n,
@@ -114,7 +114,7 @@ cte("trend", f"""SELECT numerator, denominator, n_num, n_den, ln(cur / prev) AS
 @query("ratio_trend", f"SELECT numerator, denominator, n_num, n_den, {rlist('ratio_return_1d', *I.TREND_FEATURES)} FROM trend")
 def ratio_trend(spark, d):
     ind, e = pair_states(spark, d)
-    return rounded(I.ratio_trend(I.ratio_tail(e, I.close_series(ind))), "ratio_return_1d", *I.TREND_FEATURES)
+    return rounded(I.pair_trend(e, I.close_series(ind)), "ratio_return_1d", *I.TREND_FEATURES)
 
 
 def corr_cte(name: str, source: str) -> None:
@@ -154,7 +154,7 @@ cte("pf", """SELECT e.*, CASE WHEN e.feature_bar_grain = '30m' THEN ln((a.now_c
 @query("relative_strength_return", f"SELECT snapshot_time, combination_id, feature_bar_grain, {rs('relative_strength_return')} AS relative_strength_return FROM pf")
 def relative_strength_return(spark, d):
     bars = P.daily_bars(spark, d)
-    ind = indicators(spark, d, bars)
+    ind = X.staged(indicators(spark, d, bars), "indicators")
     vis = J.visible_rows(P.snapshots(spark, d), ind)
     at = pairs_at(spark, d)
     legs = at.select("snapshot_time", F.col("numerator").alias("symbol")).unionByName(at.select("snapshot_time", F.col("denominator").alias("symbol")))
@@ -242,8 +242,8 @@ cte("rotation", f"""SELECT * EXCLUDE x, x.f AS feature, x.v AS value FROM (SELEC
   'sector_rotation_summary', 'mixed', unnest([{_breadth_items}]) AS x FROM snaps s LEFT JOIN breadth b ON b.snapshot_time = s.snapshot_time)""")
 
 
-def rotation(spark, d):
-    return X.rotation_features(P.daily_bars(spark, d), P.universe(spark, d), P.pairs(spark, d), P.snapshots(spark, d))
+def rotation(spark, d, only=None):
+    return X.rotation_features(P.daily_bars(spark, d), P.universe(spark, d), P.pairs(spark, d), P.snapshots(spark, d), only)
 
 
 @query("rotation_features", f"SELECT * EXCLUDE value, {rs('value')} AS value FROM rotation")
@@ -275,14 +275,14 @@ def feature_payload_rotation(spark, d):
 
 @query("payload_columns", "SELECT DISTINCT feature FROM rotation")
 def payload_columns(spark, d):
-    return X.payload_columns(rotation(spark, d))
+    return X.rotation_names(P.pairs(spark, d), P.snapshots(spark, d))
 
 
 @query("signal_average", f"""
 SELECT snapshot_time, rotation_pair_id, {rs('avg(value)')} AS signal_average FROM rotation
 WHERE feature IN ('relative_strength_return', 'relative_strength_distance_to_ma20', 'relative_strength_ma_alignment_score') GROUP BY ALL""")
 def signal_average(spark, d):
-    return rounded(X.signal_average(rotation(spark, d), ["snapshot_time", "rotation_pair_id"]), "signal_average")
+    return rounded(X.signal_average(rotation(spark, d, X.SIGNAL_FEATURES), ["snapshot_time", "rotation_pair_id"]), "signal_average")
 
 
 @query("infer_snapshots", """

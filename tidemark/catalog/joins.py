@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import indicators as I, joins as J
 from ..plans import sources as S
+from ..plans.features import staged
 from . import proxies as P
 from .registry import cte, query, r, rlist, rounded, rs
 
@@ -55,7 +56,7 @@ cte("rt", """SELECT e.numerator, e.denominator, e.n_num, e.n_den, k, a.c / b.c A
 
 
 def ends(spark, d):
-    ind = I.daily_indicators(P.daily_bars(spark, d))
+    ind = staged(I.daily_indicators(P.daily_bars(spark, d)), "indicators")
     vis = J.visible_rows(P.snapshots(spark, d), ind)
     at = J.with_each(P.snapshots(spark, d), P.pairs(spark, d), ["combination_id", "combination_type", "numerator", "denominator", "feature_bar_grain"])
     return ind, I.pair_ends(vis, at, ["idx", "bad", "ret_idx", "realized_vol_20d"])

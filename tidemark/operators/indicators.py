@@ -50,6 +50,14 @@ TREND_FEATURES = (
     "ma20_ma50_spread",
     "ma50_ma200_spread",
 )
+BREADTH_FEATURES = (
+    "sector_observation_positive_return_1d_pct",
+    "sector_observation_positive_return_5d_pct",
+    *[f"sector_observation_above_ma{w}_pct" for w in MA_WINDOWS],
+    "sector_observation_distance_to_ma20_avg",
+    "sector_observation_distance_to_ma20_dispersion",
+    "sector_observation_return_20d_dispersion",
+)
 CORR_FEATURES = ("return_corr_20d", "return_corr_60d", "return_corr_20d_60d_change")
 
 
@@ -270,55 +278,88 @@ def ratio_tail(ends: DataFrame, closes: DataFrame, valid_depth: int = TREND_DEPT
     return rows.select(*END, (F.row_number().over(order) - 1).alias("k"), "ratio").where(F.col("k") < valid_depth)
 
 
-def ratio_trend(tail: DataFrame) -> DataFrame:
-    """Trend features and last-step return of the pair ratio, one row per end."""
-    k, ratio = F.col("k"), F.col("ratio")
+def _aligned(wanted: DataFrame, series: DataFrame, back: Column | int) -> DataFrame:
+    """Both legs' values side by side for each pair and offset: numerator, denominator, d, i, num_value, den_value.
 
-    def mean(start: int, n: int) -> Column:
-        return F.when(F.count(F.lit(1)) >= start + n, F.avg(F.when((k >= start) & (k < start + n), ratio)))
+    Aligning two series from their ends pairs position i of one with i - d of the other, where d is the difference of
+    their lengths. ``wanted``: numerator, denominator, n_num, n_den; one row per pair, offset and day comes back,
+    however many ends share it, from ``back`` positions before the first end that needs the offset.
+    """
+    spans = wanted.withColumns({"d": F.col("n_num") - F.col("n_den"), "_back": F.lit(back) if isinstance(back, int) else back})
+    spans = spans.groupBy("numerator", "denominator", "d").agg(
+        F.min(F.col("n_num") - F.col("_back")).alias("_from"), F.max("n_num").alias("_to"))
+    num = series.select(F.col("symbol").alias("numerator"), F.col("idx").alias("i"), F.col("value").alias("num_value"))
+    den = series.select(F.col("symbol").alias("denominator"), F.col("idx").alias("_j"), F.col("value").alias("den_value"))
+    rows = spans.join(num, "numerator").where("i > _from AND i <= _to").withColumn("_j", F.col("i") - F.col("d"))
+    return rows.join(den, ["denominator", "_j"]).select("numerator", "denominator", "d", "i", "num_value", "den_value")
 
-    aggs = {
-        "_current": F.max(F.when(k == 0, ratio)),
-        "_previous": F.max(F.when(k == 1, ratio)),
-        **{f"_ma{w}": mean(0, w) for w in MA_WINDOWS},
-        **{f"_before{w}": mean(MA_SLOPE_LAGS[w], w) for w in MA_WINDOWS},
-    }
-    g = tail.groupBy(*END).agg(*[e.alias(n) for n, e in aggs.items()])
-    feats = _trend(
-        F.col("_current"), {w: F.col(f"_ma{w}") for w in MA_WINDOWS}, {w: F.col(f"_before{w}") for w in MA_WINDOWS}
-    )
-    return g.select(
-        *END,
-        safe_log_ratio(F.col("_current"), F.col("_previous")).alias("ratio_return_1d"),
-        *[e.alias(n) for n, e in feats.items()],
+
+def pair_trend(ends: DataFrame, closes: DataFrame) -> DataFrame:
+    """Trend features and last-step return of the tail-aligned pair ratio, one row per distinct end.
+
+    The ratio is laid out once per pair and offset; windows run over its positive values, other days inherit the
+    last state, and ends look their day up.
+    """
+    distinct = (
+        ends.where(F.col("num_idx").isNotNull() & F.col("den_idx").isNotNull())
+        .select("numerator", "denominator", F.col("num_idx").alias("n_num"), F.col("den_idx").alias("n_den"),
+                (F.lit(TREND_DEPTH) + F.col("num_bad") + F.col("den_bad")).alias("_depth"))
+        .distinct()
     )
+    rows = _aligned(distinct, closes, F.col("_depth")).withColumn("ratio", safe_div(F.col("num_value"), F.col("den_value")))
+    rows = rows.withColumn("_ok", F.coalesce(F.col("ratio") > 0, F.lit(False)))
+    key = ["numerator", "denominator", "d"]
+    w = Window.partitionBy(*key, "_ok").orderBy("i")
+    rows = rows.withColumn("_n", F.row_number().over(w))
+    rows = wide_mean(rows, w, "ratio", {f"ma{n}": n for n in MA_WINDOWS}, 10)
+    rows = rows.withColumns({f"ma{n}": F.when(F.col("_n") >= n, F.col(f"ma{n}")) for n in MA_WINDOWS})
+    rows = rows.withColumns({"_previous": F.lag("ratio").over(w), **{f"_before{n}": F.lag(f"ma{n}", MA_SLOPE_LAGS[n]).over(w) for n in MA_WINDOWS}})
+    trend = _trend(F.col("ratio"), {n: F.col(f"ma{n}") for n in MA_WINDOWS}, {n: F.col(f"_before{n}") for n in MA_WINDOWS})
+    state = F.struct(safe_log_ratio(F.col("ratio"), F.col("_previous")).alias("ratio_return_1d"), *[e.alias(n) for n, e in trend.items()])
+    upto = Window.partitionBy(*key).orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.select(*key, F.col("i").alias("n_num"), F.last(F.when(F.col("_ok"), state), ignorenulls=True).over(upto).alias("_s"))
+    found = distinct.drop("_depth").withColumn("d", F.col("n_num") - F.col("n_den")).join(rows, [*key, "n_num"])
+    return found.where(F.col("_s").isNotNull()).select(*END, "_s.*")
 
 
 def return_corr(ends: DataFrame, returns: DataFrame) -> DataFrame:
     """Correlation of the last 20 and 60 returns of both legs, one row per distinct end.
 
-    Each leg contributes its last ``window`` returns; when one is shorter the two lists
-    are paired from their fronts.
+    Each leg contributes its last ``window`` returns. Where both have that many, the pair's returns are laid out
+    once per offset and windows run over them; where one is shorter the two lists are paired from their fronts.
     """
     distinct = (
         ends.where((F.col("num_ret_idx") > 0) & (F.col("den_ret_idx") > 0))
         .select("numerator", "denominator", F.col("num_ret_idx").alias("n_num"), F.col("den_ret_idx").alias("n_den"))
         .distinct()
     )
+    longest, shortest = max(CORR_WINDOWS), F.least("n_num", "n_den")
+    key = ["numerator", "denominator", "d"]
+    rows = _aligned(distinct.where(shortest >= min(CORR_WINDOWS)), returns, longest)
+    w = Window.partitionBy(*key).orderBy("i")
+    x, y = F.col("num_value"), F.col("den_value")
+
+    def rolling_corr(n: int) -> Column:
+        frame = trailing(w, n)
+        c = safe_div(F.covar_pop(x, y).over(frame), F.stddev_pop(x).over(frame) * F.stddev_pop(y).over(frame))
+        return F.when(F.count(F.lit(1)).over(frame) == n, c)
+
+    rows = rows.select(*key, F.col("i").alias("n_num"), *[rolling_corr(n).alias(f"_w{n}") for n in CORR_WINDOWS])
+    wide = distinct.withColumn("d", F.col("n_num") - F.col("n_den")).join(rows, [*key, "n_num"], "left").drop("d")
+
+    # the first days of a leg: its whole list against the start of the other's window
     n, d, win = F.col("n_num"), F.col("n_den"), F.col("window")
-    steps = distinct.withColumn("window", F.explode(F.array(*[F.lit(w) for w in CORR_WINDOWS])))
+    steps = distinct.where(shortest < longest).withColumn("window", F.explode(F.array(*[F.lit(c) for c in CORR_WINDOWS]))).where(shortest < win)
     steps = steps.withColumn("_k", F.explode(F.sequence(F.lit(1), F.least(n, d, win).cast("int"))))
-    steps = steps.withColumns(
-        {"_i": F.greatest(n - win, F.lit(0)) + F.col("_k"), "_j": F.greatest(d - win, F.lit(0)) + F.col("_k")}
-    )
+    steps = steps.withColumns({"_i": F.greatest(n - win, F.lit(0)) + F.col("_k"), "_j": F.greatest(d - win, F.lit(0)) + F.col("_k")})
     num = returns.select(F.col("symbol").alias("numerator"), F.col("idx").alias("_i"), F.col("value").alias("x"))
     den = returns.select(F.col("symbol").alias("denominator"), F.col("idx").alias("_j"), F.col("value").alias("y"))
-    rows = steps.join(num, ["numerator", "_i"]).join(den, ["denominator", "_j"])
-    per = rows.groupBy(*END, "window").agg(corr("x", "y").alias("c"))
-    wide = per.groupBy(*END).agg(
-        *[F.max(F.when(win == w, F.col("c"))).alias(f"return_corr_{w}d") for w in CORR_WINDOWS]
-    )
-    return wide.withColumn("return_corr_20d_60d_change", F.col("return_corr_20d") - F.col("return_corr_60d"))
+    per = steps.join(num, ["numerator", "_i"]).join(den, ["denominator", "_j"]).groupBy(*END, "window").agg(corr("x", "y").alias("c"))
+    short = per.groupBy(*END).agg(*[F.max(F.when(win == c, F.col("c"))).alias(f"_s{c}") for c in CORR_WINDOWS])
+    both = wide.join(short, list(END), "left")
+    value = {c: F.when(shortest >= c, F.col(f"_w{c}")).otherwise(F.col(f"_s{c}")) for c in CORR_WINDOWS}
+    out = both.select(*END, *[value[c].alias(f"return_corr_{c}d") for c in CORR_WINDOWS])
+    return out.withColumn("return_corr_20d_60d_change", F.col("return_corr_20d") - F.col("return_corr_60d"))
 
 
 def corr_concentration(pair_corr: DataFrame) -> DataFrame:

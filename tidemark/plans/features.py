@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.numbers import safe_div, safe_log_ratio
 from ..operators.indicators import (
+    BREADTH_FEATURES,
     CORR_FEATURES,
     END,
     TREND_FEATURES,
@@ -17,13 +17,13 @@ from ..operators.indicators import (
     corr_concentration,
     daily_indicators,
     pair_ends,
-    ratio_tail,
-    ratio_trend,
+    pair_trend,
     return_corr,
     return_series,
     sector_breadth,
 )
 from ..operators.joins import asof_join, pairwise_symbols, visible_rows, with_each
+from ..sources.sinks import scratch_path, upsert_path
 
 # Names that steer which feature goes where.
 MARKET_STATE = "market_state_etf"
@@ -44,11 +44,18 @@ ROTATION_META = (
 )
 PAIR_COLUMNS = ("combination_id", "combination_type", "numerator", "denominator", "feature_bar_grain")
 LAG_MINUTES = 30
+PAIR_PREFIX = "relative_strength_"
+PAIR_VALUES = ("return", "realized_vol_20d_ratio", *TREND_FEATURES, *CORR_FEATURES)
 
 
-def staged(df: DataFrame) -> DataFrame:
-    """Keep a table several branches read; it spills to disk and is rebuilt if an executor is lost."""
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """A table that several branches read, written once to the shared folder.
+
+    Plans above it start from a scan, and a lost executor costs no recomputation.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def normalize_pairs(rows: DataFrame) -> DataFrame:
@@ -119,8 +126,8 @@ def pair_features(pairs_at: DataFrame, visible: DataFrame, indicators: DataFrame
 
     ``pairs_at``: snapshot_time and the pair columns.
     """
-    ends = pair_ends(visible, pairs_at, ["idx", "bad", "ret_idx", "realized_vol_20d"])
-    trend = ratio_trend(ratio_tail(ends, close_series(indicators)))
+    ends = staged(pair_ends(visible, pairs_at, ["idx", "bad", "ret_idx", "realized_vol_20d"]), "ends")
+    trend = pair_trend(ends, close_series(indicators))
     corr = return_corr(ends, return_series(indicators))
     keyed = ends.withColumns({"n_num": F.col("num_idx"), "n_den": F.col("den_idx")}).join(trend, list(END), "left")
     keyed = keyed.withColumns({"n_num": F.col("num_ret_idx"), "n_den": F.col("den_ret_idx")}).join(corr, list(END), "left")
@@ -152,7 +159,7 @@ def concentration(snapshots: DataFrame, states: DataFrame, visible: DataFrame, i
         F.col("left_symbol").alias("numerator"), F.col("right_symbol").alias("denominator")
     )
     at = with_each(snapshots, pairs, ["numerator", "denominator"])
-    ends = pair_ends(visible, at, ["ret_idx"])
+    ends = staged(pair_ends(visible, at, ["ret_idx"]), "state-ends")
     corr = return_corr(ends, return_series(indicators))
     per_pair = ends.withColumns({"n_num": F.col("num_ret_idx"), "n_den": F.col("den_ret_idx")}).join(corr, list(END))
     return snapshots.join(corr_concentration(per_pair), "snapshot_time", "left")
@@ -172,14 +179,14 @@ def regime_features(
     snapshots = snapshots.select("snapshot_time").distinct()
     states = symbols_of(universe, MARKET_STATE)
     own_pairs = pairs.where(~F.col("combination_type").isin(*ROTATION_TYPES))
-    indicators = staged(daily_indicators(bars))
-    visible = staged(visible_rows(snapshots, indicators))
+    indicators = staged(daily_indicators(bars), "indicators")
+    visible = staged(visible_rows(snapshots, indicators), "visible")
     points = with_each(snapshots, states, ["symbol"])
     pairs_at = with_each(snapshots, own_pairs, PAIR_COLUMNS)
     legs = points.unionByName(pairs_at.select("snapshot_time", F.col("numerator").alias("symbol"))).unionByName(
         pairs_at.select("snapshot_time", F.col("denominator").alias("symbol"))
     )
-    marks = staged(close_marks(legs, bars))
+    marks = staged(close_marks(legs, bars), "marks")
 
     state = points.join(visible, ["snapshot_time", "symbol"], "left").join(marks, ["snapshot_time", "symbol"], "left")
     subject = F.concat(F.lower("symbol"), F.lit("_"))
@@ -208,24 +215,30 @@ def regime_features(
     return out
 
 
-def rotation_features(bars: DataFrame, universe: DataFrame, pairs: DataFrame, snapshots: DataFrame) -> DataFrame:
-    """Rotation features: metadata columns, feature, value; one summary group and one per rotation pair."""
+def rotation_features(
+    bars: DataFrame, universe: DataFrame, pairs: DataFrame, snapshots: DataFrame, only: Iterable[str] | None = None
+) -> DataFrame:
+    """Rotation features: metadata columns, feature, value; one summary group and one per rotation pair.
+
+    ``only``: the wanted feature names; nothing else is computed.
+    """
+    wanted = None if only is None else set(only)
     snapshots = snapshots.select("snapshot_time").distinct()
     own_pairs = pairs.where(F.col("combination_type").isin(*ROTATION_TYPES))
-    indicators = staged(daily_indicators(bars))
-    visible = staged(visible_rows(snapshots, indicators))
+    indicators = staged(daily_indicators(bars), "indicators")
+    visible = staged(visible_rows(snapshots, indicators), "visible")
     pairs_at = with_each(snapshots, own_pairs, PAIR_COLUMNS)
     legs = pairs_at.select("snapshot_time", F.col("numerator").alias("symbol")).unionByName(
         pairs_at.select("snapshot_time", F.col("denominator").alias("symbol"))
     )
-    marks = close_marks(legs, bars)
+    marks = staged(close_marks(legs, bars), "marks")
 
     observed = visible.join(symbols_of(universe, SECTOR_OBSERVATION), "symbol", "left_semi")
     breadth = snapshots.join(sector_breadth(observed), "snapshot_time", "left").withColumns(
         {k: F.lit(v) for k, v in SUMMARY_ROW.items()}
     )
-    names = [c for c in breadth.columns if c.startswith("sector_observation_") and c not in SUMMARY_ROW]
-    summary = melt(breadth, ROTATION_META, {n: n for n in names})
+    names = [c for c in BREADTH_FEATURES if wanted is None or c in wanted]
+    summary = melt(breadth, ROTATION_META, {n: n for n in names}) if names else None
 
     pf = pair_features(pairs_at, visible, indicators, marks).withColumns(
         {
@@ -237,24 +250,40 @@ def rotation_features(bars: DataFrame, universe: DataFrame, pairs: DataFrame, sn
         }
     )
     grain = F.when(F.col("feature_bar_grain") == "30m", F.lit("30m")).otherwise(F.lit("1d"))
-    rows = melt(
-        pf,
-        ROTATION_META,
-        {"return": "relative_strength_return", **{f: f for f in ("realized_vol_20d_ratio", *TREND_FEATURES, *CORR_FEATURES)}},
-        F.lit("relative_strength_"),
-    )
-    grained = pf.select(
-        *ROTATION_META, F.concat(F.lit("relative_strength_return_"), grain).alias("feature"),
-        F.col("relative_strength_return").alias("value"),
-    )
-    return summary.unionByName(rows).unionByName(grained)
+    own = {f: f"{PAIR_PREFIX}{f}" for f in PAIR_VALUES}
+    own = {f: n for f, n in own.items() if wanted is None or n in wanted}
+    rows = melt(pf, ROTATION_META, {f: "relative_strength_return" if f == "return" else f for f in own}, F.lit(PAIR_PREFIX)) if own else None
+    grained = None
+    if wanted is None or any(n.startswith(f"{PAIR_PREFIX}return_") and n not in own.values() for n in wanted):
+        grained = pf.select(*ROTATION_META, F.concat(F.lit(f"{PAIR_PREFIX}return_"), grain).alias("feature"), F.col("relative_strength_return").alias("value"))
+        grained = grained if wanted is None else grained.where(F.col("feature").isin(*wanted))
+    parts = [part for part in (summary, rows, grained) if part is not None]
+    if not parts:
+        raise ValueError(f"no such rotation features: {sorted(wanted or ())}")
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def rotation_names(pairs: DataFrame, snapshots: DataFrame) -> DataFrame:
+    """The names that :func:`rotation_features` gives, from the pair list alone."""
+    own = pairs.where(F.col("combination_type").isin(*ROTATION_TYPES))
+    fixed = F.array(*[F.lit(f"{PAIR_PREFIX}{f}") for f in PAIR_VALUES])
+    grain = F.when(F.col("feature_bar_grain") == "30m", F.lit("30m")).otherwise(F.lit("1d"))
+    by_pair = own.select(F.explode(F.concat(fixed, F.array(F.concat(F.lit(f"{PAIR_PREFIX}return_"), grain)))).alias("feature")).distinct()
+    anyone = snapshots.limit(1)
+    breadth = anyone.select(F.explode(F.array(*[F.lit(f) for f in BREADTH_FEATURES])).alias("feature"))
+    return by_pair.join(anyone.select(F.lit(True).alias("_any")).hint("broadcast"), F.col("_any"), "left_semi").unionByName(breadth).orderBy("feature")
+
+
+SIGNAL_FEATURES = ("relative_strength_return", "relative_strength_distance_to_ma20", "relative_strength_ma_alignment_score")
 
 
 def signal_average(features: DataFrame, keys: Iterable[str]) -> DataFrame:
     """Mean of the non-null among three relative-strength features."""
-    wanted = ("relative_strength_return", "relative_strength_distance_to_ma20", "relative_strength_ma_alignment_score")
     return (
-        features.where(F.col("feature").isin(*wanted))
+        features.where(F.col("feature").isin(*SIGNAL_FEATURES))
         .groupBy(*keys)
         .agg(F.avg("value").alias("signal_average"))
     )
@@ -273,3 +302,9 @@ def fold_payload(features: DataFrame, keys: Iterable[str]) -> DataFrame:
     entries = F.sort_array(F.collect_list(F.struct("feature", "value")))
     payload = F.to_json(F.map_from_entries(entries), {"ignoreNullFields": "false"})
     return features.groupBy(*keys).agg(payload.alias("feature_payload_json"))
+
+
+def upsert_payload(payload: DataFrame, path: str, keys: Iterable[str], partition: str = "snapshot_date") -> None:
+    """Keyed upsert of folded payloads into a table partitioned by snapshot day; a later run of a key replaces it."""
+    rows = payload.withColumns({partition: F.to_date("snapshot_time"), "_at": F.lit(0)})
+    upsert_path(payload.sparkSession, path, rows, [partition, *keys], ["_at"], partition)
