@@ -15,7 +15,7 @@ from tidemark.functions.times import iso_et, parse_ts_et
 from tidemark.operators.articles import article_scan, normalize_articles
 from tidemark.operators.events import detect_equity_events, detect_option_events, equity_measures, event_detail_rows, event_timeline
 from tidemark.operators.joins import chain_rows
-from tidemark.operators.nested import chain_snapshot, flatten_chain, flatten_facts
+from tidemark.operators.nested import chain_snapshot, flatten_chain, flatten_facts, option_rows
 from tidemark.operators.quality import contract_check, normalize_events, require
 from tidemark.plans.features import fold_payload, infer_snapshots
 from tidemark.plans.sources import position_bars
@@ -76,6 +76,28 @@ def test_chain(spark):
     assert r["at"] == "2026-04-24T09:30:02.260000-04:00" and r.option_symbol == "AAPL_2026-05-15_C_270" and r.underlying_price == 271.95
 
 
+def test_option_files(spark):
+    def file(*rows):
+        return json.dumps({"response": [{"contract": dict(zip(("symbol", "expiration", "right", "strike"), key)), "data": data} for key, data in rows]})
+
+    a, b = ("qzt", "2031-05-16", "call", 12.5), ("QZT", "2031-05-16", "PUT", "12.5")
+    quotes = file((a, [{"bid": 1.0, "ask": 1.5}, {"bid": 9.0, "ask": 9.5}]), (("", "2031-05-16", "call", 1), [{"bid": 1.0}]), (("QZT", "x", "call", ""), [{"bid": 1.0}]), (b, [{"bid": 2.0}]))
+    ivs = file((a, [{"implied_vol": 0.4, "underlying_price": 12.0}]), (b, [{"implied_vol": 0.5, "underlying_price": 12.1}]))
+    greeks = file((a, [{"delta": 0.6, "underlying_price": 12.9}]), (b, []))
+    df = lambda *bodies: spark.createDataFrame(list(enumerate(bodies)), "seq int, body string")
+    under = "underlying_price: double, underlying_timestamp: timestamp_ntz"
+    q = option_rows(df(quotes, "{}", None), "bid: double, ask: double", first_only=True)
+    assert q.count() == 2
+    i = option_rows(df(ivs), f"implied_vol: double, {under}", first_only=True)
+    g = option_rows(df(greeks), f"delta: double, {under}", first_only=True)
+    rows = {r.option_right_type: r for r in chain_rows(q, i, g, parse_ts_et(F.lit("2031-05-01T09:30:00-04:00"))).collect()}
+    assert (rows["CALL"].quote.mid, rows["CALL"].greeks.delta, rows["CALL"].underlying_context.underlying_price) == (1.25, 0.6, 12.9)
+    assert rows["PUT"].underlying_context.underlying_price == 12.1 and rows["PUT"].greeks.delta is None and rows["PUT"].quote.mid is None
+    seconds = file((a, [{"timestamp": "2031-05-01T09:30:01", "close": 1.0}, {"timestamp": "2031-05-01T09:30:02", "close": 1.1}]), (b, []))
+    got = option_rows(df(seconds), "timestamp: string, close: double").orderBy("arrival").collect()
+    assert [(r.symbol, r.strike, r.close, r.arrival["_n"]) for r in got] == [("QZT", 12.5, 1.0, 0), ("QZT", 12.5, 1.1, 1)]
+
+
 def test_position_window(spark):
     t = lambda s: datetime.fromisoformat(f"2026-04-24 {s}")
     contracts = spark.createDataFrame([("AAPL", "AAPL260515C270", "2026-05-15", "CALL", 270, t("09:30"), t("09:31"))],

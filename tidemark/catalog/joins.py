@@ -177,6 +177,25 @@ def foj_chain_3way(spark, d):
     return rounded(out, *CH)
 
 
+@query("option_envelope", f"SELECT symbol, expiration, strike, option_right_type, {rlist(*CH)}, days_to_expiration FROM chain")
+def option_envelope(spark, d):
+    """The same chain from provider files, one for each contract and arrival."""
+    from ..operators.nested import option_rows
+
+    def files(df):
+        values = [c for c in df.columns if c not in (*J.CHAIN_KEY, "arrival")]
+        contract = F.struct(F.lower("symbol").alias("symbol"), "expiration", F.lower("option_right_type").alias("right"), "strike").alias("contract")
+        late = F.struct(*[F.lit(None).cast(df.schema[c].dataType).alias(c) for c in values])
+        body = F.to_json(F.struct(F.array(F.struct(contract, F.array(F.struct(*values), late).alias("data"))).alias("response")))
+        element = ", ".join(f"{c}: {df.schema[c].dataType.simpleString()}" for c in values)
+        return option_rows(df.select(F.col("arrival").alias("seq"), body.alias("body")), element, first_only=True)
+
+    out = J.chain_rows(*map(files, chain_inputs(spark, d)), F.lit(SNAP).cast("timestamp_ntz"))
+    out = out.select("symbol", "expiration", "strike", "option_right_type", "quote.*", "iv.implied_vol", "greeks.delta",
+                     "underlying_context.underlying_price", "derived.days_to_expiration")
+    return rounded(out, *CH)
+
+
 @query("unexpired_filter", """
 SELECT p_partkey, CAST(DATE '1999-01-01' + p_size AS VARCHAR) AS expiration, p_size - 9 AS days_to_expiration FROM part WHERE p_size - 9 >= 0""")
 def unexpired_filter(spark, d):

@@ -239,8 +239,10 @@ def chain_rows(quotes: DataFrame, ivs: DataFrame, greeks: DataFrame, snapshot: C
     """Quotes, implied volatilities and Greeks FULL OUTER on the contract.
 
     Each input: contract key, ``arrival`` and its own value columns. The last arrival wins;
-    the underlying comes from the Greeks row, else the IV row; expired contracts drop.
+    the underlying comes from the Greeks row, else the IV row; expired contracts drop. A Greeks row
+    with ``has_data`` false (see ``nested.option_rows``) counts as none.
     """
+    plain = (*CHAIN_KEY, "arrival", "has_data")
 
     def one(df: DataFrame, name: str, columns: Sequence[str]) -> DataFrame:
         key_ok = F.lit(True)
@@ -254,15 +256,16 @@ def chain_rows(quotes: DataFrame, ivs: DataFrame, greeks: DataFrame, snapshot: C
             .agg(F.max_by(F.struct(*columns), F.col("arrival")).alias(name))
         )
 
-    q = one(quotes, "q", [c for c in quotes.columns if c not in (*CHAIN_KEY, "arrival")])
-    i = one(ivs, "i", [c for c in ivs.columns if c not in (*CHAIN_KEY, "arrival")])
+    q = one(quotes, "q", [c for c in quotes.columns if c not in plain])
+    i = one(ivs, "i", [c for c in ivs.columns if c not in plain])
     g = one(greeks, "g", [c for c in greeks.columns if c not in (*CHAIN_KEY, "arrival")])
+    from_greeks = F.col("g").isNotNull() & (F.coalesce(F.col("g.has_data"), F.lit(False)) if "has_data" in greeks.columns else F.lit(True))
     joined = q.join(i, list(CHAIN_KEY), "full_outer").join(g, list(CHAIN_KEY), "full_outer")
     dte = F.datediff(F.col("expiration").try_cast("date"), F.to_date(snapshot)).cast("bigint")
-    under = F.when(F.col("g").isNotNull(), F.struct(F.col("g.underlying_price"), F.col("g.underlying_timestamp"))).otherwise(
+    under = F.when(from_greeks, F.struct(F.col("g.underlying_price"), F.col("g.underlying_timestamp"))).otherwise(
         F.struct(F.col("i.underlying_price"), F.col("i.underlying_timestamp"))
     )
-    quote_fields = [F.col(f"q.{c}").alias(c) for c in quotes.columns if c not in (*CHAIN_KEY, "arrival", "bid", "ask")]
+    quote_fields = [F.col(f"q.{c}").alias(c) for c in quotes.columns if c not in (*plain, "bid", "ask")]
     quote = F.struct(
         F.col("q.bid").alias("bid"),
         F.col("q.ask").alias("ask"),

@@ -214,3 +214,32 @@ def normalize_news(df: DataFrame) -> DataFrame:
         "summary",
         F.col("url").alias("event_link_url"),
     )
+
+
+def option_rows(files: DataFrame, element: str, body: str = "body", order: str = "seq", first_only: bool = False) -> DataFrame:
+    """Provider option files ``{"response": [{"contract": {...}, "data": [...]}]}`` to contract rows.
+
+    ``element`` is the DDL of one data element, ``order`` a column that orders the files. Gives symbol, expiration, strike,
+    option_right_type (as :func:`chain_rows`, :func:`option_bars` and :func:`window_stats` take them), the element's
+    columns, ``arrival`` (file, contract, element) and ``has_data``. Contracts with an empty key field drop. With
+    ``first_only`` (snapshots) a contract gives one row from its first element, or a row without data.
+    """
+    contract = "struct<symbol: string, expiration: string, right: string, strike: string>"
+    parsed = F.from_json(F.col(body), f"struct<response: array<struct<contract: {contract}, data: array<struct<{element}>>>>>")
+    each = files.select(F.col(order).alias("_file"), F.posexplode(parsed["response"]).alias("_at", "_r"))
+    key = {
+        "symbol": F.upper("_r.contract.symbol"),
+        "expiration": F.col("_r.contract.expiration"),
+        "strike": F.col("_r.contract.strike").try_cast("double"),
+        "option_right_type": F.upper("_r.contract.right"),
+    }
+    each = each.withColumns(key)
+    for name in key:
+        each = each.where(F.col(name).isNotNull() & (F.col(name).cast("string") != ""))
+    keys = list(key)
+    if first_only:
+        rows = each.select(*keys, F.struct("_file", "_at", F.lit(0).alias("_n")).alias("arrival"), F.get("_r.data", F.lit(0)).alias("_d"))
+    else:
+        rows = each.select(*keys, "_file", "_at", F.posexplode("_r.data").alias("_n", "_d"))
+        rows = rows.select(*keys, F.struct("_file", "_at", "_n").alias("arrival"), "_d")
+    return rows.select(*keys, "arrival", F.col("_d").isNotNull().alias("has_data"), "_d.*")
