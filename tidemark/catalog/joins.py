@@ -212,11 +212,9 @@ SELECT symbol AS underlying, TIMESTAMP '{SNAP}' AS snapshot_time, 'entry' AS sna
   symbol || '_' || expiration || '_' || option_right_type[1] || '_' || CASE WHEN strike = floor(strike) THEN CAST(CAST(strike AS BIGINT) AS VARCHAR) ELSE CAST(CAST(strike AS DOUBLE) AS VARCHAR) END AS option_symbol,
   expiration, option_right_type, strike, {rlist(*CH)}, days_to_expiration FROM chain""")
 def chain_flatten(spark, d):
-    from ..operators.nested import chain_snapshot, flatten_chain
+    from ..operators.nested import flatten_contracts
 
-    rows = chain(spark, d)
-    snap = chain_snapshot(rows, F.col("symbol"), F.lit(SNAP).cast("timestamp_ntz"), ["expiration", "strike", "option_right_type"])
-    out = flatten_chain(snap)
+    out = flatten_contracts(chain(spark, d), F.col("symbol"), F.lit(SNAP).cast("timestamp_ntz"))
     return rounded(out, *CH).select("underlying", "snapshot_time", "snapshot_type", "option_symbol", "expiration", "option_right_type",
                                     "strike", *CH, "days_to_expiration")
 

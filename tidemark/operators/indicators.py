@@ -61,8 +61,16 @@ BREADTH_FEATURES = (
 CORR_FEATURES = ("return_corr_20d", "return_corr_60d", "return_corr_20d_60d_change")
 
 
-def prepare_bars(bars: DataFrame, availability: str = "start", width_s: Column | None = None) -> DataFrame:
-    """Upper-case symbols, finite prices and the time each bar becomes visible."""
+def prepare_bars(bars: DataFrame, availability: str = "start", width_s: Column | None = None, strict: bool = True) -> DataFrame:
+    """Upper-case symbols, finite prices and the time each bar becomes visible.
+
+    A bar without a readable time stops the job; with ``strict`` off it is dropped.
+    """
+    if strict:
+        told = F.raise_error(F.concat(F.lit("bar of "), F.coalesce("symbol", F.lit("?")), F.lit(" has no readable time"))).cast("timestamp_ntz")
+        bars = bars.withColumn("ts", F.coalesce(F.col("ts").cast("timestamp_ntz"), told))
+    else:
+        bars = bars.where(F.col("ts").isNotNull())
     fixed = {c: finite(F.col(c).cast("double")) for c in ("bar_open", "bar_high", "bar_low", "bar_close")}
     return (
         bars.withColumns({"symbol": F.upper(F.trim("symbol")), **fixed})

@@ -87,6 +87,7 @@ CHAIN_FIELDS = {
     "underlying_context": ("underlying_price", "underlying_timestamp"),
     "derived": ("days_to_expiration",),
 }
+CONTRACT_FIELDS = ("expiration", "option_right_type", "strike", "quote", "iv", "greeks", "derived", "underlying_context")
 WHOLE_FIELDS = ("bid_exchange", "ask_exchange", "bid_condition", "ask_condition", "days_to_expiration")
 
 
@@ -94,7 +95,17 @@ def flatten_chain(snapshots: DataFrame, snapshot_type: str = "entry") -> DataFra
     """``contracts`` array of a chain snapshot to one wide row per contract."""
     if snapshot_type not in ("entry", "exit"):
         raise ValueError("snapshot_type must be 'entry' or 'exit'")
-    each = snapshots.select("underlying", "snapshot_time", F.explode("contracts").alias("c")).where(F.col("c").isNotNull())
+    return _wide(snapshots.select("underlying", "snapshot_time", F.explode("contracts").alias("c")).where(F.col("c").isNotNull()), snapshot_type)
+
+
+def flatten_contracts(contracts: DataFrame, underlying: Column, snapshot_time: Column, snapshot_type: str = "entry") -> DataFrame:
+    """Contract rows (see ``joins.chain_rows``) to wide rows, without putting a chain together."""
+    if snapshot_type not in ("entry", "exit"):
+        raise ValueError("snapshot_type must be 'entry' or 'exit'")
+    return _wide(contracts.select(underlying.alias("underlying"), snapshot_time.alias("snapshot_time"), F.struct(*CONTRACT_FIELDS).alias("c")), snapshot_type)
+
+
+def _wide(each: DataFrame, snapshot_type: str) -> DataFrame:
     element = each.schema["c"].dataType
 
     def field(struct: str, name: str) -> Column:
@@ -124,14 +135,13 @@ def flatten_chain(snapshots: DataFrame, snapshot_type: str = "entry") -> DataFra
 
 
 def chain_snapshot(contracts: DataFrame, underlying: Column, snapshot_time: Column, order: Sequence[str]) -> DataFrame:
-    """Contract rows to one nested snapshot row per underlying (the snapshot's file form).
+    """Contract rows to nested snapshot rows, one for each underlying and expiration (the snapshot's file form).
 
-    A chain is bounded by the exchange's listing (some thousand contracts per underlying).
+    The strikes that an exchange lists for one expiration bound a row.
     """
-    body = ("expiration", "option_right_type", "strike", "quote", "iv", "greeks", "derived", "underlying_context")
-    keyed = contracts.select(underlying.alias("underlying"), snapshot_time.alias("snapshot_time"),
-                             F.struct(*order, F.struct(*body).alias("_c")).alias("_k"))
-    return keyed.groupBy("underlying", "snapshot_time").agg(
+    keyed = contracts.select(underlying.alias("underlying"), snapshot_time.alias("snapshot_time"), "expiration",
+                             F.struct(*order, F.struct(*CONTRACT_FIELDS).alias("_c")).alias("_k"))
+    return keyed.groupBy("underlying", "snapshot_time", "expiration").agg(
         F.count(F.lit(1)).alias("contract_count"),
         F.transform(F.sort_array(F.collect_list("_k")), lambda k: k["_c"]).alias("contracts"),
     )
