@@ -38,9 +38,9 @@ QUOTE = ("avg_bid", "avg_ask", "avg_mid", "avg_spread", "min_spread", "max_sprea
          "last_bid", "last_ask", "last_mid")
 
 
-@query("quote_bars", f"SELECT symbol, bucket, quote_count, {rlist(*QUOTE)} FROM qb")
+@query("quote_bars", f"SELECT symbol, bucket, quote_count, {rlist(*QUOTE)}, first_quote_ts, last_quote_ts FROM qb")
 def quote_bars(spark, d):
-    return rounded(P.quotes30(spark, d), *QUOTE).drop("first_quote_ts", "last_quote_ts")
+    return rounded(P.quotes30(spark, d), *QUOTE)
 
 
 cte("liq", """SELECT coalesce(t.symbol, q.symbol) AS symbol, coalesce(t.bucket, q.bucket) AS bucket,

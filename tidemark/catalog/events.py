@@ -24,7 +24,7 @@ cte("ez", """SELECT symbol, ts, metric, CASE WHEN count(*) OVER w = 20 THEN (val
   WHERE value IS NOT NULL WINDOW w AS (PARTITION BY symbol, metric ORDER BY ts ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING)""")
 cte("escore", """SELECT m.*, max(z) FILTER (metric = 'ret') AS ret_z, max(z) FILTER (metric = 'volume') AS volume_z, max(z) FILTER (metric = 'relative') AS relative_z,
   max(z) FILTER (metric = 'spread') AS spread_z FROM emeas m LEFT JOIN ez USING (symbol, ts) GROUP BY ALL""")
-GAP = 3.0  # random prices gap a lot
+GAP = E.EQUITY_DEFAULTS["min_abs_gap_pct"]
 
 
 def ebars(spark, d):
@@ -57,6 +57,7 @@ def trailing_zscore(spark, d):
     return out.select("symbol", "ts", *[r(c).alias(c) for c in ("ret_z", "volume_z", "relative_z", "spread_z")])
 
 
+SCORES = {"gap_pct": "gap", "return_zscore": "ret_z", "volume_zscore": "volume_z", "relative_strength_zscore": "relative_z", "liquidity_spread_zscore": "spread_z"}
 ET_SQL = "strftime(ts, '%Y-%m-%dT%H:%M:%S') || '-05:00'"  # the events of January are all in winter time
 cte("eact", f"""SELECT *, {ET_SQL} AS at_text, list_filter([CASE WHEN abs(ret_z) >= 3 THEN 'return_zscore' END, CASE WHEN volume_z >= 3 THEN 'volume_spike' END,
   CASE WHEN abs(relative_z) >= 3 THEN 'sector_relative_move' END, CASE WHEN abs(gap) >= {GAP} THEN 'gap' END, CASE WHEN spread_z >= 3 THEN 'liquidity_spread' END],
@@ -64,15 +65,15 @@ cte("eact", f"""SELECT *, {ET_SQL} AS at_text, list_filter([CASE WHEN abs(ret_z)
 
 
 def equity_events(spark, d):
-    return E.detect_equity_events(ebars(spark, d), ebench(spark, d), eliq(spark, d), min_abs_gap_pct=GAP)
+    return E.detect_equity_events(ebars(spark, d), ebench(spark, d), eliq(spark, d))
 
 
 @query("equity_abnormal_events", f"""
-SELECT 'eq_abn_' || sym || '_' || left(replace(regexp_replace(at_text, '[-:+]', '', 'g'), 'T', '_'), 24) AS event_id, sym AS symbol, at_text AS event_time,
-  'equity_abnormal_activity_event' AS event_type, sym || ' abnormal equity activity' AS title,
+SELECT 'eq_abn_' || sym || '_' || left(replace(regexp_replace(at_text, '[-:+]', '', 'g'), 'T', '_'), 24) AS event_id, sym AS symbol, at_text AS event_time, at_text AS effective_time,
+  'equity_abnormal_activity_event' AS event_type, 'equity_market_data' AS source_type, sym || ' abnormal equity activity' AS title,
   sym || ' triggered ' || array_to_string(act, ', ') || ' over 30Min bars.' AS summary, array_to_string(act, ';') AS abnormal_activity_type,
   '{{"event_time":"' || at_text || '","lookback_intervals":20,"timeframe":"30Min"}}' AS evidence_window,
-  round(gap, 6) + 0.0 AS gap_pct, round(ret_z, 6) + 0.0 AS return_zscore,
+  {', '.join(f'round({c}, 6) + 0.0 AS {n}' for n, c in SCORES.items())},
   'equity_bar:' || sym || ':' || at_text || CASE WHEN has_liquidity THEN ';equity_liquidity_bar:' || sym || ':' || at_text ELSE '' END
   || CASE WHEN benchmark_ret IS NOT NULL THEN ';benchmark_return:' || at_text ELSE '' END AS source_references,
   '{{"benchmark_present":' || CASE WHEN benchmark_ret IS NOT NULL THEN 'true' ELSE 'false' END || ',"detector":"equity_abnormal_activity_v0"}}' AS taxonomy_context
@@ -80,8 +81,8 @@ FROM eact WHERE len(act) > 0""")
 def equity_abnormal_events(spark, d):
     out = equity_events(spark, d)
     num = lambda c: (F.nullif(F.col(c), F.lit("")).cast("double") + F.lit(0.0)).alias(c)
-    return out.select("event_id", "symbol", "event_time", "event_type", "title", "summary", "abnormal_activity_type", "evidence_window",
-                      num("gap_pct"), num("return_zscore"), "source_references", "taxonomy_context")
+    return out.select("event_id", "symbol", "event_time", "effective_time", "event_type", "source_type", "title", "summary", "abnormal_activity_type",
+                      "evidence_window", *map(num, SCORES), "source_references", "taxonomy_context")
 
 
 @query("event_id_equity", """SELECT 'eq_abn_' || upper(symbol) || '_' || left(strftime(bucket, '%Y%m%d_%H%M%S') || '0500', 24) AS event_id, symbol, bucket FROM tb""")

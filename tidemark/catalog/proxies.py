@@ -71,7 +71,7 @@ QB = """SELECT symbol, time_bucket(INTERVAL '30 minutes', ts) AS bucket, count(*
   round(coalesce(sum(mid), 0) / count(*), 10) AS avg_mid, round(sum(spread) / count(spread), 10) AS avg_spread, min(spread) AS min_spread, max(spread) AS max_spread,
   sum(bid_size) / count(*) AS avg_bid_size, sum(ask_size) / count(*) AS avg_ask_size,
   arg_max(bid, row(ts, seq)) AS last_bid, arg_max(ask, row(ts, seq)) AS last_ask,
-  arg_max_null(mid, row(ts, seq)) AS last_mid
+  arg_max_null(mid, row(ts, seq)) AS last_mid, min(ts) AS first_quote_ts, max(ts) AS last_quote_ts
   FROM {source} GROUP BY ALL"""
 cte("qb", QB.format(source="qt"))
 cte("qb_gap", QB.format(source="qt_late"))
