@@ -8,7 +8,7 @@ import pytest
 from tidemark.llm.common import number_rows
 from tidemark.llm.permutation import permuted
 from tidemark.llm.sharding import sharded
-from tidemark.llm.token_output import END, PAD, materialised, read_shards, write_shards
+from tidemark.llm.token_output import END, PAD, materialised, numbered_sequences, read_shards, write_shards
 
 SCHEMA = "doc_id bigint, text string"
 
@@ -47,7 +47,7 @@ def test_shards(spark):
 
 def test_shards_hold_every_sequence_and_can_be_resumed(spark, tmp_path):
     rows = [(i, "ab é" * (i % 40)) for i in range(200)] + [(5, "ab é" * 5), (None, None), (7, ""), (999, "long " * 20_000)]
-    spark.createDataFrame([(*r, 1) for r in rows], "doc_id bigint, text string, part int").repartition(3).write.parquet(f"{tmp_path}/docs")
+    spark.createDataFrame([(*r, 1) for r in rows], "doc_id bigint, text string, offset int").repartition(3).write.parquet(f"{tmp_path}/docs")
     docs, path = spark.read.parquet(f"{tmp_path}/docs"), f"file://{tmp_path}/out"
     index = write_shards(docs, path, length=16, records=50)
     got = sorted(read_shards(index, path, length=16).collect(), key=lambda r: r["slot"])
@@ -57,12 +57,18 @@ def test_shards_hold_every_sequence_and_can_be_resumed(spark, tmp_path):
     assert len(files) == -(-len(got) // 50) and all(p.stat().st_size % 16 == 0 for p in files)
     whole = b"".join(p.read_bytes() for p in files)
     assert whole[16 * 77 : 16 * 78].rstrip(bytes([PAD])) == bytes(got[77]["tokens"])  # a seek finds slot 77
-    texts = {}
-    for r in sorted(got, key=lambda r: r["part"]):
-        texts.setdefault(r["doc_id"], []).append(bytes(r["tokens"]))
-    for i, t in rows:
-        if i not in (5, 7):  # ids of two rows
-            assert b"".join(texts[i]) == (t or "").encode() + bytes([END])
+    # put back in scan order, the sequences spell out every document; each tells where it begins
+    rows_, n = numbered_sequences(docs, 16)
+    by_row = sorted(rows_.collect(), key=lambda r: r["row_no"])
+    assert n == len(got) == len(by_row) and sorted((bytes(r["tokens"]), r["doc_id"], r["offset"]) for r in by_row) == sorted(
+        (bytes(r["tokens"]), r["doc_id"], r["offset"]) for r in got)
+    spelled = b"".join(bytes(r["tokens"]) for r in by_row)
+    assert sorted(spelled.split(bytes([END]))[:-1]) == sorted((t or "").encode() for _, t in rows)
+    texts = {i: (t or "").encode() + bytes([END]) for i, t in rows}
+    for r in got:
+        if r["doc_id"] not in (5, 7):  # ids of two rows
+            start = texts[r["doc_id"]][r["offset"] :][:16]
+            assert bytes(r["tokens"]).startswith(start)
     order = [r["doc_id"] for r in got if r["doc_id"] is not None]
     assert sum(a <= b for a, b in zip(order, order[1:])) < 0.95 * len(order)
 

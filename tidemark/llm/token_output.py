@@ -1,6 +1,8 @@
 """Training-order output: fixed-stride shards of token ids in the order of a keyed permutation.
 
-Sequences of SEQUENCE ids get global numbers in the order of the scan, and the permuted number is the slot. Slots s * RECORDS .. (s + 1) * RECORDS - 1 make shard s: rows are range-partitioned by slot, sorted,
+Documents, each closed by END, are strung together and cut into sequences of SEQUENCE ids; only the last sequence
+of a scanned partition is filled with PAD. Sequences get global numbers in the order of the scan, and the permuted
+number is the slot. Slots s * RECORDS .. (s + 1) * RECORDS - 1 make shard s: rows are range-partitioned by slot, sorted,
 and written as records of equal length, so the ids of slot x lie at byte (x mod RECORDS) * SEQUENCE of shard
 x div RECORDS, and a reader resumes at any slot by a seek.
 
@@ -24,49 +26,65 @@ from .words import slices
 
 SEQUENCE, RECORDS, SEED = 1024, 4096, 77
 END, PAD = 0xFF, 0xFE
-ROW = "slot bigint, shard bigint, at bigint, doc_id bigint, part int, n_tokens int"
+ROW = "slot bigint, shard bigint, at bigint, doc_id bigint, offset bigint, n_tokens int"
 
 
 def shard_name(shard: int) -> str:
     return f"shard-{shard:08d}.bin"
 
 
-def numbered_sequences(docs: DataFrame, length: int = SEQUENCE) -> DataFrame:
-    """row_no, doc_id, part and tokens (binary) of every sequence of ``docs`` (doc_id, text).
+def numbered_sequences(docs: DataFrame, length: int = SEQUENCE) -> tuple[DataFrame, int]:
+    """row_no, doc_id, offset and tokens (binary) of every sequence of ``docs`` (doc_id, text), and their number.
 
-    A document's bytes and END are cut into parts of ``length``; null and empty texts are one part with END alone.
-    Numbers follow the scan: ``docs`` must be read from files, so that both passes (and a rerun of a task) see
-    the same rows in each partition. Sequences are counted by partition first, so the texts are not shuffled.
+    doc_id and offset tell where a sequence begins: so many ids into that document. Null and empty texts are END
+    alone. Numbers follow the scan: ``docs`` must be read from files, so that both passes (and a rerun of a task)
+    see the same rows in each partition. Ids are counted by partition first, so the texts are not shuffled to number them.
     """
-    parts = F.expr(f"octet_length(coalesce(text, '')) div {length} + 1")
-    counts = {r["p"]: r["n"] for r in docs.groupBy(F.spark_partition_id().alias("p")).agg(F.sum(parts).alias("n")).collect()}
+    ids = F.sum(F.octet_length(F.coalesce("text", F.lit(""))) + 1)
+    found = docs.groupBy(F.spark_partition_id().alias("p")).agg(ids.alias("n")).collect()  # a number for each partition
+    counts = {r["p"]: -(-r["n"] // length) for r in found}
     order = sorted(counts)
     before = dict(zip(order, np.cumsum([0, *(counts[p] for p in order)])[:-1].tolist()))
-    bases = docs.sparkSession.sparkContext.broadcast((before, counts))  # a number for each partition
+    bases = docs.sparkSession.sparkContext.broadcast((before, counts))
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place = TaskContext.get().partitionId()
         base, left = bases.value[0].get(place, 0), bases.value[1].get(place, 0)
+        rest, owner, into = b"", None, 0  # ids not yet cut, and where they begin
+
+        def cut(stream, ids, starts, whole):
+            nonlocal base, left
+            at = np.arange(whole) * length
+            k = np.searchsorted(starts, at, "right") - 1
+            tokens = [stream[x : x + length] for x in at.tolist()]
+            first = pa.array([ids[i] for i in k.tolist()], pa.int64())
+            rows = pa.RecordBatch.from_arrays([pa.array(np.arange(base, base + whole)), first, pa.array(at - starts[k]), pa.array(tokens, pa.binary())],
+                                              ["row_no", "doc_id", "offset", "tokens"])
+            base, left = base + whole, left - whole
+            return rows
+
         for batch in batches:
-            ids = batch.column(0).to_pylist()
+            names = batch.column(0).to_pylist()
             for a, b, data, offsets in slices(batch.column(1)):
                 body = data.tobytes()
-                doc, part, tokens = [], [], []
-                for i in range(b - a):
-                    s, e = int(offsets[i]), int(offsets[i + 1])
-                    n = (e - s) // length + 1
-                    doc += [ids[a + i]] * n
-                    part += range(n)
-                    tokens += [body[s + k * length : min(e, s + (k + 1) * length)] for k in range(n)]
-                left -= len(doc)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.arange(base, base + len(doc))), pa.array(doc, pa.int64()), pa.array(part, pa.int32()), pa.array(tokens, pa.binary())],
-                    ["row_no", "doc_id", "part", "tokens"])
-                base += len(doc)
+                texts = [body[s:e] for s, e in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
+                stream = rest + b"".join(t + bytes([END]) for t in texts)
+                size = np.array([len(t) + 1 for t in texts])
+                starts, ids = len(rest) + np.cumsum(size) - size, names[a:b]
+                if rest:
+                    starts, ids = np.concatenate(([-into], starts)), [owner, *ids]
+                whole = len(stream) // length
+                if whole:
+                    yield cut(stream, ids, starts, whole)
+                k = int(np.searchsorted(starts, whole * length, "right")) - 1
+                rest, owner, into = stream[whole * length :], ids[k], whole * length - int(starts[k])
+        if rest:
+            yield cut(rest, [owner], np.array([-into]), 1)
         if left:
             raise ValueError("the documents changed between two passes; write them to a table first")
 
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(of, "row_no bigint, doc_id bigint, part int, tokens binary")
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(of, "row_no bigint, doc_id bigint, offset bigint, tokens binary")
+    return rows, sum(counts.values())
 
 
 def _writer(path: str, length: int, records: int):
@@ -89,13 +107,11 @@ def _writer(path: str, length: int, records: int):
                     temp = f"{folder}/.{shard_name(shard)}-{uuid.uuid4().hex}"
                     out = store.open_output_stream(temp)
                 body = tokens[i].as_py()
-                if len(body) < length:
-                    body += bytes([END])
                 sizes[i] = len(body)
                 out.write(body.ljust(length, bytes([PAD])))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(slots // records), pa.array(slots % records * length), batch.column(1), batch.column(2), pa.array(sizes)],
-                ["slot", "shard", "at", "doc_id", "part", "n_tokens"])
+                ["slot", "shard", "at", "doc_id", "offset", "n_tokens"])
         if out is not None:
             close()
 
@@ -105,16 +121,15 @@ def _writer(path: str, length: int, records: int):
 def write_shards(docs: DataFrame, path: str, length: int = SEQUENCE, records: int = RECORDS, seed: int = SEED) -> DataFrame:
     """Write all sequences as shards below ``path`` (a URI that executors share); returns the index, a staged table.
 
-    The index has slot, shard, at (byte offset), doc_id, part and n_tokens (END counts, PAD not), in shard order.
+    The index has slot, shard, at (byte offset), doc_id and offset of the first id, and n_tokens (without PAD), in shard order.
     """
-    rows = numbered_sequences(docs, length)
-    n = docs.agg(F.sum(F.expr(f"octet_length(coalesce(text, '')) div {length} + 1"))).first()[0] or 0
+    rows, n = numbered_sequences(docs, length)
     store, folder = fs.FileSystem.from_uri(path)
     store.create_dir(folder, recursive=True)
-    slots = rows.select(permuted("row_no", n, seed).alias("slot"), "doc_id", "part", "tokens").withColumn("shard", F.expr(f"slot div {records}"))
+    slots = rows.select(permuted("row_no", n, seed).alias("slot"), "doc_id", "offset", "tokens").withColumn("shard", F.expr(f"slot div {records}"))
     shards = max(1, -(-n // records))
     # a shard never spans two tasks
-    dealt = slots.repartitionByRange(shards, "shard").sortWithinPartitions("slot").select("slot", "doc_id", "part", "tokens")
+    dealt = slots.repartitionByRange(shards, "shard").sortWithinPartitions("slot").select("slot", "doc_id", "offset", "tokens")
     return stage(dealt.mapInArrow(_writer(path, length, records), ROW), "index")
 
 
