@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from .common import WORD
+from .common import WORD, stage
 
 BUDGET, HISTORY, SYSTEM = 512, 128, 64  # tokens of a window, of repeated turns, and kept free for the system turn
 BLOCK = 256  # turn numbers in a block of prefix sums
@@ -62,6 +62,7 @@ def windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTORY, syst
     rows = rows.withColumn("start", start).withColumns({"bucket": F.floor(F.col("start") / half), "long": F.col("tokens") > half})
 
     turn = ["conv_id", "start", "role", "text", "tokens"]
+    rows = stage(rows.select("key", "bucket", "long", *turn), "turns")  # four branches read it
     spans = rows.groupBy("key", "bucket", "long").agg(F.min("start").alias("first"))
     # the earliest system turn, and every later span repeats it
     lead = rows.where("role = 'system'").groupBy("key").agg(F.min_by(F.struct(*turn), "start").alias("s"))
