@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
+from ..sources.sinks import shared_dir
+
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -14,20 +15,6 @@ def table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a temporary one only in local mode with none named."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
-        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-    current = spark.sparkContext._jsc.sc().getCheckpointDir()
-    if not current.isDefined():
-        spark.sparkContext.setCheckpointDir("file:" + tempfile.mkdtemp(prefix="run-"))
-        current = spark.sparkContext._jsc.sc().getCheckpointDir()
-    return current.get().rstrip("/")
-
-
 def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/llm-{name}-{uuid.uuid4().hex}"
 
