@@ -9,6 +9,7 @@ public_tokenizers = pytest.importorskip("public_tokenizers")
 
 import corpus_pipeline as pipeline  # noqa: E402
 from brute import near_groups, targets, words  # noqa: E402
+from tidemark.llm.quality import quality_scores  # noqa: E402
 
 SMALL = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SMALL), reason="test tables absent")
@@ -23,9 +24,10 @@ def test_stages(spark, tmp_path):
         kept.append(docs.collect())
         assert i == len(pipeline.STAGES) - 1 or docs.columns == columns
     good, single, mix, ids = kept
-    truth = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{SMALL}/labels.parquet").collect()}
-    total = spark.read.parquet(f"{SMALL}/documents.parquet").count()
-    assert 0 < len(good) < total and sum(truth.get(r["doc_id"], 1) == 0 for r in good) <= 2
+    # some fifty labelled rows train it here; test_quality measures held-out accuracy
+    whole = spark.read.parquet(f"{SMALL}/documents.parquet")
+    judged = quality_scores(whole, spark.read.parquet(f"{SMALL}/labels.parquet")).collect()
+    assert 0 < len(good) < whole.count() and {r["doc_id"] for r in good} == {r["doc_id"] for r in judged if r["predicted"]}
     groups = near_groups({r["doc_id"]: r["text"] for r in good})
     assert {r["doc_id"] for r in single} == {i for i, (_, c) in groups.items() if i == c}
     sizes, taken, times = {}, {}, {}
