@@ -229,6 +229,13 @@ class Model:
         return " ".join(self.names[ids].tolist())
 
 
+def vocabulary_size(path: str) -> int:
+    """One more than the largest id of the tokenizer file."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    return 1 + max(*spec["model"]["vocab"].values(), *(t["id"] for t in spec["added_tokens"]))
+
+
 _models: dict[int, Model] = {}
 
 

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .bpe import encoded
+from .bpe import encoded, vocabulary_size
 from .chat import read_back, windows
-from .common import table
+from .common import stage, table
 from .licenses import scanned
 from .mixing import mixed
 from .near_dedup import near_groups
@@ -91,8 +91,10 @@ def op8_mixing(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def op9_token_output(spark: SparkSession, d: str) -> DataFrame:
-    """Every sequence's place in the shards, read back from them."""
-    return materialised(table(spark, d, "documents"))
+    """Every sequence of tokenizer ids and its place in the shards, read back from them."""
+    path = tokenizer_path()
+    ids = stage(encoded(table(spark, d, "documents").select("doc_id", "text"), path, with_text=False).select("doc_id", "ids"), "ids")
+    return materialised(ids, vocabulary=vocabulary_size(path))
 
 
 @query

@@ -3,26 +3,30 @@
 Documents, each closed by END, are strung together and cut into sequences of SEQUENCE ids; only the last sequence
 of a scanned partition is filled with PAD. Sequences get global numbers in the order of the scan, and the permuted
 number is the slot. Slots s * RECORDS .. (s + 1) * RECORDS - 1 make shard s: rows are range-partitioned by slot, sorted,
-and written as records of equal length, so the ids of slot x lie at byte (x mod RECORDS) * SEQUENCE of shard
+and written as records of equal length, so the ids of slot x lie at byte (x mod RECORDS) * SEQUENCE * width of shard
 x div RECORDS, and a reader resumes at any slot by a seek.
 
-Ids are the bytes of the UTF-8 text, one byte each; END and PAD are bytes that UTF-8 never uses.
+With a ``vocabulary`` (number of ids), documents are (doc_id, ids array<int>) and an id takes 2 or 4 bytes, little-endian;
+the two ids after the vocabulary are END and PAD. Without one, documents are (doc_id, text) and ids are the bytes of
+the UTF-8 text, one byte each; END and PAD are bytes that UTF-8 never uses.
 """
 
 from __future__ import annotations
 
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from .common import new_path, stage
 from .permutation import permuted
-from .words import slices
+from .words import SLICE, slices
 
 SEQUENCE, RECORDS, SEED = 1024, 4096, 77
 END, PAD = 0xFF, 0xFE
@@ -33,14 +37,41 @@ def shard_name(shard: int) -> str:
     return f"shard-{shard:08d}.bin"
 
 
-def numbered_sequences(docs: DataFrame, length: int = SEQUENCE) -> tuple[DataFrame, int]:
-    """row_no, doc_id, offset and tokens (binary) of every sequence of ``docs`` (doc_id, text), and their number.
+def layout(vocabulary: int | None) -> tuple[np.dtype, int, int]:
+    """(stored type of an id, END, PAD)."""
+    if vocabulary is None:
+        return np.dtype("u1"), END, PAD
+    return np.dtype("<u2" if vocabulary + 2 <= 1 << 16 else "<u4"), vocabulary, vocabulary + 1
 
-    doc_id and offset tell where a sequence begins: so many ids into that document. Null and empty texts are END
+
+def _id_slices(column: pa.ListArray, vocabulary: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, last row + 1, ids, offsets from 0) of runs of rows of about SLICE ids."""
+    values, offsets = column.flatten(), column.offsets.to_numpy().astype(np.int64)
+    offsets = offsets - offsets[0]
+    if values.null_count or len(values) and not (0 <= pc.min(values).as_py() and pc.max(values).as_py() < vocabulary):
+        raise ValueError(f"ids must be 0 to {vocabulary - 1}")
+    ids, at, n = values.to_numpy(), 0, len(column)
+    while at < n:
+        to = min(n, max(at + 1, int(np.searchsorted(offsets, offsets[at] + SLICE, "right")) - 1))
+        yield at, to, ids[offsets[at] : offsets[to]], offsets[at : to + 1] - offsets[at]
+        at = to
+
+
+def numbered_sequences(docs: DataFrame, length: int = SEQUENCE, vocabulary: int | None = None) -> tuple[DataFrame, int]:
+    """row_no, doc_id, offset and tokens (binary, as stored) of every sequence of ``docs``, and their number.
+
+    doc_id and offset tell where a sequence begins: so many ids into that document. Null and empty documents are END
     alone. Numbers follow the scan: ``docs`` must be read from files, so that both passes (and a rerun of a task)
-    see the same rows in each partition. Ids are counted by partition first, so the texts are not shuffled to number them.
+    see the same rows in each partition. Ids are counted by partition first, so the documents are not shuffled to number them.
     """
-    ids = F.sum(F.octet_length(F.coalesce("text", F.lit(""))) + 1)
+    kind, end, _ = layout(vocabulary)
+    wide = kind.itemsize
+    if vocabulary is None:
+        content, size = "text", F.octet_length(F.coalesce("text", F.lit("")))
+    else:
+        content, size = F.coalesce("ids", F.array().cast("array<int>")).alias("ids"), F.coalesce(F.size("ids"), F.lit(0))
+        size = F.greatest(size, F.lit(0))  # of null it may be -1
+    ids = F.sum(size.cast("bigint") + 1)
     found = docs.groupBy(F.spark_partition_id().alias("p")).agg(ids.alias("n")).collect()  # a number for each partition
     counts = {r["p"]: -(-r["n"] // length) for r in found}
     order = sorted(counts)
@@ -50,13 +81,15 @@ def numbered_sequences(docs: DataFrame, length: int = SEQUENCE) -> tuple[DataFra
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place = TaskContext.get().partitionId()
         base, left = bases.value[0].get(place, 0), bases.value[1].get(place, 0)
-        rest, owner, into = b"", None, 0  # ids not yet cut, and where they begin
+        # ids not yet cut, where their documents begin in them, and which those are
+        rest, starts, ids = np.zeros(0, kind), np.zeros(0, np.int64), []
 
-        def cut(stream, ids, starts, whole):
+        def cut(whole):
             nonlocal base, left
             at = np.arange(whole) * length
             k = np.searchsorted(starts, at, "right") - 1
-            tokens = [stream[x : x + length] for x in at.tolist()]
+            body = rest[: whole * length].tobytes()
+            tokens = [body[x : x + length * wide] for x in (at * wide).tolist()]
             first = pa.array([ids[i] for i in k.tolist()], pa.int64())
             rows = pa.RecordBatch.from_arrays([pa.array(np.arange(base, base + whole)), first, pa.array(at - starts[k]), pa.array(tokens, pa.binary())],
                                               ["row_no", "doc_id", "offset", "tokens"])
@@ -64,30 +97,33 @@ def numbered_sequences(docs: DataFrame, length: int = SEQUENCE) -> tuple[DataFra
             return rows
 
         for batch in batches:
-            names = batch.column(0).to_pylist()
-            for a, b, data, offsets in slices(batch.column(1)):
-                body = data.tobytes()
-                texts = [body[s:e] for s, e in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
-                stream = rest + b"".join(t + bytes([END]) for t in texts)
-                size = np.array([len(t) + 1 for t in texts])
-                starts, ids = len(rest) + np.cumsum(size) - size, names[a:b]
-                if rest:
-                    starts, ids = np.concatenate(([-into], starts)), [owner, *ids]
-                whole = len(stream) // length
+            names, column = batch.column(0).to_pylist(), batch.column(1)
+            for a, b, data, offsets in slices(column) if vocabulary is None else _id_slices(column, vocabulary):
+                size = np.diff(offsets) + 1
+                closed = np.full(len(data) + b - a, end, kind)
+                inner = np.ones(len(closed), bool)
+                inner[np.cumsum(size) - 1] = False
+                closed[inner] = data
+                starts, ids = np.concatenate((starts, len(rest) + np.cumsum(size) - size)), ids + names[a:b]
+                rest = np.concatenate((rest, closed))
+                whole = len(rest) // length
                 if whole:
-                    yield cut(stream, ids, starts, whole)
-                k = int(np.searchsorted(starts, whole * length, "right")) - 1
-                rest, owner, into = stream[whole * length :], ids[k], whole * length - int(starts[k])
-        if rest:
-            yield cut(rest, [owner], np.array([-into]), 1)
+                    yield cut(whole)
+                    k = int(np.searchsorted(starts, whole * length, "right")) - 1
+                    rest, starts, ids = rest[whole * length :].copy(), starts[k:] - whole * length, ids[k:]
+        if len(rest):
+            yield cut(1)
         if left:
             raise ValueError("the documents changed between two passes; write them to a table first")
 
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(of, "row_no bigint, doc_id bigint, offset bigint, tokens binary")
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), content).mapInArrow(of, "row_no bigint, doc_id bigint, offset bigint, tokens binary")
     return rows, sum(counts.values())
 
 
-def _writer(path: str, length: int, records: int):
+def _writer(path: str, length: int, records: int, vocabulary: int | None):
+    kind, _, pad = layout(vocabulary)
+    wide, blank = kind.itemsize, np.full(length, pad, kind).tobytes()
+
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, folder = fs.FileSystem.from_uri(path)
         shard, out, temp = None, None, ""
@@ -107,10 +143,10 @@ def _writer(path: str, length: int, records: int):
                     temp = f"{folder}/.{shard_name(shard)}-{uuid.uuid4().hex}"
                     out = store.open_output_stream(temp)
                 body = tokens[i].as_py()
-                sizes[i] = len(body)
-                out.write(body.ljust(length, bytes([PAD])))
+                sizes[i] = len(body) // wide
+                out.write(body + blank[len(body) :])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(slots // records), pa.array(slots % records * length), batch.column(1), batch.column(2), pa.array(sizes)],
+                [batch.column(0), pa.array(slots // records), pa.array(slots % records * length * wide), batch.column(1), batch.column(2), pa.array(sizes)],
                 ["slot", "shard", "at", "doc_id", "offset", "n_tokens"])
         if out is not None:
             close()
@@ -118,23 +154,29 @@ def _writer(path: str, length: int, records: int):
     return of
 
 
-def write_shards(docs: DataFrame, path: str, length: int = SEQUENCE, records: int = RECORDS, seed: int = SEED) -> DataFrame:
+def write_shards(docs: DataFrame, path: str, length: int = SEQUENCE, records: int = RECORDS, seed: int = SEED,
+                 vocabulary: int | None = None) -> DataFrame:
     """Write all sequences as shards below ``path`` (a URI that executors share); returns the index, a staged table.
 
     The index has slot, shard, at (byte offset), doc_id and offset of the first id, and n_tokens (without PAD), in shard order.
     """
-    rows, n = numbered_sequences(docs, length)
+    rows, n = numbered_sequences(docs, length, vocabulary)
     store, folder = fs.FileSystem.from_uri(path)
     store.create_dir(folder, recursive=True)
     slots = rows.select(permuted("row_no", n, seed).alias("slot"), "doc_id", "offset", "tokens").withColumn("shard", F.expr(f"slot div {records}"))
     shards = max(1, -(-n // records))
     # a shard never spans two tasks
     dealt = slots.repartitionByRange(shards, "shard").sortWithinPartitions("slot").select("slot", "doc_id", "offset", "tokens")
-    return stage(dealt.mapInArrow(_writer(path, length, records), ROW), "index")
+    return stage(dealt.mapInArrow(_writer(path, length, records, vocabulary), ROW), "index")
+
 
+def read_shards(index: DataFrame, path: str, length: int = SEQUENCE, vocabulary: int | None = None) -> DataFrame:
+    """The index rows with ``tokens`` (binary, with a vocabulary array<int>; without PAD) read from the shards.
 
-def read_shards(index: DataFrame, path: str, length: int = SEQUENCE) -> DataFrame:
-    """The index rows with ``tokens`` (binary, without PAD) read from the shards."""
+    tokens_crc32 is the checksum of the stored bytes of these ids.
+    """
+    kind, _, _ = layout(vocabulary)
+    wide = kind.itemsize
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, folder = fs.FileSystem.from_uri(path)
@@ -146,18 +188,24 @@ def read_shards(index: DataFrame, path: str, length: int = SEQUENCE) -> DataFram
                     if file is not None:
                         file.close()
                     shard, file = s, store.open_input_file(f"{folder}/{shard_name(s)}")
-                tokens.append(file.read_at(length, at)[:n])
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(tokens, pa.binary())], [*batch.schema.names, "tokens"])
+                tokens.append(file.read_at(length * wide, at)[: n * wide])
+            if vocabulary is None:
+                column = pa.array(tokens, pa.binary())
+            else:
+                ends = np.cumsum([0, *(len(t) // wide for t in tokens)])
+                column = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(tokens), kind).astype(np.int32)))
+            sums = pa.array([zlib.crc32(t) for t in tokens], pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.columns, column, sums], [*batch.schema.names, "tokens", "tokens_crc32"])
         if file is not None:
             file.close()
 
-    return index.mapInArrow(of, ROW + ", tokens binary")
+    return index.mapInArrow(of, f"{ROW}, tokens {'binary' if vocabulary is None else 'array<int>'}, tokens_crc32 bigint")
 
 
-def materialised(docs: DataFrame, path: str | None = None) -> DataFrame:
+def materialised(docs: DataFrame, path: str | None = None, vocabulary: int | None = None) -> DataFrame:
     """Write the shards and read them back: the index with crc32 of each record's ids."""
     path = path or new_path(docs.sparkSession, "shards")
     if "://" not in path and not path.startswith("file:"):
         path = "file://" + path
-    index = write_shards(docs, path)
-    return read_shards(index, path).withColumn("tokens_crc32", F.crc32("tokens")).drop("tokens")
+    index = write_shards(docs, path, vocabulary=vocabulary)
+    return read_shards(index, path, vocabulary=vocabulary).drop("tokens")
