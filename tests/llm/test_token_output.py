@@ -53,3 +53,27 @@ def test_query_writes_the_tokenizers_ids(spark):
     texts = [r[0] or "" for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").collect()]
     want = sum(len(e.ids) + 1 for e in library.encode_batch(texts, add_special_tokens=False))
     assert sum(r["n_tokens"] for r in op9_token_output(spark, "/root/testdata/sf0.001").collect()) == want
+
+
+@pytest.mark.parametrize("vocabulary", [None, 49_408])
+def test_every_document_is_found_in_the_index(spark, tmp_path, vocabulary):
+    # short, empty, null, repeated and long documents; most begin and end inside a record
+    rows = [(i, "ab" * (i % 4)) for i in range(300)] + [(7, "copy")] * 40 + [(8, ""), (9, None), (None, "none"), (500, "long " * 300)]
+    if vocabulary is not None:
+        rows = [(i, None if t is None else [ord(c) * 300 for c in t]) for i, t in rows]
+    spark.createDataFrame(rows, SCHEMA if vocabulary else "doc_id bigint, text string").repartition(3).write.parquet(f"{tmp_path}/docs")
+    docs, path = spark.read.parquet(f"{tmp_path}/docs"), f"file://{tmp_path}/out"
+    index = write_shards(docs, path, length=16, records=50, vocabulary=vocabulary)
+    by_row = {r["row_no"]: r for r in read_shards(index, path, length=16, vocabulary=vocabulary).collect()}
+    _, end, _ = layout(vocabulary)
+    found = []
+    for r in by_row.values():
+        for doc_id, start, n in r["begins"]:
+            stream, at = list(r["tokens"])[start:], r["row_no"] + 1
+            while len(stream) <= n:
+                stream += list(by_row[at]["tokens"])
+                at += 1
+            assert stream[n] == end
+            found.append((doc_id is not None, doc_id or 0, stream[:n]))
+    want = [(i is not None, i or 0, list(t.encode()) if isinstance(t, str) else t or []) for i, t in rows]
+    assert sorted(found) == sorted(want)

@@ -30,7 +30,8 @@ from .words import SLICE, slices
 
 SEQUENCE, RECORDS, SEED = 1024, 4096, 77
 END, PAD = 0xFF, 0xFE
-ROW = "slot bigint, shard bigint, at bigint, doc_id bigint, offset bigint, n_tokens int"
+BEGINS = "begins array<struct<doc_id bigint, start int, n_ids bigint>>"
+ROW = f"slot bigint, shard bigint, at bigint, row_no bigint, doc_id bigint, offset bigint, n_tokens int, {BEGINS}"
 
 
 def shard_name(shard: int) -> str:
@@ -58,9 +59,11 @@ def _id_slices(column: pa.ListArray, vocabulary: int) -> Iterator[tuple[int, int
 
 
 def numbered_sequences(docs: DataFrame, length: int = SEQUENCE, vocabulary: int | None = None) -> tuple[DataFrame, int]:
-    """row_no, doc_id, offset and tokens (binary, as stored) of every sequence of ``docs``, and their number.
+    """row_no, doc_id, offset, tokens (binary, as stored) and begins of every sequence of ``docs``, and their number.
 
-    doc_id and offset tell where a sequence begins: so many ids into that document. Null and empty documents are END
+    doc_id and offset tell where a sequence begins: so many ids into that document. begins lists every document whose
+    first id (or END) stands in the sequence: its doc_id, the place there, and its number of ids without END; what does
+    not fit goes on in the following row_no. Each row of ``docs`` is in one such list. Null and empty documents are END
     alone. Numbers follow the scan: ``docs`` must be read from files, so that both passes (and a rerun of a task)
     see the same rows in each partition. Ids are counted by partition first, so the documents are not shuffled to number them.
     """
@@ -81,8 +84,8 @@ def numbered_sequences(docs: DataFrame, length: int = SEQUENCE, vocabulary: int
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place = TaskContext.get().partitionId()
         base, left = bases.value[0].get(place, 0), bases.value[1].get(place, 0)
-        # ids not yet cut, where their documents begin in them, and which those are
-        rest, starts, ids = np.zeros(0, kind), np.zeros(0, np.int64), []
+        # ids not yet cut, where their documents begin in them, which those are and how long
+        rest, starts, ids, sizes = np.zeros(0, kind), np.zeros(0, np.int64), [], np.zeros(0, np.int64)
 
         def cut(whole):
             nonlocal base, left
@@ -91,8 +94,13 @@ def numbered_sequences(docs: DataFrame, length: int = SEQUENCE, vocabulary: int
             body = rest[: whole * length].tobytes()
             tokens = [body[x : x + length * wide] for x in (at * wide).tolist()]
             first = pa.array([ids[i] for i in k.tolist()], pa.int64())
-            rows = pa.RecordBatch.from_arrays([pa.array(np.arange(base, base + whole)), first, pa.array(at - starts[k]), pa.array(tokens, pa.binary())],
-                                              ["row_no", "doc_id", "offset", "tokens"])
+            x, y = np.searchsorted(starts, (0, whole * length))
+            here = pa.StructArray.from_arrays([pa.array(ids[x:y], pa.int64()), pa.array((starts[x:y] % length).astype(np.int32)), pa.array(sizes[x:y] - 1)],
+                                              ["doc_id", "start", "n_ids"])
+            edges = np.append(np.searchsorted(starts[x:y], at), y - x).astype(np.int32)
+            begins = pa.ListArray.from_arrays(pa.array(edges), here)
+            rows = pa.RecordBatch.from_arrays([pa.array(np.arange(base, base + whole)), first, pa.array(at - starts[k]), pa.array(tokens, pa.binary()), begins],
+                                              ["row_no", "doc_id", "offset", "tokens", "begins"])
             base, left = base + whole, left - whole
             return rows
 
@@ -105,18 +113,19 @@ def numbered_sequences(docs: DataFrame, length: int = SEQUENCE, vocabulary: int
                 inner[np.cumsum(size) - 1] = False
                 closed[inner] = data
                 starts, ids = np.concatenate((starts, len(rest) + np.cumsum(size) - size)), ids + names[a:b]
+                sizes = np.concatenate((sizes, size))
                 rest = np.concatenate((rest, closed))
                 whole = len(rest) // length
                 if whole:
                     yield cut(whole)
                     k = int(np.searchsorted(starts, whole * length, "right")) - 1
-                    rest, starts, ids = rest[whole * length :].copy(), starts[k:] - whole * length, ids[k:]
+                    rest, starts, ids, sizes = rest[whole * length :].copy(), starts[k:] - whole * length, ids[k:], sizes[k:]
         if len(rest):
             yield cut(1)
         if left:
             raise ValueError("the documents changed between two passes; write them to a table first")
 
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), content).mapInArrow(of, "row_no bigint, doc_id bigint, offset bigint, tokens binary")
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), content).mapInArrow(of, f"row_no bigint, doc_id bigint, offset bigint, tokens binary, {BEGINS}")
     return rows, sum(counts.values())
 
 
@@ -133,7 +142,7 @@ def _writer(path: str, length: int, records: int, vocabulary: int | None):
             store.move(temp, f"{folder}/{shard_name(shard)}")  # whole or not at all; a rerun writes the same bytes
 
         for batch in batches:
-            slots, tokens = batch.column(0).to_numpy(), batch.column(3)
+            slots, tokens = batch.column("slot").to_numpy(), batch.column("tokens")
             sizes = np.zeros(len(batch), np.int32)
             for i, slot in enumerate(slots.tolist()):
                 if slot // records != shard:
@@ -146,8 +155,9 @@ def _writer(path: str, length: int, records: int, vocabulary: int | None):
                 sizes[i] = len(body) // wide
                 out.write(body + blank[len(body) :])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(slots // records), pa.array(slots % records * length * wide), batch.column(1), batch.column(2), pa.array(sizes)],
-                ["slot", "shard", "at", "doc_id", "offset", "n_tokens"])
+                [batch.column("slot"), pa.array(slots // records), pa.array(slots % records * length * wide), *map(batch.column, ("row_no", "doc_id", "offset")),
+                 pa.array(sizes), batch.column("begins")],
+                ["slot", "shard", "at", "row_no", "doc_id", "offset", "n_tokens", "begins"])
         if out is not None:
             close()
 
@@ -158,15 +168,16 @@ def write_shards(docs: DataFrame, path: str, length: int = SEQUENCE, records: in
                  vocabulary: int | None = None) -> DataFrame:
     """Write all sequences as shards below ``path`` (a URI that executors share); returns the index, a staged table.
 
-    The index has slot, shard, at (byte offset), doc_id and offset of the first id, and n_tokens (without PAD), in shard order.
+    The index has slot, shard, at (byte offset), row_no, doc_id and offset of the first id, n_tokens (without PAD) and begins
+    (the documents that start in the record; they go on in the following row_no), in shard order.
     """
     rows, n = numbered_sequences(docs, length, vocabulary)
     store, folder = fs.FileSystem.from_uri(path)
     store.create_dir(folder, recursive=True)
-    slots = rows.select(permuted("row_no", n, seed).alias("slot"), "doc_id", "offset", "tokens").withColumn("shard", F.expr(f"slot div {records}"))
+    slots = rows.select(permuted("row_no", n, seed).alias("slot"), "row_no", "doc_id", "offset", "begins", "tokens").withColumn("shard", F.expr(f"slot div {records}"))
     shards = max(1, -(-n // records))
     # a shard never spans two tasks
-    dealt = slots.repartitionByRange(shards, "shard").sortWithinPartitions("slot").select("slot", "doc_id", "offset", "tokens")
+    dealt = slots.repartitionByRange(shards, "shard").sortWithinPartitions("slot").select("slot", "row_no", "doc_id", "offset", "begins", "tokens")
     return stage(dealt.mapInArrow(_writer(path, length, records, vocabulary), ROW), "index")
 
 
