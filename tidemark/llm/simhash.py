@@ -14,7 +14,7 @@ from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from .common import number_rows, stage
+from .common import components, number_rows, stage
 
 SPACE = r"[\x20\x09-\x0D]+"
 RADIUS, BLOCKS = 3, 6
@@ -74,6 +74,37 @@ def near_queries(queries: DataFrame, prints: DataFrame, radius: int = RADIUS, bl
     return pairs.where("fingerprint <> other").select("fingerprint", "other").distinct()
 
 
+def near_links(prints: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
+    """All pairs (fingerprint < other) of distinct fingerprints within ``radius`` bits, each once, native.
+
+    A pair that agrees in several block tables counts in the first of them only.
+    """
+    tables = block_tables(prints.select("fingerprint").distinct(), radius, blocks)
+    other = tables.select(F.col("fingerprint").alias("other"), "place", "key")
+    masks = ", ".join(f"{m}L" if m != -(1 << 63) else f"(-{(1 << 63) - 1}L - 1L)" for m in block_masks(radius, blocks))
+    differ = F.col("fingerprint").bitwiseXOR(F.col("other"))
+    first = F.expr(f"array_position(transform(array({masks}), m -> ((fingerprint ^ other) & m) = 0L), true) = place + 1")
+    pairs = tables.join(other, ["place", "key"]).where((F.col("fingerprint") < F.col("other")) & (F.bit_count(differ) <= radius)).where(first)
+    return pairs.select("fingerprint", "other")
+
+
+def neighbours(prints: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
+    """For each distinct fingerprint of the rows of ``prints``: n_near and near_class.
+
+    n_near counts the other rows within ``radius`` bits of a row, those with the same fingerprint too. near_class is the
+    smallest fingerprint (as a signed long) that links of at most ``radius`` bits lead to.
+    """
+    held = stage(prints.groupBy("fingerprint").agg(F.count("*").alias("n")), "prints-held")
+    links = stage(near_links(held, radius, blocks), "near-links")
+    both = links.unionAll(links.select(F.col("other").alias("fingerprint"), F.col("fingerprint").alias("other")))
+    sizes = held.select(F.col("fingerprint").alias("other"), F.col("n").alias("m"))
+    near = both.join(sizes, "other").groupBy("fingerprint").agg(F.sum("m").alias("m"))
+    classes = components(links.select(F.col("fingerprint").alias("a"), F.col("other").alias("b")), "near-classes")
+    classes = classes.select(F.col("node").alias("fingerprint"), "component")
+    return held.join(near, "fingerprint", "left").join(classes, "fingerprint", "left").select(
+        "fingerprint", (F.col("n") - 1 + F.coalesce("m", F.lit(0))).alias("n_near"), F.coalesce("component", "fingerprint").alias("near_class"))
+
+
 def likeness(a: Column | str, b: Column | str) -> Column:
     """Share of equal bits."""
     a, b = (F.col(c) if isinstance(c, str) else c for c in (a, b))
@@ -109,7 +140,8 @@ def compared(docs: DataFrame) -> DataFrame:
     """Fingerprints of every text, its edited text, and how like they are.
 
     Returns doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint (16 hex digits), near_edited,
-    near_next and near_found (another fingerprint lies within RADIUS bits), a row for each row of ``docs``.
+    near_next, near_found, n_near (other rows whose fingerprint lies within RADIUS bits, equal ones included; found if
+    there are any) and near_class (16 hex digits: the fingerprint that names the class of rows linked so), a row for each row of ``docs``.
     Null text counts as empty; texts without words have fingerprint 0. Further columns drop.
     """
     both = with_edits(docs).select(
@@ -122,9 +154,9 @@ def compared(docs: DataFrame) -> DataFrame:
                                      F.max(F.when(F.col("which") == 1, F.col("fingerprint"))).alias("edited"))
     rows = stage(rows, "fingerprints")
     after = rows.select(F.col("run").alias("next_run"), F.col("at").alias("next_at"), F.col("own").alias("next"))
-    near = with_near(rows.select(F.col("own").alias("fingerprint"))).select(F.col("fingerprint").alias("own"), F.lit(True).alias("found"))
-    rows = rows.join(after, ["next_run", "next_at"]).join(near, "own", "left")
+    near = neighbours(rows.select(F.col("own").alias("fingerprint"))).withColumnRenamed("fingerprint", "own")
+    rows = rows.join(after, ["next_run", "next_at"]).join(near, "own")
     text = lambda c: F.lower(F.lpad(F.hex(c), 16, "0"))
     return rows.select("doc_id", "n_chars", "edited_sha256", text("own").alias("fingerprint"), text("edited").alias("edited_fingerprint"),
                        likeness("own", "edited").alias("near_edited"), likeness("own", "next").alias("near_next"),
-                       F.coalesce("found", F.lit(False)).alias("near_found"))
+                       (F.col("n_near") > 0).alias("near_found"), "n_near", text("near_class").alias("near_class"))
