@@ -18,4 +18,4 @@ def test_matches_duckdb(spark, key):
 
 
 def test_there_is_a_query_for_each_operator():
-    assert sorted(int(k.split("_")[0][2:]) for k in QUERIES) == list(range(1, 11))
+    assert sorted(int(k.split("_")[0][2:]) for k in QUERIES) == list(range(1, 14))

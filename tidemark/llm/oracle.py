@@ -87,4 +87,27 @@ one AS (SELECT count(*) AS n, CAST(ceil(sqrt(count(*))) AS BIGINT) AS a, CAST(ce
 SELECT doc_id, size, text_crc32, 'rows' AS law, CAST(slot % {sharding.SHARDS} AS INTEGER) AS shard, slot // {sharding.SHARDS} AS slot, CAST(NULL AS INTEGER) AS grown_shard FROM slots"""
 
 
-ORACLE = {"op1_chat": CHAT, "op2_top_products": TOP, "op3_near_dedup": NEAR, "op4_licenses": license_sql(), "op6_sharding": shard_sql()}
+MIDDLE = r"""
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS t, sha256(concat('7:', CAST(doc_id AS VARCHAR))) AS h FROM documents),
+units AS (SELECT *, regexp_extract_all(t, '[^\n]*\n|[^\n]+') AS u,
+  [CAST('0x' || substr(h, 8 * i + 1, 8) AS BIGINT) FOR i IN range(4)] AS r FROM texts),
+cuts AS (SELECT *, len(u) AS n, least(r[1] % (len(u) + 1), r[2] % (len(u) + 1)) AS x, greatest(r[1] % (len(u) + 1), r[2] % (len(u) + 1)) AS y FROM units),
+pieces AS (SELECT *, array_to_string(u[1:x], '') AS p, array_to_string(u[x + 1:y], '') AS m, array_to_string(u[y + 1:n], '') AS s,
+  CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR r[3] % 100 >= 100 THEN 'plain'
+    WHEN r[4] % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM cuts)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(t) AS restored_sha256 FROM pieces"""
+
+NEGATIVES = """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(CAST(x AS DOUBLE) * 256)) AS v
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, v.vec_id, a.label = v.label AS same, CAST(list_inner_product(a.v, v.v) AS BIGINT) AS score FROM v a, v WHERE a.vec_id % 100 = 0 AND a.vec_id <> v.vec_id),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+n AS (SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS r, vec_id AS negative_id, positive_score, score AS negative_score
+  FROM p JOIN s USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score)
+SELECT anchor_id, positive_id, CAST(r AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE r <= 10"""
+
+
+ORACLE = {"op1_chat": CHAT, "op2_top_products": TOP, "op3_near_dedup": NEAR, "op4_licenses": license_sql(), "op6_sharding": shard_sql(),
+          "op11_fill_middle": MIDDLE, "op12_hard_negatives": NEGATIVES}

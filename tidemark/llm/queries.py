@@ -7,8 +7,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .bpe import encoded, vocabulary_size
 from .chat import read_back, windows
 from .common import stage, table
+from .fill_middle import restored, transformed
+from .hard_negatives import hard_negatives
 from .licenses import scanned
 from .mixing import mixed
+from .multi_index import nearest_neighbours
 from .near_dedup import near_groups
 from .oracle import ORACLE
 from .pivot_search import top_products
@@ -100,3 +103,27 @@ def op9_token_output(spark: SparkSession, d: str) -> DataFrame:
 @query
 def op10_quality(spark: SparkSession, d: str) -> DataFrame:
     return quality_scores(table(spark, d, "documents"), table(spark, d, "labels"))
+
+
+@query
+def op11_fill_middle(spark: SparkSession, d: str) -> DataFrame:
+    """Digests of the reordered texts and of the texts rebuilt from them."""
+    rows = restored(transformed(table(spark, d, "documents")))
+    return rows.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2("restored", 256).alias("restored_sha256"))
+
+
+@query
+def op12_hard_negatives(spark: SparkSession, d: str) -> DataFrame:
+    """Components scaled to floor(256 x), labels of every seventh row moved on by one; every hundredth row is an anchor."""
+    fine = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < float("inf")))
+    label = F.expr("IF(vec_id % 7 = 0, (label + 1) % 10, label)").alias("label")
+    scaled = F.transform("embedding", lambda x: F.floor(x.cast("double") * 256).cast("double")).alias("vector")
+    rows = table(spark, d, "embeddings").where(fine).select("vec_id", label, scaled)
+    return hard_negatives(rows, rows.where("vec_id % 100 = 0"))
+
+
+@query
+def op13_multi_index(spark: SparkSession, d: str) -> DataFrame:
+    """Queries are the rows whose vec_id is divisible by 50."""
+    vectors = table(spark, d, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("vector"))
+    return nearest_neighbours(vectors, vectors.where("vec_id % 50 = 0"))
