@@ -6,9 +6,13 @@ import math
 
 from pyspark.sql import functions as F
 
-from ..operators import indicators as I, joins as J
+from ..functions.numbers import safe_div, safe_log_ratio
+from ..operators import indicators as I
+from ..operators.epochs import common_epochs, expand, snapshot_grid, with_times
 from ..plans import features as X
+from ..shared import staged
 from . import proxies as P
+from .joins import daily, ends
 from .registry import cte, query, r, rlist, rounded, rs
 
 A = repr(math.sqrt(252))
@@ -75,32 +79,18 @@ def daily_log_returns(spark, d):
     return I.return_series(indicators(spark, d)).select("symbol", "idx", r("value").alias("value"))
 
 
-cte("marks30", """SELECT s.snapshot_time, u.symbol, n.c AS now_c, b.c AS before_c FROM snaps s CROSS JOIN usyms u
-  ASOF LEFT JOIN daily n ON n.symbol = u.symbol AND s.snapshot_time >= n.avail
-  ASOF LEFT JOIN daily b ON b.symbol = u.symbol AND s.snapshot_time - INTERVAL '30 minutes' >= b.avail""")
+# what each symbol's latest close was, now and 30 minutes before
+cte("marks30", """SELECT s.snapshot_time, u.symbol, n.c AS now_c, b.c AS before_c, n.idx AS now_i, b.idx AS before_i FROM snaps s CROSS JOIN usyms u
+  ASOF LEFT JOIN ind1 n ON n.symbol = u.symbol AND s.snapshot_time >= n.avail
+  ASOF LEFT JOIN ind1 b ON b.symbol = u.symbol AND s.snapshot_time - INTERVAL '30 minutes' >= b.avail""")
 
 
 @query("return_30m", f"SELECT snapshot_time, symbol, {rs('ln(now_c / before_c)')} AS return_30m FROM marks30")
 def return_30m(spark, d):
-    from ..functions.numbers import safe_log_ratio
-
-    points = J.with_each(P.snapshots(spark, d), P.universe(spark, d), ["symbol"])
-    m = X.close_marks(points, P.daily_bars(spark, d))
-    return m.select("snapshot_time", "symbol", r(safe_log_ratio(F.col("close_now"), F.col("close_before"))).alias("return_30m"))
-
-
-def visible(spark, d):
-    ind = X.staged(indicators(spark, d), "indicators")
-    return ind, J.visible_rows(P.snapshots(spark, d), ind)
-
-
-def pairs_at(spark, d):
-    return J.with_each(P.snapshots(spark, d), P.pairs(spark, d), X.PAIR_COLUMNS)
-
-
-def pair_states(spark, d):
-    ind, vis = visible(spark, d)
-    return ind, X.staged(I.pair_ends(vis, pairs_at(spark, d), ["idx", "bad", "ret_idx", "realized_vol_20d"]), "ends")
+    grid = snapshot_grid(P.snapshots(spark, d))
+    spans = X.mark_epochs(P.daily_bars(spark, d), P.universe(spark, d).select("symbol"), grid)
+    moved = spans.select("symbol", *X.SPAN, r(safe_log_ratio(F.col("close_now"), F.col("close_before"))).alias("return_30m"))
+    return expand(moved, grid)
 
 
 cte("trend", f"""SELECT numerator, denominator, n_num, n_den, ln(cur / prev) AS ratio_return_1d, {TREND} FROM (SELECT numerator, denominator, n_num, n_den, count(*) AS n,
@@ -113,7 +103,7 @@ cte("trend", f"""SELECT numerator, denominator, n_num, n_den, ln(cur / prev) AS
 
 @query("ratio_trend", f"SELECT numerator, denominator, n_num, n_den, {rlist('ratio_return_1d', *I.TREND_FEATURES)} FROM trend")
 def ratio_trend(spark, d):
-    ind, e = pair_states(spark, d)
+    _, ind, e = ends(spark, d, "idx", "bad", "bar_close")
     return rounded(I.pair_trend(e, I.close_series(ind)), "ratio_return_1d", *I.TREND_FEATURES)
 
 
@@ -131,35 +121,40 @@ corr_cte("pcorr", "ends")
 
 @query("pair_return_corr", f"SELECT numerator, denominator, r_num AS n_num, r_den AS n_den, {rlist(*I.CORR_FEATURES)} FROM pcorr")
 def pair_return_corr(spark, d):
-    ind, e = pair_states(spark, d)
+    _, ind, e = ends(spark, d, "ret_idx", "return_1d")
     return rounded(I.return_corr(e, I.return_series(ind)), *I.CORR_FEATURES)
 
 
-@query("pair_vol_ratio", f"SELECT snapshot_time, combination_id, {rs('num_vol / nullif(den_vol, 0)')} AS realized_vol_20d_ratio FROM ends")
+@query("pair_vol_ratio", """SELECT n.snapshot_time, combination_id, """ + rs("a.vol20 / nullif(b.vol20, 0)") + """ AS realized_vol_20d_ratio
+FROM pairs p JOIN seen n ON n.symbol = p.numerator JOIN seen m ON m.symbol = p.denominator AND m.snapshot_time = n.snapshot_time
+LEFT JOIN ind a ON a.symbol = p.numerator AND a.idx = n.idx LEFT JOIN ind b ON b.symbol = p.denominator AND b.idx = m.idx""")
 def pair_vol_ratio(spark, d):
-    from ..functions.numbers import safe_div
-
-    _, e = pair_states(spark, d)
+    grid, _, e = ends(spark, d, "realized_vol_20d")
     ratio = safe_div(F.col("num_realized_vol_20d"), F.col("den_realized_vol_20d"))
-    return e.select("snapshot_time", "combination_id", r(ratio).alias("realized_vol_20d_ratio"))
+    return expand(e.select(*X.SPAN, "combination_id", r(ratio).alias("realized_vol_20d_ratio")), grid)
 
 
-cte("pf", """SELECT e.*, CASE WHEN e.feature_bar_grain = '30m' THEN ln((a.now_c / b.now_c) / (a.before_c / b.before_c)) ELSE t.ratio_return_1d END AS relative_strength_return,
-  num_vol / nullif(den_vol, 0) AS realized_vol_20d_ratio, t.* EXCLUDE (numerator, denominator, n_num, n_den, ratio_return_1d),
+# pair features by span: those that follow daily bars, and the relative strength return of either grain
+cte("pf", """SELECT e.*, num_vol / nullif(den_vol, 0) AS realized_vol_20d_ratio, t.* EXCLUDE (numerator, denominator, n_num, n_den),
   c.return_corr_20d, c.return_corr_60d, c.return_corr_20d_60d_change
-  FROM ends e LEFT JOIN trend t USING (numerator, denominator, n_num, n_den) LEFT JOIN pcorr c USING (numerator, denominator, r_num, r_den)
-  LEFT JOIN marks30 a ON a.snapshot_time = e.snapshot_time AND a.symbol = e.numerator LEFT JOIN marks30 b ON b.snapshot_time = e.snapshot_time AND b.symbol = e.denominator""")
+  FROM ends e LEFT JOIN trend t USING (numerator, denominator, n_num, n_den) LEFT JOIN pcorr c USING (numerator, denominator, r_num, r_den)""")
+cte("strength", """SELECT p.combination_id, p.combination_type, p.numerator, p.denominator, p.feature_bar_grain, min(a.snapshot_time) AS first_snapshot, max(a.snapshot_time) AS last_snapshot, count(*) AS n_snapshots,
+  any_value(ln((a.now_c / b.now_c) / (a.before_c / b.before_c))) AS relative_strength_return
+  FROM pairs p JOIN marks30 a ON a.symbol = p.numerator JOIN marks30 b ON b.symbol = p.denominator AND b.snapshot_time = a.snapshot_time
+  WHERE p.feature_bar_grain = '30m' GROUP BY p.combination_id, p.combination_type, p.numerator, p.denominator, p.feature_bar_grain, a.now_i, a.before_i, b.now_i, b.before_i
+  UNION ALL SELECT combination_id, combination_type, numerator, denominator, feature_bar_grain, first_snapshot, last_snapshot, n_snapshots, ratio_return_1d FROM pf WHERE feature_bar_grain <> '30m'""")
 
 
-@query("relative_strength_return", f"SELECT snapshot_time, combination_id, feature_bar_grain, {rs('relative_strength_return')} AS relative_strength_return FROM pf")
+@query("relative_strength_return", f"""SELECT snapshot_time, combination_id, feature_bar_grain, {rs('relative_strength_return')} AS relative_strength_return
+FROM strength JOIN snaps ON snapshot_time BETWEEN first_snapshot AND last_snapshot""")
 def relative_strength_return(spark, d):
-    bars = P.daily_bars(spark, d)
-    ind = X.staged(indicators(spark, d, bars), "indicators")
-    vis = J.visible_rows(P.snapshots(spark, d), ind)
-    at = pairs_at(spark, d)
-    legs = at.select("snapshot_time", F.col("numerator").alias("symbol")).unionByName(at.select("snapshot_time", F.col("denominator").alias("symbol")))
-    out = X.pair_features(at, vis, ind, X.close_marks(legs, bars))
-    return out.select("snapshot_time", "combination_id", "feature_bar_grain", r("relative_strength_return").alias("relative_strength_return"))
+    grid, ind, e = ends(spark, d, "idx", "bad", "bar_close")
+    keyed = e.withColumns({"n_num": F.col("num_idx"), "n_den": F.col("den_idx")})
+    stepped = keyed.join(I.pair_trend(e, I.close_series(ind)).select(*I.END, "ratio_return_1d"), list(I.END), "left")
+    pairs = P.pairs(spark, d)
+    out = X.relative_strength(pairs, staged(X.mark_epochs(P.daily_bars(spark, d), X.legs_of(pairs), grid), "marks"), stepped, grid)
+    out = out.select(*X.SPAN, "combination_id", "feature_bar_grain", r("relative_strength_return").alias("relative_strength_return"))
+    return expand(out, grid)
 
 
 BREADTH = ("sector_observation_positive_return_1d_pct", "sector_observation_positive_return_5d_pct", "sector_observation_above_ma20_pct",
@@ -170,19 +165,18 @@ cte("breadth", """SELECT snapshot_time, avg(CAST(r1 > 0 AS INT)) AS sector_obser
   avg(CAST(c > ma200 AS INT)) AS sector_observation_above_ma200_pct, avg(c / ma20 - 1) AS sector_observation_distance_to_ma20_avg,
   CASE WHEN count(ma20) >= 2 THEN stddev_pop(c / ma20 - 1) END AS sector_observation_distance_to_ma20_dispersion,
   CASE WHEN count(r20) >= 2 THEN stddev_pop(r20) END AS sector_observation_return_20d_dispersion
-  FROM vis WHERE symbol IN (SELECT symbol FROM universe WHERE universe_type = 'sector_observation_etf') AND idx IS NOT NULL GROUP BY ALL""")
+  , sum(idx) AS seen_bars FROM seen JOIN ind USING (symbol, idx) WHERE symbol IN (SELECT symbol FROM universe WHERE universe_type = 'sector_observation_etf') GROUP BY snapshot_time""")
 
 
-@query("sector_breadth", f"SELECT snapshot_time, {rlist(*BREADTH)} FROM breadth")
+@query("sector_breadth", f"SELECT snapshot_time, {rlist(*BREADTH)} FROM snaps LEFT JOIN breadth USING (snapshot_time)")
 def sector_breadth(spark, d):
-    _, vis = visible(spark, d)
-    observed = vis.join(X.symbols_of(P.universe(spark, d), X.SECTOR_OBSERVATION), "symbol", "left_semi")
-    return rounded(I.sector_breadth(observed), *BREADTH)
+    _, grid, _, seen = daily(spark, d, "idx", "bar_close", "return_1d", "return_5d", "return_20d", *[f"ma{w}" for w in I.MA_WINDOWS])
+    observed = seen.join(X.symbols_of(P.universe(spark, d), X.SECTOR_OBSERVATION), "symbol", "left_semi")
+    return rounded(expand(X.breadth(observed, grid), grid), *BREADTH)
 
 
-cte("msends", """SELECT s.snapshot_time, a.symbol AS numerator, b.symbol AS denominator, n.idx - 1 AS r_num, m.idx - 1 AS r_den FROM snaps s
-  JOIN universe a ON a.n <= 10 JOIN universe b ON b.n <= 10 AND a.symbol < b.symbol
-  LEFT JOIN vis n ON n.symbol = a.symbol AND n.snapshot_time = s.snapshot_time LEFT JOIN vis m ON m.symbol = b.symbol AND m.snapshot_time = s.snapshot_time""")
+cte("msends", """SELECT n.snapshot_time, a.symbol AS numerator, b.symbol AS denominator, n.idx - 1 AS r_num, m.idx - 1 AS r_den
+  FROM universe a JOIN universe b ON a.n <= 10 AND b.n <= 10 AND a.symbol < b.symbol JOIN seen n ON n.symbol = a.symbol JOIN seen m ON m.symbol = b.symbol AND m.snapshot_time = n.snapshot_time""")
 corr_cte("mscorr", "msends")
 CONC = [f"market_state_{n}_{w}d" for w in (20, 60) for n in ("avg_return_corr", "avg_abs_return_corr", "return_corr_dispersion")]
 cte("conc", "SELECT s.snapshot_time, " + ", ".join(
@@ -193,9 +187,9 @@ cte("conc", "SELECT s.snapshot_time, " + ", ".join(
 
 @query("corr_concentration", f"SELECT snapshot_time, {rlist(*CONC)} FROM conc")
 def corr_concentration(spark, d):
-    ind, vis = visible(spark, d)
-    out = X.concentration(P.snapshots(spark, d), X.symbols_of(P.universe(spark, d), X.MARKET_STATE), vis, ind)
-    return rounded(out, *CONC)
+    _, grid, ind, seen = daily(spark, d, "ret_idx", "return_1d")
+    symbols = X.symbols_of(P.universe(spark, d), X.MARKET_STATE)
+    return rounded(expand(X.concentration(symbols, seen.join(symbols, "symbol", "left_semi"), ind, grid), grid), *CONC)
 
 
 # ------------------------------------------------------------------ feature tables
@@ -208,81 +202,103 @@ SQL_VOL = {"realized_vol_5d": "vol5", "realized_vol_20d": "vol20", "realized_vol
 
 def melt_sql(prefix: str, columns: dict[str, str], source: str) -> str:
     items = ", ".join(f"{{'f': '{name}', 'v': CAST({expr} AS DOUBLE)}}" for name, expr in columns.items())
-    return f"SELECT snapshot_time, {prefix} || x.f AS feature, x.v AS value FROM (SELECT *, unnest([{items}]) AS x FROM {source})"
+    return f"SELECT first_snapshot, last_snapshot, n_snapshots, {prefix} || x.f AS feature, x.v AS value FROM (SELECT *, unnest([{items}]) AS x FROM {source})"
 
 
+SPANNED = "min(snapshot_time) AS first_snapshot, max(snapshot_time) AS last_snapshot, count(*) AS n_snapshots"
 MOVES = {"return_1d": "r1", "return_5d": "r5", "return_20d": "r20", **{n: n for n in I.TREND_FEATURES}}
 PAIRF = {n: n for n in ("realized_vol_20d_ratio", *I.TREND_FEATURES, *I.CORR_FEATURES)}
+cte("spans", f"""SELECT s.*, i.* EXCLUDE (symbol, idx) FROM (SELECT symbol, idx, {SPANNED} FROM seen GROUP BY symbol, idx) s LEFT JOIN ind i ON s.symbol = i.symbol AND s.idx = i.idx""")
+cte("quick", f"SELECT symbol, {SPANNED}, any_value(ln(now_c / before_c)) AS value FROM marks30 GROUP BY symbol, now_i, before_i")
+cte("state_bars", "SELECT snapshot_time, sum(coalesce(idx, 0)) AS bars FROM seen WHERE symbol IN (SELECT symbol FROM universe WHERE n <= 10) GROUP BY snapshot_time")
+cte("conc_spans", f"""SELECT {SPANNED}, {', '.join(f'any_value({n}) AS {n}' for n in CONC)} FROM conc JOIN state_bars USING (snapshot_time) GROUP BY bars""")
 cte("regime", " UNION ALL ".join([
-    melt_sql("lower(symbol) || '_'", SQL_VOL, "vis WHERE symbol IN (SELECT symbol FROM universe WHERE n <= 10)"),
-    melt_sql("lower(symbol) || '_'", MOVES, "vis WHERE symbol IN (SELECT symbol FROM universe WHERE n BETWEEN 2 AND 10)"),
-    "SELECT snapshot_time, lower(symbol) || '_return_30m', ln(now_c / before_c) FROM marks30 WHERE symbol IN (SELECT symbol FROM universe WHERE n BETWEEN 2 AND 10)",
+    melt_sql("lower(symbol) || '_'", SQL_VOL, "spans WHERE symbol IN (SELECT symbol FROM universe WHERE n <= 10)"),
+    melt_sql("lower(symbol) || '_'", MOVES, "spans WHERE symbol IN (SELECT symbol FROM universe WHERE n BETWEEN 2 AND 10)"),
+    "SELECT first_snapshot, last_snapshot, n_snapshots, lower(symbol) || '_return_30m', value FROM quick WHERE symbol IN (SELECT symbol FROM universe WHERE n BETWEEN 2 AND 10)",
     melt_sql("combination_id || '_'", PAIRF, "pf WHERE combination_type = 'primary'"),
-    "SELECT snapshot_time, combination_id || '_' || feature_bar_grain, relative_strength_return FROM pf WHERE combination_type = 'primary'",
-    melt_sql("''", {n: n for n in CONC}, "conc"),
+    "SELECT first_snapshot, last_snapshot, n_snapshots, combination_id || '_' || feature_bar_grain, relative_strength_return FROM strength WHERE combination_type = 'primary'",
+    melt_sql("''", {n: n for n in CONC}, "conc_spans"),
 ]))
 
 
 def regime(spark, d):
-    return X.regime_features(P.daily_bars(spark, d), P.universe(spark, d), P.pairs(spark, d), P.snapshots(spark, d), EXCLUDED)
+    grid = snapshot_grid(P.snapshots(spark, d))
+    return grid, X.regime_spans(P.daily_bars(spark, d), P.universe(spark, d), P.pairs(spark, d), grid, EXCLUDED)
 
 
-@query("regime_features", f"SELECT snapshot_time, feature, {rs('value')} AS value FROM regime")
+@query("regime_features", f"SELECT first_snapshot, last_snapshot, n_snapshots, feature, {rs('value')} AS value FROM regime")
 def regime_features(spark, d):
-    return rounded(regime(spark, d), "value")
+    """Each feature by the runs of snapshots in which no bar that it rests on changes; together they are all snapshots."""
+    grid, spans = regime(spark, d)
+    return rounded(with_times(spans, grid), "value")
 
 
-META = "snapshot_time, numerator AS candidate_symbol, 'sector_industry_etf' AS candidate_type, denominator AS comparison_symbol, combination_id AS rotation_pair_id, combination_type AS rotation_pair_type, feature_bar_grain"
-_pair_items = ", ".join(
-    [f"{{'f': 'relative_strength_{n}', 'v': CAST({n} AS DOUBLE)}}" for n in PAIRF]
-    + ["{'f': 'relative_strength_return', 'v': relative_strength_return}", "{'f': 'relative_strength_return_' || feature_bar_grain, 'v': relative_strength_return}"])
+META = "numerator AS candidate_symbol, 'sector_industry_etf' AS candidate_type, denominator AS comparison_symbol, combination_id AS rotation_pair_id, combination_type AS rotation_pair_type, feature_bar_grain"
+TIMES = "first_snapshot, last_snapshot, n_snapshots"
+_pair_items = ", ".join(f"{{'f': 'relative_strength_{n}', 'v': CAST({n} AS DOUBLE)}}" for n in PAIRF)
+_strength_items = "{'f': 'relative_strength_return', 'v': relative_strength_return}, {'f': 'relative_strength_return_' || feature_bar_grain, 'v': relative_strength_return}"
 _breadth_items = ", ".join(f"{{'f': '{n}', 'v': CAST({n} AS DOUBLE)}}" for n in BREADTH)
-cte("rotation", f"""SELECT * EXCLUDE x, x.f AS feature, x.v AS value FROM (SELECT {META}, unnest([{_pair_items}]) AS x FROM pf WHERE combination_type <> 'primary')
-  UNION ALL SELECT * EXCLUDE x, x.f, x.v FROM (SELECT s.snapshot_time, 'SECTOR_OBSERVATION_UNIVERSE', 'sector_rotation_summary', 'MARKET', 'sector_observation_breadth',
-  'sector_rotation_summary', 'mixed', unnest([{_breadth_items}]) AS x FROM snaps s LEFT JOIN breadth b ON b.snapshot_time = s.snapshot_time)""")
+cte("breadth_spans", f"SELECT {SPANNED}, {', '.join(f'any_value({n}) AS {n}' for n in BREADTH)} FROM snaps LEFT JOIN breadth USING (snapshot_time) GROUP BY seen_bars")
+cte("rotation", f"""SELECT * EXCLUDE x, x.f AS feature, x.v AS value FROM (SELECT {META}, {TIMES}, unnest([{_pair_items}]) AS x FROM pf WHERE combination_type <> 'primary')
+  UNION ALL SELECT * EXCLUDE x, x.f AS feature, x.v AS value FROM (SELECT {META}, {TIMES}, unnest([{_strength_items}]) AS x FROM strength WHERE combination_type <> 'primary')
+  UNION ALL SELECT * EXCLUDE x, x.f, x.v FROM (SELECT 'SECTOR_OBSERVATION_UNIVERSE', 'sector_rotation_summary', 'MARKET', 'sector_observation_breadth',
+  'sector_rotation_summary', 'mixed', {TIMES}, unnest([{_breadth_items}]) AS x FROM breadth_spans)""")
 
 
 def rotation(spark, d, only=None):
-    return X.rotation_features(P.daily_bars(spark, d), P.universe(spark, d), P.pairs(spark, d), P.snapshots(spark, d), only)
+    grid = snapshot_grid(P.snapshots(spark, d))
+    return grid, X.rotation_spans(P.daily_bars(spark, d), P.universe(spark, d), P.pairs(spark, d), grid, only)
 
 
 @query("rotation_features", f"SELECT * EXCLUDE value, {rs('value')} AS value FROM rotation")
 def rotation_features(spark, d):
-    return rounded(rotation(spark, d), "value")
+    grid, spans = rotation(spark, d)
+    return rounded(with_times(spans, grid), "value")
 
 
 def payload_stats(df, keys):
-    m = F.from_json("feature_payload_json", "map<string,double>")
-    df = df.withColumn("_m", m)
-    total = F.aggregate(F.map_values("_m"), F.lit(0.0), lambda a, x: a + F.coalesce(x, F.lit(0.0)))
-    return df.select(*keys, F.size("_m").cast("bigint").alias("n_keys"),
-                     F.size(F.filter(F.map_values("_m"), lambda v: v.isNull())).cast("bigint").alias("n_null"),
-                     F.array_join(F.map_keys("_m"), ",").alias("keys"), r(total, 4).alias("total"))
+    """What a payload holds, in a form that two engines write alike: key count, nulls, digests of names and of values to 6 places."""
+    def stats(m):
+        values = F.transform(F.map_values(m), lambda v: F.coalesce(F.format_string("%.6f", r(v)), F.lit("null")))
+        return F.struct(F.size(m).cast("bigint").alias("n_keys"), F.size(F.filter(F.map_values(m), lambda v: v.isNull())).cast("bigint").alias("n_null"),
+                        F.md5(F.array_join(F.map_keys(m), ",")).alias("keys_md5"), F.md5(F.array_join(values, ",")).alias("values_md5"))
+
+    # read once: a lambda's argument is a value, not an expression to repeat
+    parsed = F.array(F.from_json("feature_payload_json", "map<string,double>"))
+    return df.select(*keys, F.inline(F.transform(parsed, stats)))
 
 
-PAYLOAD_SQL = f"count(*) AS n_keys, count(*) - count(value) AS n_null, string_agg(feature, ',' ORDER BY feature) AS keys, {rs('coalesce(sum(value), 0)', 4)} AS total"
+def payload_sql(keys: str, source: str) -> str:
+    value = f"coalesce(printf('%.6f', {rs('value')}), 'null')"
+    return f"""SELECT {keys + ', ' if keys else ''}snapshot_time, count(*) AS n_keys, count(*) - count(value) AS n_null, md5(string_agg(feature, ',' ORDER BY feature)) AS keys_md5,
+      md5(string_agg({value}, ',' ORDER BY feature)) AS values_md5 FROM {source} JOIN snaps ON snapshot_time BETWEEN first_snapshot AND last_snapshot GROUP BY {keys + ', ' if keys else ''}snapshot_time"""
 
 
-@query("feature_payload_regime", f"SELECT snapshot_time, {PAYLOAD_SQL} FROM regime GROUP BY snapshot_time")
+@query("feature_payload_regime", payload_sql("", "regime"))
 def feature_payload_regime(spark, d):
-    return payload_stats(X.fold_payload(regime(spark, d), ["snapshot_time"]), ["snapshot_time"])
+    grid, spans = regime(spark, d)
+    return payload_stats(X.fold_spans(spans, [], grid), ["snapshot_time"])
 
 
-@query("feature_payload_rotation", f"SELECT {', '.join(X.ROTATION_META)}, {PAYLOAD_SQL} FROM rotation GROUP BY {', '.join(X.ROTATION_META)}")
+@query("feature_payload_rotation", payload_sql(", ".join(X.META), "rotation"))
 def feature_payload_rotation(spark, d):
-    return payload_stats(X.fold_payload(rotation(spark, d), X.ROTATION_META), X.ROTATION_META)
+    grid, spans = rotation(spark, d)
+    return payload_stats(X.fold_spans(spans, X.META, grid), X.ROTATION_META)
 
 
 @query("payload_columns", "SELECT DISTINCT feature FROM rotation")
 def payload_columns(spark, d):
-    return X.rotation_names(P.pairs(spark, d), P.snapshots(spark, d))
+    return X.payload_columns(rotation(spark, d)[1])
 
 
 @query("signal_average", f"""
-SELECT snapshot_time, rotation_pair_id, {rs('avg(value)')} AS signal_average FROM rotation
+SELECT snapshot_time, rotation_pair_id, {rs('avg(value)')} AS signal_average FROM rotation JOIN snaps ON snapshot_time BETWEEN first_snapshot AND last_snapshot
 WHERE feature IN ('relative_strength_return', 'relative_strength_distance_to_ma20', 'relative_strength_ma_alignment_score') GROUP BY ALL""")
 def signal_average(spark, d):
-    return rounded(X.signal_average(rotation(spark, d, X.SIGNAL_FEATURES), ["snapshot_time", "rotation_pair_id"]), "signal_average")
+    grid, spans = rotation(spark, d, X.SIGNAL_FEATURES)
+    averaged = X.signal_average(common_epochs(spans, X.META), ["rotation_pair_id", *X.SPAN])
+    return rounded(expand(averaged, grid), "signal_average")
 
 
 @query("infer_snapshots", """

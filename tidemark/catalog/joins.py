@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.numbers import safe_div
 from ..operators import indicators as I, joins as J
+from ..operators.epochs import epochs, pair_epochs, snapshot_grid
 from ..plans import sources as S
-from ..plans.features import staged
+from ..plans.features import PAIR_COLUMNS
+from ..shared import staged
 from . import proxies as P
 from .registry import cte, query, r, rlist, rounded, rs
 
@@ -34,39 +37,54 @@ def asof_latest_close(spark, d):
 
 
 cte("usyms", "SELECT symbol FROM universe")
-cte("vis", """SELECT s.snapshot_time, u.symbol, i.* EXCLUDE (symbol) FROM snaps s CROSS JOIN usyms u
+cte("seen", """SELECT s.snapshot_time, u.symbol, i.idx FROM snaps s CROSS JOIN usyms u
   ASOF LEFT JOIN ind i ON u.symbol = i.symbol AND s.snapshot_time >= i.avail""")
 
 
 @query("asof_daily_history", f"""
-SELECT snapshot_time, symbol, idx AS bars_visible, ts AS last_day, {rs('c')} AS last_close FROM vis WHERE idx IS NOT NULL""")
+SELECT snapshot_time, symbol, idx AS bars_visible, ts AS last_day, {rs('c')} AS last_close FROM seen JOIN ind USING (symbol, idx)""")
 def asof_daily_history(spark, d):
-    ind = I.daily_indicators(P.daily_bars(spark, d))
+    ind = I.daily_indicators(P.daily_bars(spark, d)).select("symbol", "ts", "available_time", "idx", "bar_close")
     vis = J.visible_rows(P.snapshots(spark, d), ind)
     return vis.select("snapshot_time", "symbol", F.col("idx").alias("bars_visible"), F.col("ts").alias("last_day"),
                       r("bar_close").alias("last_close"))
 
 
-cte("ends", """SELECT s.snapshot_time, p.*, n.idx AS n_num, m.idx AS n_den, n.idx - 1 AS r_num, m.idx - 1 AS r_den, n.vol20 AS num_vol, m.vol20 AS den_vol
-  FROM snaps s CROSS JOIN pairs p LEFT JOIN vis n ON n.symbol = p.numerator AND n.snapshot_time = s.snapshot_time
-  LEFT JOIN vis m ON m.symbol = p.denominator AND m.snapshot_time = s.snapshot_time""")
+# spans of snapshots in which no leg of a pair changes
+cte("ends", """SELECT p.*, n.idx AS n_num, m.idx AS n_den, n.idx - 1 AS r_num, m.idx - 1 AS r_den, a.vol20 AS num_vol, b.vol20 AS den_vol,
+  min(n.snapshot_time) AS first_snapshot, max(n.snapshot_time) AS last_snapshot, count(*) AS n_snapshots
+  FROM pairs p JOIN seen n ON n.symbol = p.numerator JOIN seen m ON m.symbol = p.denominator AND m.snapshot_time = n.snapshot_time
+  LEFT JOIN ind a ON a.symbol = p.numerator AND a.idx = n.idx LEFT JOIN ind b ON b.symbol = p.denominator AND b.idx = m.idx GROUP BY ALL""")
 cte("rt", """SELECT e.numerator, e.denominator, e.n_num, e.n_den, k, a.c / b.c AS ratio FROM
   (SELECT DISTINCT numerator, denominator, n_num, n_den, unnest(range(0, least(n_num, n_den, 220))) AS k FROM ends WHERE n_num IS NOT NULL AND n_den IS NOT NULL) e
   JOIN ind a ON a.symbol = e.numerator AND a.idx = e.n_num - e.k JOIN ind b ON b.symbol = e.denominator AND b.idx = e.n_den - e.k""")
+# each pair and offset once: position i of one leg beside i - d of the other
+cte("laid", """SELECT numerator, denominator, d, a.idx AS i, a.c / b.c AS ratio FROM
+  (SELECT numerator, denominator, n_num - n_den AS d, min(n_num) - 220 AS low, max(n_num) AS high FROM ends WHERE n_num IS NOT NULL AND n_den IS NOT NULL GROUP BY ALL)
+  JOIN ind a ON a.symbol = numerator AND a.idx > low AND a.idx <= high JOIN ind b ON b.symbol = denominator AND b.idx = a.idx - d""")
 
 
-def ends(spark, d):
-    ind = staged(I.daily_indicators(P.daily_bars(spark, d)), "indicators")
-    vis = J.visible_rows(P.snapshots(spark, d), ind)
-    at = J.with_each(P.snapshots(spark, d), P.pairs(spark, d), ["combination_id", "combination_type", "numerator", "denominator", "feature_bar_grain"])
-    return ind, I.pair_ends(vis, at, ["idx", "bad", "ret_idx", "realized_vol_20d"])
+def daily(spark, d, *columns):
+    """Daily bars, the grid of snapshots, wanted indicator columns of each bar, and their epochs by symbol."""
+    bars, grid = P.daily_bars(spark, d), snapshot_grid(P.snapshots(spark, d))
+    ind = staged(I.daily_indicators(bars).select("symbol", "ts", "available_time", *columns), "indicators")
+    return bars, grid, ind, epochs(ind, grid, ["symbol"], list(columns), listed=P.universe(spark, d))
+
+
+def ends(spark, d, *columns):
+    """The grid, indicators and pair epochs with the named columns of both legs."""
+    _, grid, ind, seen = daily(spark, d, *columns)
+    legs = [c for c in columns if c not in ("bar_close", "return_1d")]
+    return grid, ind, staged(pair_epochs(seen, P.pairs(spark, d), PAIR_COLUMNS, legs, grid), "ends")
 
 
-@query("tail_aligned_ratio", f"SELECT numerator, denominator, n_num, n_den, k, {rs('ratio')} AS ratio FROM rt")
+@query("tail_aligned_ratio", f"SELECT numerator, denominator, d, i, {rs('ratio')} AS ratio FROM laid")
 def tail_aligned_ratio(spark, d):
-    ind, e = ends(spark, d)
-    out = I.ratio_tail(e, I.close_series(ind))
-    return out.select("numerator", "denominator", "n_num", "n_den", "k", r("ratio").alias("ratio"))
+    _, ind, e = ends(spark, d, "idx", "bar_close")
+    known = e.where(F.col("num_idx").isNotNull() & F.col("den_idx").isNotNull())
+    wanted = known.select("numerator", "denominator", F.col("num_idx").alias("n_num"), F.col("den_idx").alias("n_den")).distinct()
+    out = I.aligned(wanted, I.close_series(ind), I.TREND_DEPTH)
+    return out.select("numerator", "denominator", "d", "i", r(safe_div(F.col("num_value"), F.col("den_value"))).alias("ratio"))
 
 
 @query("interval_join_positions", f"""

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..operators.bars import quote_bars, trade_bars
 from ..operators.indicators import prepare_bars
+from ..plans.features import infer_snapshots
 from .registry import cte
 
 
@@ -127,8 +128,8 @@ cte("pairs", """SELECT 'b' || a.n || '_b' || b.n AS combination_id,
   CASE a.n % 3 WHEN 0 THEN 'primary' WHEN 1 THEN 'sector_rotation' ELSE 'daily_context' END AS combination_type,
   a.symbol AS numerator, b.symbol AS denominator, CASE WHEN a.n % 2 = 0 THEN '30m' ELSE '1d' END AS feature_bar_grain
   FROM brands a JOIN brands b ON b.n = a.n + 1""")
-cte("snaps", """SELECT t + INTERVAL '16 hours' AS snapshot_time FROM (SELECT max(l_shipdate) AS t FROM lineitem GROUP BY date_trunc('month', l_shipdate))
-  UNION ALL SELECT t + INTERVAL '959 minutes' FROM (SELECT max(l_shipdate) AS t FROM lineitem GROUP BY date_trunc('month', l_shipdate))""")
+cte("snaps", """SELECT CAST(day AS TIMESTAMP) + to_minutes(CAST(600 + 30 * i AS INTEGER)) AS snapshot_time
+  FROM (SELECT DISTINCT CAST(l_shipdate AS DATE) AS day FROM lineitem), range(13) h(i)""")
 
 
 def universe(spark: SparkSession, d: str) -> DataFrame:
@@ -157,10 +158,11 @@ def pairs(spark: SparkSession, d: str) -> DataFrame:
 
 
 def snapshots(spark: SparkSession, d: str) -> DataFrame:
-    """Month-end days at 15:59 and 16:00."""
-    ends = table(spark, d, "lineitem").groupBy(F.trunc(F.to_date("l_shipdate"), "month").alias("m")).agg(F.max("l_shipdate").alias("t"))
-    at = F.explode(F.array(F.lit(959), F.lit(960)))
-    return ends.select("t", at.alias("minutes")).select(F.timestamp_add("MINUTE", F.col("minutes"), F.col("t")).alias("snapshot_time"))
+    """Every half hour after 09:30 up to 16:00 of every trading day, inferred from an anchor's half-hour bars."""
+    days = table(spark, d, "lineitem").select(F.to_date("l_shipdate").cast("timestamp_ntz").alias("day")).distinct()
+    minutes = F.explode(F.sequence(F.lit(9 * 60), F.lit(17 * 60), F.lit(30))).alias("minutes")
+    at = F.timestamp_add("MINUTE", F.col("minutes"), F.col("day")).alias("available_time")
+    return infer_snapshots(days.select("day", minutes).select(F.lit("ANCHOR").alias("symbol"), F.lit("30Min").alias("timeframe"), at), "ANCHOR")
 
 
 # ------------------------------------------------------------------ articles

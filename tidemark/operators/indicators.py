@@ -286,7 +286,7 @@ def ratio_tail(ends: DataFrame, closes: DataFrame, valid_depth: int = TREND_DEPT
     return rows.select(*END, (F.row_number().over(order) - 1).alias("k"), "ratio").where(F.col("k") < valid_depth)
 
 
-def _aligned(wanted: DataFrame, series: DataFrame, back: Column | int) -> DataFrame:
+def aligned(wanted: DataFrame, series: DataFrame, back: Column | int) -> DataFrame:
     """Both legs' values side by side for each pair and offset: numerator, denominator, d, i, num_value, den_value.
 
     Aligning two series from their ends pairs position i of one with i - d of the other, where d is the difference of
@@ -314,7 +314,7 @@ def pair_trend(ends: DataFrame, closes: DataFrame) -> DataFrame:
                 (F.lit(TREND_DEPTH) + F.col("num_bad") + F.col("den_bad")).alias("_depth"))
         .distinct()
     )
-    rows = _aligned(distinct, closes, F.col("_depth")).withColumn("ratio", safe_div(F.col("num_value"), F.col("den_value")))
+    rows = aligned(distinct, closes, F.col("_depth")).withColumn("ratio", safe_div(F.col("num_value"), F.col("den_value")))
     rows = rows.withColumn("_ok", F.coalesce(F.col("ratio") > 0, F.lit(False)))
     key = ["numerator", "denominator", "d"]
     w = Window.partitionBy(*key, "_ok").orderBy("i")
@@ -343,7 +343,7 @@ def return_corr(ends: DataFrame, returns: DataFrame) -> DataFrame:
     )
     longest, shortest = max(CORR_WINDOWS), F.least("n_num", "n_den")
     key = ["numerator", "denominator", "d"]
-    rows = _aligned(distinct.where(shortest >= min(CORR_WINDOWS)), returns, longest)
+    rows = aligned(distinct.where(shortest >= min(CORR_WINDOWS)), returns, longest)
     w = Window.partitionBy(*key).orderBy("i")
     x, y = F.col("num_value"), F.col("den_value")
 
@@ -370,8 +370,8 @@ def return_corr(ends: DataFrame, returns: DataFrame) -> DataFrame:
     return out.withColumn("return_corr_20d_60d_change", F.col("return_corr_20d") - F.col("return_corr_60d"))
 
 
-def corr_concentration(pair_corr: DataFrame) -> DataFrame:
-    """Per snapshot: mean, mean absolute and dispersion of all pair correlations."""
+def corr_concentration(pair_corr: DataFrame, by: Sequence[str] = ("snapshot_time",)) -> DataFrame:
+    """Per snapshot (or epoch): mean, mean absolute and dispersion of all pair correlations."""
     cols = []
     for w in CORR_WINDOWS:
         c = F.col(f"return_corr_{w}d")
@@ -380,11 +380,11 @@ def corr_concentration(pair_corr: DataFrame) -> DataFrame:
             F.avg(F.abs(c)).alias(f"market_state_avg_abs_return_corr_{w}d"),
             F.when(F.count(c) >= 2, F.stddev_pop(c)).alias(f"market_state_return_corr_dispersion_{w}d"),
         ]
-    return pair_corr.groupBy("snapshot_time").agg(*cols)
+    return pair_corr.groupBy(*by).agg(*cols)
 
 
-def sector_breadth(visible: DataFrame) -> DataFrame:
-    """Per snapshot: shares of symbols rising and above their averages, and dispersion.
+def sector_breadth(visible: DataFrame, by: Sequence[str] = ("snapshot_time",)) -> DataFrame:
+    """Per snapshot (or epoch): shares of symbols rising and above their averages, and dispersion.
 
     A symbol without enough history is not in the denominator.
     """
@@ -394,7 +394,7 @@ def sector_breadth(visible: DataFrame) -> DataFrame:
 
     dist = F.when(F.col("ma20").isNotNull(), F.col("bar_close") / F.col("ma20") - 1)
     r20 = F.col("return_20d")
-    return visible.groupBy("snapshot_time").agg(
+    return visible.groupBy(*by).agg(
         share(F.col("return_1d") > 0).alias("sector_observation_positive_return_1d_pct"),
         share(F.col("return_5d") > 0).alias("sector_observation_positive_return_5d_pct"),
         *[share(F.col("bar_close") > F.col(f"ma{w}")).alias(f"sector_observation_above_ma{w}_pct") for w in MA_WINDOWS],

@@ -87,26 +87,13 @@ def visible_rows(
 ) -> DataFrame:
     """Rows of ``states`` visible at each snapshot: one per key, the latest available.
 
-    Each state is valid until the key's next one. Its validity is spelled out in days and
-    joined to snapshots on the day, an equi-join whose size is the size of the answer.
+    Every state's run of snapshots is found first (see ``epochs``) and spelled out last, so the work before is
+    that of the states and the rest the size of the answer.
     """
-    order = Window.partitionBy(key).orderBy(available, ts)
-    last_day = snapshots.agg(F.max(F.to_date("snapshot_time")).alias("_last"))
-    spans = states.withColumn("_until", F.lead(available).over(order)).where(
-        F.col("_until").isNull() | (F.col("_until") > F.col(available))
-    )
-    end = F.least(F.to_date("_until"), last_day.scalar())
-    days = spans.withColumn("_from", F.to_date(available)).where(F.col("_from") <= last_day.scalar())
-    days = days.withColumn("_day", F.explode(F.sequence(F.col("_from"), F.greatest(F.col("_from"), end))))
-    snaps = snapshots.select("snapshot_time", F.to_date("snapshot_time").alias("_day"))
-    return (
-        days.join(snaps, "_day")
-        .where(
-            (F.col(available) <= F.col("snapshot_time"))
-            & (F.col("_until").isNull() | (F.col("_until") > F.col("snapshot_time")))
-        )
-        .drop("_day", "_from", "_until")
-    )
+    from .epochs import epochs, expand, snapshot_grid
+
+    grid = snapshot_grid(snapshots)
+    return expand(epochs(states, grid, [key], [c for c in states.columns if c != key], available, ts), grid).select("snapshot_time", *states.columns)
 
 
 # --------------------------------------------------------------------------- small reviewed lists

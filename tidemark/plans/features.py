@@ -11,19 +11,21 @@ from ..operators.indicators import (
     BREADTH_FEATURES,
     CORR_FEATURES,
     END,
+    MA_WINDOWS,
     TREND_FEATURES,
     VOL_FEATURES,
     close_series,
     corr_concentration,
     daily_indicators,
-    pair_ends,
     pair_trend,
     return_corr,
     return_series,
     sector_breadth,
 )
-from ..operators.joins import asof_join, pairwise_symbols, visible_rows, with_each
-from ..sources.sinks import scratch_path, upsert_path
+from ..operators.epochs import Grid, common_epochs, epochs, expand, merged, pair_epochs, snapshot_grid
+from ..operators.joins import pairwise_symbols
+from ..shared import staged
+from ..sources.sinks import upsert_path
 
 # Names that steer which feature goes where.
 MARKET_STATE = "market_state_etf"
@@ -48,16 +50,6 @@ PAIR_PREFIX = "relative_strength_"
 PAIR_VALUES = ("return", "realized_vol_20d_ratio", *TREND_FEATURES, *CORR_FEATURES)
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """A table that several branches read, written once to the shared folder.
-
-    Plans above it start from a scan, and a lost executor costs no recomputation.
-    """
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def normalize_pairs(rows: DataFrame) -> DataFrame:
     """Reviewed pair list: ids and types lower, symbols upper, incomplete rows dropped."""
 
@@ -96,18 +88,19 @@ def infer_snapshots(bars: DataFrame, anchor: str = "SPY") -> DataFrame:
     )
 
 
-def close_marks(points: DataFrame, bars: DataFrame) -> DataFrame:
-    """Latest close over all bar widths at the snapshot and 30 minutes before, per symbol."""
-    lagged = points.select("snapshot_time", "symbol").distinct()
-    asked = lagged.withColumn("lag", F.explode(F.array(F.lit(0), F.lit(LAG_MINUTES)))).withColumn(
-        "at", F.timestamp_add("MINUTE", -F.col("lag"), F.col("snapshot_time"))
-    )
+def mark_epochs(bars: DataFrame, symbols: DataFrame, grid: Grid) -> DataFrame:
+    """Epochs of each listed symbol's latest close over all bar widths, now and 30 minutes before.
+
+    What was visible 30 minutes before a snapshot is what becomes visible 30 minutes late.
+    """
     closes = bars.where(F.col("bar_close").isNotNull()).select("symbol", "available_time", "ts", "bar_close")
-    hit = asof_join(asked, closes, ["symbol"], "at", "available_time", ["bar_close"], tie=["ts"])
-    return hit.groupBy("snapshot_time", "symbol").agg(
-        F.max(F.when(F.col("lag") == 0, F.col("bar_close"))).alias("close_now"),
-        F.max(F.when(F.col("lag") != 0, F.col("bar_close"))).alias("close_before"),
-    )
+    late = F.timestamp_add("MINUTE", F.lit(LAG_MINUTES), F.col("available_time"))
+    now = epochs(closes, grid, ["symbol"], ["bar_close"], listed=symbols)
+    before = epochs(closes, grid, ["symbol"], ["bar_close"], late, listed=symbols)
+    return merged([(now, {"bar_close": "close_now"}), (before, {"bar_close": "close_before"})], ["symbol"], grid)
+
+
+SPAN = ("first_no", "last_no")
 
 
 def melt(df: DataFrame, ids: Iterable[str], values: dict[str, Column | str], prefix: Column | None = None) -> DataFrame:
@@ -121,160 +114,163 @@ def melt(df: DataFrame, ids: Iterable[str], values: dict[str, Column | str], pre
     return df.select(*kept, F.explode(items).alias("_f")).select(*ids, name.alias("feature"), "_f.value")
 
 
-def pair_features(pairs_at: DataFrame, visible: DataFrame, indicators: DataFrame, marks: DataFrame) -> DataFrame:
-    """Every pair feature per (snapshot, pair): relative strength, volatility ratio, trend, correlation.
+def legs_of(pairs: DataFrame) -> DataFrame:
+    """The distinct symbols of a pair list."""
+    return pairs.select(F.col("numerator").alias("symbol")).unionByName(pairs.select(F.col("denominator").alias("symbol"))).distinct()
+
 
-    ``pairs_at``: snapshot_time and the pair columns.
+def relative_strength(pairs: DataFrame, marks: DataFrame, daily: DataFrame, grid: Grid) -> DataFrame:
+    """Spans of each pair's ``relative_strength_return``.
+
+    A pair of 30-minute grain compares the marks of its legs now and 30 minutes before; any other takes the last step of
+    the daily ratio. ``daily``: pair spans with ratio_return_1d.
+    """
+    fast = F.col("feature_bar_grain").eqNullSafe("30m")
+    both = pair_epochs(marks, pairs.where(fast), PAIR_COLUMNS, ["close_now", "close_before"], grid)
+    now = safe_div(F.col("num_close_now"), F.col("den_close_now"))
+    before = safe_div(F.col("num_close_before"), F.col("den_close_before"))
+    moved = both.select(*PAIR_COLUMNS, *SPAN, safe_log_ratio(now, before).alias("relative_strength_return"))
+    stepped = daily.where(~fast).select(*PAIR_COLUMNS, *SPAN, F.col("ratio_return_1d").alias("relative_strength_return"))
+    return moved.unionByName(stepped)
+
+
+def pair_spans(pairs: DataFrame, states: DataFrame, indicators: DataFrame, grid: Grid) -> DataFrame:
+    """Spans of the pair features that follow daily bars: last ratio step, volatility ratio, trend, correlation.
+
+    ``states``: epochs of the daily indicators by symbol, ``indicators`` the bars they come from.
     """
-    ends = staged(pair_ends(visible, pairs_at, ["idx", "bad", "ret_idx", "realized_vol_20d"]), "ends")
+    ends = staged(pair_epochs(states, pairs, PAIR_COLUMNS, ["idx", "bad", "ret_idx", "realized_vol_20d"], grid), "ends")
     trend = pair_trend(ends, close_series(indicators))
     corr = return_corr(ends, return_series(indicators))
     keyed = ends.withColumns({"n_num": F.col("num_idx"), "n_den": F.col("den_idx")}).join(trend, list(END), "left")
     keyed = keyed.withColumns({"n_num": F.col("num_ret_idx"), "n_den": F.col("den_ret_idx")}).join(corr, list(END), "left")
-    for leg in ("numerator", "denominator"):
-        side = marks.select(
-            "snapshot_time",
-            F.col("symbol").alias(leg),
-            F.col("close_now").alias(f"{leg}_now"),
-            F.col("close_before").alias(f"{leg}_before"),
-        )
-        keyed = keyed.join(side, ["snapshot_time", leg], "left")
-    now = safe_div(F.col("numerator_now"), F.col("denominator_now"))
-    before = safe_div(F.col("numerator_before"), F.col("denominator_before"))
-    return keyed.select(
-        "snapshot_time",
-        *PAIR_COLUMNS,
-        F.when(F.col("feature_bar_grain") == "30m", safe_log_ratio(now, before))
-        .otherwise(F.col("ratio_return_1d"))
-        .alias("relative_strength_return"),
-        safe_div(F.col("num_realized_vol_20d"), F.col("den_realized_vol_20d")).alias("realized_vol_20d_ratio"),
-        *TREND_FEATURES,
-        *CORR_FEATURES,
-    )
+    ratio = safe_div(F.col("num_realized_vol_20d"), F.col("den_realized_vol_20d"))
+    return keyed.select(*PAIR_COLUMNS, *SPAN, "ratio_return_1d", ratio.alias("realized_vol_20d_ratio"), *TREND_FEATURES, *CORR_FEATURES)
 
 
-def concentration(snapshots: DataFrame, states: DataFrame, visible: DataFrame, indicators: DataFrame) -> DataFrame:
-    """Correlation concentration over all pairs of market-state symbols; one row per snapshot."""
-    pairs = pairwise_symbols(states).select(
+def concentration(symbols: DataFrame, states: DataFrame, indicators: DataFrame, grid: Grid) -> DataFrame:
+    """Spans of the correlation concentration over all pairs of the listed symbols; they cover all snapshots."""
+    pairs = pairwise_symbols(symbols).select(
         F.col("left_symbol").alias("numerator"), F.col("right_symbol").alias("denominator")
     )
-    at = with_each(snapshots, pairs, ["numerator", "denominator"])
-    ends = staged(pair_ends(visible, at, ["ret_idx"]), "state-ends")
+    ends = staged(common_epochs(pair_epochs(states, pairs, ["numerator", "denominator"], ["ret_idx"], grid), []), "state-ends")
     corr = return_corr(ends, return_series(indicators))
-    per_pair = ends.withColumns({"n_num": F.col("num_ret_idx"), "n_den": F.col("den_ret_idx")}).join(corr, list(END))
-    return snapshots.join(corr_concentration(per_pair), "snapshot_time", "left")
+    per_pair = ends.withColumns({"n_num": F.col("num_ret_idx"), "n_den": F.col("den_ret_idx")}).join(corr, list(END), "left")
+    found = corr_concentration(per_pair, SPAN)
+    return merged([(found, {c: c for c in found.columns if c not in SPAN})], [], grid, listed=all_snapshots(grid))
 
 
-def regime_features(
-    bars: DataFrame,
-    universe: DataFrame,
-    pairs: DataFrame,
-    snapshots: DataFrame,
-    excluded: Iterable[str] = RETURN_TREND_EXCLUDED,
+def breadth(states: DataFrame, grid: Grid) -> DataFrame:
+    """Spans of the breadth over all symbols of ``states``; they cover all snapshots."""
+    found = sector_breadth(common_epochs(states.where(F.col("idx").isNotNull()), []), SPAN)
+    return merged([(found, {c: c for c in BREADTH_FEATURES})], [], grid, listed=all_snapshots(grid))
+
+
+def all_snapshots(grid: Grid) -> DataFrame:
+    """One row if there is any snapshot."""
+    return grid.numbers.where("no = 0").select("no")
+
+
+def regime_spans(
+    bars: DataFrame, universe: DataFrame, pairs: DataFrame, grid: Grid, excluded: Iterable[str] = RETURN_TREND_EXCLUDED
 ) -> DataFrame:
-    """Market-regime features: (snapshot_time, feature, value), nulls kept.
+    """Market-regime features by epoch: (first_no, last_no, feature, value), nulls kept.
 
-    ``bars`` come from ``prepare_bars``; ``pairs`` from :func:`normalize_pairs`.
+    Of each feature the spans cover all snapshots of the grid without overlap. ``bars`` come from ``prepare_bars``; ``pairs``
+    from :func:`normalize_pairs`.
     """
-    snapshots = snapshots.select("snapshot_time").distinct()
     states = symbols_of(universe, MARKET_STATE)
     own_pairs = pairs.where(~F.col("combination_type").isin(*ROTATION_TYPES))
     indicators = staged(daily_indicators(bars), "indicators")
-    visible = staged(visible_rows(snapshots, indicators), "visible")
-    points = with_each(snapshots, states, ["symbol"])
-    pairs_at = with_each(snapshots, own_pairs, PAIR_COLUMNS)
-    legs = points.unionByName(pairs_at.select("snapshot_time", F.col("numerator").alias("symbol"))).unionByName(
-        pairs_at.select("snapshot_time", F.col("denominator").alias("symbol"))
-    )
-    marks = staged(close_marks(legs, bars), "marks")
+    symbols = states.unionByName(legs_of(own_pairs)).distinct()
+    columns = [c for c in indicators.columns if c not in ("symbol", "available_time", "ts")]
+    seen = staged(epochs(indicators, grid, ["symbol"], columns, listed=symbols), "epochs")
+    marks = staged(mark_epochs(bars, symbols, grid), "marks")
 
-    state = points.join(visible, ["snapshot_time", "symbol"], "left").join(marks, ["snapshot_time", "symbol"], "left")
     subject = F.concat(F.lower("symbol"), F.lit("_"))
     in_trend = ~F.col("symbol").isin(*excluded)
-    vols = melt(state, ["snapshot_time"], {f: f for f in VOL_FEATURES}, subject)
-    moves = {
-        "return_30m": safe_log_ratio(F.col("close_now"), F.col("close_before")),
-        **{f: f for f in ("return_1d", "return_5d", "return_20d", *TREND_FEATURES)},
-    }
-    trends = melt(state.where(in_trend), ["snapshot_time"], moves, subject)
-
-    pf = pair_features(pairs_at, visible, indicators, marks)
+    own = seen.join(states, "symbol", "left_semi")
+    vols = melt(own, SPAN, {f: f for f in VOL_FEATURES}, subject)
+    moves = {f: f for f in ("return_1d", "return_5d", "return_20d", *TREND_FEATURES)}
+    trends = melt(own.where(in_trend), SPAN, moves, subject)
+    quick = marks.join(states, "symbol", "left_semi").where(in_trend)
+    quick = melt(quick, SPAN, {"return_30m": safe_log_ratio(F.col("close_now"), F.col("close_before"))}, subject)
+
+    daily = staged(pair_spans(own_pairs, seen, indicators, grid), "pairs")
     pid = F.concat(F.col("combination_id"), F.lit("_"))
     grain = F.when(F.col("feature_bar_grain") == "30m", F.lit("30m")).otherwise(F.lit("1d"))
-    own = {f: f for f in ("realized_vol_20d_ratio", *TREND_FEATURES, *CORR_FEATURES)}
-    pair_rows = melt(pf, ["snapshot_time"], own, pid)
-    strength = pf.select(
-        "snapshot_time", F.concat(pid, grain).alias("feature"), F.col("relative_strength_return").alias("value")
+    pair_rows = melt(daily, SPAN, {f: f for f in ("realized_vol_20d_ratio", *TREND_FEATURES, *CORR_FEATURES)}, pid)
+    strength = relative_strength(own_pairs, marks, daily, grid).select(
+        *SPAN, F.concat(pid, grain).alias("feature"), F.col("relative_strength_return").alias("value")
     )
-    conc = concentration(snapshots, states, visible, indicators)
-    names = [c for c in conc.columns if c != "snapshot_time"]
-    parts = [vols, trends, pair_rows, strength, melt(conc, ["snapshot_time"], {n: n for n in names})]
-    out = parts[0]
-    for part in parts[1:]:
+    conc = concentration(states, seen, indicators, grid)
+    out = melt(conc, SPAN, {n: n for n in conc.columns if n not in SPAN})
+    for part in (vols, trends, quick, pair_rows, strength):
         out = out.unionByName(part)
     return out
 
 
-def rotation_features(
-    bars: DataFrame, universe: DataFrame, pairs: DataFrame, snapshots: DataFrame, only: Iterable[str] | None = None
+def regime_features(
+    bars: DataFrame, universe: DataFrame, pairs: DataFrame, snapshots: DataFrame, excluded: Iterable[str] = RETURN_TREND_EXCLUDED
+) -> DataFrame:
+    """Market-regime features at every snapshot: (snapshot_time, feature, value), nulls kept."""
+    grid = snapshot_grid(snapshots)
+    return expand(regime_spans(bars, universe, pairs, grid, excluded), grid)
+
+
+META = tuple(c for c in ROTATION_META if c != "snapshot_time")
+
+
+def rotation_spans(
+    bars: DataFrame, universe: DataFrame, pairs: DataFrame, grid: Grid, only: Iterable[str] | None = None
 ) -> DataFrame:
-    """Rotation features: metadata columns, feature, value; one summary group and one per rotation pair.
+    """Rotation features by epoch: metadata columns, first_no, last_no, feature, value; one summary group and one per rotation pair.
 
     ``only``: the wanted feature names; nothing else is computed.
     """
     wanted = None if only is None else set(only)
-    snapshots = snapshots.select("snapshot_time").distinct()
     own_pairs = pairs.where(F.col("combination_type").isin(*ROTATION_TYPES))
     indicators = staged(daily_indicators(bars), "indicators")
-    visible = staged(visible_rows(snapshots, indicators), "visible")
-    pairs_at = with_each(snapshots, own_pairs, PAIR_COLUMNS)
-    legs = pairs_at.select("snapshot_time", F.col("numerator").alias("symbol")).unionByName(
-        pairs_at.select("snapshot_time", F.col("denominator").alias("symbol"))
-    )
-    marks = staged(close_marks(legs, bars), "marks")
+    observed, legs = symbols_of(universe, SECTOR_OBSERVATION), legs_of(own_pairs)
+    columns = ["idx", "bad", "ret_idx", "realized_vol_20d", "bar_close", "return_1d", "return_5d", "return_20d", *[f"ma{w}" for w in MA_WINDOWS]]
+    seen = staged(epochs(indicators, grid, ["symbol"], columns, listed=observed.unionByName(legs).distinct()), "epochs")
 
-    observed = visible.join(symbols_of(universe, SECTOR_OBSERVATION), "symbol", "left_semi")
-    breadth = snapshots.join(sector_breadth(observed), "snapshot_time", "left").withColumns(
-        {k: F.lit(v) for k, v in SUMMARY_ROW.items()}
-    )
     names = [c for c in BREADTH_FEATURES if wanted is None or c in wanted]
-    summary = melt(breadth, ROTATION_META, {n: n for n in names}) if names else None
-
-    pf = pair_features(pairs_at, visible, indicators, marks).withColumns(
-        {
-            "candidate_symbol": F.col("numerator"),
-            "candidate_type": F.lit("sector_industry_etf"),
-            "comparison_symbol": F.col("denominator"),
-            "rotation_pair_id": F.col("combination_id"),
-            "rotation_pair_type": F.col("combination_type"),
-        }
-    )
-    grain = F.when(F.col("feature_bar_grain") == "30m", F.lit("30m")).otherwise(F.lit("1d"))
-    own = {f: f"{PAIR_PREFIX}{f}" for f in PAIR_VALUES}
-    own = {f: n for f, n in own.items() if wanted is None or n in wanted}
-    rows = melt(pf, ROTATION_META, {f: "relative_strength_return" if f == "return" else f for f in own}, F.lit(PAIR_PREFIX)) if own else None
-    grained = None
-    if wanted is None or any(n.startswith(f"{PAIR_PREFIX}return_") and n not in own.values() for n in wanted):
-        grained = pf.select(*ROTATION_META, F.concat(F.lit(f"{PAIR_PREFIX}return_"), grain).alias("feature"), F.col("relative_strength_return").alias("value"))
-        grained = grained if wanted is None else grained.where(F.col("feature").isin(*wanted))
-    parts = [part for part in (summary, rows, grained) if part is not None]
+    summary = None
+    if names:
+        rows = breadth(seen.join(observed, "symbol", "left_semi"), grid)
+        summary = melt(rows.withColumns({k: F.lit(v) for k, v in SUMMARY_ROW.items()}), [*META, *SPAN], {n: n for n in names})
+
+    daily = staged(pair_spans(own_pairs, seen, indicators, grid), "pairs")
+    about = [
+        F.col("numerator").alias("candidate_symbol"), F.lit("sector_industry_etf").alias("candidate_type"), F.col("denominator").alias("comparison_symbol"),
+        F.col("combination_id").alias("rotation_pair_id"), F.col("combination_type").alias("rotation_pair_type"), "feature_bar_grain",
+    ]
+    plain = {f: f"{PAIR_PREFIX}{f}" for f in PAIR_VALUES if f != "return"}
+    plain = {f: n for f, n in plain.items() if wanted is None or n in wanted}
+    rows = melt(daily.select(*about, *SPAN, *plain), [*META, *SPAN], {f: f for f in plain}, F.lit(PAIR_PREFIX)) if plain else None
+    grain = F.concat(F.lit(f"{PAIR_PREFIX}return_"), F.when(F.col("feature_bar_grain") == "30m", F.lit("30m")).otherwise(F.lit("1d")))
+    strength = None
+    if wanted is None or any(n.startswith(f"{PAIR_PREFIX}return") and n not in plain.values() for n in wanted):
+        marks = staged(mark_epochs(bars, legs, grid), "marks")
+        both = F.explode(F.array(F.lit(f"{PAIR_PREFIX}return"), grain)).alias("feature")
+        strength = relative_strength(own_pairs, marks, daily, grid).select(*about, *SPAN, both, F.col("relative_strength_return").alias("value"))
+        strength = strength if wanted is None else strength.where(F.col("feature").isin(*wanted))
+    parts = [part for part in (summary, rows, strength) if part is not None]
     if not parts:
         raise ValueError(f"no such rotation features: {sorted(wanted or ())}")
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
-    return out
+    return out.select(*META, *SPAN, "feature", "value")
 
 
-def rotation_names(pairs: DataFrame, snapshots: DataFrame) -> DataFrame:
-    """The names that :func:`rotation_features` gives, from the pair list alone."""
-    own = pairs.where(F.col("combination_type").isin(*ROTATION_TYPES))
-    fixed = F.array(*[F.lit(f"{PAIR_PREFIX}{f}") for f in PAIR_VALUES])
-    grain = F.when(F.col("feature_bar_grain") == "30m", F.lit("30m")).otherwise(F.lit("1d"))
-    by_pair = own.select(F.explode(F.concat(fixed, F.array(F.concat(F.lit(f"{PAIR_PREFIX}return_"), grain)))).alias("feature")).distinct()
-    anyone = snapshots.limit(1)
-    breadth = anyone.select(F.explode(F.array(*[F.lit(f) for f in BREADTH_FEATURES])).alias("feature"))
-    return by_pair.join(anyone.select(F.lit(True).alias("_any")).hint("broadcast"), F.col("_any"), "left_semi").unionByName(breadth).orderBy("feature")
+def rotation_features(
+    bars: DataFrame, universe: DataFrame, pairs: DataFrame, snapshots: DataFrame, only: Iterable[str] | None = None
+) -> DataFrame:
+    """Rotation features at every snapshot: metadata columns, feature, value."""
+    grid = snapshot_grid(snapshots)
+    return expand(rotation_spans(bars, universe, pairs, grid, only), grid).select(*ROTATION_META, "feature", "value")
 
 
 SIGNAL_FEATURES = ("relative_strength_return", "relative_strength_distance_to_ma20", "relative_strength_ma_alignment_score")
@@ -304,6 +300,12 @@ def fold_payload(features: DataFrame, keys: Iterable[str]) -> DataFrame:
     return features.groupBy(*keys).agg(payload.alias("feature_payload_json"))
 
 
+def fold_spans(spans: DataFrame, keys: Iterable[str], grid: Grid) -> DataFrame:
+    """The payload of each key (without snapshot) at every snapshot: folded once per epoch, then spread."""
+    keys = list(keys)
+    return expand(fold_payload(common_epochs(spans, keys), [*keys, *SPAN]), grid)
+
+
 def upsert_payload(payload: DataFrame, path: str, keys: Iterable[str], partition: str = "snapshot_date") -> None:
     """Keyed upsert of folded payloads into a table partitioned by snapshot day; a later run of a key replaces it."""
     rows = payload.withColumns({partition: F.to_date("snapshot_time"), "_at": F.lit(0)})
