@@ -270,3 +270,20 @@ def test_csv_round_trip_and_keys(spark, tmp_path):
     for bad in ((["a"], []), ([], ["a"]), (["a"], ["b"]), (["a b"], ["a b"])):
         with pytest.raises(ValueError):
             check_keys(*bad)
+
+
+@pytest.mark.parametrize("key, parser", [("calendar_parse", "(?is)<tr"), ("holdings_html_ingest", "(?is)<tr"), ("page_union", "from_json"), ("holdings_csv_ingest", r"\\z)")])
+def test_documents_are_parsed_once(spark, key, parser):
+    """No filter that Spark infers may hold a second copy of the parser."""
+    from tidemark.catalog import load
+
+    plan = load()[0][key](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    filters = [line for line in plan.splitlines() if line.lstrip(" :+-").startswith("Filter")]
+    assert not any(parser in line for line in filters)
+
+
+def test_null_and_empty_pages_have_no_rows(spark):
+    from tidemark.sources.landed import page_union
+
+    pages = spark.createDataFrame([(1, '{"rows": [{"a": 1}, null, {"a": 2}]}'), (2, '{"rows": []}'), (3, None), (4, "no json"), (5, "{}")], "p int, body string")
+    assert sorted(page_union(pages, "rows", "a int", keep=["p"]).collect(), key=str) == sorted([(1, 1), (1, None), (1, 2)], key=str)

@@ -4,6 +4,7 @@ import math
 import random
 from datetime import datetime, timedelta
 
+import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import Window, functions as F
 
@@ -297,3 +298,36 @@ def test_payload_upsert_replaces_a_snapshot(spark, tmp_path):
     upsert_payload(spark.createDataFrame([(rows[1][0], "new"), (datetime(2024, 1, 3, 10), "c")], schema), f"{tmp_path}/t", ["snapshot_time"])
     got = {(r.snapshot_time, r.feature_payload_json) for r in spark.read.parquet(f"{tmp_path}/t").collect()}
     assert got == {rows[0], (rows[1][0], "new"), (datetime(2024, 1, 3, 10), "c")}
+
+
+def test_open_spans_of_twenty_years_make_few_cells(spark):
+    from tidemark.operators.joins import day_number, dyadic_cells
+
+    rng = random.Random(8)
+    days = [(a, a + n) for a, n in [(0, 0), (5, 0), (700_000, 7304), (0, (1 << 22) - 1), (737_000, 30)] + [(rng.randint(0, 3_000_000), rng.randint(0, 9000)) for _ in range(200)]]
+    df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(days)], "i int, a int, b int").select("i", dyadic_cells(F.col("a"), F.col("b")).alias("c"))
+    for r in df.collect():
+        a, b = days[r.i]
+        covered = sorted((c.cell << c.level, (c.cell + 1 << c.level) - 1) for c in r.c)
+        assert covered[0][0] == a and covered[-1][1] == b and all(y[0] == x[1] + 1 for x, y in zip(covered, covered[1:]))
+        assert len(r.c) <= max(1, 2 * math.ceil(math.log2(b - a + 2)))
+    number = spark.sql("SELECT TIMESTAMP_NTZ'0001-01-01 23:00:00' AS a, TIMESTAMP_NTZ'9999-12-31 00:00:00' AS b").select(day_number(F.col("a")), day_number(F.col("b"))).first()
+    assert number[0] == 0 and number[1] < 1 << 22
+
+
+@pytest.mark.parametrize("few", [0, 8, 10**6])
+def test_interval_join_of_few_and_many_spans_a_key(spark, monkeypatch, few):
+    """The same rows whichever way a key is joined; spans of 20 years with open ends, turned ones, null keys and times."""
+    from tidemark.operators import joins
+
+    monkeypatch.setattr(joins, "FEW_SPANS", few)
+    rng = random.Random(12)
+    at = lambda: T0 + timedelta(hours=rng.randint(0, 20 * 365 * 24))
+    rows = [(rng.choice(["hot", "cold", None]), at() if i % 17 else None, i) for i in range(300)]
+    spans = [(rng.choices(["hot", "cold", None], [8, 1, 1])[0], at() if i % 5 else None, at() if i % 3 else None, i) for i in range(60)]
+    got = joins.interval_join(spark.createDataFrame(rows, "k string, ts timestamp_ntz, r int"), spark.createDataFrame(spans, "k string, lo timestamp_ntz, hi timestamp_ntz, s int"),
+                              ["k"], "ts", "lo", "hi", F.make_dt_interval(hours=F.lit(1)))
+    pairs = [(x.r, x.s) for x in got.collect()]
+    want = {(r, s) for k, ts, r in rows for q, lo, hi, s in spans
+            if k is not None and k == q and ts is not None and (lo is None or ts >= lo) and (hi is None or ts <= hi + timedelta(hours=1))}
+    assert len(pairs) == len(set(pairs)) and set(pairs) == want

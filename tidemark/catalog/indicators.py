@@ -148,11 +148,12 @@ cte("strength", """SELECT p.combination_id, p.combination_type, p.numerator, p.d
 @query("relative_strength_return", f"""SELECT snapshot_time, combination_id, feature_bar_grain, {rs('relative_strength_return')} AS relative_strength_return
 FROM strength JOIN snaps ON snapshot_time BETWEEN first_snapshot AND last_snapshot""")
 def relative_strength_return(spark, d):
-    grid, ind, e = ends(spark, d, "idx", "bad", "bar_close")
+    bars = staged(P.daily_bars(spark, d).select(*X.BAR_COLUMNS), "bars")
+    grid, ind, e = ends(spark, d, "idx", "bad", "bar_close", bars=bars)
     keyed = e.withColumns({"n_num": F.col("num_idx"), "n_den": F.col("den_idx")})
     stepped = keyed.join(I.pair_trend(e, I.close_series(ind)).select(*I.END, "ratio_return_1d"), list(I.END), "left")
     pairs = P.pairs(spark, d)
-    out = X.relative_strength(pairs, staged(X.mark_epochs(P.daily_bars(spark, d), X.legs_of(pairs), grid), "marks"), stepped, grid)
+    out = X.relative_strength(pairs, staged(X.mark_epochs(bars, X.legs_of(pairs), grid), "marks"), stepped, grid)
     out = out.select(*X.SPAN, "combination_id", "feature_bar_grain", r("relative_strength_return").alias("relative_strength_return"))
     return expand(out, grid)
 
@@ -170,7 +171,7 @@ cte("breadth", """SELECT snapshot_time, avg(CAST(r1 > 0 AS INT)) AS sector_obser
 
 @query("sector_breadth", f"SELECT snapshot_time, {rlist(*BREADTH)} FROM snaps LEFT JOIN breadth USING (snapshot_time)")
 def sector_breadth(spark, d):
-    _, grid, _, seen = daily(spark, d, "idx", "bar_close", "return_1d", "return_5d", "return_20d", *[f"ma{w}" for w in I.MA_WINDOWS])
+    grid, _, seen = daily(spark, d, "idx", "bar_close", "return_1d", "return_5d", "return_20d", *[f"ma{w}" for w in I.MA_WINDOWS])
     observed = seen.join(X.symbols_of(P.universe(spark, d), X.SECTOR_OBSERVATION), "symbol", "left_semi")
     return rounded(expand(X.breadth(observed, grid), grid), *BREADTH)
 
@@ -187,7 +188,7 @@ cte("conc", "SELECT s.snapshot_time, " + ", ".join(
 
 @query("corr_concentration", f"SELECT snapshot_time, {rlist(*CONC)} FROM conc")
 def corr_concentration(spark, d):
-    _, grid, ind, seen = daily(spark, d, "ret_idx", "return_1d")
+    grid, ind, seen = daily(spark, d, "ret_idx", "return_1d")
     symbols = X.symbols_of(P.universe(spark, d), X.MARKET_STATE)
     return rounded(expand(X.concentration(symbols, seen.join(symbols, "symbol", "left_semi"), ind, grid), grid), *CONC)
 
@@ -278,13 +279,14 @@ def payload_sql(keys: str, source: str) -> str:
 @query("feature_payload_regime", payload_sql("", "regime"))
 def feature_payload_regime(spark, d):
     grid, spans = regime(spark, d)
-    return payload_stats(X.fold_spans(spans, [], grid), ["snapshot_time"])
+    return expand(payload_stats(X.fold_payload(common_epochs(spans, []), X.SPAN), X.SPAN), grid)
 
 
 @query("feature_payload_rotation", payload_sql(", ".join(X.META), "rotation"))
 def feature_payload_rotation(spark, d):
     grid, spans = rotation(spark, d)
-    return payload_stats(X.fold_spans(spans, X.META, grid), X.ROTATION_META)
+    keys = [*X.META, *X.SPAN]
+    return expand(payload_stats(X.fold_payload(common_epochs(spans, X.META), keys), keys), grid)
 
 
 @query("payload_columns", "SELECT DISTINCT feature FROM rotation")

@@ -64,16 +64,17 @@ cte("laid", """SELECT numerator, denominator, d, a.idx AS i, a.c / b.c AS ratio
   JOIN ind a ON a.symbol = numerator AND a.idx > low AND a.idx <= high JOIN ind b ON b.symbol = denominator AND b.idx = a.idx - d""")
 
 
-def daily(spark, d, *columns):
-    """Daily bars, the grid of snapshots, wanted indicator columns of each bar, and their epochs by symbol."""
-    bars, grid = P.daily_bars(spark, d), snapshot_grid(P.snapshots(spark, d))
-    ind = staged(I.daily_indicators(bars).select("symbol", "ts", "available_time", *columns), "indicators")
-    return bars, grid, ind, epochs(ind, grid, ["symbol"], list(columns), listed=P.universe(spark, d))
+def daily(spark, d, *columns, bars=None):
+    """The grid of snapshots, wanted indicator columns of each daily bar, and their epochs by symbol."""
+    grid = snapshot_grid(P.snapshots(spark, d))
+    found = I.daily_indicators(P.daily_bars(spark, d) if bars is None else bars)
+    ind = staged(found.select("symbol", "ts", "available_time", *columns), "indicators")
+    return grid, ind, epochs(ind, grid, ["symbol"], list(columns), listed=P.universe(spark, d))
 
 
-def ends(spark, d, *columns):
+def ends(spark, d, *columns, bars=None):
     """The grid, indicators and pair epochs with the named columns of both legs."""
-    _, grid, ind, seen = daily(spark, d, *columns)
+    grid, ind, seen = daily(spark, d, *columns, bars=bars)
     legs = [c for c in columns if c not in ("bar_close", "return_1d")]
     return grid, ind, staged(pair_epochs(seen, P.pairs(spark, d), PAIR_COLUMNS, legs, grid), "ends")
 

@@ -150,7 +150,8 @@ def _resolved(ref: Column) -> Column:
     named = F.try_element_at(F.try_element_at(_named(), F.left(ref, F.lit(2))), ref)
     bare = F.regexp_extract(ref, "^(" + "|".join(BARE_NAMES) + ")", 1)
     short = F.concat(F.try_element_at(F.try_element_at(_named(), F.left(bare, F.lit(2))), bare), F.substring(ref, F.char_length(bare) + 1, F.lit(64)))
-    return F.when(F.startswith(ref, F.lit("#")), _codepoint(code)).otherwise(
+    common = F.when(ref == "amp;", "&").when(ref == "lt;", "<").when(ref == "gt;", ">").when(ref == "quot;", '"').when(ref == "nbsp;", "\u00a0")
+    return common.when(F.startswith(ref, F.lit("#")), _codepoint(code)).otherwise(
         F.coalesce(named, F.when(bare != "", short), F.concat(F.lit("&"), ref)))
 
 

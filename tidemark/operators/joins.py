@@ -150,22 +150,53 @@ def tail_align(ends: DataFrame, series: DataFrame, depth: Column) -> DataFrame:
 # --------------------------------------------------------------------------- interval, enrich, outer
 
 
+DAY_ZERO = "0001-01-01"
+LEVELS = 22  # 2^22 days hold every date from year 1 to 9999
+FEW_SPANS = 8
+
+
+def day_number(day: Column) -> Column:
+    return F.datediff(F.to_date(day), F.lit(DAY_ZERO).cast("date"))
+
+
+def dyadic_cells(first: Column, last: Column) -> Column:
+    """The fewest aligned cells of 2^level days that make up ``first`` to ``last`` (day numbers): array of (level, cell).
+
+    At most two of each level, so a span of n days has at most 2 log2(n) cells, however long it is.
+    """
+    levels = F.transform(F.sequence(F.lit(0), F.lit(LEVELS)), lambda k: F.struct(
+        k.alias("level"), F.call_function("shiftright", first + F.call_function("shiftleft", F.lit(1), k) - 1, k).alias("a"),
+        (F.call_function("shiftright", last + 1, k) - 1).alias("b")))
+
+    def ends(x: Column) -> Column:
+        pick = lambda keep, cell: F.when(keep, F.struct(x["level"].alias("level"), cell.alias("cell")))
+        return F.array_compact(F.array(pick(x["a"] % 2 == 1, x["a"]), pick(x["b"] % 2 == 0, x["b"])))
+
+    return F.flatten(F.transform(F.filter(levels, lambda x: x["a"] <= x["b"]), ends))
+
+
 def interval_join(
     rows: DataFrame, spans: DataFrame, on: Sequence[str], ts: str, lo: str, hi: str, slack: Column | None = None
 ) -> DataFrame:
-    """Rows inside their span ``lo <= ts <= hi (+ slack)``; an open end does not clip.
+    """Rows inside their span ``lo <= ts <= hi (+ slack)``; an open end does not clip. Rows without a time are in no span.
 
-    Spans are spelled out in days, open ends up to the rows' first and last day, and joined on the key and
-    the day: a key held many times meets only the rows of the days it is held.
+    A key with at most FEW_SPANS spans is joined on itself: each of its rows meets so many spans. Of a key with more, spans
+    are cut into aligned cells of 1, 2, 4, ... days and each row looks into the cell of every size that its day lies in,
+    so a span of n days is 2 log2(n) rows, open ends included, and a row meets hardly more spans than hold it.
     """
     end = F.col(hi) if slack is None else F.col(hi) + slack
-    limits = rows.agg(F.min(F.to_date(ts)).alias("first"), F.max(F.to_date(ts)).alias("last"))
-    first, last = limits.select("first").scalar(), limits.select("last").scalar()
-    start = F.greatest(F.coalesce(F.to_date(lo), first), first)
-    stop = F.least(F.coalesce(F.to_date(end), last), last)
-    days = spans.withColumns({"_from": start, "_to": stop}).where("_from <= _to")
-    days = days.withColumn("_day", F.explode(F.sequence("_from", "_to"))).drop("_from", "_to")
-    return rows.withColumn("_day", F.to_date(ts)).join(days, [*on, "_day"]).drop("_day").where(
+    first = F.coalesce(day_number(F.col(lo)), F.lit(0))
+    last = F.coalesce(day_number(end), F.lit((1 << LEVELS) - 1))
+    numbered = spans.withColumns({"_first": first, "_last": last}).where("_first <= _last")
+    many = numbered.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > FEW_SPANS).select(*on, F.lit(True).alias("_many"))
+    whole = F.array(F.struct(F.lit(-1).alias("level"), F.lit(0).alias("cell")))
+    cells = F.when(F.col("_many"), dyadic_cells(F.col("_first"), F.col("_last"))).otherwise(whole)
+    cut = numbered.join(many, list(on), "left").withColumn("_c", F.explode(cells)).withColumns({"_level": "_c.level", "_cell": "_c.cell"})
+    cut = cut.drop("_first", "_last", "_many", "_c")
+    probe = F.when(F.col("_many"), F.transform(F.sequence(F.lit(0), F.lit(LEVELS)), lambda k: F.struct(
+        k.alias("level"), F.call_function("shiftright", day_number(F.col(ts)), k).alias("cell")))).otherwise(whole)
+    asked = rows.where(F.col(ts).isNotNull()).join(many, list(on), "left").withColumn("_c", F.explode(probe)).withColumns({"_level": "_c.level", "_cell": "_c.cell"}).drop("_many", "_c")
+    return asked.join(cut, [*on, "_level", "_cell"]).drop("_level", "_cell").where(
         (F.col(lo).isNull() | (F.col(ts) >= F.col(lo))) & (F.col(hi).isNull() | (F.col(ts) <= end))
     )
 

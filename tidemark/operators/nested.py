@@ -35,7 +35,7 @@ def flatten_filings(df: DataFrame, recent: str = "filings.recent") -> DataFrame:
         return F.slice(values, F.lit(1), F.greatest(n, F.lit(0))).alias(name)
 
     zipped = F.arrays_zip(*[part(src) for src in FILING_ARRAYS])
-    rows = df.where(n > 0).select("cik", F.col("name").alias("company_name"), F.explode(zipped).alias("_f"))
+    rows = df.where(n > 0).select("cik", F.col("name").alias("company_name"), F.explode_outer(zipped).alias("_f"))
     return rows.select("cik", "company_name", *[F.col("_f")[src].alias(out) for src, out in FILING_ARRAYS.items()])
 
 
@@ -236,7 +236,8 @@ def option_rows(files: DataFrame, element: str, body: str = "body", order: str =
     """
     contract = "struct<symbol: string, expiration: string, right: string, strike: string>"
     parsed = F.from_json(F.col(body), f"struct<response: array<struct<contract: {contract}, data: array<struct<{element}>>>>>")
-    each = files.select(F.col(order).alias("_file"), F.posexplode(parsed["response"]).alias("_at", "_r"))
+    # an outer explode, so that Spark infers no filter that parses the file again
+    each = files.select(F.col(order).alias("_file"), F.posexplode_outer(parsed["response"]).alias("_at", "_r")).where(F.col("_at").isNotNull())
     key = {
         "symbol": F.upper("_r.contract.symbol"),
         "expiration": F.col("_r.contract.expiration"),

@@ -94,13 +94,16 @@ def mark_epochs(bars: DataFrame, symbols: DataFrame, grid: Grid) -> DataFrame:
     What was visible 30 minutes before a snapshot is what becomes visible 30 minutes late.
     """
     closes = bars.where(F.col("bar_close").isNotNull()).select("symbol", "available_time", "ts", "bar_close")
-    late = F.timestamp_add("MINUTE", F.lit(LAG_MINUTES), F.col("available_time"))
-    now = epochs(closes, grid, ["symbol"], ["bar_close"], listed=symbols)
-    before = epochs(closes, grid, ["symbol"], ["bar_close"], late, listed=symbols)
-    return merged([(now, {"bar_close": "close_now"}), (before, {"bar_close": "close_before"})], ["symbol"], grid)
+    lag = F.explode(F.array(F.lit(0), F.lit(LAG_MINUTES))).alias("lag")
+    both = closes.select("*", lag).withColumn("available_time", F.timestamp_add("MINUTE", F.col("lag"), F.col("available_time")))
+    listed = symbols.select("symbol", lag)
+    found = epochs(both, grid, ["symbol", "lag"], ["bar_close"], listed=listed)
+    legs = [(found.where(F.col("lag") == minutes), {"bar_close": name}) for minutes, name in ((0, "close_now"), (LAG_MINUTES, "close_before"))]
+    return merged(legs, ["symbol"], grid)
 
 
 SPAN = ("first_no", "last_no")
+BAR_COLUMNS = ("symbol", "timeframe", "ts", "available_time", "bar_open", "bar_high", "bar_low", "bar_close")
 
 
 def melt(df: DataFrame, ids: Iterable[str], values: dict[str, Column | str], prefix: Column | None = None) -> DataFrame:
@@ -134,18 +137,27 @@ def relative_strength(pairs: DataFrame, marks: DataFrame, daily: DataFrame, grid
     return moved.unionByName(stepped)
 
 
-def pair_spans(pairs: DataFrame, states: DataFrame, indicators: DataFrame, grid: Grid) -> DataFrame:
-    """Spans of the pair features that follow daily bars: last ratio step, volatility ratio, trend, correlation.
+def pair_spans(
+    pairs: DataFrame, states: DataFrame, indicators: DataFrame, grid: Grid, wanted: Iterable[str] = (*TREND_FEATURES, *CORR_FEATURES)
+) -> DataFrame:
+    """Spans of the pair features that follow daily bars: volatility ratio, last ratio step and trend, correlation.
 
-    ``states``: epochs of the daily indicators by symbol, ``indicators`` the bars they come from.
+    ``states``: epochs of the daily indicators by symbol, ``indicators`` the bars they come from. ``wanted``: trend and
+    correlation are left out where none of their features is named.
     """
+    wanted = set(wanted)
     ends = staged(pair_epochs(states, pairs, PAIR_COLUMNS, ["idx", "bad", "ret_idx", "realized_vol_20d"], grid), "ends")
-    trend = pair_trend(ends, close_series(indicators))
-    corr = return_corr(ends, return_series(indicators))
-    keyed = ends.withColumns({"n_num": F.col("num_idx"), "n_den": F.col("den_idx")}).join(trend, list(END), "left")
-    keyed = keyed.withColumns({"n_num": F.col("num_ret_idx"), "n_den": F.col("den_ret_idx")}).join(corr, list(END), "left")
-    ratio = safe_div(F.col("num_realized_vol_20d"), F.col("den_realized_vol_20d"))
-    return keyed.select(*PAIR_COLUMNS, *SPAN, "ratio_return_1d", ratio.alias("realized_vol_20d_ratio"), *TREND_FEATURES, *CORR_FEATURES)
+    ratio = safe_div(F.col("num_realized_vol_20d"), F.col("den_realized_vol_20d")).alias("realized_vol_20d_ratio")
+    keyed, found = ends, []
+    if wanted & {"ratio_return_1d", *TREND_FEATURES}:
+        trend = pair_trend(ends, close_series(indicators))
+        keyed = keyed.withColumns({"n_num": F.col("num_idx"), "n_den": F.col("den_idx")}).join(trend, list(END), "left")
+        found += ["ratio_return_1d", *TREND_FEATURES]
+    if wanted & set(CORR_FEATURES):
+        corr = return_corr(ends, return_series(indicators))
+        keyed = keyed.withColumns({"n_num": F.col("num_ret_idx"), "n_den": F.col("den_ret_idx")}).join(corr, list(END), "left")
+        found += CORR_FEATURES
+    return keyed.select(*PAIR_COLUMNS, *SPAN, ratio, *found)
 
 
 def concentration(symbols: DataFrame, states: DataFrame, indicators: DataFrame, grid: Grid) -> DataFrame:
@@ -181,6 +193,7 @@ def regime_spans(
     """
     states = symbols_of(universe, MARKET_STATE)
     own_pairs = pairs.where(~F.col("combination_type").isin(*ROTATION_TYPES))
+    bars = staged(bars.select(*BAR_COLUMNS), "bars")
     indicators = staged(daily_indicators(bars), "indicators")
     symbols = states.unionByName(legs_of(own_pairs)).distinct()
     columns = [c for c in indicators.columns if c not in ("symbol", "available_time", "ts")]
@@ -230,9 +243,10 @@ def rotation_spans(
     """
     wanted = None if only is None else set(only)
     own_pairs = pairs.where(F.col("combination_type").isin(*ROTATION_TYPES))
-    indicators = staged(daily_indicators(bars), "indicators")
+    bars = staged(bars.select(*BAR_COLUMNS), "bars")
     observed, legs = symbols_of(universe, SECTOR_OBSERVATION), legs_of(own_pairs)
     columns = ["idx", "bad", "ret_idx", "realized_vol_20d", "bar_close", "return_1d", "return_5d", "return_20d", *[f"ma{w}" for w in MA_WINDOWS]]
+    indicators = staged(daily_indicators(bars).select("symbol", "ts", "available_time", *columns), "indicators")
     seen = staged(epochs(indicators, grid, ["symbol"], columns, listed=observed.unionByName(legs).distinct()), "epochs")
 
     names = [c for c in BREADTH_FEATURES if wanted is None or c in wanted]
@@ -241,7 +255,10 @@ def rotation_spans(
         rows = breadth(seen.join(observed, "symbol", "left_semi"), grid)
         summary = melt(rows.withColumns({k: F.lit(v) for k, v in SUMMARY_ROW.items()}), [*META, *SPAN], {n: n for n in names})
 
-    daily = staged(pair_spans(own_pairs, seen, indicators, grid), "pairs")
+    stripped = None if wanted is None else {n.removeprefix(PAIR_PREFIX) for n in wanted}
+    needs_step = stripped is None or any(n.startswith("return") and n not in CORR_FEATURES for n in stripped)
+    needed = (*TREND_FEATURES, *CORR_FEATURES) if stripped is None else [*stripped, *(["ratio_return_1d"] if needs_step else [])]
+    daily = staged(pair_spans(own_pairs, seen, indicators, grid, needed), "pairs")
     about = [
         F.col("numerator").alias("candidate_symbol"), F.lit("sector_industry_etf").alias("candidate_type"), F.col("denominator").alias("comparison_symbol"),
         F.col("combination_id").alias("rotation_pair_id"), F.col("combination_type").alias("rotation_pair_type"), "feature_bar_grain",
@@ -251,7 +268,7 @@ def rotation_spans(
     rows = melt(daily.select(*about, *SPAN, *plain), [*META, *SPAN], {f: f for f in plain}, F.lit(PAIR_PREFIX)) if plain else None
     grain = F.concat(F.lit(f"{PAIR_PREFIX}return_"), F.when(F.col("feature_bar_grain") == "30m", F.lit("30m")).otherwise(F.lit("1d")))
     strength = None
-    if wanted is None or any(n.startswith(f"{PAIR_PREFIX}return") and n not in plain.values() for n in wanted):
+    if needs_step:
         marks = staged(mark_epochs(bars, legs, grid), "marks")
         both = F.explode(F.array(F.lit(f"{PAIR_PREFIX}return"), grain)).alias("feature")
         strength = relative_strength(own_pairs, marks, daily, grid).select(*about, *SPAN, both, F.col("relative_strength_return").alias("value"))

@@ -70,10 +70,19 @@ def select_symbols(universe: DataFrame, requested: DataFrame | None, symbol: str
     return have.join(asked.where(F.col("symbol") != ""), "symbol", "left_semi")
 
 
+def each_item(df: DataFrame, keep: Sequence[str | Column], items: Column, name: str) -> DataFrame:
+    """``keep`` and a row for each element of an array that is costly to make; null and empty arrays have none.
+
+    From a plain explode Spark infers a filter on the array's size and pushes it down to the scan, where the array is made
+    again, once for each expression in it. Of an outer one it infers nothing; the position tells the empty ones.
+    """
+    return df.select(*keep, F.posexplode_outer(items).alias("_place", name)).where(F.col("_place").isNotNull()).drop("_place")
+
+
 def page_union(pages: DataFrame, row_key: str, element: str, text: str = "body", keep: Sequence[str] = ()) -> DataFrame:
     """Rows of all landed JSON pages; ``element`` is the DDL of one array element."""
     parsed = F.from_json(F.col(text), f"struct<{row_key}: array<struct<{element}>>>")
-    return pages.select(*keep, F.explode(parsed[row_key]).alias("_r")).select(*keep, "_r.*")
+    return each_item(pages, keep, parsed[row_key], "_r").select(*keep, "_r.*")
 
 
 # --------------------------------------------------------------------------- documents
@@ -113,15 +122,14 @@ def _pick(name: str) -> Column:
 def _header_and_body(rows: DataFrame, ids: Sequence[str], head: Column, name_of, width: int, wanted: Iterable[str]) -> DataFrame:
     """``_rows`` to (ids, _at, _cells): places of the wanted headers and one body row each.
 
-    Documents without a header row have an empty body, so they drop in the explode and no
-    filter makes Spark extract the table twice.
+    Documents without a header row have an empty body and no rows.
     """
     at = rows.withColumn("_head", head)
     names = F.transform(F.get("_rows", F.col("_head") - 1), name_of)
     body = F.filter(F.slice("_rows", F.col("_head") + 1, F.size("_rows")), lambda r: F.size(r) >= width)
     none = F.array().cast("array<array<string>>")
     found = at.select(*ids, names.alias("_names"), F.when(F.col("_head") > 0, body).otherwise(none).alias("_body"))
-    return found.select(*ids, _places(F.col("_names"), wanted).alias("_at"), F.explode("_body").alias("_cells"))
+    return each_item(found, [*ids, _places(F.col("_names"), wanted).alias("_at")], F.col("_body"), "_cells")
 
 
 CALENDAR_FIELDS = tuple(dict.fromkeys(CALENDAR_ALIASES.values()))
@@ -211,7 +219,7 @@ def holdings_csv(files: DataFrame, text: str = "text") -> DataFrame:
     head = F.greatest(_first_match(F.col("_lines"), is_header), F.lit(1))
     rows = rows.select(*HOLDING_ID, csv_records(F.array_join(F.slice("_lines", head, F.size("_lines")), "\n")).alias("_records"))
     rows = rows.select(*HOLDING_ID, _canonical(csv_cells(F.get("_records", F.lit(0)))).alias("_names"), F.slice("_records", 2, F.size("_records")).alias("_body"))
-    each = rows.select(*HOLDING_ID, _places(F.col("_names"), HOLDING_FIELDS).alias("_at"), F.explode("_body").alias("_record"))
+    each = each_item(rows, [*HOLDING_ID, _places(F.col("_names"), HOLDING_FIELDS).alias("_at")], F.col("_body"), "_record")
     return _finish(each.withColumn("_cells", csv_cells(F.col("_record"))))
 
 
@@ -260,5 +268,5 @@ def holdings_json(files: DataFrame, text: str = "text") -> DataFrame:
     ids = ", ".join(f"{c} string" for c in HOLDING_ID)
     found = files.select(*[F.col(c).cast("string").alias(c) for c in HOLDING_ID], text).mapInPandas(
         of, f"{ids}, _names array<array<string>>, _body array<array<string>>")
-    each = found.select(*HOLDING_ID, F.explode(F.arrays_zip("_names", "_body")).alias("_r"))
+    each = each_item(found, HOLDING_ID, F.arrays_zip("_names", "_body"), "_r")
     return _finish(each.select(*HOLDING_ID, _places(_canonical(F.col("_r._names")), HOLDING_FIELDS).alias("_at"), F.col("_r._body").alias("_cells")))
