@@ -198,7 +198,7 @@ def holdings_csv_ingest(spark, d):
         F.lit("Fund report\nas of, today\n\nTicker,Name,Sector,Weight (%),Market Value\n"),
         F.lit("A"), "p_partkey", F.lit(',"'), "p_name", F.lit(', Inc",Tech,'), size, F.lit('.5%,"$1,'), F.lpad(size.cast("string"), 3, "0"), F.lit('"\n'),
         F.lit(',"Cash & ""Other""",,,$77\n,,,,\n'))
-    text = P.table(spark, d, "part").select(*holding_ids(), body.alias("text"))
+    text = P.landed(spark, d, "part", "p_partkey").select(*holding_ids(), body.alias("text"))
     return L.holdings_csv(text).select("etf_symbol", "source_url", "as_of_date", "holding_symbol", "holding_name", "weight", "market_value")
 
 
@@ -212,7 +212,7 @@ def holdings_json_ingest(spark, d):
     rows = F.array(row1, row2)
     doc = (F.when(k % 3 == 0, F.to_json(rows)).when(k % 3 == 1, F.to_json(F.struct(rows.alias("holdings"))))
            .otherwise(F.to_json(F.struct(F.struct(rows.alias("rows"), F.lit(1).alias("n")).alias("data"), F.lit("x").alias("fund")))))
-    text = P.table(spark, d, "part").select(*holding_ids(), doc.alias("text"))
+    text = P.landed(spark, d, "part", "p_partkey").select(*holding_ids(), doc.alias("text"))
     return L.holdings_json(text).select("etf_symbol", "source_url", "as_of_date", "holding_symbol", "holding_name", "weight", "market_value")
 
 
@@ -224,7 +224,7 @@ def holdings_html_ingest(spark, d):
         F.lit("<table><tr><td>one</td></tr>\n<tr><th>Ticker</th><th>Holdings</th><th>% of fund</th><th>Market value</th></tr><TR>"),
         cell(F.lit("<b>A"), "p_partkey", F.lit("</b>")), cell("p_name", F.lit(",  Inc")), cell(size, F.lit(".5 %")), cell(F.lit("$1,"), F.lpad(size.cast("string"), 3, "0")),
         F.lit("</TR>\n<tr>"), cell(F.lit("")), cell(F.lit("Cash &amp; &quot;Other&quot;")), cell(F.lit("")), cell(F.lit("77")), F.lit("</tr></table>"))
-    text = P.table(spark, d, "part").select(*holding_ids(), html.alias("text"))
+    text = P.landed(spark, d, "part", "p_partkey").select(*holding_ids(), html.alias("text"))
     return L.holdings_html(text).select("etf_symbol", "source_url", "as_of_date", "holding_symbol", "holding_name", "weight", "market_value")
 
 
@@ -238,7 +238,7 @@ def calendar_parse(spark, d):
         F.lit("<table><tr><td>x</td></tr><tr><th>Date</th><th>Country</th><th>Event</th><th>Category</th><th>Actual</th><th>Previous</th></tr><tr>"),
         td(F.to_date("o_orderdate").cast("string"), F.lit(" 08:30")), td(F.when(k % 2 == 0, "").otherwise("Canada")), td(F.lit("Payrolls &amp; Co "), k), td("o_orderstatus"), td("o_custkey", F.lit("<i>K</i>")), td(F.lit("")),
         F.lit("</tr><tr><td>Date</td><td>Country</td><td>Event</td><td>x</td></tr><tr><td>a</td><td>b</td></tr></table>"))
-    pages = P.table(spark, d, "orders").select(html.alias("html"), F.concat(F.lit("u"), k).alias("source_url"))
+    pages = P.landed(spark, d, "orders", "o_orderkey").select(html.alias("html"), F.concat(F.lit("u"), k).alias("source_url"))
     return L.calendar_rows(pages).select("source_url", "event_time", "country", "event", "source_event_type", "actual", "previous", "importance")
 
 

@@ -14,6 +14,11 @@ def table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
+def landed(spark: SparkSession, d: str, name: str, key: str) -> DataFrame:
+    """A table whose rows stand for landed documents, dealt by key: one file's rows are documents that all cores should parse."""
+    return table(spark, d, name).repartition(key)
+
+
 def _k() -> Column:
     return F.get_json_object("props", "$.k").cast("bigint")
 
