@@ -77,3 +77,28 @@ def test_every_document_is_found_in_the_index(spark, tmp_path, vocabulary):
             found.append((doc_id is not None, doc_id or 0, stream[:n]))
     want = [(i is not None, i or 0, list(t.encode()) if isinstance(t, str) else t or []) for i, t in rows]
     assert sorted(found) == sorted(want)
+
+
+def test_uneven_and_empty_splits(spark, tmp_path, monkeypatch):
+    """One split holds all rows, three are empty; then several shards a task."""
+    from tidemark.llm import token_output as T
+
+    rows = [(i, [(i * 7 + k) % 500 for k in range(i % 90)]) for i in range(400)]
+    docs = spark.createDataFrame(rows, SCHEMA).coalesce(1)
+    for tasks, splits in ((16_384, docs), (2, docs.repartitionById(4, (docs["doc_id"] * 0 + 2).cast("int"))), (3, docs.repartitionById(5, (docs["doc_id"] % 5).cast("int")))):
+        monkeypatch.setattr(T, "TASKS", tasks)
+        path = f"file://{tmp_path}/out-{tasks}"
+        index = write_shards(splits, path, length=16, records=20, vocabulary=500)
+        got = sorted(read_shards(index, path, length=16, vocabulary=500).collect(), key=lambda r: r["slot"])
+        assert [r["slot"] for r in got] == list(range(len(got))) == sorted(r["row_no"] for r in got)
+        assert sum(r["n_tokens"] for r in got) == sum(len(x) + 1 for _, x in rows)
+        assert sorted(b["doc_id"] for r in got for b in r["begins"]) == list(range(400))
+
+
+def test_empty_table_and_paths_without_scheme(spark, tmp_path):
+    from tidemark.llm.common import uri
+
+    path = f"file://{tmp_path}/none"
+    assert write_shards(spark.createDataFrame([], SCHEMA), path, vocabulary=500).count() == 0
+    assert uri(spark, str(tmp_path)) == f"file://{tmp_path}" == uri(spark, f"file:{tmp_path}")
+    assert uri(spark, "hdfs://host:9000/a") == "hdfs://host:9000/a"

@@ -19,6 +19,13 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/llm-{name}-{uuid.uuid4().hex}"
 
 
+def uri(spark: SparkSession, path: str) -> str:
+    """The path with scheme and authority; one without a scheme lies in the cluster's default file system."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    full = where.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(where).toString()
+    return full.replace("file:/", "file:///", 1) if full.startswith("file:/") and not full.startswith("file://") else full
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """The rows as a written table in the shared folder: later steps read it and survive lost executors."""
     path = new_path(df.sparkSession, name)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .bpe import encoded, vocabulary_size
 from .chat import read_back, windows
-from .common import stage, table
+from .common import table
 from .fill_middle import restored, transformed
 from .hard_negatives import hard_negatives
 from .licenses import scanned
@@ -96,7 +96,7 @@ def op8_mixing(spark: SparkSession, d: str) -> DataFrame:
 def op9_token_output(spark: SparkSession, d: str) -> DataFrame:
     """Every sequence of tokenizer ids and its place in the shards, read back from them."""
     path = tokenizer_path()
-    ids = stage(encoded(table(spark, d, "documents").select("doc_id", "text"), path, with_text=False).select("doc_id", "ids"), "ids")
+    ids = encoded(table(spark, d, "documents").select("doc_id", "text"), path, with_text=False).select("doc_id", "ids")
     return materialised(ids, vocabulary=vocabulary_size(path))
 
 

@@ -2,8 +2,8 @@
 
 Documents, each closed by END, are strung together and cut into sequences of SEQUENCE ids; only the last sequence
 of a scanned partition is filled with PAD. Sequences get global numbers in the order of the scan, and the permuted
-number is the slot. Slots s * RECORDS .. (s + 1) * RECORDS - 1 make shard s: rows are range-partitioned by slot, sorted,
-and written as records of equal length, so the ids of slot x lie at byte (x mod RECORDS) * SEQUENCE * width of shard
+number is the slot. Slots s * RECORDS .. (s + 1) * RECORDS - 1 make shard s: rows go to the task of their range of shards, are
+sorted by slot and written as records of equal length, so the ids of slot x lie at byte (x mod RECORDS) * SEQUENCE * width of shard
 x div RECORDS, and a reader resumes at any slot by a seek.
 
 With a ``vocabulary`` (number of ids), documents are (doc_id, ids array<int>) and an id takes 2 or 4 bytes, little-endian;
@@ -22,13 +22,14 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
-from .common import new_path, stage
+from .common import new_path, stage, uri
 from .permutation import permuted
 from .words import SLICE, slices
 
 SEQUENCE, RECORDS, SEED = 1024, 4096, 77
+TASKS = 16_384  # that write shards, at most
 END, PAD = 0xFF, 0xFE
 BEGINS = "begins array<struct<doc_id bigint, start int, n_ids bigint>>"
 ROW = f"slot bigint, shard bigint, at bigint, row_no bigint, doc_id bigint, offset bigint, n_tokens int, {BEGINS}"
@@ -64,31 +65,21 @@ def numbered_sequences(docs: DataFrame, length: int = SEQUENCE, vocabulary: int
     doc_id and offset tell where a sequence begins: so many ids into that document. begins lists every document whose
     first id (or END) stands in the sequence: its doc_id, the place there, and its number of ids without END; what does
     not fit goes on in the following row_no. Each row of ``docs`` is in one such list. Null and empty documents are END
-    alone. Numbers follow the scan: ``docs`` must be read from files, so that both passes (and a rerun of a task)
-    see the same rows in each partition. Ids are counted by partition first, so the documents are not shuffled to number them.
+    alone; an empty table has no sequence. Every task strings its own documents together, so the documents are not
+    shuffled to number them: the cut sequences are written once with their split and their place in it, and the numbers of
+    sequences of the splits before give the rest. How uneven the splits are makes no difference.
     """
     kind, end, _ = layout(vocabulary)
     wide = kind.itemsize
-    if vocabulary is None:
-        content, size = "text", F.octet_length(F.coalesce("text", F.lit("")))
-    else:
-        content, size = F.coalesce("ids", F.array().cast("array<int>")).alias("ids"), F.coalesce(F.size("ids"), F.lit(0))
-        size = F.greatest(size, F.lit(0))  # of null it may be -1
-    ids = F.sum(size.cast("bigint") + 1)
-    found = docs.groupBy(F.spark_partition_id().alias("p")).agg(ids.alias("n")).collect()  # a number for each partition
-    counts = {r["p"]: -(-r["n"] // length) for r in found}
-    order = sorted(counts)
-    before = dict(zip(order, np.cumsum([0, *(counts[p] for p in order)])[:-1].tolist()))
-    bases = docs.sparkSession.sparkContext.broadcast((before, counts))
+    content = F.col("text") if vocabulary is None else F.coalesce("ids", F.array().cast("array<int>")).alias("ids")
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place = TaskContext.get().partitionId()
-        base, left = bases.value[0].get(place, 0), bases.value[1].get(place, 0)
+        split, base = TaskContext.get().partitionId(), 0
         # ids not yet cut, where their documents begin in them, which those are and how long
         rest, starts, ids, sizes = np.zeros(0, kind), np.zeros(0, np.int64), [], np.zeros(0, np.int64)
 
         def cut(whole):
-            nonlocal base, left
+            nonlocal base
             at = np.arange(whole) * length
             k = np.searchsorted(starts, at, "right") - 1
             body = rest[: whole * length].tobytes()
@@ -99,9 +90,9 @@ def numbered_sequences(docs: DataFrame, length: int = SEQUENCE, vocabulary: int
                                               ["doc_id", "start", "n_ids"])
             edges = np.append(np.searchsorted(starts[x:y], at), y - x).astype(np.int32)
             begins = pa.ListArray.from_arrays(pa.array(edges), here)
-            rows = pa.RecordBatch.from_arrays([pa.array(np.arange(base, base + whole)), first, pa.array(at - starts[k]), pa.array(tokens, pa.binary()), begins],
-                                              ["row_no", "doc_id", "offset", "tokens", "begins"])
-            base, left = base + whole, left - whole
+            rows = pa.RecordBatch.from_arrays([pa.array(np.full(whole, split, np.int32)), pa.array(np.arange(base, base + whole)), first, pa.array(at - starts[k]), pa.array(tokens, pa.binary()), begins],
+                                              ["split", "place", "doc_id", "offset", "tokens", "begins"])
+            base += whole
             return rows
 
         for batch in batches:
@@ -122,11 +113,13 @@ def numbered_sequences(docs: DataFrame, length: int = SEQUENCE, vocabulary: int
                     rest, starts, ids, sizes = rest[whole * length :].copy(), starts[k:] - whole * length, ids[k:], sizes[k:]
         if len(rest):
             yield cut(1)
-        if left:
-            raise ValueError("the documents changed between two passes; write them to a table first")
 
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), content).mapInArrow(of, f"row_no bigint, doc_id bigint, offset bigint, tokens binary, {BEGINS}")
-    return rows, sum(counts.values())
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), content)
+    cut = stage(rows.mapInArrow(of, f"split int, place bigint, doc_id bigint, offset bigint, tokens binary, {BEGINS}"), "sequences")
+    sizes = cut.groupBy("split").agg(F.count("*").alias("_n"))
+    before = sizes.select("split", (F.sum("_n").over(W.orderBy("split")) - F.col("_n")).alias("_before"))  # one row a split
+    numbered = cut.join(before, "split").select((F.col("_before") + F.col("place")).alias("row_no"), "doc_id", "offset", "tokens", "begins")
+    return numbered, cut.count()
 
 
 def _writer(path: str, length: int, records: int, vocabulary: int | None):
@@ -175,9 +168,10 @@ def write_shards(docs: DataFrame, path: str, length: int = SEQUENCE, records: in
     store, folder = fs.FileSystem.from_uri(path)
     store.create_dir(folder, recursive=True)
     slots = rows.select(permuted("row_no", n, seed).alias("slot"), "row_no", "doc_id", "offset", "begins", "tokens").withColumn("shard", F.expr(f"slot div {records}"))
+    # a task writes one or more whole shards, one after the other
     shards = max(1, -(-n // records))
-    # a shard never spans two tasks
-    dealt = slots.repartitionByRange(shards, "shard").sortWithinPartitions("slot").select("slot", "row_no", "doc_id", "offset", "begins", "tokens")
+    each = -(-shards // TASKS)
+    dealt = slots.repartitionById(-(-shards // each), F.expr(f"CAST(shard div {each} AS INT)")).sortWithinPartitions("slot").select("slot", "row_no", "doc_id", "offset", "begins", "tokens")
     return stage(dealt.mapInArrow(_writer(path, length, records, vocabulary), ROW), "index")
 
 
@@ -215,8 +209,6 @@ def read_shards(index: DataFrame, path: str, length: int = SEQUENCE, vocabulary:
 
 def materialised(docs: DataFrame, path: str | None = None, vocabulary: int | None = None) -> DataFrame:
     """Write the shards and read them back: the index with crc32 of each record's ids."""
-    path = path or new_path(docs.sparkSession, "shards")
-    if "://" not in path and not path.startswith("file:"):
-        path = "file://" + path
+    path = uri(docs.sparkSession, path or new_path(docs.sparkSession, "shards"))
     index = write_shards(docs, path, vocabulary=vocabulary)
     return read_shards(index, path, vocabulary=vocabulary).drop("tokens")
