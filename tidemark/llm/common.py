@@ -20,10 +20,11 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 
 def uri(spark: SparkSession, path: str) -> str:
-    """The path with scheme and authority; one without a scheme lies in the cluster's default file system."""
+    """The path with its scheme; one without lies in the cluster's default file system."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    full = where.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(where).toString()
-    return full.replace("file:/", "file:///", 1) if full.startswith("file:/") and not full.startswith("file://") else full
+    if where.toUri().getScheme() is None:
+        path = where.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(where).toString()
+    return path.replace("file:/", "file:///", 1) if path.startswith("file:/") and not path.startswith("file://") else path
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

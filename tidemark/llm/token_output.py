@@ -30,6 +30,7 @@ from .words import SLICE, slices
 
 SEQUENCE, RECORDS, SEED = 1024, 4096, 77
 TASKS = 16_384  # that write shards, at most
+FEW_SPLITS = 200_000  # whose offsets go to all tasks
 END, PAD = 0xFF, 0xFE
 BEGINS = "begins array<struct<doc_id bigint, start int, n_ids bigint>>"
 ROW = f"slot bigint, shard bigint, at bigint, row_no bigint, doc_id bigint, offset bigint, n_tokens int, {BEGINS}"
@@ -117,7 +118,9 @@ def numbered_sequences(docs: DataFrame, length: int = SEQUENCE, vocabulary: int
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), content)
     cut = stage(rows.mapInArrow(of, f"split int, place bigint, doc_id bigint, offset bigint, tokens binary, {BEGINS}"), "sequences")
     sizes = cut.groupBy("split").agg(F.count("*").alias("_n"))
-    before = sizes.select("split", (F.sum("_n").over(W.orderBy("split")) - F.col("_n")).alias("_before"))  # one row a split
+    before = stage(sizes.select("split", (F.sum("_n").over(W.orderBy("split")) - F.col("_n")).alias("_before")), "offsets")  # one row a split
+    if before.count() <= FEW_SPLITS:  # a few MB; else Spark joins as it sees fit
+        before = F.broadcast(before)
     numbered = cut.join(before, "split").select((F.col("_before") + F.col("place")).alias("row_no"), "doc_id", "offset", "tokens", "begins")
     return numbered, cut.count()
 
