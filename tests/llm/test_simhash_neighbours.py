@@ -2,10 +2,14 @@
 
 import random
 
+import pytest
+
 from tidemark.llm import simhash as S
 
 
-def test_counts_and_classes_equal_all_pairs(spark):
+@pytest.mark.parametrize("chunk", [1024, 7])
+def test_counts_and_classes_equal_all_pairs(spark, monkeypatch, chunk):
+    monkeypatch.setattr(S, "CHUNK", chunk)
     rng = random.Random(9)
     prints = [rng.getrandbits(64) for _ in range(40)]
     for p in prints[:25]:
@@ -39,3 +43,20 @@ def test_copies_are_near(spark):
     assert len(got) == len(texts) and [got[i]["n_near"] for i in range(8)] == [3, 3, 3, 3, 0, 0, 1, 1]
     assert [got[i]["near_found"] for i in range(8)] == [True] * 4 + [False] * 2 + [True] * 2
     assert len({got[i]["near_class"] for i in range(4)}) == 1 and len({got[i]["near_class"] for i in range(8)}) == 4
+
+
+def test_a_group_of_near_copies_makes_few_links(spark, monkeypatch):
+    """A ball of 500 fingerprints, all near each other, and chains: one class each, links by member and not by pair."""
+    rng, kept = random.Random(3), []
+    middle = rng.getrandbits(63)
+    ball = list({middle ^ (1 << a) for a in range(63)} | {middle} | {middle ^ (1 << a) ^ (1 << 60) for a in range(60)})
+    chain = [rng.getrandbits(62)]
+    for k in range(20):
+        chain.append(chain[-1] ^ (7 << 3 * k))  # three bits a step
+    monkeypatch.setattr(S, "components", lambda links, name, real=S.components: real(kept.append(links.count()) or links, name))
+    prints = [(p,) for p in ball + chain]
+    got = {r["fingerprint"]: r for r in S.neighbours(spark.createDataFrame(prints, "fingerprint bigint")).collect()}
+    near = lambda a, b: (a ^ b).bit_count() <= 3
+    assert all(got[p]["n_near"] == sum(near(p, q) for (q,) in prints) - 1 for (p,) in prints)
+    assert {got[p]["near_class"] for p in ball} == {min(ball)} and {got[p]["near_class"] for p in chain} == {min(chain)}
+    assert kept[0] < 4 * len(prints)

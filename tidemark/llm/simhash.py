@@ -5,11 +5,13 @@ term's hash vote for or against the bits of the fingerprint. Votes are counted b
 one long holds the counts of two bits, so a text may have 2^32 terms.
 
 Search: fingerprints within RADIUS bits agree on at least BLOCKS - RADIUS of BLOCKS bit blocks. For every
-choice of that many blocks there is a table keyed by them; equal keys are compared bit by bit.
+choice of that many blocks there is a table keyed by them; equal keys are compared bit by bit. A bit whose votes tie is 0.
+Texts of any length are one row of terms each, exploded and summed map-side before the shuffle.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
@@ -19,6 +21,7 @@ from .common import components, number_rows, stage
 SPACE = r"[\x20\x09-\x0D]+"
 RADIUS, BLOCKS = 3, 6
 RUN = 256  # ids in a run of neighbours
+CHUNK = 1024  # fingerprints of a bucket that are looked through at once
 _PAIR = (1 << 32) + 1
 
 
@@ -50,11 +53,11 @@ def block_masks(radius: int = RADIUS, blocks: int = BLOCKS) -> list[int]:
     return [m - (1 << 64) if m >> 63 else m for m in masks]
 
 
-def block_tables(prints: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
-    """Each fingerprint once for every block table: columns fingerprint, place, key."""
+def block_tables(prints: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, keep: Sequence[str] = ()) -> DataFrame:
+    """Each fingerprint once for every block table: columns fingerprint, ``keep``, place, key."""
     cells = [F.struct(F.lit(i).alias("place"), F.expr(f"fingerprint & ({m}L)" if m != -(1 << 63) else f"fingerprint & (-{(1 << 63) - 1}L - 1L)").alias("key"))
              for i, m in enumerate(block_masks(radius, blocks))]
-    return prints.select("fingerprint", F.explode(F.array(*cells)).alias("c")).select("fingerprint", "c.place", "c.key")
+    return prints.select("fingerprint", *keep, F.explode(F.array(*cells)).alias("c")).select("fingerprint", *keep, "c.place", "c.key")
 
 
 def with_near(prints: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
@@ -81,27 +84,45 @@ def near_links(prints: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS) ->
     """
     tables = block_tables(prints.select("fingerprint").distinct(), radius, blocks)
     other = tables.select(F.col("fingerprint").alias("other"), "place", "key")
-    masks = ", ".join(f"{m}L" if m != -(1 << 63) else f"(-{(1 << 63) - 1}L - 1L)" for m in block_masks(radius, blocks))
     differ = F.col("fingerprint").bitwiseXOR(F.col("other"))
-    first = F.expr(f"array_position(transform(array({masks}), m -> ((fingerprint ^ other) & m) = 0L), true) = place + 1")
+    first = F.expr(f"{_first_table('fingerprint', 'other', radius, blocks)} = place")
     pairs = tables.join(other, ["place", "key"]).where((F.col("fingerprint") < F.col("other")) & (F.bit_count(differ) <= radius)).where(first)
     return pairs.select("fingerprint", "other")
 
 
+def _first_table(a: str, b: str, radius: int, blocks: int) -> str:
+    """The first block table in which fingerprints ``a`` and ``b`` agree (from 0)."""
+    masks = ", ".join(f"{m}L" if m != -(1 << 63) else f"(-{(1 << 63) - 1}L - 1L)" for m in block_masks(radius, blocks))
+    return f"array_position(transform(array({masks}), m -> (({a} ^ {b}) & m) = 0L), true) - 1"
+
+
 def neighbours(prints: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
     """For each distinct fingerprint of the rows of ``prints``: n_near and near_class.
 
     n_near counts the other rows within ``radius`` bits of a row, those with the same fingerprint too. near_class is the
     smallest fingerprint (as a signed long) that links of at most ``radius`` bits lead to.
+
+    A bucket (equal keys of a block table) is cut into arrays of about CHUNK fingerprints, and each of its fingerprints
+    meets the arrays: one row for an array, not for a pair. A pair counts in the first table in which it agrees. For the classes a
+    link is dropped where a smaller fingerprint of the same array is near both its ends: the two links to that one, or what
+    stands for them in turn, connect the ends, so a group of near copies keeps about one link a member and array.
     """
     held = stage(prints.groupBy("fingerprint").agg(F.count("*").alias("n")), "prints-held")
-    links = stage(near_links(held, radius, blocks), "near-links")
-    both = links.unionAll(links.select(F.col("other").alias("fingerprint"), F.col("fingerprint").alias("other")))
-    sizes = held.select(F.col("fingerprint").alias("other"), F.col("n").alias("m"))
-    near = both.join(sizes, "other").groupBy("fingerprint").agg(F.sum("m").alias("m"))
-    classes = components(links.select(F.col("fingerprint").alias("a"), F.col("other").alias("b")), "near-classes")
-    classes = classes.select(F.col("node").alias("fingerprint"), "component")
-    return held.join(near, "fingerprint", "left").join(classes, "fingerprint", "left").select(
+    tables = block_tables(held, radius, blocks, ["n"])
+    sizes = tables.groupBy("place", "key").agg(F.count("*").alias("m")).where("m > 1")
+    cut = tables.join(sizes, ["place", "key"]).withColumn("chunk", F.pmod(F.xxhash64("fingerprint"), F.ceil(F.col("m") / CHUNK)))
+    arrays = cut.groupBy("place", "key", "chunk").agg(F.array_sort(F.collect_list(F.struct(F.col("fingerprint").alias("f"), "n"))).alias("others"))
+    met = cut.select("place", "key", "fingerprint").join(arrays, ["place", "key"])
+    near = f"x -> x.f <> fingerprint AND bit_count(x.f ^ fingerprint) <= {radius}"
+    first = f"{_first_table('fingerprint', 'x.f', radius, blocks)} = place"
+    links = f"""transform(filter(near, x -> x.f > fingerprint AND {first} AND NOT exists(near, h -> h.f < fingerprint AND bit_count(h.f ^ x.f) <= {radius})), x -> x.f)"""
+    found = met.select("fingerprint", F.expr(f"""transform(array(filter(others, {near})), near -> named_struct(
+        'm', aggregate(filter(near, x -> {first}), 0L, (s, x) -> s + x.n), 'links', {links}))[0]""").alias("r"))
+    found = stage(found.select("fingerprint", "r.*").where("m > 0"), "near")
+    more = found.groupBy("fingerprint").agg(F.sum("m").alias("m"))
+    links = found.select(F.col("fingerprint").alias("a"), F.explode("links").alias("b"))
+    classes = components(links, "near-classes").select(F.col("node").alias("fingerprint"), "component")
+    return held.join(more, "fingerprint", "left").join(classes, "fingerprint", "left").select(
         "fingerprint", (F.col("n") - 1 + F.coalesce("m", F.lit(0))).alias("n_near"), F.coalesce("component", "fingerprint").alias("near_class"))
 
 
