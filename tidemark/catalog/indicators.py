@@ -271,9 +271,12 @@ def payload_stats(df, keys):
 
 
 def payload_sql(keys: str, source: str) -> str:
-    value = f"coalesce(printf('%.6f', {rs('value')}), 'null')"
-    return f"""SELECT {keys + ', ' if keys else ''}snapshot_time, count(*) AS n_keys, count(*) - count(value) AS n_null, md5(string_agg(feature, ',' ORDER BY feature)) AS keys_md5,
-      md5(string_agg({value}, ',' ORDER BY feature)) AS values_md5 FROM {source} JOIN snaps ON snapshot_time BETWEEN first_snapshot AND last_snapshot GROUP BY {keys + ', ' if keys else ''}snapshot_time"""
+    """Payloads at the starts of spans, carried to the snapshots up to the next start of any span."""
+    value, by = f"coalesce(printf('%.6f', {rs('value')}), 'null')", f"{keys}, " if keys else ""
+    return f"""SELECT {by}s.snapshot_time, n_keys, n_null, keys_md5, values_md5 FROM
+      (SELECT {by}since, count(*) AS n_keys, count(*) - count(value) AS n_null, md5(string_agg(feature, ',' ORDER BY feature)) AS keys_md5,
+        md5(string_agg({value}, ',' ORDER BY feature)) AS values_md5 FROM {source} JOIN (SELECT DISTINCT first_snapshot AS since FROM {source}) ON since BETWEEN first_snapshot AND last_snapshot GROUP BY {by}since)
+      JOIN (SELECT snapshot_time, since FROM snaps ASOF JOIN (SELECT DISTINCT first_snapshot AS since FROM {source}) ON snapshot_time >= since) s USING (since)"""
 
 
 @query("feature_payload_regime", payload_sql("", "regime"))

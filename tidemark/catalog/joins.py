@@ -59,9 +59,10 @@ cte("rt", """SELECT e.numerator, e.denominator, e.n_num, e.n_den, k, a.c / b.c A
   (SELECT DISTINCT numerator, denominator, n_num, n_den, unnest(range(0, least(n_num, n_den, 220))) AS k FROM ends WHERE n_num IS NOT NULL AND n_den IS NOT NULL) e
   JOIN ind a ON a.symbol = e.numerator AND a.idx = e.n_num - e.k JOIN ind b ON b.symbol = e.denominator AND b.idx = e.n_den - e.k""")
 # each pair and offset once: position i of one leg beside i - d of the other
-cte("laid", """SELECT numerator, denominator, d, a.idx AS i, a.c / b.c AS ratio FROM
-  (SELECT numerator, denominator, n_num - n_den AS d, min(n_num) - 220 AS low, max(n_num) AS high FROM ends WHERE n_num IS NOT NULL AND n_den IS NOT NULL GROUP BY ALL)
-  JOIN ind a ON a.symbol = numerator AND a.idx > low AND a.idx <= high JOIN ind b ON b.symbol = denominator AND b.idx = a.idx - d""")
+cte("laid", """SELECT numerator, denominator, d, i, a.c / b.c AS ratio FROM
+  (SELECT numerator, denominator, d, unnest(range(greatest(low, 0) + 1, high + 1)) AS i FROM
+    (SELECT numerator, denominator, n_num - n_den AS d, min(n_num) - 220 AS low, max(n_num) AS high FROM ends WHERE n_num IS NOT NULL AND n_den IS NOT NULL GROUP BY ALL))
+  JOIN ind1 a ON a.symbol = numerator AND a.idx = i JOIN ind1 b ON b.symbol = denominator AND b.idx = i - d""")
 
 
 def daily(spark, d, *columns, bars=None):
