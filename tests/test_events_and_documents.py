@@ -24,38 +24,39 @@ from tidemark.sources.sinks import check_keys, write_csv
 
 
 def test_equity_event(spark):
-    rows = [("NVDA", "1Min", f"2026-04-24T09:{30 + i}:00-04:00", 100 + i * 0.1, 100 + i * 0.1, 1000.0 + i) for i in range(10)]
-    rows.append(("NVDA", "1Min", "2026-04-24T09:40:00-04:00", 118.0, 120.0, 10000.0))
+    quiet = [41.0, 41.2, 41.1, 41.3, 41.2, 41.4, 41.3, 41.5]
+    rows = [("PLUM", "5Min", f"2031-03-03T10:{5 * i:02}:00-05:00", price, price, 300.0 + 7 * i) for i, price in enumerate(quiet)]
+    rows.append(("PLUM", "5Min", "2031-03-03T10:40:00-05:00", 47.5, 48.0, 9000.0))
     bars = spark.createDataFrame(rows, "symbol string, timeframe string, t string, bar_open double, bar_close double, bar_volume double").withColumn("ts", parse_ts_et(F.col("t")))
     events = detect_equity_events(bars, lookback_intervals=5).collect()
     assert len(events) == 1
     e = events[0]
-    assert e.abnormal_activity_type == "return_zscore;volume_spike;gap" and e.symbol == "NVDA"
-    assert e.event_id == "eq_abn_NVDA_20260424_0940000400" and e.relative_strength_zscore == ""
-    assert e.summary == "NVDA triggered return_zscore, volume_spike, gap over 1Min bars."
+    assert e.abnormal_activity_type == "return_zscore;volume_spike;gap" and e.symbol == "PLUM"
+    assert e.event_id == "eq_abn_PLUM_20310303_1040000500" and e.relative_strength_zscore == ""
+    assert e.summary == "PLUM triggered return_zscore, volume_spike, gap over 5Min bars."
 
 
 def option_trades(spark):
-    rows = [("AAPL", "2026-05-15", "CALL", 270.0, "2026-04-24T09:30:02.267", "2026-04-24T09:30:02.260", 1, 1.25, 80, 1.15, 1.25),
-            ("AAPL", "2026-05-15", "CALL", 270.0, "2026-04-24T09:30:10.100", "2026-04-24T09:30:10.050", 2, 1.2, 40, 1.1, 1.25)]
+    rows = [("QZT", "2031-06-20", "PUT", 12.5, "2031-03-03T11:15:07.410", "2031-03-03T11:15:07.395", 1, 0.95, 75, 0.7, 0.95),
+            ("QZT", "2031-06-20", "PUT", 12.5, "2031-03-03T11:21:40.002", "2031-03-03T11:21:39.871", 2, 0.8, 55, 0.7, 1.0)]
     df = spark.createDataFrame(rows, "underlying string, expiration string, option_right_type string, strike double, t string, q string, seq int, price double, size int, bid double, ask double")
     return df.withColumns({"ts": parse_ts_et(F.col("t")), "quote_ts": parse_ts_et(F.col("q"))})
 
 
 def test_option_event(spark):
-    standards = {"trade_at_ask": {"max_price_vs_ask": 0.01, "min_ask_touch_ratio": 0.95}, "opening_activity": {"min_window_volume": 100}}
-    context = {"standard_id": "s1", "generated_at": "2026-04-24T09:30:02.500000-04:00"}
+    standards = {"trade_at_ask": {"max_price_vs_ask": 0.01, "min_ask_touch_ratio": 0.95}, "opening_activity": {"min_window_volume": 120}}
+    context = {"standard_id": "s1", "generated_at": "2031-03-03T11:15:08.250000-05:00"}
     ev = detect_option_events(option_trades(spark), standards, "30Min", standard_context=context)
     row = event_timeline(ev).first()
     assert row.id.startswith("opt_evt_") and row.event_link_url == f"{row.id}.csv"
-    assert row.timeline_headline == "AAPL 2026-05-15 270C draws ask-side activity with opening activity"
-    assert (row.created_at, row.updated_at) == ("2026-04-24T09:30:02.267000-04:00", context["generated_at"])
-    assert (row.symbols, row.summary) == ("AAPL;AAPL 2026-05-15 270C", "trade_at_ask;opening_activity")
+    assert row.timeline_headline == "QZT 2031-06-20 12.5P draws ask-side activity with opening activity"
+    assert (row.created_at, row.updated_at) == ("2031-03-03T11:15:07.410000-05:00", context["generated_at"])
+    assert (row.symbols, row.summary) == ("QZT;QZT 2031-06-20 12.5P", "trade_at_ask;opening_activity")
     detail = event_detail_rows(ev).first()
     hit = json.loads(detail.triggered_indicators)
-    assert set(hit) == {"trade_at_ask", "opening_activity"} and hit["trade_at_ask"]["statistics"]["trade_price"] == 1.25
-    assert hit["opening_activity"]["statistics"]["window_volume"] == 120
-    assert json.loads(detail.triggering_trade)["trade_size"] == 80 and json.loads(detail.quote_context)["ask"] == 1.25
+    assert set(hit) == {"trade_at_ask", "opening_activity"} and hit["trade_at_ask"]["statistics"]["trade_price"] == 0.95
+    assert hit["opening_activity"]["statistics"]["window_volume"] == 130
+    assert json.loads(detail.triggering_trade)["trade_size"] == 75 and json.loads(detail.quote_context)["ask"] == 0.95
 
 
 def test_no_threshold_never_triggers(spark):
@@ -64,16 +65,16 @@ def test_no_threshold_never_triggers(spark):
 
 def test_chain(spark):
     key = "symbol string, expiration string, strike double, option_right_type string, arrival int"
-    q = spark.createDataFrame([("AAPL", "2026-05-15", 270.0, "CALL", 1, 1.15, 1.25, 12)], key + ", bid double, ask double, bid_size int")
-    under = parse_ts_et(F.lit("2026-04-24T13:30:02.260"), "UTC")
-    i = spark.createDataFrame([("AAPL", "2026-05-15", 270.0, "CALL", 1, 0.64, 271.0)], key + ", implied_vol double, underlying_price double").withColumn("underlying_timestamp", under)
-    g = spark.createDataFrame([("AAPL", "2026-05-15", 270.0, "CALL", 1, 0.52, 271.95)], key + ", delta double, underlying_price double").withColumn("underlying_timestamp", under)
-    snap = parse_ts_et(F.lit("2026-04-24T09:30:02.500000-04:00"))
+    q = spark.createDataFrame([("QZT", "2031-06-20", 12.5, "PUT", 1, 0.7, 0.95, 31)], key + ", bid double, ask double, bid_size int")
+    under = parse_ts_et(F.lit("2031-03-03T16:15:07.395"), "UTC")
+    i = spark.createDataFrame([("QZT", "2031-06-20", 12.5, "PUT", 1, 0.41, 12.75)], key + ", implied_vol double, underlying_price double").withColumn("underlying_timestamp", under)
+    g = spark.createDataFrame([("QZT", "2031-06-20", 12.5, "PUT", 1, -0.38, 12.8)], key + ", delta double, underlying_price double").withColumn("underlying_timestamp", under)
+    snap = parse_ts_et(F.lit("2031-03-03T11:15:08.250000-05:00"))
     rows = chain_rows(q, i, g, snap)
     flat = flatten_chain(chain_snapshot(rows, F.col("symbol"), snap, ["expiration", "strike", "option_right_type"]))
     r = flat.withColumn("at", iso_et(F.col("underlying_timestamp"))).first()
-    assert (r.mid, r.spread, r.days_to_expiration, r.delta, r.implied_vol) == (1.2, 0.10000000000000009, 21, 0.52, 0.64)
-    assert r["at"] == "2026-04-24T09:30:02.260000-04:00" and r.option_symbol == "AAPL_2026-05-15_C_270" and r.underlying_price == 271.95
+    assert (r.mid, r.spread, r.days_to_expiration, r.delta, r.implied_vol) == (0.825, 0.25, 109, -0.38, 0.41)
+    assert r["at"] == "2031-03-03T11:15:07.395000-05:00" and r.option_symbol == "QZT_2031-06-20_P_12.5" and r.underlying_price == 12.8
 
 
 def test_option_files(spark):
@@ -99,16 +100,16 @@ def test_option_files(spark):
 
 
 def test_position_window(spark):
-    t = lambda s: datetime.fromisoformat(f"2026-04-24 {s}")
-    contracts = spark.createDataFrame([("AAPL", "AAPL260515C270", "2026-05-15", "CALL", 270, t("09:30"), t("09:31"))],
+    t = lambda s: datetime.fromisoformat(f"2031-03-03 {s}")
+    contracts = spark.createDataFrame([("QZT", "QZT-P12", "2031-06-20", "PUT", 12, t("13:04"), t("13:20"))],
                                       "underlying string, option_symbol string, expiration string, option_right_type string, strike int, entry_time timestamp_ntz, exit_time timestamp_ntz")
-    rows = spark.createDataFrame([("AAPL260515C270", t("09:30"), 1.2, 2), ("AAPL260515C270", t("10:31"), 1.35, 1), ("AAPL260515C270", t("10:32"), 1.65, 1)],
+    rows = spark.createDataFrame([("QZT-P12", t(at), close, n) for at, close, n in [("13:03", 0.5, 9), ("13:04", 0.6, 3), ("13:40", 0.7, 4), ("14:20", 0.8, 5), ("14:21", 0.9, 6)]],
                                  "option_symbol string, ts timestamp_ntz, close double, count int")
     out = position_bars(rows, contracts).orderBy("timestamp").collect()
-    assert [(r.bar_close, r.bar_trade_count) for r in out] == [(1.2, 2), (1.35, 1)] and out[-1].timestamp == t("10:31")
+    assert [(r.bar_close, r.bar_trade_count) for r in out] == [(0.6, 3), (0.7, 4), (0.8, 5)] and out[-1].timestamp == t("14:20")
 
 
-IDS = {"etf_symbol": "VGT", "issuer_name": "vanguard", "source_url": "u", "default_as_of": "2026-04-24"}
+IDS = {"etf_symbol": "ORCH", "issuer_name": "vanguard", "source_url": "u", "default_as_of": "2031-03-03"}
 
 
 def docs(spark, text):
@@ -119,7 +120,7 @@ def test_holdings_html(spark):
     page = """<p>Orchard Growth Fund</p><table><tr><th>Ticker</th><th>Holding</th><th>SEDOL</th><th>% of fund</th><th>Shares</th><th>Market value</th></tr>
       <tr><td>QZT</td><td>Quartz&nbsp;&amp; Tile&trade;</td><td>B0QZT01</td><td>2.75 %</td><td>3,400</td><td>$81,250.5</td></tr></table>"""
     r = holdings_html(docs(spark, page)).first()
-    assert (r.holding_name, r.sedol, r.shares, r.as_of_date, r.weight.strip(), r.market_value) == ("Quartz & Tile™", "B0QZT01", "3400", "2026-04-24", "2.75", "81250.5")
+    assert (r.holding_name, r.sedol, r.shares, r.as_of_date, r.weight.strip(), r.market_value) == ("Quartz & Tile™", "B0QZT01", "3400", "2031-03-03", "2.75", "81250.5")
 
 
 CSV_FILES = {
