@@ -9,9 +9,10 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import Window, functions as F
 
 from tidemark.operators.indicators import daily_indicators, pair_ends, prepare_bars, ratio_tail, close_series, return_corr, return_series
-from tidemark.operators.joins import asof_join, interval_join, last_wins, visible_rows, with_each
+from tidemark.operators.joins import asof_join, interval_join, last_wins, ordered_blocks, visible_rows, with_each
 from tidemark.operators.windows import index_rows, rolling, trailing, trailing_z
-from tidemark.sources.sinks import upsert, upsert_path
+from tidemark.sources import sinks
+from tidemark.sources.sinks import drop_versions, read_upserted, upsert, upsert_path, versions
 
 T0 = datetime(2024, 1, 1)
 
@@ -26,11 +27,40 @@ def test_asof_matches_brute_force(spark):
     for k, at, i in left:
         best = [(rt, tie, v) for rk, rt, tie, v in right if rk == k and rt <= at]
         want[i] = max(best)[2] if best else None
-    for chunk in ("day", "month", None):
-        got = {x.id: x.v for x in asof_join(l, r, ["k"], "at", "rt", ["v"], tie=["tie"], chunk=chunk).collect()}
+    for blocks in (None, 1, 3, 40):
+        got = {x.id: x.v for x in asof_join(l, r, ["k"], "at", "rt", ["v"], tie=["tie"], blocks=blocks).collect()}
         assert got == want
 
 
+@pytest.mark.parametrize("minutes", [390, 1])
+def test_asof_of_one_symbol_and_day_spans_several_blocks(spark, minutes):
+    """A key-day (and a single minute) with all rows is cut by count; nulls meet nothing, repeated rows stay."""
+    rng = random.Random(7)
+    at = lambda: T0 + timedelta(minutes=rng.randrange(minutes))
+    right = [("hot", at(), i, i if i % 9 else None) for i in range(1500)] + [(None, T0, 1, 5), ("hot", None, 2, 6)]
+    left = [("hot", at(), i) for i in range(1500)] + [(None, T0, -1), ("hot", None, -2), ("hot", T0 - timedelta(1), -3), ("hot", T0, 7), ("hot", T0, 7)]
+    r = spark.createDataFrame(right, "k string, rt timestamp_ntz, tie int, v int")
+    l = spark.createDataFrame(left, "k string, at timestamp_ntz, id int")
+    got = asof_join(l, r, ["k"], "at", "rt", ["v"], tie=["tie"], blocks=8).collect()
+    last = {}
+    for _, t, tie, v in right[:1500]:
+        last[t] = max(last.get(t, (-1, None)), (tie, v), key=lambda x: x[0])
+    times = sorted(last)
+    def hit(k, t):
+        best = [x for x in times if x <= t] if k and t else []
+        return last[best[-1]][1] if best else None
+    assert sorted(map(str, [(x.id, x.v) for x in got])) == sorted(map(str, [(i, hit(k, t)) for k, t, i in left]))
+    sizes = [x["count"] for x in ordered_blocks(l, ["k", "at"], 8).where("k = 'hot'").groupBy("_part").count().collect()]
+    assert len(sizes) >= 6 and max(sizes) < 2 * len(left) / 8
+
+
+def test_asof_of_empty_sides(spark):
+    l = spark.createDataFrame([("a", T0)], "k string, at timestamp_ntz")
+    r = spark.createDataFrame([("a", T0, 1.0)], "k string, rt timestamp_ntz, v double")
+    assert [x.v for x in asof_join(l, r.limit(0), ["k"], "at", "rt", ["v"]).collect()] == [None]
+    assert asof_join(l.limit(0), r, ["k"], "at", "rt", ["v"]).count() == 0
+
+
 def test_visible_rows(spark):
     states = spark.createDataFrame([("A", T0 + timedelta(days=d, hours=16), T0 + timedelta(days=d), d) for d in (0, 1, 5)], "symbol string, available_time timestamp_ntz, ts timestamp_ntz, n int")
     marks = [T0 + timedelta(hours=15), T0 + timedelta(hours=16), T0 + timedelta(days=1, hours=15, minutes=59), T0 + timedelta(days=3), T0 + timedelta(days=9)]
@@ -76,16 +106,74 @@ def test_upsert_last_duplicate_wins(spark):
     assert last_wins(batch, ["k"], ["seq"]).count() == 2
 
 
+UP = "k int, day string, v string, seq int"
+
+
+def held(df):
+    return sorted(((r.k, r.day, r.v) for r in df.collect()), key=str)
+
+
 def test_upsert_path_rewrites_only_touched_partitions(spark, tmp_path):
     path = str(tmp_path / "t")
-    first = spark.createDataFrame([(1, "d1", "a", 0), (2, "d2", "b", 0)], "k int, day string, v string, seq int")
-    upsert_path(spark, path, first, ["day", "k"], ["seq"], "day")
-    untouched = sorted(p.name for p in (tmp_path / "t" / "day=d1").glob("*.parquet"))
-    second = spark.createDataFrame([(2, "d2", "new", 1), (3, "d2", "c", 1)], "k int, day string, v string, seq int")
-    upsert_path(spark, path, second, ["day", "k"], ["seq"], "day")
-    got = sorted((r.k, r.day, r.v) for r in spark.read.parquet(path).collect())
-    assert got == [(1, "d1", "a"), (2, "d2", "new"), (3, "d2", "c")]
-    assert sorted(p.name for p in (tmp_path / "t" / "day=d1").glob("*.parquet")) == untouched
+    first = spark.createDataFrame([(1, "d1", "a", 0), (2, "d2", "b", 0), (8, None, "n", 0)], UP)
+    assert upsert_path(spark, path, first, ["day", "k"], ["seq"], "day") == 1
+    files = sorted((tmp_path / "t" / "data").rglob("*.parquet"))
+    second = spark.createDataFrame([(2, "d2", "old", 1), (2, "d2", "new", 2), (3, "d2", "c", 1), (9, None, "m", 1)], UP)
+    assert upsert_path(spark, path, second, ["day", "k"], ["seq"], "day") == 2
+    assert held(read_upserted(spark, path)) == sorted([(1, "d1", "a"), (2, "d2", "new"), (3, "d2", "c"), (8, None, "n"), (9, None, "m")], key=str)
+    fresh = set((tmp_path / "t" / "data").rglob("*.parquet")) - set(files)
+    assert fresh and all("day=d1" not in str(f) for f in fresh) and all(f.exists() for f in files)
+    assert held(read_upserted(spark, path, 1)) == sorted([(1, "d1", "a"), (2, "d2", "b"), (8, None, "n")], key=str)
+    assert upsert_path(spark, path, second.limit(0), ["day", "k"], ["seq"], "day") == 3
+    assert held(read_upserted(spark, path)) == held(read_upserted(spark, path, 2))
+
+
+def test_a_writer_that_dies_leaves_the_old_version_whole(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    days = [f"d{i}" for i in range(6)]
+    upsert_path(spark, path, spark.createDataFrame([(i, d, "old", 0) for i, d in enumerate(days)], UP), ["day", "k"], ["seq"], "day")
+    before = held(read_upserted(spark, path))
+    batch = spark.createDataFrame([(i, d, "new", 1) for i, d in enumerate(days)], UP)
+    broken = batch.withColumn("v", F.when(F.col("day") == "d4", F.raise_error(F.lit("lost"))).otherwise(F.col("v")))
+    with pytest.raises(Exception, match="lost"):  # some partitions may be written, none is published
+        upsert_path(spark, path, broken, ["day", "k"], ["seq"], "day")
+    assert held(read_upserted(spark, path)) == before
+
+    def dies(*_):
+        raise OSError("killed")
+
+    with monkeypatch.context() as m:  # all partitions are written, the manifest is not
+        m.setattr(sinks, "_publish", dies)
+        with pytest.raises(OSError):
+            upsert_path(spark, path, batch, ["day", "k"], ["seq"], "day")
+    assert held(read_upserted(spark, path)) == before and versions(spark, path) == [1]
+    upsert_path(spark, path, batch, ["day", "k"], ["seq"], "day")
+    assert held(read_upserted(spark, path)) == [(i, d, "new") for i, d in enumerate(days)]
+    assert drop_versions(spark, path, keep=1) == []  # young folders may belong to a writer at work
+    assert len(drop_versions(spark, path, keep=1, older_than_hours=0)) >= 2 and versions(spark, path) == [2]
+    assert held(read_upserted(spark, path)) == [(i, d, "new") for i, d in enumerate(days)]
+
+
+def test_second_of_two_writers_is_told(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    one, two = (spark.createDataFrame([(i, "d1", f"w{i}", i)], UP) for i in (1, 2))
+    upsert_path(spark, path, one, ["day", "k"], ["seq"], "day")
+    with monkeypatch.context() as m:
+        real = sinks.upsert
+
+        def late(*args):  # another writer publishes while this one merges
+            m.setattr(sinks, "upsert", real)
+            upsert_path(spark, path, two, ["day", "k"], ["seq"], "day")
+            return real(*args)
+
+        m.setattr(sinks, "upsert", late)
+        with pytest.raises(sinks.ConcurrentUpsert):
+            upsert_path(spark, path, one, ["day", "k"], ["seq"], "day")
+    assert held(read_upserted(spark, path)) == [(1, "d1", "w1"), (2, "d1", "w2")]
+    with pytest.raises(ValueError):
+        upsert_path(spark, path, one.withColumn("v", F.lit(1)), ["day", "k"], ["seq"], "day")
+    with pytest.raises(FileNotFoundError):
+        read_upserted(spark, f"{path}-none")
 
 
 # ------------------------------------------------------------------ indicators against plain Python
@@ -296,7 +384,7 @@ def test_payload_upsert_replaces_a_snapshot(spark, tmp_path):
     schema = "snapshot_time timestamp_ntz, feature_payload_json string"
     upsert_payload(spark.createDataFrame(rows, schema), f"{tmp_path}/t", ["snapshot_time"])
     upsert_payload(spark.createDataFrame([(rows[1][0], "new"), (datetime(2024, 1, 3, 10), "c")], schema), f"{tmp_path}/t", ["snapshot_time"])
-    got = {(r.snapshot_time, r.feature_payload_json) for r in spark.read.parquet(f"{tmp_path}/t").collect()}
+    got = {(r.snapshot_time, r.feature_payload_json) for r in read_upserted(spark, f"{tmp_path}/t").collect()}
     assert got == {rows[0], (rows[1][0], "new"), (datetime(2024, 1, 3, 10), "c")}
 
 

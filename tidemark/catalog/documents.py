@@ -460,6 +460,19 @@ def upsert_keyed(spark, d):
     return rounded(out, "l_quantity", "l_extendedprice")
 
 
+@query("upsert_versions", f"""
+SELECT ship_year, l_orderkey, l_linenumber, {rs('l_quantity')} AS l_quantity, {rs('l_extendedprice')} AS l_extendedprice, l_linestatus FROM (
+  SELECT *, year(l_shipdate) AS ship_year, row_number() OVER (PARTITION BY year(l_shipdate), l_orderkey, l_linenumber ORDER BY l_linestatus DESC, {', '.join(c + ' DESC' for c in LORD)}) AS rn
+  FROM lineitem) WHERE rn = 1""")
+def upsert_versions(spark, d):
+    """Lines upserted by ship year in two versions, those with the later status over the others."""
+    rows = P.table(spark, d, "lineitem").select(F.year("l_shipdate").alias("ship_year"), *LKEYS, "l_quantity", "l_extendedprice", "l_linestatus", F.struct(*LORD).alias("_order"))
+    path = S.scratch_path(spark, "versions")
+    for part in (F.col("l_linestatus") == "F", F.col("l_linestatus") != "F"):
+        S.upsert_path(spark, path, rows.where(part), ["ship_year", *LKEYS], ["_order"], "ship_year")
+    return rounded(S.read_upserted(spark, path), "l_quantity", "l_extendedprice")
+
+
 @query("table_contract_check", """
 SELECT 'not_null:symbol' AS rule, count(*) FILTER (k % 10 = 0) AS violations FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events)
 UNION ALL SELECT 'not_null:timeframe', 0 UNION ALL SELECT 'not_null:timestamp', count(*) FILTER (user_id % 9 = 0) FROM events

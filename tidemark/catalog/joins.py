@@ -32,7 +32,7 @@ def marks(spark, d):
 SELECT a.symbol, a.at, a.seq, {rs('m.price')} AS close FROM asks a ASOF LEFT JOIN
   (SELECT symbol, avail, arg_max(price, ts) AS price FROM marks GROUP BY ALL) m ON a.symbol = m.symbol AND a.at >= m.avail""")
 def asof_latest_close(spark, d):
-    out = J.asof_join(asks(spark, d), marks(spark, d), ["symbol"], "at", "avail", ["price"], tie=["ts"], chunk="day")
+    out = J.asof_join(asks(spark, d), marks(spark, d), ["symbol"], "at", "avail", ["price"], tie=["ts"])
     return out.select("symbol", "at", "seq", r("price").alias("close"))
 
 

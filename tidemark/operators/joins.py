@@ -7,16 +7,23 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.symbols import right_sort
+from ..shared import staged
 
 
 # --------------------------------------------------------------------------- as-of
 
 
-def _chunk(ts: Column, chunk: str | None) -> Column:
-    if chunk is None:
-        return F.lit(None).cast("date")
-    day = F.to_date(ts)
-    return day if chunk == "day" else F.to_date(F.trunc(day, chunk))
+def ordered_blocks(rows: DataFrame, order: Sequence[str], blocks: int | None = None) -> DataFrame:
+    """The rows in blocks (``_part``) of about equal size that follow each other in ``order``; staged.
+
+    Blocks are range partitions, so they are cut by count wherever the rows lie: a key, a day or a single
+    moment that holds a third of all rows spans many blocks. A salt ends the order, so equal rows part too.
+    They are written once, as the cuts of a range partitioning are sampled anew at each evaluation.
+    """
+    rows = rows.withColumn("_salt", F.monotonically_increasing_id())
+    keys = [*order, "_salt"]
+    cut = rows.repartitionByRange(*keys) if blocks is None else rows.repartitionByRange(blocks, *keys)
+    return staged(cut.withColumn("_part", F.spark_partition_id()), "blocks")
 
 
 def asof_join(
@@ -27,59 +34,32 @@ def asof_join(
     right_ts: str,
     values: Sequence[str],
     tie: Sequence[str] = (),
-    chunk: str | None = "month",
+    blocks: int | None = None,
 ) -> DataFrame:
     """Backward as-of: each left row gets the last right row with ``right_ts <= left_ts``.
 
-    Right rows with the same time are ordered by ``tie``. The work is split by key and
-    calendar ``chunk``: one small table carries the last value into each chunk, so a hot
-    key is spread over as many tasks as it has chunks. ``chunk=None`` uses one window per
-    key, for series whose length is bounded by the calendar.
+    Right rows with the same time are ordered by ``tie``, then by a hash of their values. Both sides lie in
+    one order of (key, time) that is cut into ``blocks`` by count (Spark's shuffle partitions, unless given);
+    each block is a window of its own and a table of at most (keys + blocks) rows carries the last value of a key
+    into its next blocks. A null key or time meets nothing: such left rows stay, with null values.
     """
     on = list(on)
-    payload = F.struct(*[F.col(v) for v in values])
-    tie_key = F.struct(*[F.col(t) for t in tie]) if tie else F.lit(0)
-    r = right.select(
-        *on,
-        F.col(right_ts).alias("_ts"),
-        _chunk(F.col(right_ts), chunk).alias("_chunk"),
-        F.lit(1).alias("_side"),
-        tie_key.alias("_tie"),
-        payload.alias("_value"),
-    )
-    l = left.select(
-        *on,
-        F.col(left_ts).alias("_ts"),
-        _chunk(F.col(left_ts), chunk).alias("_chunk"),
-        F.lit(2).alias("_side"),
-        F.struct(*[F.col(c) for c in left.columns]).alias("_left"),
-    )
-    rows = r.unionByName(l, allowMissingColumns=True)
-    group = [*on]
-    if chunk is not None:
-        last_in_chunk = r.groupBy(*on, "_chunk").agg(F.max_by("_value", F.struct("_ts", "_tie")).alias("_value"))
-        touched = l.select(*on, "_chunk").distinct()
-        spine = Window.partitionBy(*on).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-        carried = (
-            last_in_chunk.join(touched, [*on, "_chunk"], "full_outer")
-            .select(*on, "_chunk", F.last("_value", ignorenulls=True).over(spine).alias("_value"))
-            .where(F.col("_value").isNotNull())
-        )
-        rows = rows.unionByName(
-            carried.withColumns({"_ts": F.col("_chunk").cast("timestamp_ntz"), "_side": F.lit(0)}),
-            allowMissingColumns=True,
-        )
-        group.append("_chunk")
-    upto = (
-        Window.partitionBy(*group)
-        .orderBy("_ts", "_side", "_tie")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    return (
-        rows.withColumn("_hit", F.last("_value", ignorenulls=True).over(upto))
-        .where(F.col("_side") == 2)
-        .select("_left.*", *[F.col("_hit")[v].alias(v) for v in values])
+    tie_key = F.struct(*[F.col(t) for t in tie], F.xxhash64(*values))
+    r = right.dropna(subset=[*on, right_ts]).select(
+        *on, F.col(right_ts).alias("_ts"), F.lit(1).alias("_side"), tie_key.alias("_tie"), F.struct(*values).alias("_value")
     )
+    l = left.select(*on, F.col(left_ts).alias("_ts"), F.lit(2).alias("_side"), F.struct(*left.columns).alias("_left"))
+    order = ["_ts", "_side", "_tie"]
+    rows = ordered_blocks(r.unionByName(l, allowMissingColumns=True), [*on, *order], blocks)
+
+    in_block = rows.groupBy(*on, "_part").agg(F.max_by("_value", F.when(F.col("_side") == 1, F.struct("_ts", "_tie"))).alias("_value"))
+    earlier = Window.partitionBy(*on).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    carried = in_block.withColumn("_value", F.last("_value", ignorenulls=True).over(earlier)).where("_value IS NOT NULL")
+    rows = rows.unionByName(carried.withColumn("_side", F.lit(0)), allowMissingColumns=True)
+
+    upto = Window.partitionBy(*on, "_part").orderBy(F.col("_side") > 0, *order, "_salt").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    hit = F.when(F.col("_ts").isNotNull(), F.last("_value", ignorenulls=True).over(upto))
+    return rows.withColumn("_hit", hit).where(F.col("_side") == 2).select("_left.*", *[F.col("_hit")[v].alias(v) for v in values])
 
 
 def visible_rows(

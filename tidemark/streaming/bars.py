@@ -33,7 +33,7 @@ def stream_trade_bars(
 
 
 def upsert_stream(bars: DataFrame, path: str, keys: Sequence[str], order: Sequence[str], partition: str, checkpoint: str) -> StreamingQuery:
-    """Upsert every micro-batch; replaying a batch after a failure gives the same table."""
+    """Upsert every micro-batch, a version each (see ``read_upserted``); replaying a batch after a failure gives the same table."""
 
     def merge(batch: DataFrame, _batch_id: int) -> None:
         upsert_path(batch.sparkSession, path, batch, keys, order, partition)
