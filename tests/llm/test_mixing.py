@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 from brute import targets as brute_targets, words
-from tidemark.llm.mixing import fit_lengths, mixed, mixture
+from tidemark.llm.mixing import NEW, fit_lengths, mixed, mixture
 
 
 @pytest.mark.parametrize("seed", range(6))
@@ -67,3 +67,18 @@ def test_empty(spark):
     assert mixed(spark.createDataFrame([], "doc_id bigint, text string, source string")).count() == 0
     got = mixed(spark.createDataFrame([(1, None, None)], "doc_id bigint, text string, source string")).collect()
     assert [(r["size"], r["target"], r["taken"]) for r in got] == [(0, 0.0, 0)]
+
+
+CLASHING = ["passes", "extra", "n", "_at", "_src", "_edge", "_in", "_copy", "copies", "Size", "taken", "part", "need", "c0", "c1", "_own_size", "a.b"]
+
+
+def test_further_columns_of_any_name_stay(spark):
+    rows = [(i, "w " * (i % 7), "ab"[i % 2], *[f"{c}{i}" for c in CLASHING]) for i in range(60)]
+    docs = spark.createDataFrame(rows, ["doc_id", "text", "source", *CLASHING])
+    plain = docs.select("doc_id", "text", "source")
+    got = mixed(docs)
+    assert got.columns == ["doc_id", "text", "source", *(c for c in CLASHING if c.lower() not in NEW), *NEW]
+    assert sorted((r["doc_id"], r["taken"], r["target"]) for r in got.collect()) == sorted((r["doc_id"], r["taken"], r["target"]) for r in mixed(plain).collect())
+    out = mixture(docs)
+    assert out.columns == docs.columns
+    assert sorted(map(tuple, out.collect())) == sorted(rows[r["doc_id"]] for r in mixture(plain).collect())

@@ -97,19 +97,15 @@ def _plan(source: pd.DataFrame) -> pd.DataFrame:
                          "source_size": size, "target": target})
 
 
-def mixed(docs: DataFrame) -> DataFrame:
-    """``docs`` (doc_id, text, source, further columns) with size, source_size, target, copies and taken.
-
-    Columns of these names in the input give way. size is the number of words (null text: 0), taken the words the mixture takes of a row, repeats counted:
-    a whole number of times its size, twice at most. Null is a source of its own, the last. Documents are
-    chosen by a seeded hash of doc_id, text and source, so reruns agree; equal rows tie and any of them serves.
-    """
-    own = [c for c in docs.columns if c not in NEW]
+def _chosen(docs: DataFrame) -> DataFrame:
+    """The columns of ``docs`` as c0, c1, ... (so none can clash with the ones made here) and those of ``NEW``."""
     # null and the text of any source stay apart
     src = F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("n"))
-    rows = docs.select(*own, F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint").alias("size"),
-                       src.alias("_src"), F.xxhash64("doc_id", "text", "source", F.lit(SEED)).alias("_at"))
-    counts = stage(rows.groupBy("_src", "source", "size").agg(F.count("*").alias("n")), "lengths")
+    own = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)]
+    made = [src.alias("_src"), "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint").alias("size"),
+            F.xxhash64("doc_id", "text", "source", F.lit(SEED)).alias("_at")]
+    slim = stage(docs.select(*made), "sizes")  # words are counted once for all that follows but the last join
+    counts = stage(slim.groupBy("_src", "source", "size").agg(F.count("*").alias("n")), "lengths")
     sizes = counts.groupBy("_src", "source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))
     goals = targets(sizes.select("source", "source_size")).withColumn("_src", src).drop("source")
     plan = counts.select("_src", "size", "n").join(goals, "_src").groupBy("_src").applyInPandas(
@@ -117,7 +113,7 @@ def mixed(docs: DataFrame) -> DataFrame:
     plan = stage(plan, "plan")
 
     # of n documents of a length the ``extra`` lowest hashes: whole parts below a cut part, ranks within it
-    spots = rows.select("_src", "size", "_at").join(plan.where("extra > 0 AND extra < n"), ["_src", "size"])
+    spots = slim.select("_src", "size", "_at").join(plan.where("extra > 0 AND extra < n"), ["_src", "size"])
     part = F.floor((F.col("_at") / 2.0**64 + 0.5) * F.ceil(F.col("n") / PART))
     spots = stage(spots.select("_src", "size", "_at", "extra", part.alias("part")), "spots")
     by_length = W.partitionBy("_src", "size")
@@ -130,22 +126,35 @@ def mixed(docs: DataFrame) -> DataFrame:
     low = ranked.join(edge.drop("need"), ["_src", "size"]).where("_at <= _edge").groupBy("_src", "size").agg(
         F.max("_edge").alias("_edge"), F.count("*").alias("_upto"), F.count_if(F.expr("_at = _edge")).alias("_ties"), F.count_if(F.expr("_at < _edge")).alias("_under"))
     edge = edge.join(low.drop("_edge"), ["_src", "size"]).select("_src", "size", "_edge", (F.col("need") - F.col("_under")).alias("_fit"), "_ties")
-    choice = plan.join(edge, ["_src", "size"], "left")
-    found = rows.join(choice.drop("n"), ["_src", "size"])
+    choice = stage(plan.join(edge, ["_src", "size"], "left").drop("n"), "choice")
+    found = docs.select(*own, *made).drop("source").join(choice, ["_src", "size"])
     tie = F.when(F.col("_ties") == F.col("_fit"), True)
     found = found.withColumn("_in", F.when(F.col("extra") == 0, False).when(F.col("_edge").isNull(), True)
                              .when(F.col("_at") < F.col("_edge"), True).when(F.col("_at") > F.col("_edge"), False).otherwise(tie))
     sure = found.where("_in IS NOT NULL")
     ties = found.where("_in IS NULL").withColumn("_in", F.row_number().over(W.partitionBy("_src", "size").orderBy("_at")) <= F.col("_fit"))
-    out = sure.unionByName(ties)
+    if choice.where("_ties > _fit").isEmpty():  # no length has equal rows across its edge
+        out = sure
+    else:
+        out = sure.unionByName(ties)
     copies = F.col("passes") + F.col("_in").cast("int")
-    return out.select(*own, "size", "source_size", "target", copies.alias("copies"), (F.col("size") * copies).alias("taken"))
+    return out.withColumns({"copies": copies, "taken": F.col("size") * copies})
+
+
+def mixed(docs: DataFrame) -> DataFrame:
+    """``docs`` (doc_id, text, source, further columns) with size, source_size, target, copies and taken.
+
+    Columns of these names in the input give way, others of any name stay. size is the number of words of the
+    whole text, however long (null text: 0), taken the words the mixture takes of a row, repeats counted:
+    a whole number of times its size, twice at most. Null is a source of its own, the last. Documents are
+    chosen by a seeded hash of doc_id, text and source, so reruns agree; equal rows tie and any of them serves.
+    An empty table gives no rows; a source without words has the target 0.
+    """
+    own = [F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns) if c.lower() not in NEW]
+    return _chosen(docs).select(*own, *NEW)
 
 
 def mixture(docs: DataFrame) -> DataFrame:
     """The rows of the mixture: every document as often as ``mixed`` takes it, its columns as they are."""
-    renamed = {c: f"_own_{c}" for c in docs.columns if c in NEW}
-    rows = mixed(docs.withColumnsRenamed(renamed))
-    again = F.explode(F.sequence(F.lit(1), F.col("copies")))
-    rows = rows.where("copies > 0").withColumn("_copy", again)
-    return rows.drop(*NEW, "_copy").withColumnsRenamed({v: k for k, v in renamed.items()}).select(*docs.columns)
+    rows = _chosen(docs).where("copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    return rows.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])
