@@ -52,18 +52,18 @@ SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id
 
 def license_sql() -> str:
     phrases = ", ".join(f"([{', '.join(repr(w) for w in p.split())}], '{label}')" for p, label in licenses.PHRASES.items())
-    sets = {label: sorted(set(t.split())) for label, t in licenses.TEMPLATES.items()}
-    templates = ", ".join(f"('{label}', '{w}', {len(s)}, {licenses._needed(len(s), licenses.THRESHOLD)})" for label, s in sets.items() for w in s)
-    step = licenses.STEP
+    sets = [(i, label, sorted(set(t.split())), n.split(), licenses.block_step(t)) for i, (label, t, n) in enumerate(licenses.TEMPLATES)]
+    templates = ", ".join(f"({i}, '{label}', '{w}', {len(s)}, {licenses._needed(len(s), licenses.THRESHOLD)}, {int(w in n)}, {len(n)}, {step})"
+                          for i, label, s, n, step in sets for w in s)
     return rf"""
 WITH words AS (SELECT doc_id, regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
 phrases(p, label) AS (VALUES {phrases}),
 places AS (SELECT doc_id, label, unnest([i - 1 FOR i IN range(1, len(w) - len(p) + 2) IF w[i:i + len(p) - 1] = p]) AS spot FROM words, phrases),
 base AS (SELECT doc_id, count(*) AS n_base, min(spot) AS first_word, max(spot) AS last_word FROM places GROUP BY doc_id),
 tokens AS (SELECT doc_id, unnest(w) AS w, unnest(range(len(w))) AS p FROM words),
-templates(label, w, m, o) AS (VALUES {templates}),
-hits AS (SELECT doc_id, label, w, m, o, unnest(CASE WHEN p >= {step} THEN [p // {step}, p // {step} - 1] ELSE [p // {step}] END) AS block FROM tokens JOIN templates USING (w)),
-met AS (SELECT doc_id, label, count(DISTINCT w) / any_value(m) AS share FROM hits GROUP BY doc_id, label, block HAVING count(DISTINCT w) >= any_value(o)),
+templates(id, label, w, m, o, named, names, step) AS (VALUES {templates}),
+hits AS (SELECT DISTINCT doc_id, id, label, w, m, o, named, names, unnest(CASE WHEN p >= step THEN [p // step, p // step - 1] ELSE [p // step] END) AS block FROM tokens JOIN templates USING (w)),
+met AS (SELECT doc_id, label, count(*) / any_value(m) AS share FROM hits GROUP BY doc_id, id, label, block HAVING count(*) >= any_value(o) AND sum(named) = any_value(names)),
 every AS (SELECT doc_id, label, 'base' AS kind FROM places UNION SELECT doc_id, label, 'method' FROM met),
 named AS (SELECT doc_id, coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE kind = 'base'), '') AS base_labels,
   string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM every GROUP BY doc_id),
