@@ -70,3 +70,40 @@ def test_empty_and_clashing_columns(spark):
     assert chat.read_back(chat.windows(empty)).count() == 0
     rows = spark.createDataFrame([(1, 0, "user", "hi")], SCHEMA).withColumns({c: F.lit("x") for c in ("key", "block", "tokens", "start", "bucket", "window")})
     assert chat.windows(rows).count() == 1
+
+
+def test_no_window_exceeds_the_budget_but_a_single_turn(spark):
+    rng = random.Random(5)
+    rows = []
+    for c in range(30):
+        words = rng.choice([0, 5, 30, 59, 90, 120, 600])  # of the system turn
+        at = rng.choice([0, 0, 4])
+        for t in range(25):
+            role = "system" if t == at and words else rng.choice(["user", "assistant"])
+            rows.append((c, t, role, " ".join([f"{c}.{t}"] * (words if role == "system" else rng.choice([1, 8, 20, 60, 110, 150]) if c % 3 else rng.randint(1, 20)))))
+    for sizes in ({"budget": 120, "history": 30}, {"budget": 120, "history": 200}, {"budget": 100, "history": 0, "system": 20}):
+        made = chat.windows(spark.createDataFrame(rows, SCHEMA), **sizes).collect()
+        for w in made:
+            assert w["tokens"] <= sizes["budget"] or (w["n_new"], w["n_repeated"]) == (1, 0)
+        same(read(spark, rows, **sizes), rows)
+
+
+def test_system_turn_is_retained_up_to_half_the_budget(spark):
+    for words, kept in ((56, True), (57, False), (600, False)):  # 4 tokens more each
+        rows = [(1, 0, "system", "s " * words)] + [(1, t, ("user", "assistant")[t % 2], "w " * 10) for t in range(1, 40)]
+        made = sorted(chat.windows(spark.createDataFrame(rows, SCHEMA), budget=120, history=20).collect(), key=lambda w: w["window"])
+        assert len(made) > 4 and [w["text"].startswith("<|im_start|>system") for w in made] == [True] + [kept] * (len(made) - 1)
+
+
+def test_windows_are_filled_on_plain_chat(spark):
+    rows = [(1, t, ("user", "assistant")[t % 2], "w " * (20 + t % 30)) for t in range(400)]
+    made = chat.windows(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert all(w["tokens"] <= chat.BUDGET for w in made)
+    assert sum(w["tokens"] for w in made) / len(made) > 0.8 * chat.BUDGET
+
+
+def test_token_counts_of_the_caller(spark):
+    rows = [(1, t, ("user", "assistant")[t % 2], "one two", n) for t, n in enumerate([100, 5, None, 0, -3, 40, 40, 40, 90])]
+    made = chat.windows(spark.createDataFrame(rows, SCHEMA + ", size int"), budget=120, history=10, tokens="size").collect()
+    assert all(w["tokens"] <= 120 for w in made) and sum(w["n_new"] for w in made) == 9 and len(made) >= 4
+    same(read(spark, [r[:4] for r in rows], budget=120, history=10), [r[:4] for r in rows])
