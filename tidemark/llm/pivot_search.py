@@ -8,8 +8,10 @@ that bound and stops when the bound exceeds the distance of its k-th best. Round
 blocks, more, then all that the bound leaves.
 
 Pivots and cuts are fitted to a bounded sample (SAMPLE vectors); every vector is indexed, block limits are those of
-all vectors, and results are exact. Blocks of many vectors are split, and queries are dealt in chunks, so a
-task holds ROWS vectors and QUERIES queries or so.
+all vectors, and results are exact. Blocks of many vectors are split, and queries are dealt in chunks of neighbours: runs of
+pivots, each next to the one before, that hold QUERIES queries or so (a fuller pivot is split by a hash). In a round a part of a
+block goes only to the chunks of which some query visits it, so pruning saves rows shuffled and not just products. A task
+holds ROWS vectors and QUERIES queries or so.
 """
 
 from __future__ import annotations
@@ -63,6 +65,29 @@ def fit_pivots(sample: np.ndarray, count: int = PIVOTS, annuli: int = ANNULI) ->
     return pivots, cuts.reshape(len(pivots), annuli - 1)
 
 
+def chain(pivots: np.ndarray) -> np.ndarray:
+    """Pivots in an order that always goes on to the nearest one left."""
+    order, left = [0], set(range(1, len(pivots)))
+    while left:
+        order.append(min(left, key=lambda p: (float(((pivots[p] - pivots[order[-1]]) ** 2).sum()), p)))
+        left.remove(order[-1])
+    return np.array(order)
+
+
+def deal(order: np.ndarray, counts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(first chunk, number of chunks) of each pivot: runs along ``order`` share a chunk of at most ``size`` queries, a fuller pivot has several."""
+    first, number = np.zeros(len(counts), int), np.ones(len(counts), int)
+    chunk, held = 0, 0
+    for p in order.tolist():
+        if held and held + counts[p] > size:
+            chunk, held = chunk + 1, 0
+        first[p], number[p] = chunk, max(1, -(-int(counts[p]) // size))
+        held += int(counts[p])
+        if held > size:
+            chunk, held = chunk + int(number[p]), 0
+    return first, number
+
+
 def _best(scores: np.ndarray, k: int) -> np.ndarray:
     """Columns of the k highest scores of each row, ties to the lower column."""
     n = scores.shape[1]
@@ -117,6 +142,12 @@ def usable(vectors: DataFrame) -> DataFrame:
     return rows.groupBy("vec_id").agg(F.max("vector").alias("vector"))
 
 
+def shipped(index: DataFrame, visited: DataFrame) -> DataFrame:
+    """The rows of the index once for every chunk of queries that visits their part of a block."""
+    rows = index.select("vec_id", "vector", "block", "part")
+    return rows.join(visited.distinct(), ["block", "part"]).select("vec_id", "vector", "block", "part", "chunk")
+
+
 def top_products(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     """The k highest inner products of each query with all vectors but its own, exactly.
 
@@ -158,7 +189,20 @@ def top_products(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFram
     number = np.array([b["block"] for b in blocks])
     low, high = np.array([b["low"] for b in blocks]), np.array([b["high"] for b in blocks])
     splits = np.array([-(-b["n"] // ROWS) for b in blocks])
-    chunks = -(-n_asked // QUERIES)
+
+    def homes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            q = _matrix(batch.column(1), width)
+            home = _distances(q, np.zeros(len(q)), pivots).argmin(1) if len(q) else np.zeros(0)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(home.astype(np.int32))], ["vec_id", "vector", "home"])
+
+    asked = stage(asked.mapInArrow(homes, "vec_id bigint, vector array<double>, home int"), "homes")
+    counts = np.zeros(len(pivots), int)
+    for row in asked.groupBy("home").count().collect():  # PIVOTS rows at most
+        counts[row["home"]] = row["count"]
+    first, number_of = deal(chain(pivots), counts, QUERIES)
+    of_home = lambda values: F.element_at(F.array(*[F.lit(int(x)) for x in values]), F.col("home") + 1)
+    asked = asked.withColumn("chunk", (of_home(first) + F.pmod(F.hash("vec_id"), of_home(number_of))).cast("int")).drop("home")
     parts = F.element_at(F.create_map(*[F.lit(int(x)) for pair in zip(number, splits) for x in pair]), F.col("block"))
     index = index.withColumn("part", F.pmod(F.hash("vec_id"), parts).cast("int"))
 
@@ -182,8 +226,18 @@ def top_products(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFram
                     fresh = np.concatenate(([True], (row[1:] != row[:-1]) | (block[1:] != block[:-1]))) if len(row) else np.zeros(0, bool)
                     part = np.arange(len(row)) - np.flatnonzero(fresh)[np.cumsum(fresh) - 1] if len(row) else row
                     yield pa.RecordBatch.from_arrays(
-                        [some.column(0).take(pa.array(row)), some.column(1).take(pa.array(row)), pa.array(number[block].astype(np.int32)), pa.array(part.astype(np.int32))],
-                        ["query_id", "vector", "block", "part"])
+                        [some.column(0).take(pa.array(row)), some.column(1).take(pa.array(row)), pa.array(number[block].astype(np.int32)), pa.array(part.astype(np.int32)),
+                         some.column(3).take(pa.array(row))],
+                        ["query_id", "vector", "block", "part", "chunk"])
+
+        return of
+
+    def cells(done: int, upto: int | None):
+        """The (block, part, chunk) that some query of a batch visits, once each."""
+        def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in visits(done, upto)(batches):
+                at = np.unique(np.stack([np.asarray(batch.column(c)) for c in (2, 3, 4)], 1).reshape(-1, 3), axis=0).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(at[:, c]) for c in range(3)], ["block", "part", "chunk"])
 
         return of
 
@@ -193,15 +247,14 @@ def top_products(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFram
     done = 0
     for upto in ROUNDS:
         if best is None:
-            todo = asked.select(F.col("vec_id").alias("query_id"), "vector", F.lit(float("inf")).alias("reach"))
+            todo = asked.select(F.col("vec_id").alias("query_id"), "vector", F.lit(float("inf")).alias("reach"), "chunk")
         else:
             worst = best.groupBy("query_id").agg(F.min("score").alias("score"), F.count("*").alias("held"))
             todo = asked.withColumnRenamed("vec_id", "query_id").join(worst, "query_id", "left")
             reach = F.sqrt(F.greatest(F.expr(norm) + F.lit(most) - 2 * F.col("score"), F.lit(0.0)))
-            todo = todo.select("query_id", "vector", F.when(F.col("held") >= k, reach).otherwise(float("inf")).alias("reach"))
-        go = todo.mapInArrow(visits(done, upto), "query_id bigint, vector array<double>, block int, part int")
-        go = go.withColumn("chunk", F.pmod(F.hash("query_id"), F.lit(chunks)))
-        wide = index.select("vec_id", "vector", "block", "part", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk"))
+            todo = todo.select("query_id", "vector", F.when(F.col("held") >= k, reach).otherwise(float("inf")).alias("reach"), "chunk")
+        go = todo.mapInArrow(visits(done, upto), "query_id bigint, vector array<double>, block int, part int, chunk int")
+        wide = shipped(index, todo.mapInArrow(cells(done, upto), "block int, part int, chunk int"))
         found = go.groupBy(*cell).cogroup(wide.groupBy(*cell)).applyInArrow(_scan(width, k), "query_id bigint, vec_id bigint, score bigint")
         if best is not None:
             found = found.unionByName(best)
