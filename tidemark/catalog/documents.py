@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import redact as R, text as X
-from ..operators import articles as A, holdings as H, nested as N, quality as K
+from ..operators import articles as A, holdings as H, nested as N, quality as K, terms as T
 from ..sources import landed as L, sinks as S
 from . import proxies as P
 from .registry import cte, query, r, rlist, rounded, rs
@@ -87,6 +87,24 @@ def topic_filter(spark, d):
                     A.topic_filter(a, "all_text", TERMS).alias("by_all"))
 
 
+# one phrase of each document is a list that grows with the tables
+PHRASE = "[A-Za-z]{2,} [A-Za-z]{2,}"
+PHRASES = f"SELECT DISTINCT lower(regexp_extract(text, '{PHRASE}')) AS term FROM documents"
+
+
+@query("topic_terms", f"SELECT page_id, term FROM pages JOIN ({PHRASES}) ON term <> '' AND contains(lower(html), term)")
+def topic_terms(spark, d):
+    terms = P.table(spark, d, "documents").select(F.regexp_extract("text", PHRASE, 0).alias("phrase"))
+    return T.term_hits(P.table(spark, d, "pages"), ["page_id"], F.col("html"), terms, "phrase")
+
+
+@query("topic_filter_listed", f"SELECT page_id, url FROM pages WHERE EXISTS (SELECT 1 FROM ({PHRASES}) WHERE term <> '' AND contains(lower(url || ' ' || html), term))")
+def topic_filter_listed(spark, d):
+    terms = P.table(spark, d, "documents").select(F.regexp_extract("text", PHRASE, 0).alias("phrase"))
+    pages = P.table(spark, d, "pages")
+    return T.with_any_term(pages, "page_id", X.haystack(F.col("url"), F.col("html")), terms, "phrase").select("page_id", "url")
+
+
 MARKET = " OR ".join(f"contains(lower(themes || ' ' || url), '{p}')" for p in X.MARKET_PHRASES)
 FOCUS = (f"(contains(lower(locations), 'united states') OR contains(lower(locations), '#us#') OR {MARKET} OR contains(lower(source_domain), 'example.org') "
          "OR contains(lower(url), 'example.org') OR contains(lower(source_domain), 'blog.') OR contains(lower(url), 'blog.'))")
