@@ -8,22 +8,27 @@ from .permutation import permuted_sql
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 SPACED = r"[^\x20\x09-\x0D]+"
 
-_half = (chat.BUDGET - chat.HISTORY - chat.SYSTEM) // 2
 CHAT = rf"""
 WITH turns AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT -1, i, CASE i WHEN 0 THEN 'user' ELSE 'assistant' END, '<|im_end|><|im_start|>assistant ok' FROM range(2) t(i)),
 sized AS (SELECT *, len(regexp_extract_all(text, '{SPACED}')) + {chat.OVERHEAD} AS tokens FROM turns),
 placed AS (SELECT *, CAST(sum(tokens) OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text ROWS UNBOUNDED PRECEDING) - tokens AS BIGINT) AS start FROM sized),
-rows AS (SELECT *, start // {_half} AS bucket, tokens > {_half} AS long,
-  12 + length(role) + 1 + length(regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g')) + 11 AS chars FROM placed),
-spans AS (SELECT conv_id, bucket, long, min(start) AS first FROM rows GROUP BY ALL),
-lead AS (SELECT conv_id, min(start) AS at, arg_min(chars, start) AS chars FROM rows WHERE role = 'system' GROUP BY conv_id),
+lead AS (SELECT conv_id, min(start) AS at, arg_min(tokens, start) AS tokens FROM placed WHERE role = 'system' GROUP BY conv_id),
+sizes AS (SELECT p.conv_id, max(p.tokens) AS most, max(CASE WHEN l.tokens <= least({chat.SYSTEM}, {chat.BUDGET // 2}) THEN l.tokens ELSE 0 END) AS kept
+  FROM placed p LEFT JOIN lead l ON p.conv_id = l.conv_id GROUP BY p.conv_id),
+rooms AS (SELECT *, greatest({chat.BUDGET - chat.HISTORY} - kept, ({chat.BUDGET} - kept) // 2) AS room FROM sizes),
+rows AS (SELECT p.*, kept, start // (room - least(most, room // 2)) AS bucket, tokens > room // 2 AS long,
+  12 + length(role) + 1 + length(regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g')) + 11 AS chars FROM placed p JOIN rooms USING (conv_id)),
+spans AS (SELECT conv_id, bucket, long, min(start) AS first, CAST(sum(tokens) AS BIGINT) AS total,
+  CASE WHEN sum(tokens) + max(kept) <= {chat.BUDGET} THEN max(kept) ELSE 0 END AS kept FROM rows GROUP BY ALL),
 parts AS (
   SELECT conv_id, chars FROM rows
-  UNION ALL SELECT r.conv_id, r.chars FROM rows r JOIN spans s ON r.conv_id = s.conv_id AND r.start < s.first AND s.first - r.start <= {chat.HISTORY}
+  UNION ALL SELECT r.conv_id, r.chars FROM rows r JOIN spans s ON r.conv_id = s.conv_id AND r.start < s.first
+      AND s.first - r.start <= least({chat.HISTORY}, {chat.BUDGET} - s.total - s.kept)
     LEFT JOIN lead l ON r.conv_id = l.conv_id WHERE l.at IS NULL OR r.start <> l.at
-  UNION ALL SELECT s.conv_id, l.chars FROM spans s JOIN lead l ON s.conv_id = l.conv_id WHERE l.at < s.first),
+  UNION ALL SELECT s.conv_id, r.chars FROM spans s JOIN lead l ON s.conv_id = l.conv_id JOIN rows r ON r.conv_id = l.conv_id AND r.start = l.at
+    WHERE l.at < s.first AND s.kept > 0),
 total AS (SELECT conv_id, CAST(sum(chars) AS BIGINT) AS formatted_chars FROM parts GROUP BY conv_id),
 own AS (SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY start) AS turns,
   coalesce(string_agg(text, '' ORDER BY start) FILTER (WHERE role = 'assistant'), '') AS loss FROM rows GROUP BY conv_id)
