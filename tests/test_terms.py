@@ -21,8 +21,10 @@ def brute(texts, terms):
     return sorted((i, t) for i, text in enumerate(texts) for t in wanted if t in (text or "").lower())
 
 
-def test_all_terms_are_found_anywhere(spark, monkeypatch):
+@pytest.mark.parametrize("few", [0, T.FEW])
+def test_all_terms_are_found_anywhere(spark, monkeypatch, few):
     monkeypatch.setattr(T, "PIECE", 16)
+    monkeypatch.setattr(T, "FEW", few)  # both ways beyond and below the size of a list that is sent to all tasks
     rng = random.Random(6)
     word = lambda n: "".join(rng.choices("abcé ", k=n))
     texts = [word(rng.randint(0, 200)) for _ in range(40)] + [None, "", "a", "Z%'\\", "x\ny.*[", "😀é😀", "ABBA " * 400]

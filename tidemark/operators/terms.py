@@ -14,8 +14,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..shared import staged
 
-GRAM = 4  # letters of a group
+GRAM = 5  # letters of a group
 PIECE = 1024  # characters of a text that are looked through together
+FEW = 200_000  # terms whose index goes to all tasks, if of NARROW characters at most on average
+NARROW = 100
 GUIDE = 500  # texts whose groups are counted to tell rare groups; a guide only, any choice of groups gives the same rows
 
 
@@ -59,8 +61,12 @@ def term_hits(df: DataFrame, keys: Sequence[str], text: Column, terms: DataFrame
     pieces = staged(pieces, "pieces")  # numbered once for both readers
     index = staged(term_index(listed, pieces), "index")
     found = F.array_distinct(F.flatten(F.array(*[groups(F.col("piece"), n) for n in sizes])))
-    candidates = pieces.select("_id", F.explode_outer(found).alias("gram")).join(index, "gram").select("_id", "term")
-    held = pieces.join(candidates, "_id").where(F.contains("piece", "term"))
+    many, letters = index.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.char_length("term")), F.lit(0))).first()
+    if many <= FEW and letters <= FEW * NARROW:  # the text is at hand where a candidate is found, nothing is shuffled but hits
+        held = pieces.select(*names, "piece", F.explode_outer(found).alias("gram")).join(F.broadcast(index), "gram").where(F.contains("piece", "term"))
+    else:
+        candidates = pieces.select("_id", F.explode_outer(found).alias("gram")).join(index, "gram").select("_id", "term")
+        held = pieces.join(candidates, "_id").where(F.contains("piece", "term"))
     return held.select(*[F.col(n).alias(k) for k, n in zip(keys, names)], "term").distinct()
 
 
