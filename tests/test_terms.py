@@ -69,3 +69,27 @@ def test_a_long_list_costs_little_more_than_a_short_one(spark):
     held = {(i, t) for i, text in enumerate(texts) for t in set(text.split()) & set(many)}
     assert held <= set(map(tuple, found)) and all(t in texts[i] for i, t in found)
     assert long < 3 * short, (long, short)
+
+
+def test_slices_and_common_beginnings(spark, monkeypatch):
+    monkeypatch.setattr(T, "FEW", 40)
+    rng = random.Random(8)
+    terms = [f"http://www.example.org/{'a' * rng.randint(0, 60)}{i}" for i in range(150)] + ["h", "http", "http://", "org/" * 30]
+    texts = [" ".join(rng.sample(terms, 5)) for _ in range(30)] + [terms[0][:-1], "http://www.example.org/" * 9]
+    assert hits(spark, texts, terms) == brute(texts, terms)
+
+
+def test_a_list_beyond_one_broadcast_shuffles_no_candidates(spark, monkeypatch):
+    monkeypatch.setattr(T, "FEW", 40)
+    rows = spark.createDataFrame([(1, "the there"), (2, "ether")], "id bigint, body string")
+    listed = spark.createDataFrame([(f"the {i}",) for i in range(100)] + [("the",), ("ther",)], "term string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        found = T.term_hits(rows, ["id"], F.col("body"), listed)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        got = sorted(map(tuple, found.collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert got == [(1, "the"), (1, "ther"), (2, "the"), (2, "ther")]
+    assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
