@@ -104,14 +104,10 @@ def _first_match(rows: Column, test) -> Column:
 
 
 def _places(names: Column, wanted: Iterable[str]) -> Column:
-    """Position of each wanted header name, once per document; the right-most header of a name wins."""
-    backwards = F.reverse(names)
-
-    def place(name: str) -> Column:
-        at = F.array_position(backwards, name)
-        return F.when(at > 0, F.size(names) - at).cast("int")
-
-    return F.named_struct(*[c for n in wanted for c in (F.lit(n), place(n))])
+    """Position by wanted header name; the right-most header of a name wins. One loop, as generated code of a step a name is too long to compile."""
+    keys = F.array(*[F.lit(n) for n in wanted])
+    back = lambda n: F.array_position(F.reverse(names), n)
+    return F.map_from_arrays(keys, F.transform(keys, lambda n: F.when(back(n) > 0, F.size(names) - back(n)).cast("int")))
 
 
 def _pick(name: str) -> Column:
@@ -129,7 +125,8 @@ def _header_and_body(rows: DataFrame, ids: Sequence[str], head: Column, name_of,
     body = F.filter(F.slice("_rows", F.col("_head") + 1, F.size("_rows")), lambda r: F.size(r) >= width)
     none = F.array().cast("array<array<string>>")
     found = at.select(*ids, names.alias("_names"), F.when(F.col("_head") > 0, body).otherwise(none).alias("_body"))
-    return each_item(found, [*ids, _places(F.col("_names"), wanted).alias("_at")], F.col("_body"), "_cells")
+    placed = found.select(*ids, _places(F.col("_names"), wanted).alias("_at"), "_body")  # once a document, not once a row
+    return each_item(placed, [*ids, "_at"], F.col("_body"), "_cells")
 
 
 CALENDAR_FIELDS = tuple(dict.fromkeys(CALENDAR_ALIASES.values()))
