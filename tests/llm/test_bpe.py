@@ -59,3 +59,25 @@ def test_rows(spark, library):
     assert len(got) == 5 and got[1]["ids"] == [] and got[1]["decoded"] == "" and got[2]["ids"] == []
     assert got[3]["ids"] == library.encode("Hello, world", add_special_tokens=False).ids and got[3] == got[4]
     assert encoded(docs.limit(0), PATH).count() == 0
+
+
+def test_words_are_guessed_and_merged_together(library, monkeypatch):
+    """Words of up to SHORT bytes take no steps of their own, whether their guess holds or not."""
+    with open(PATH, encoding="utf-8") as f:
+        model = Model(f.read())
+    alone = []
+    for name in ("_guess", "merge"):
+        monkeypatch.setattr(model, name, lambda word, own=getattr(model, name): alone.append(word) or own(word))
+    rng = random.Random(3)
+    texts = [" ".join("".join(rng.choices("abehnortéß'.1", k=rng.randint(1, 20))) for _ in range(200)) for _ in range(30)]
+    texts += [" lead", "trail\n", "\x0bboth ", "<|endoftext|> in<|startoftext|>side ", "日本語 and more", "no\xa0break"]
+    flat, cut = model.encode(texts)
+    assert [flat[a:b].tolist() for a, b in zip(cut[:-1], cut[1:])] == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert not alone
+
+
+def test_ids_in_bytes(spark):
+    docs = spark.createDataFrame([(1, "Hello, world"), (2, None), (3, "")] + [(k, f"text {k} of many") for k in range(4, 40)], "doc_id bigint, text string").coalesce(1)
+    lists = encoded(docs, PATH, with_text=False).orderBy("doc_id").collect()
+    packed = encoded(docs, PATH, with_text=False, in_bytes=True).orderBy("doc_id").collect()
+    assert [b"".join(i.to_bytes(4, "little") for i in r["ids"]) for r in lists] == [bytes(r["ids"]) for r in packed]

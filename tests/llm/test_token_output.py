@@ -102,3 +102,30 @@ def test_empty_table_and_paths_without_scheme(spark, tmp_path):
     assert write_shards(spark.createDataFrame([], SCHEMA), path, vocabulary=500).count() == 0
     assert uri(spark, str(tmp_path)) == f"file://{tmp_path}" == uri(spark, f"file:{tmp_path}")
     assert uri(spark, "hdfs://host:9000/a") == "hdfs://host:9000/a"
+
+
+def test_sequences_are_packed_on_their_way(spark, monkeypatch):
+    """Staged sequences take less than the ids they hold; ids beyond the common ones and ids given as bytes come through."""
+    from tidemark.llm import token_output as T
+
+    staged, rng = {}, np.random.default_rng(5)
+    monkeypatch.setattr(T, "stage", lambda df, name: staged.setdefault(name, stage(df, name)))
+    docs = [(i, np.minimum(rng.zipf(1.3, 900), 49_407).tolist()) for i in range(400)] + [(900, None), (901, [])]
+    docs += [(1000 + i, list(range(i * 1000, i * 1000 + 1000))) for i in range(49)]
+    lists = spark.createDataFrame(docs, SCHEMA).coalesce(2)
+    found = []
+    for wide in (lists, spark.createDataFrame([(i, None if x is None else np.array(x, "<i4").tobytes()) for i, x in docs], "doc_id bigint, ids binary").coalesce(2)):
+        staged.clear()
+        numbered, _ = numbered_sequences(wide, 1024, 49_408)
+        rows = sorted((r["row_no"], bytes(r["tokens"])) for r in numbered.collect())
+        assert sum(len(t) for _, t in rows) == 2 * sum(len(x or ()) + 1 for _, x in docs)
+        size = sum(r["length"] for r in spark.read.format("binaryFile").load(staged["sequences"].inputFiles()).select("length").collect())
+        assert size < 0.75 * sum(len(t) for _, t in rows)
+        found.append(b"".join(t for _, t in rows))
+    assert found[0] == found[1]
+
+
+def test_bytes_that_are_no_ids_stop(spark):
+    for ids, said in ((b"\x01\x00\x00", "4 bytes"), (b"\xff\xff\xff\xff", "ids must be 0 to 99")):
+        with pytest.raises(Exception, match=said):
+            numbered_sequences(stage(spark.createDataFrame([(1, ids)], "doc_id bigint, ids binary"), "docs"), 16, 100)
