@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.llm import simhash as S
 
@@ -60,3 +61,16 @@ def test_a_group_of_near_copies_makes_few_links(spark, monkeypatch):
     assert all(got[p]["n_near"] == sum(near(p, q) for (q,) in prints) - 1 for (p,) in prints)
     assert {got[p]["near_class"] for p in ball} == {min(ball)} and {got[p]["near_class"] for p in chain} == {min(chain)}
     assert kept[0] < 4 * len(prints)
+
+
+def test_block_tables_and_rows_are_not_broadcast(spark, monkeypatch):
+    """Twenty rows of each fingerprint are sized as one, so at 0.6 GB of texts they passed for less than 10 MB."""
+    kept = {}
+    monkeypatch.setattr(S, "stage", lambda df, name, real=S.stage: real(kept.setdefault(name, df), name))
+    prints = spark.range(300).select(F.xxhash64("id").alias("fingerprint"))
+    S.neighbours(prints)
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    for df, joins in ((kept["near"], 3), (S.with_near(prints), 1), (S.near_queries(prints, prints), 1), (S.near_links(prints), 1)):
+        assert "Broadcast" not in plan(df) and plan(df).count("SortMergeJoin [") == joins
+    docs = spark.range(300).select(F.col("id").alias("doc_id"), F.concat_ws(" ", "id", F.lit("a b")).alias("text"))
+    assert "SortMergeJoin [next_run" in plan(S.compared(docs))

@@ -54,10 +54,13 @@ def block_masks(radius: int = RADIUS, blocks: int = BLOCKS) -> list[int]:
 
 
 def block_tables(prints: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, keep: Sequence[str] = ()) -> DataFrame:
-    """Each fingerprint once for every block table: columns fingerprint, ``keep``, place, key."""
+    """Each fingerprint once for every block table: columns fingerprint, ``keep``, place, key.
+
+    Joins of it are sort-merge joins: Spark takes an exploded table for as large as before and would broadcast it.
+    """
     cells = [F.struct(F.lit(i).alias("place"), F.expr(f"fingerprint & ({m}L)" if m != -(1 << 63) else f"fingerprint & (-{(1 << 63) - 1}L - 1L)").alias("key"))
              for i, m in enumerate(block_masks(radius, blocks))]
-    return prints.select("fingerprint", *keep, F.explode(F.array(*cells)).alias("c")).select("fingerprint", *keep, "c.place", "c.key")
+    return prints.select("fingerprint", *keep, F.explode(F.array(*cells)).alias("c")).select("fingerprint", *keep, "c.place", "c.key").hint("merge")
 
 
 def with_near(prints: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
@@ -112,7 +115,7 @@ def neighbours(prints: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS) ->
     sizes = tables.groupBy("place", "key").agg(F.count("*").alias("m")).where("m > 1")
     cut = tables.join(sizes, ["place", "key"]).withColumn("chunk", F.pmod(F.xxhash64("fingerprint"), F.ceil(F.col("m") / CHUNK)))
     arrays = cut.groupBy("place", "key", "chunk").agg(F.array_sort(F.collect_list(F.struct(F.col("fingerprint").alias("f"), "n"))).alias("others"))
-    met = cut.select("place", "key", "fingerprint").join(arrays, ["place", "key"])
+    met = cut.select("place", "key", "fingerprint").join(arrays.hint("merge"), ["place", "key"])
     near = f"x -> x.f <> fingerprint AND bit_count(x.f ^ fingerprint) <= {radius}"
     first = f"{_first_table('fingerprint', 'x.f', radius, blocks)} = place"
     links = f"""transform(filter(near, x -> x.f > fingerprint AND {first} AND NOT exists(near, h -> h.f < fingerprint AND bit_count(h.f ^ x.f) <= {radius})), x -> x.f)"""
@@ -176,7 +179,7 @@ def compared(docs: DataFrame) -> DataFrame:
     rows = stage(rows, "fingerprints")
     after = rows.select(F.col("run").alias("next_run"), F.col("at").alias("next_at"), F.col("own").alias("next"))
     near = neighbours(rows.select(F.col("own").alias("fingerprint"))).withColumnRenamed("fingerprint", "own")
-    rows = rows.join(after, ["next_run", "next_at"]).join(near, "own")
+    rows = rows.join(after.hint("merge"), ["next_run", "next_at"]).join(near, "own")  # a row for each document, never broadcast
     text = lambda c: F.lower(F.lpad(F.hex(c), 16, "0"))
     return rows.select("doc_id", "n_chars", "edited_sha256", text("own").alias("fingerprint"), text("edited").alias("edited_fingerprint"),
                        likeness("own", "edited").alias("near_edited"), likeness("own", "next").alias("near_next"),
